@@ -1,0 +1,24 @@
+"""Broadcast only behind a size check.
+
+``checked_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
+side (a bounded job over a small dimension such as a SNP map or the upload
+list) and hints a broadcast only when the side fits.  Beyond the bound the
+plan is left to the optimizer: a shuffled join, which AQE may still turn into
+a broadcast from runtime sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# One SNP map of the densest chips has about 800k names; rows are narrow.
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_rows) else df
