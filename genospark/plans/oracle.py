@@ -115,3 +115,309 @@ SELECT m.nume_cari, m.sample_id AS campione, round_even(m.n_called / n_snp, 4) A
        'MAIN_a' AS mappa_usata_g, m.genotype AS genotipo, p.genotype AS genotipo_parentela
 FROM gs m CROSS JOIN msize LEFT JOIN gsp p ON p.nume_cari = m.nume_cari AND p.sample_id = m.sample_id""",
        _encoded("MAIN_a") + "," + _encoded("554_ICAR", "p"))
+
+
+# --------------------------------------------------------------------------
+# queue
+# --------------------------------------------------------------------------
+
+_PENDING = "coalesce(bit_elaborato, -1) = 0"
+
+oracle("q01", ["fx_jobs"], f"""
+SELECT nume_cari, data_cari, user_cari, tipo_cari, nome_file, bit_elaborato FROM fx_jobs WHERE {_PENDING}""")
+
+oracle("q02", ["fx_jobs"], f"""
+SELECT nume_cari, nome_file, fn AS file_name, ends_with(fn, '.zip') AS is_zip,
+       replace(fn, '.zip', '') AS output_name, replace(fn, '.zip', '') || '_ICAR' AS panel_output_name
+FROM (SELECT *, CASE WHEN starts_with(nome_file, 'G_') THEN 'GEN_' || substr(nome_file, 3)
+                     WHEN starts_with(nome_file, 'M_') THEN 'MAP_' || substr(nome_file, 3)
+                     ELSE nome_file END AS fn
+      FROM fx_jobs WHERE {_PENDING}) t""")
+
+_TYPE_CODE = ("CASE WHEN tipo_cari = 'M' AND starts_with(first_line, '[Header]') THEN 'c_A' "
+              "WHEN tipo_cari = 'G' AND NOT coalesce(starts_with(first_line, '[Header]'), false) THEN 'c_A' END")
+
+oracle("q03", ["fx_jobs"], f"""
+SELECT nume_cari, tipo_cari, CASE WHEN tipo_cari = 'M' THEN 'map' ELSE 'genotype' END AS route,
+       {_TYPE_CODE} AS type_code
+FROM fx_jobs WHERE {_PENDING}""")
+
+# --------------------------------------------------------------------------
+# parsing
+# --------------------------------------------------------------------------
+
+_WS = "' ' || chr(13) || chr(10)"
+_SEPS = """
+seps AS (SELECT * FROM (VALUES (0, chr(9)), (1, ','), (2, ' ' || chr(9)), (3, '-'), (4, ';')) t(priority, sep))"""
+
+_REPORT = _SEPS + f""",
+rfirst AS (SELECT nume_cari, arg_min(line, line_no) AS first_line FROM fx_raw_lines GROUP BY 1),
+rhdr AS (SELECT nume_cari, trim(arg_min(line, line_no), {_WS}) AS header, min(line_no) AS hno
+         FROM fx_raw_lines WHERE starts_with(line, 'SNP Name') GROUP BY 1),
+rcnt AS (SELECT nume_cari, arg_min(line, line_no) AS content, min(line_no) AS cno
+         FROM fx_raw_lines WHERE starts_with(line, 'Content') GROUP BY 1),
+rsep AS (SELECT h.nume_cari, arg_min(s.sep, s.priority) AS sep FROM rhdr h, seps s
+         WHERE list_contains(string_split(h.header, s.sep), 'SNP Name')
+           AND list_contains(string_split(h.header, s.sep), 'Sample ID') GROUP BY 1),
+rcsep AS (SELECT c.nume_cari, trim(c.content, {_WS}) AS content, arg_min(s.sep, s.priority) AS csep
+          FROM rcnt c LEFT JOIN rhdr h USING (nume_cari), seps s
+          WHERE (h.hno IS NULL OR c.cno < h.hno) AND len(string_split(trim(c.content, {_WS}), s.sep)) > 1 GROUP BY 1, 2),
+rlay AS (SELECT f.nume_cari, f.first_line, h.hno AS header_line_no, s.sep,
+                string_split(h.header, s.sep) AS hf,
+                string_split(cs.content, cs.csep)[CASE WHEN cs.csep = chr(9) THEN 3 ELSE 2 END] AS chip
+         FROM rfirst f LEFT JOIN rhdr h USING (nume_cari) LEFT JOIN rsep s USING (nume_cari)
+         LEFT JOIN rcsep cs USING (nume_cari)),
+rpos AS (SELECT *, list_position(hf, 'SNP Name') AS i_snp, list_position(hf, 'Sample ID') AS i_sample,
+                list_position(hf, 'Allele1 - AB') AS i_a1, list_position(hf, 'Allele2 - AB') AS i_a2 FROM rlay),
+rcalls AS (SELECT l.nume_cari, l.line_no, f[p.i_sample] AS sample_id, f[p.i_snp] AS snp_name,
+                  f[p.i_a1] AS a1, f[p.i_a2] AS a2
+           FROM (SELECT nume_cari, line_no, string_split(trim(line, {_WS}), sep) AS f
+                 FROM fx_raw_lines JOIN rpos USING (nume_cari)
+                 WHERE line_no > header_line_no AND trim(line, {_WS}) <> '') l
+           JOIN rpos p USING (nume_cari)
+           WHERE p.sep IS NOT NULL AND p.i_a1 IS NOT NULL AND p.i_a2 IS NOT NULL)"""
+
+oracle("q04", ["fx_raw_lines"], "SELECT nume_cari, sep, header_line_no FROM rpos", _REPORT)
+oracle("q13", ["fx_raw_lines"], "SELECT * FROM rcalls", _REPORT)
+oracle("q14", ["fx_raw_lines"], "SELECT nume_cari, chip FROM rpos", _REPORT)
+oracle("q15", ["fx_raw_lines"], """
+SELECT nume_cari, sep, i_a1 IS NOT NULL AS has_a1, i_a2 IS NOT NULL AS has_a2,
+       i_a1 IS NOT NULL AND i_a2 IS NOT NULL AS columns_ok FROM rpos""", _REPORT)
+
+_MAPS_BODY = f"""
+mup AS (SELECT DISTINCT upload_id FROM fx_map_lines),
+mh AS (SELECT upload_id, trim(arg_min(line, line_no), {_WS}) AS header, min(line_no) AS hno
+       FROM fx_map_lines WHERE starts_with(line, 'Index') GROUP BY 1),
+ms AS (SELECT mh.upload_id, arg_min(s.sep, s.priority) AS sep FROM mh, seps s
+       WHERE contains(mh.header, 'Name') AND list_contains(string_split(mh.header, s.sep), 'Index')
+         AND list_contains(string_split(mh.header, s.sep), 'Name') GROUP BY 1),
+mlay AS (SELECT u.upload_id, mh.hno, ms.sep, list_position(string_split(mh.header, ms.sep), 'Name') AS i_name
+         FROM mup u LEFT JOIN mh USING (upload_id) LEFT JOIN ms USING (upload_id)),
+mrec AS (SELECT l.upload_id, l.line_no, string_split(trim(l.line, {_WS}), m.sep)[m.i_name] AS snp_name
+         FROM fx_map_lines l JOIN mlay m USING (upload_id)
+         WHERE m.i_name IS NOT NULL AND l.line_no > m.hno AND trim(l.line, {_WS}) <> '')"""
+_MAPS = _SEPS + "," + _MAPS_BODY
+
+oracle("q05", ["fx_map_lines"], "SELECT upload_id, line_no, snp_name FROM mrec", _MAPS)
+
+# --------------------------------------------------------------------------
+# maps
+# --------------------------------------------------------------------------
+
+
+def _checks(src: str) -> str:
+    return f"""
+chk AS (SELECT upload_id, count(*) AS n_rows, count(DISTINCT snp_name) AS n_distinct,
+               CAST(sum(CASE WHEN snp_name = '' THEN 1 ELSE 0 END) AS BIGINT) AS n_blank,
+               CAST(sum(CASE WHEN snp_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null,
+               count(*) <> count(DISTINCT snp_name) AS has_dup,
+               CASE WHEN count(*) <> count(DISTINCT snp_name) OR sum(CASE WHEN snp_name = '' THEN 1 ELSE 0 END) > 0
+                    THEN 'm_A' ELSE 'ok' END AS verdict
+        FROM {src} GROUP BY 1)"""
+
+
+# brute-force naming over a record source: identity by full name comparison
+def _naming(src: str) -> str:
+    return _checks(src) + f""",
+cat AS (SELECT c.map_name, s.snp_name FROM fx_map_catalog c JOIN fx_map_snps s USING (map_alias)),
+csize AS (SELECT map_name, count(*) AS n FROM cat GROUP BY 1),
+vr AS (SELECT r.upload_id, r.snp_name FROM {src} r JOIN chk USING (upload_id) WHERE verdict = 'ok'),
+vsize AS (SELECT upload_id, count(*) AS n FROM vr GROUP BY 1),
+ident AS (SELECT m.upload_id, m.map_name, CAST(v.n AS INTEGER) AS n_snp
+          FROM (SELECT vr.upload_id, cat.map_name, count(*) AS k FROM vr JOIN cat USING (snp_name) GROUP BY 1, 2) m
+          JOIN vsize v USING (upload_id) JOIN csize c USING (map_name) WHERE m.k = v.n AND m.k = c.n),
+rest AS (SELECT * FROM vsize WHERE upload_id NOT IN (SELECT upload_id FROM ident)),
+pairs AS (SELECT a.upload_id AS u, b.upload_id AS v
+          FROM (SELECT a.upload_id, b.upload_id AS other, count(*) AS k
+                FROM vr a JOIN vr b ON a.snp_name = b.snp_name AND b.upload_id < a.upload_id
+                WHERE a.upload_id IN (SELECT upload_id FROM rest) AND b.upload_id IN (SELECT upload_id FROM rest)
+                GROUP BY 1, 2) p
+          JOIN rest a ON a.upload_id = p.upload_id JOIN rest b ON b.upload_id = p.other
+          WHERE p.k = a.n AND p.k = b.n),
+dupl AS (SELECT u AS upload_id, min(v) AS first_upload FROM pairs GROUP BY 1),
+fresh AS (SELECT r.upload_id, CAST(r.n AS INTEGER) AS n_snp,
+                 coalesce(e.k, 0) + row_number() OVER (PARTITION BY r.n ORDER BY r.upload_id) - 1 AS slot
+          FROM rest r LEFT JOIN (SELECT number_snp, count(*) AS k FROM fx_map_catalog GROUP BY 1) e ON e.number_snp = r.n
+          WHERE r.upload_id NOT IN (SELECT upload_id FROM dupl)),
+named AS (
+  SELECT upload_id, n_snp, CASE WHEN slot < 26 THEN CAST(n_snp AS VARCHAR) || '_' || chr(CAST(97 + slot AS INTEGER)) END AS map_name,
+         CASE WHEN slot >= 26 THEN 'm_B' WHEN slot = 0 THEN 'm_E' ELSE 'm_F' END AS code FROM fresh
+  UNION ALL SELECT upload_id, n_snp, min(map_name), 'm_D' FROM ident GROUP BY 1, 2
+  UNION ALL SELECT d.upload_id, CAST(v.n AS INTEGER), f.map_name, 'm_D'
+            FROM dupl d JOIN vsize v USING (upload_id) JOIN fresh x ON x.upload_id = d.first_upload
+            JOIN (SELECT upload_id, CAST(n_snp AS VARCHAR) || '_' || chr(CAST(97 + slot AS INTEGER)) AS map_name FROM fresh) f
+              ON f.upload_id = d.first_upload)"""
+
+
+oracle("q06", ["fx_new_map"], "SELECT upload_id, n_rows, n_distinct, has_dup FROM chk", _checks("fx_new_map"))
+oracle("q07", ["fx_new_map"], "SELECT upload_id, n_blank FROM chk", _checks("fx_new_map"))
+oracle("q08", ["fx_new_map"], "SELECT upload_id, n_rows AS n_snp, verdict FROM chk", _checks("fx_new_map"))
+oracle("q09", ["fx_new_map", "fx_map_catalog"], """
+SELECT c.upload_id, CAST(c.n_rows AS INTEGER) AS n_snp, m.map_name, m.map_alias
+FROM chk c JOIN fx_map_catalog m ON m.number_snp = c.n_rows WHERE c.verdict = 'ok'""", _checks("fx_new_map"))
+oracle("q10", ["fx_new_map", "fx_map_catalog", "fx_map_snps"], "SELECT upload_id, map_name, n_snp FROM ident",
+       _naming("fx_new_map"))
+oracle("q11", ["fx_new_map", "fx_map_catalog", "fx_map_snps"], "SELECT upload_id, n_snp, map_name, code FROM named",
+       _naming("fx_new_map"))
+
+
+def _outcome_values() -> str:
+    from genospark.schemas import OUTCOMES
+    rows = ", ".join("('{}', {}, {}, '{}')".format(c, a, b, t.replace("'", "''")) for c, a, b, t in OUTCOMES)
+    return f"outc AS (SELECT * FROM (VALUES {rows}) t(code, bit_ok, bit_elaborato, errori_elab))"
+
+
+_MAP_OUTCOMES = _MAPS + "," + _naming("mrec") + "," + _outcome_values() + """,
+mout AS (SELECT m.upload_id,
+                CASE WHEN m.i_name IS NULL OR coalesce(c.n_null, 0) > 0 OR c.n_rows IS NULL THEN 'm_B'
+                     WHEN c.verdict = 'm_A' THEN 'm_A' ELSE n.code END AS code,
+                CASE WHEN m.i_name IS NOT NULL AND c.verdict = 'ok' THEN n.map_name END AS map_name,
+                CAST(c.n_rows AS INTEGER) AS n_snp
+         FROM mlay m LEFT JOIN chk c USING (upload_id) LEFT JOIN named n USING (upload_id))"""
+
+oracle("q12", ["fx_map_lines", "fx_map_catalog", "fx_map_snps"], """
+SELECT upload_id, code, map_name, n_snp, bit_ok, bit_elaborato, errori_elab FROM mout LEFT JOIN outc USING (code)""",
+       _MAP_OUTCOMES)
+
+# --------------------------------------------------------------------------
+# report checks and resolution
+# --------------------------------------------------------------------------
+
+_COUNTS = """
+rps AS (SELECT nume_cari, sample_id, count(*) AS n_rows FROM rcalls GROUP BY 1, 2),
+rcount AS (SELECT nume_cari, count(*) AS n_samples, sum(n_rows) AS n_rows, min(n_rows) AS min_rows,
+                  max(n_rows) AS max_rows, min(n_rows) = max(n_rows) AS is_uniform,
+                  CASE WHEN count(*) > 0 THEN CAST(sum(n_rows) AS BIGINT) // count(*) END AS chip_size
+           FROM rps GROUP BY 1),
+rsnp AS (SELECT nume_cari, count(DISTINCT snp_name) AS n_report_snps FROM rcalls GROUP BY 1),
+by_alias AS (SELECT map_alias AS chip, max(map_name) AS alias_map FROM fx_map_catalog GROUP BY 1),
+by_count AS (SELECT number_snp, max(map_name) AS count_map FROM fx_map_catalog GROUP BY 1),
+res AS (SELECT p.nume_cari, p.chip,
+               CASE WHEN p.chip IS NOT NULL THEN coalesce(a.alias_map, b.count_map) ELSE b.count_map END AS map_name,
+               CASE WHEN p.chip IS NOT NULL AND a.alias_map IS NOT NULL THEN 'alias'
+                    WHEN b.count_map IS NOT NULL THEN 'count' END AS resolved_by,
+               p.chip IS NOT NULL AND a.alias_map IS NULL AND b.count_map IS NOT NULL AS alias_update,
+               x.lookup_size
+        FROM rpos p
+        JOIN (SELECT p.nume_cari, CAST(CASE WHEN p.chip IS NOT NULL THEN s.n_report_snps ELSE c.chip_size END AS INTEGER) AS lookup_size
+              FROM rpos p LEFT JOIN rcount c USING (nume_cari) LEFT JOIN rsnp s USING (nume_cari)) x USING (nume_cari)
+        LEFT JOIN by_alias a ON a.chip = p.chip LEFT JOIN by_count b ON b.number_snp = x.lookup_size)"""
+
+oracle("q16", ["fx_raw_lines"], "SELECT nume_cari, sample_id, n_rows FROM rps", _REPORT + "," + _COUNTS)
+oracle("q17", ["fx_raw_lines"], "SELECT nume_cari, n_samples, min_rows, max_rows, is_uniform FROM rcount",
+       _REPORT + "," + _COUNTS)
+oracle("q18", ["fx_raw_lines"], "SELECT nume_cari, CAST(n_rows AS BIGINT) AS n_rows, n_samples, chip_size FROM rcount",
+       _REPORT + "," + _COUNTS)
+oracle("q19", ["fx_raw_lines", "fx_map_catalog"], """
+SELECT p.nume_cari, p.chip, a.alias_map AS map_name FROM rpos p LEFT JOIN by_alias a ON a.chip = p.chip
+WHERE p.chip IS NOT NULL""", _REPORT + "," + _COUNTS)
+oracle("q20", ["fx_raw_lines", "fx_map_catalog"], """
+SELECT c.nume_cari, CAST(c.chip_size AS INTEGER) AS chip_size, b.count_map AS map_name
+FROM rcount c LEFT JOIN by_count b ON b.number_snp = c.chip_size""", _REPORT + "," + _COUNTS)
+oracle("q21", ["fx_raw_lines", "fx_map_catalog"], "SELECT * FROM res", _REPORT + "," + _COUNTS)
+
+oracle("q22", ["fx_calls", "fx_snp_map"], """
+SELECT r.nume_cari, 'MAIN_a' AS map_name, r.n AS n_report_snps, m.n AS n_map_snps, r.k AS n_matched,
+       x.n_outer, x.n_outer = r.n AND x.n_outer = m.n AS consistent
+FROM (SELECT d.nume_cari, count(*) AS n, count(s.snp_name) AS k
+      FROM (SELECT DISTINCT nume_cari, snp_name FROM fx_calls) d
+      LEFT JOIN (SELECT DISTINCT snp_name FROM fx_snp_map WHERE map_name = 'MAIN_a') s USING (snp_name) GROUP BY 1) r
+CROSS JOIN (SELECT count(DISTINCT snp_name) AS n FROM fx_snp_map WHERE map_name = 'MAIN_a') m
+JOIN (SELECT u.nume_cari, count(*) AS n_outer
+      FROM (SELECT DISTINCT nume_cari FROM fx_calls) u,
+           LATERAL (SELECT * FROM (SELECT DISTINCT snp_name FROM fx_calls c WHERE c.nume_cari = u.nume_cari) a
+                    FULL OUTER JOIN (SELECT DISTINCT snp_name FROM fx_snp_map WHERE map_name = 'MAIN_a') b
+                    USING (snp_name)) j
+      GROUP BY 1) x USING (nume_cari)""")
+
+# --------------------------------------------------------------------------
+# reconciliation and status
+# --------------------------------------------------------------------------
+
+_ARCHIVE = f"""
+arch AS (SELECT DISTINCT trim(chr_codicecampionelab, ' ' || chr(9) || chr(13) || chr(10)) AS sample_id
+         FROM fx_archive WHERE chr_codicecampionelab IS NOT NULL)"""
+
+oracle("q33", ["fx_calls", "fx_archive"], """
+SELECT DISTINCT nume_cari, sample_id FROM fx_calls WHERE sample_id NOT IN (SELECT sample_id FROM arch)""", _ARCHIVE)
+oracle("q34", ["fx_staging"], "SELECT nume_cari, replace(campione, ' ', '') AS campione FROM fx_staging")
+oracle("q35", ["fx_calls"], """
+SELECT DISTINCT nume_cari, sample_id, length(sample_id) AS id_length FROM fx_calls WHERE length(sample_id) > 25""")
+
+
+def _summary(calls: str, staging: str) -> str:
+    return _ARCHIVE + f""",
+smp AS (SELECT DISTINCT nume_cari, sample_id FROM {calls}),
+nmiss AS (SELECT * FROM smp WHERE sample_id NOT IN (SELECT sample_id FROM arch)),
+stg AS (SELECT s.nume_cari, replace(s.campione, ' ', '') AS campione FROM {staging} s
+        WHERE s.nume_cari IN (SELECT nume_cari FROM smp)),
+f_miss AS (SELECT nume_cari, string_agg(sample_id, ', ' ORDER BY sample_id) AS l FROM
+           (SELECT *, row_number() OVER (PARTITION BY nume_cari ORDER BY sample_id) AS rn FROM nmiss) t
+           WHERE rn <= 10 GROUP BY 1),
+f_stg AS (SELECT nume_cari, string_agg(campione, ', ' ORDER BY campione) AS l FROM
+          (SELECT *, row_number() OVER (PARTITION BY nume_cari ORDER BY campione) AS rn
+           FROM (SELECT DISTINCT * FROM stg) d) t WHERE rn <= 10 GROUP BY 1),
+summ AS (SELECT s.nume_cari, s.n AS n_samples, coalesce(m.n, 0) AS n_not_in_archive,
+                coalesce(fm.l, '') AS first_not_in_archive, coalesce(g.n, 0) AS n_staged, coalesce(fg.l, '') AS first_staged
+         FROM (SELECT nume_cari, count(*) AS n FROM smp GROUP BY 1) s
+         LEFT JOIN (SELECT nume_cari, count(*) AS n FROM nmiss GROUP BY 1) m USING (nume_cari)
+         LEFT JOIN (SELECT nume_cari, count(*) AS n FROM stg GROUP BY 1) g USING (nume_cari)
+         LEFT JOIN f_miss fm USING (nume_cari) LEFT JOIN f_stg fg USING (nume_cari)),
+summt AS (SELECT *, replace(
+            CAST(n_samples AS VARCHAR) || ' genotypes ready to be uploaded.' || chr(10)
+            || CASE WHEN n_not_in_archive > 0 THEN CAST(n_not_in_archive AS VARCHAR) || ' samples not present in genomic archive' || chr(10)
+                    || 'The first 10 are: ' || first_not_in_archive || chr(10) ELSE '' END
+            || CASE WHEN n_staged > 0 THEN CAST(n_staged AS VARCHAR) || ' samples with existing Genotype that will be overwritten,' || chr(10)
+                    || 'The first 10 are: ' || first_staged || ' '
+                    ELSE CAST(n_staged AS VARCHAR) || ' samples with existing Genotype that will be overwritten.' END,
+            '''', '"') AS summary FROM summ)"""
+
+
+oracle("q36", ["fx_calls", "fx_archive", "fx_staging"], "SELECT * FROM summt", _summary("fx_calls", "fx_staging"))
+
+_GENO_TAIL = """
+csnp AS (SELECT c.map_name, s.snp_name FROM fx_map_catalog c JOIN fx_map_snps s USING (map_alias)
+         UNION ALL SELECT map_name, snp_name FROM fx_snp_map),
+cons AS (SELECT r.nume_cari,
+                count(DISTINCT d.snp_name) = count(DISTINCT m.snp_name)
+                AND count(DISTINCT d.snp_name) = (SELECT count(DISTINCT snp_name) FROM csnp WHERE map_name = r.map_name)
+                AND count(DISTINCT d.snp_name) = (SELECT count(DISTINCT snp_name) FROM rcalls c WHERE c.nume_cari = r.nume_cari)
+                AS consistent
+         FROM res r JOIN (SELECT DISTINCT nume_cari, snp_name FROM rcalls) d USING (nume_cari)
+         LEFT JOIN csnp m ON m.map_name = r.map_name AND m.snp_name = d.snp_name
+         WHERE r.map_name IS NOT NULL GROUP BY r.nume_cari, r.map_name),
+short AS (SELECT nume_cari, sum(CASE WHEN sample_id IS NULL OR snp_name IS NULL OR a1 IS NULL OR a2 IS NULL THEN 1 ELSE 0 END) AS n_short
+          FROM rcalls GROUP BY 1),
+gout AS (SELECT p.nume_cari,
+                CASE WHEN NOT coalesce(starts_with(p.first_line, '[Header]'), false) THEN 'c_A'
+                     WHEN p.sep IS NULL THEN 'g_M'
+                     WHEN p.i_a1 IS NULL OR p.i_a2 IS NULL THEN 'g_A'
+                     WHEN coalesce(s.n_short, 0) > 0 THEN 'g_E'
+                     WHEN coalesce(c.n_samples, 0) = 0 THEN 'g_C'
+                     WHEN NOT c.is_uniform THEN 'g_C'
+                     WHEN r.map_name IS NULL OR NOT coalesce(k.consistent, false) THEN 'g_N'
+                     WHEN r.alias_update THEN 'g_K' ELSE 'g_I' END AS code,
+                r.map_name
+         FROM rpos p LEFT JOIN short s USING (nume_cari) LEFT JOIN rcount c USING (nume_cari)
+         LEFT JOIN res r USING (nume_cari) LEFT JOIN cons k USING (nume_cari))"""
+_GENO = _REPORT + "," + _COUNTS + "," + _outcome_values() + "," + _GENO_TAIL
+
+oracle("q37", ["fx_raw_lines", "fx_map_catalog", "fx_map_snps", "fx_snp_map"], """
+SELECT nume_cari, code, map_name, bit_ok, bit_elaborato, errori_elab FROM gout LEFT JOIN outc USING (code)""", _GENO)
+
+_MOUT = """
+mout AS (SELECT m.upload_id,
+                CASE WHEN m.i_name IS NULL OR coalesce(c.n_null, 0) > 0 OR c.n_rows IS NULL THEN 'm_B'
+                     WHEN c.verdict = 'm_A' THEN 'm_A' ELSE n.code END AS code
+         FROM mlay m LEFT JOIN chk c USING (upload_id) LEFT JOIN named n USING (upload_id))"""
+
+oracle("q38", ["fx_raw_lines", "fx_map_catalog", "fx_map_snps", "fx_snp_map", "fx_jobs", "fx_map_lines",
+               "fx_archive"], f"""
+SELECT CAST(nume_cari AS VARCHAR) AS nume_cari, o.code, bit_ok, bit_elaborato, errori_elab
+FROM (SELECT nume_cari, {_TYPE_CODE} AS code FROM fx_jobs WHERE {_PENDING}) o JOIN outc USING (code)
+UNION ALL
+SELECT CAST(g.nume_cari AS VARCHAR), g.code, o.bit_ok, o.bit_elaborato, o.errori_elab
+FROM gout g LEFT JOIN outc o USING (code)
+UNION ALL
+SELECT upload_id, m.code, o.bit_ok, o.bit_elaborato, o.errori_elab FROM mout m LEFT JOIN outc o USING (code)""",
+       ",".join([_GENO, _MAPS_BODY, _naming("mrec"), _MOUT]))

@@ -105,3 +105,232 @@ def q32_staging_with_panel(spark, sf_dir):
     staging = encode.staging_rows(_calls_for(fx, MAIN_MAP), _map(fx, MAIN_MAP))
     panel = encode.panel_strings(_calls_for(fx, PANEL_MAP), _map(fx, PANEL_MAP))
     return encode.with_panel(staging, panel)
+
+
+# --------------------------------------------------------------------------
+# Queue (q01 - q03)
+# --------------------------------------------------------------------------
+
+from genospark.operators import maps, outcomes, parse, queue, reconcile, reports  # noqa: E402
+from genospark.plans import pipeline  # noqa: E402
+from genospark.session import reliable_checkpoint  # noqa: E402
+
+
+def _catalog_snp_maps(fx: Fixtures) -> DataFrame:
+    """SNP lists of the catalogued maps plus the fixture main and panel maps."""
+    cat = fx.fx_map_catalog.select("map_name", "map_alias")
+    listed = fx.fx_map_snps.join(cat, "map_alias").select("map_name", "id", "snp_name")
+    return listed.unionByName(fx.fx_snp_map.select("map_name", "id", "snp_name"))
+
+
+@query("q01")
+def q01_pending(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return queue.in_order(queue.pending(fx.fx_jobs).select(*queue.QUEUE_COLS))
+
+
+@query("q02")
+def q02_file_names(spark, sf_dir):
+    return queue.file_names(queue.pending(Fixtures(spark, sf_dir).fx_jobs))
+
+
+@query("q03")
+def q03_type_check(spark, sf_dir):
+    return queue.route(queue.pending(Fixtures(spark, sf_dir).fx_jobs))
+
+
+# --------------------------------------------------------------------------
+# Parsing (q04, q05, q13 - q15)
+# --------------------------------------------------------------------------
+
+@query("q04")
+def q04_separator(spark, sf_dir):
+    lay = parse.report_layout(Fixtures(spark, sf_dir).fx_raw_lines)
+    return lay.select("nume_cari", "sep", "header_line_no")
+
+
+@query("q05")
+def q05_map_records(spark, sf_dir):
+    lines = Fixtures(spark, sf_dir).fx_map_lines
+    return parse.map_records(lines, parse.map_layout(lines))
+
+
+@query("q13")
+def q13_report_calls(spark, sf_dir):
+    lines = Fixtures(spark, sf_dir).fx_raw_lines
+    return parse.report_calls(lines, parse.report_layout(lines))
+
+
+@query("q14")
+def q14_chip(spark, sf_dir):
+    lay = parse.report_layout(Fixtures(spark, sf_dir).fx_raw_lines)
+    return lay.select("nume_cari", "chip")
+
+
+@query("q15")
+def q15_required_columns(spark, sf_dir):
+    lay = parse.report_layout(Fixtures(spark, sf_dir).fx_raw_lines)
+    return lay.select("nume_cari", "sep", F.col("i_a1").isNotNull().alias("has_a1"),
+                      F.col("i_a2").isNotNull().alias("has_a2"), F.col("has_alleles").alias("columns_ok"))
+
+
+# --------------------------------------------------------------------------
+# Maps (q06 - q12)
+# --------------------------------------------------------------------------
+
+@query("q06")
+def q06_duplicates(spark, sf_dir):
+    c = maps.name_checks(Fixtures(spark, sf_dir).fx_new_map)
+    return c.select("upload_id", "n_rows", "n_distinct", "has_dup")
+
+
+@query("q07")
+def q07_blanks(spark, sf_dir):
+    return maps.name_checks(Fixtures(spark, sf_dir).fx_new_map).select("upload_id", "n_blank")
+
+
+@query("q08")
+def q08_map_verdict(spark, sf_dir):
+    c = maps.name_checks(Fixtures(spark, sf_dir).fx_new_map)
+    return c.select("upload_id", F.col("n_rows").alias("n_snp"), "verdict")
+
+
+def _checked_new(fx: Fixtures):
+    records = reliable_checkpoint(fx.fx_new_map)
+    return records, reliable_checkpoint(maps.name_checks(records))
+
+
+@query("q09")
+def q09_same_size(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return maps.same_size_maps(maps.name_checks(fx.fx_new_map), fx.fx_map_catalog)
+
+
+@query("q10")
+def q10_identical(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    records, checks = _checked_new(fx)
+    valid = records.join(checks.where(F.col("verdict") == "ok").select("upload_id"), "upload_id", "left_semi")
+    return maps.identical_maps(valid, fx.fx_map_catalog, _catalog_snp_maps(fx))
+
+
+@query("q11")
+def q11_next_name(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    records, checks = _checked_new(fx)
+    return maps.name_uploads(records, checks, fx.fx_map_catalog, _catalog_snp_maps(fx))
+
+
+@query("q12")
+def q12_map_outcomes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    mb = pipeline.map_batch(fx.fx_map_lines, fx.fx_map_catalog, _catalog_snp_maps(fx))
+    return outcomes.decode(mb.outcomes).select("upload_id", "code", "map_name", "n_snp", "bit_ok",
+                                               "bit_elaborato", "errori_elab")
+
+
+# --------------------------------------------------------------------------
+# Report checks and map resolution (q16 - q22)
+# --------------------------------------------------------------------------
+
+def _parsed_calls(fx: Fixtures):
+    lines = fx.fx_raw_lines
+    lay = parse.report_layout(lines)
+    return lay, parse.report_calls(lines, lay)
+
+
+@query("q16")
+def q16_rows_per_sample(spark, sf_dir):
+    _, calls = _parsed_calls(Fixtures(spark, sf_dir))
+    return reports.rows_per_sample(calls)
+
+
+@query("q17")
+def q17_uniform(spark, sf_dir):
+    _, calls = _parsed_calls(Fixtures(spark, sf_dir))
+    return reports.sample_counts(calls).select("nume_cari", "n_samples", "min_rows", "max_rows", "is_uniform")
+
+
+@query("q18")
+def q18_chip_size(spark, sf_dir):
+    _, calls = _parsed_calls(Fixtures(spark, sf_dir))
+    return reports.sample_counts(calls).select("nume_cari", "n_rows", "n_samples", "chip_size")
+
+
+@query("q19")
+def q19_map_by_alias(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    lay, _ = _parsed_calls(fx)
+    return reports.map_by_alias(lay, fx.fx_map_catalog)
+
+
+@query("q20")
+def q20_map_by_count(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    _, calls = _parsed_calls(fx)
+    return reports.map_by_count(reports.sample_counts(calls), fx.fx_map_catalog)
+
+
+@query("q21")
+def q21_alias_updates(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    lay, calls = _parsed_calls(fx)
+    return reports.resolve_maps(lay, reports.sample_counts(calls), reports.snp_counts(calls), fx.fx_map_catalog)
+
+
+@query("q22")
+def q22_map_consistency(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    assigned = fx.fx_calls.select("nume_cari").distinct().withColumn("map_name", F.lit(MAIN_MAP))
+    return reports.map_consistency(fx.fx_calls, assigned, fx.fx_snp_map)
+
+
+# --------------------------------------------------------------------------
+# Reconciliation, outcomes, status (q33 - q38)
+# --------------------------------------------------------------------------
+
+@query("q33")
+def q33_not_in_archive(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return reconcile.not_in_archive(reconcile.report_samples(fx.fx_calls), fx.fx_archive)
+
+
+@query("q34")
+def q34_staged_samples(spark, sf_dir):
+    return reconcile.staged_samples(Fixtures(spark, sf_dir).fx_staging)
+
+
+@query("q35")
+def q35_long_ids(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return reconcile.long_ids(reconcile.report_samples(fx.fx_calls))
+
+
+@query("q36")
+def q36_summary(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return pipeline.reconciliation(fx.fx_calls, fx.fx_archive, fx.fx_staging)
+
+
+def _genotype_batch(fx: Fixtures):
+    return pipeline.genotype_batch(fx.fx_raw_lines, fx.fx_map_catalog, _catalog_snp_maps(fx))
+
+
+@query("q37")
+def q37_genotype_outcomes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = pipeline.genotype_outcomes(_genotype_batch(fx))
+    return outcomes.decode(out).select("nume_cari", "code", "map_name", "bit_ok", "bit_elaborato", "errori_elab")
+
+
+@query("q38")
+def q38_upload_status(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    typed = queue.route(queue.pending(fx.fx_jobs)).where(F.col("type_code").isNotNull()).select(
+        "nume_cari", F.col("type_code").alias("code"))
+    gb = _genotype_batch(fx)
+    summaries = pipeline.reconciliation(gb.calls, fx.fx_archive, gb.staging.select("nume_cari", "campione"))
+    geno = outcomes.status_rows(pipeline.genotype_outcomes(gb).select("nume_cari", "code"), summaries)
+    mb = pipeline.map_batch(fx.fx_map_lines, fx.fx_map_catalog, _catalog_snp_maps(fx))
+    mapped = outcomes.status_rows(mb.outcomes.select(F.col("upload_id").alias("nume_cari"), "code"))
+    return outcomes.status_rows(typed).unionByName(geno).unionByName(mapped)
