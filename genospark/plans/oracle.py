@@ -11,8 +11,10 @@ from genospark.plans.fixtures import duckdb_ctes
 ORACLE: dict[str, str] = {}
 
 
-def oracle(name: str, fixtures: list[str], body: str, extra_ctes: str = "") -> None:
+def oracle(name: str, fixtures: list[str], body: str, extra_ctes: str = "", recursive: bool = False) -> None:
     head = duckdb_ctes(fixtures)
+    if recursive:
+        head = "WITH RECURSIVE " + head[len("WITH "):]
     if extra_ctes:
         head += ",\n" + extra_ctes.strip()
     ORACLE[name] = head + "\n" + body.strip()
@@ -421,3 +423,111 @@ FROM gout g LEFT JOIN outc o USING (code)
 UNION ALL
 SELECT upload_id, m.code, o.bit_ok, o.bit_elaborato, o.errori_elab FROM mout m LEFT JOIN outc o USING (code)""",
        ",".join([_GENO, _MAPS_BODY, _naming("mrec"), _MOUT]))
+
+
+# --------------------------------------------------------------------------
+# population-genetics extensions (brute force per position)
+# --------------------------------------------------------------------------
+
+_FREQ = _positions("MAIN_a") + "," + _last() + """,
+nsmp AS (SELECT count(DISTINCT sample_id) AS n_samples FROM lc),
+cnt AS (SELECT pos, count(*) FILTER (WHERE code = 0) AS n0, count(*) FILTER (WHERE code = 1) AS n1,
+               count(*) FILTER (WHERE code = 2) AS n2 FROM lc WHERE code IN (0, 1, 2) GROUP BY 1),
+fr0 AS (SELECT mp.pos, mp.snp_key AS snp_name, coalesce(n0, 0) AS n0, coalesce(n1, 0) AS n1, coalesce(n2, 0) AS n2,
+               coalesce(n0, 0) + coalesce(n1, 0) + coalesce(n2, 0) AS n_called, n_samples
+        FROM mp LEFT JOIN cnt USING (pos) CROSS JOIN nsmp),
+fr AS (SELECT *, CASE WHEN n_called > 0 THEN (2 * n2 + n1) / (2 * n_called) END AS p FROM fr0)"""
+
+oracle("x01", ["fx_calls", "fx_snp_map"], """
+SELECT 'MAIN_a' AS map_name, pos, snp_name, n0, n1, n2, n_called, round(p, 6) AS p_a,
+       round(least(p, 1 - p), 6) AS maf,
+       coalesce(least(p, 1 - p) >= 0.05, false) AND n_called / n_samples >= 0.9 AS informative
+FROM fr""", _FREQ)
+
+oracle("x02", ["fx_calls", "fx_snp_map"], """
+SELECT 'MAIN_a' AS map_name, pos, snp_name, n_called, n_samples, round_even(n_called / n_samples, 4) AS call_rate
+FROM fr""", _FREQ)
+
+_PAIRS = """
+gt AS (SELECT DISTINCT sample_id FROM lc),
+cc AS (SELECT sample_id, pos, code FROM lc WHERE code IN (0, 1, 2)),
+ped AS (SELECT child, sire AS parent, 'sire' AS role FROM fx_pedigree
+        UNION ALL SELECT child, dam, 'dam' FROM fx_pedigree)"""
+
+oracle("x03", ["fx_calls", "fx_snp_map", "fx_pedigree"], """
+SELECT p.child, p.parent, p.role, coalesce(n_compared, 0) AS n_compared, coalesce(n_opposing, 0) AS n_opposing
+FROM (SELECT * FROM ped WHERE child IN (SELECT sample_id FROM gt) AND parent IN (SELECT sample_id FROM gt)) p
+LEFT JOIN (SELECT p.child, p.parent, p.role, count(*) AS n_compared,
+                  count(*) FILTER (WHERE (c.code = 0 AND g.code = 2) OR (c.code = 2 AND g.code = 0)) AS n_opposing
+           FROM ped p JOIN cc c ON c.sample_id = p.child JOIN cc g ON g.sample_id = p.parent AND g.pos = c.pos
+           GROUP BY 1, 2, 3) x USING (child, parent, role)""", _positions("MAIN_a") + "," + _last() + "," + _PAIRS)
+
+
+def _verdict_sql(opp: str, cmp: str) -> str:
+    return f"CASE WHEN {cmp} = 0 THEN 'untested' WHEN {opp} / {cmp} <= 0.01 THEN 'compatible' ELSE 'excluded' END"
+
+
+oracle("x04", ["fx_calls", "fx_snp_map", "fx_pedigree"], f"""
+SELECT child, sire, dam, sire_compared, sire_opposing, {_verdict_sql("sire_opposing", "sire_compared")} AS sire_verdict,
+       dam_compared, dam_opposing, {_verdict_sql("dam_opposing", "dam_compared")} AS dam_verdict,
+       trio_compared, trio_conflicts
+FROM (SELECT t.child, t.sire, t.dam,
+             coalesce(count(s), 0) AS sire_compared,
+             count(*) FILTER (WHERE (c = 0 AND s = 2) OR (c = 2 AND s = 0)) AS sire_opposing,
+             coalesce(count(d), 0) AS dam_compared,
+             count(*) FILTER (WHERE (c = 0 AND d = 2) OR (c = 2 AND d = 0)) AS dam_opposing,
+             count(*) FILTER (WHERE s IS NOT NULL AND d IS NOT NULL) AS trio_compared,
+             count(*) FILTER (WHERE s IS NOT NULL AND d IS NOT NULL AND
+                              ((c = 2 AND (s = 0 OR d = 0)) OR (c = 0 AND (s = 2 OR d = 2))
+                               OR (c = 1 AND ((s = 0 AND d = 0) OR (s = 2 AND d = 2))))) AS trio_conflicts
+      FROM (SELECT child, sire, dam FROM fx_pedigree
+            WHERE child IN (SELECT sample_id FROM gt) AND sire IN (SELECT sample_id FROM gt)
+              AND dam IN (SELECT sample_id FROM gt)) t
+      LEFT JOIN (SELECT x.child, x.sire, x.dam, c.code AS c, s.code AS s, d.code AS d
+                 FROM fx_pedigree x JOIN cc c ON c.sample_id = x.child
+                 LEFT JOIN cc s ON s.sample_id = x.sire AND s.pos = c.pos
+                 LEFT JOIN cc d ON d.sample_id = x.dam AND d.pos = c.pos) j
+        ON j.child = t.child AND j.sire = t.sire AND j.dam = t.dam
+      GROUP BY 1, 2, 3) a""", _positions("MAIN_a") + "," + _last() + "," + _PAIRS)
+
+oracle("x05", ["fx_calls", "fx_snp_map"], """
+SELECT 'MAIN_a' AS map_name, count(*) AS n_snps,
+       round(1 - exp(sum(ln(1 - 2 * p * p * (1 - p) * (1 - p)))), 6) AS pe_combined,
+       round(avg(2 * p * p * (1 - p) * (1 - p)), 6) AS pe_mean
+FROM fr WHERE p > 0 AND p < 1""", _FREQ)
+
+oracle("x06", ["fx_calls", "fx_snp_map", "fx_pedigree"], """
+SELECT child, parent, role, count(*) AS n_snps, round(sum(ln(((1 - 0.01) * t + 0.01 * pr) / pr)), 4) AS lod
+FROM (SELECT p.child, p.parent, p.role, f.p,
+             CASE WHEN c.code = 2 THEN f.p * f.p WHEN c.code = 1 THEN 2 * f.p * (1 - f.p) ELSE (1 - f.p) * (1 - f.p) END AS pr,
+             CASE WHEN g.code = 2 THEN CASE WHEN c.code = 2 THEN f.p WHEN c.code = 1 THEN 1 - f.p ELSE 0.0 END
+                  WHEN g.code = 1 THEN CASE WHEN c.code = 2 THEN f.p / 2 WHEN c.code = 1 THEN 0.5 ELSE (1 - f.p) / 2 END
+                  ELSE CASE WHEN c.code = 2 THEN 0.0 WHEN c.code = 1 THEN f.p ELSE 1 - f.p END END AS t
+      FROM ped p JOIN cc c ON c.sample_id = p.child JOIN cc g ON g.sample_id = p.parent AND g.pos = c.pos
+      JOIN fr f ON f.pos = c.pos WHERE f.p > 0 AND f.p < 1) x
+GROUP BY 1, 2, 3""", _FREQ + "," + _PAIRS)
+
+oracle("x07", ["fx_pedigree"], """
+SELECT sample, ancestor, min(gen) AS generation FROM anc GROUP BY 1, 2""", """
+edges AS (SELECT DISTINCT child, parent FROM (SELECT child, sire AS parent FROM fx_pedigree
+                                              UNION ALL SELECT child, dam FROM fx_pedigree) e WHERE parent IS NOT NULL),
+anc(sample, ancestor, gen) AS (
+  SELECT child, parent, 1 FROM edges
+  UNION
+  SELECT a.sample, e.parent, a.gen + 1 FROM anc a JOIN edges e ON e.child = a.ancestor)""", recursive=True)
+
+oracle("x08", ["fx_pedigree"], """
+SELECT p.child, p.sire, p.dam,
+       (SELECT count(*) FROM fx_pedigree q WHERE q.sire = p.sire AND q.dam = p.dam) - 1 AS n_full_sibs,
+       (SELECT count(*) FROM fx_pedigree q WHERE q.sire = p.sire AND q.dam <> p.dam) AS n_paternal_half_sibs,
+       (SELECT count(*) FROM fx_pedigree q WHERE q.dam = p.dam AND q.sire <> p.sire) AS n_maternal_half_sibs
+FROM fx_pedigree p""")
+
+oracle("x09", ["fx_calls", "fx_snp_map"], """
+SELECT 'MAIN_a' AS map_name, a.pos, mp.snp_key AS snp_name, a.n_groups, round(a.hs, 6) AS hs,
+       round(2 * pbar * (1 - pbar), 6) AS ht,
+       round(CASE WHEN 2 * pbar * (1 - pbar) > 0 THEN (2 * pbar * (1 - pbar) - hs) / (2 * pbar * (1 - pbar)) END, 6) AS fst
+FROM (SELECT pos, count(*) AS n_groups, avg(2 * p * (1 - p)) AS hs, avg(p) AS pbar
+      FROM (SELECT pos, nume_cari, (2 * count(*) FILTER (WHERE code = 2) + count(*) FILTER (WHERE code = 1)) / (2 * count(*)) AS p
+            FROM lc WHERE code IN (0, 1, 2) GROUP BY 1, 2) g GROUP BY 1) a
+JOIN mp USING (pos)""", _positions("MAIN_a") + "," + _last())

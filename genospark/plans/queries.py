@@ -334,3 +334,78 @@ def q38_upload_status(spark, sf_dir):
     mb = pipeline.map_batch(fx.fx_map_lines, fx.fx_map_catalog, _catalog_snp_maps(fx))
     mapped = outcomes.status_rows(mb.outcomes.select(F.col("upload_id").alias("nume_cari"), "code"))
     return outcomes.status_rows(typed).unionByName(geno).unionByName(mapped)
+
+
+# --------------------------------------------------------------------------
+# Population-genetics extensions (x01 - x09)
+# --------------------------------------------------------------------------
+
+from genospark.operators import popgen  # noqa: E402
+
+
+def _cells(fx: Fixtures):
+    """Winning calls of every sample against the main map, stored once (read by several branches)."""
+    positions = encode.map_positions(_map(fx, MAIN_MAP))
+    cells = reliable_checkpoint(encode.last_calls(_calls_for(fx, MAIN_MAP), positions))
+    return cells, reliable_checkpoint(positions)
+
+
+def _freqs(fx: Fixtures):
+    cells, positions = _cells(fx)
+    return cells, positions, popgen.allele_frequencies(cells, positions)
+
+
+@query("x01")
+def x01_allele_frequency(spark, sf_dir):
+    _, _, fr = _freqs(Fixtures(spark, sf_dir))
+    return fr.select("map_name", "pos", "snp_name", "n0", "n1", "n2", "n_called", "p_a", "maf", "informative")
+
+
+@query("x02")
+def x02_snp_call_rate(spark, sf_dir):
+    _, _, fr = _freqs(Fixtures(spark, sf_dir))
+    return fr.select("map_name", "pos", "snp_name", "n_called", "n_samples", "call_rate")
+
+
+@query("x03")
+def x03_opposing_homozygotes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cells, _ = _cells(fx)
+    return popgen.opposing_homozygotes(cells, fx.fx_pedigree)
+
+
+@query("x04")
+def x04_parent_verdict(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cells, _ = _cells(fx)
+    return popgen.parent_verdicts(cells, fx.fx_pedigree)
+
+
+@query("x05")
+def x05_exclusion(spark, sf_dir):
+    _, _, fr = _freqs(Fixtures(spark, sf_dir))
+    return popgen.exclusion_probability(fr)
+
+
+@query("x06")
+def x06_likelihood(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cells, _, fr = _freqs(fx)
+    return popgen.likelihood_ratios(cells, reliable_checkpoint(fr), fx.fx_pedigree)
+
+
+@query("x07")
+def x07_ancestors(spark, sf_dir):
+    return popgen.ancestors(Fixtures(spark, sf_dir).fx_pedigree)
+
+
+@query("x08")
+def x08_half_sibs(spark, sf_dir):
+    return popgen.sibling_counts(Fixtures(spark, sf_dir).fx_pedigree)
+
+
+@query("x09")
+def x09_fst(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cells, positions = _cells(fx)
+    return popgen.fst(cells, positions)
