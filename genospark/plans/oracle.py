@@ -531,3 +531,17 @@ FROM (SELECT pos, count(*) AS n_groups, avg(2 * p * (1 - p)) AS hs, avg(p) AS pb
       FROM (SELECT pos, nume_cari, (2 * count(*) FILTER (WHERE code = 2) + count(*) FILTER (WHERE code = 1)) / (2 * count(*)) AS p
             FROM lc WHERE code IN (0, 1, 2) GROUP BY 1, 2) g GROUP BY 1) a
 JOIN mp USING (pos)""", _positions("MAIN_a") + "," + _last())
+
+
+# --------------------------------------------------------------------------
+# streaming queue
+# --------------------------------------------------------------------------
+
+oracle("s01", ["fx_jobs"], f"""
+SELECT CAST(nume_cari AS VARCHAR) AS nume_cari, code, bit_ok, bit_elaborato, errori_elab
+FROM (SELECT nume_cari, coalesce({_TYPE_CODE}, CASE WHEN tipo_cari = 'M' THEN 'c_B' ELSE 'g_B' END) AS code
+      FROM fx_jobs WHERE {_PENDING}) j JOIN outc USING (code)""", _outcome_values())
+
+oracle("s02", ["fx_jobs"], f"""
+SELECT nume_cari, tipo_cari, nome_file FROM fx_jobs
+WHERE {_PENDING} AND tipo_cari = 'M' AND ({_TYPE_CODE}) IS NULL""")

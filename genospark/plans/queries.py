@@ -409,3 +409,38 @@ def x09_fst(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     cells, positions = _cells(fx)
     return popgen.fst(cells, positions)
+
+
+# --------------------------------------------------------------------------
+# Streaming queue (s01, s02)
+# --------------------------------------------------------------------------
+
+import os  # noqa: E402
+
+from genospark.session import scratch_path  # noqa: E402
+from genospark.sources.zipfiles import list_archives  # noqa: E402
+from genospark.streaming import queue_stream  # noqa: E402
+
+
+def _stream_once(spark, sf_dir):
+    """Write the fixture queue as several files, stream it with availableNow, return the status log."""
+    fx = Fixtures(spark, sf_dir)
+    base = scratch_path(spark, "queue")
+    queue_dir, status_dir = os.path.join(base, "queue"), os.path.join(base, "status")
+    jobs = fx.fx_jobs
+    jobs.repartition(4, "nume_cari").write.parquet(queue_dir)
+    files = list_archives(spark, os.path.join(base, "uploads"))
+    queue_stream.run_queue(spark, queue_dir, jobs.schema, status_dir, os.path.join(base, "checkpoint"), files)
+    return fx, queue_stream.read_status(spark, status_dir)
+
+
+@query("s01")
+def s01_queue_stream(spark, sf_dir):
+    _, status = _stream_once(spark, sf_dir)
+    return status.select("nume_cari", "code", "bit_ok", "bit_elaborato", "errori_elab")
+
+
+@query("s02")
+def s02_retry(spark, sf_dir):
+    fx, status = _stream_once(spark, sf_dir)
+    return queue_stream.retry_set(fx.fx_jobs, status).select("nume_cari", "tipo_cari", "nome_file")
