@@ -83,10 +83,10 @@ def genotype_strings(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
         "calls",
         lambda x, i: F.concat(
             F.repeat(F.lit(MISSING_DIGIT),
-                     (x["pos"] - F.when(i == 0, F.lit(-1)).otherwise(F.col("calls")[i - 1]["pos"]) - 1)
+                     (x["pos"] - F.coalesce(F.get(F.col("calls"), i - 1)["pos"], F.lit(-1)) - 1)
                      .cast("int")),
             x["code"].cast("string"))), "")
-    last_pos = F.coalesce(F.col("calls")[F.size("calls") - 1]["pos"], F.lit(-1))
+    last_pos = F.coalesce(F.get(F.col("calls"), F.size("calls") - 1)["pos"], F.lit(-1))
     return (per_sample.join(sizes, "map_name")
             .select(*UPLOAD_SAMPLE, "n_snp", "n_called",
                     F.concat(body, F.repeat(F.lit(MISSING_DIGIT), (F.col("n_snp") - 1 - last_pos).cast("int")))

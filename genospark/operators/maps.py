@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genospark.functions.sizing import checked_broadcast
-from genospark.session import reliable_checkpoint
+from genospark.session import stored
 
 MAX_SERIES = 26  # a .. z
 
@@ -134,9 +134,9 @@ def name_uploads(records: DataFrame, checks: DataFrame, catalog: DataFrame, snp_
     """
     valid = checks.where(F.col("verdict") == "ok").select(key)
     valid_records = records.join(checked_broadcast(valid), key, "left_semi")
-    identical = reliable_checkpoint(identical_maps(valid_records, catalog, snp_maps, key))
+    identical = stored(identical_maps(valid_records, catalog, snp_maps, key))
     not_ident = valid_records.join(checked_broadcast(identical.select(key)), key, "left_anti")
-    dups = reliable_checkpoint(batch_duplicates(not_ident, key))
+    dups = stored(batch_duplicates(not_ident, key))
     return assign_names(checks, catalog, identical, dups, key)
 
 
@@ -149,12 +149,12 @@ def map_outcomes(layout: DataFrame, records: DataFrame, catalog: DataFrame, snp_
     checkpoint folder so that each branch scans the stored rows instead of
     re-parsing, and the plan stays small.
     """
-    records = reliable_checkpoint(records)
-    checks = reliable_checkpoint(name_checks(records, key))
+    records = stored(records)
+    checks = stored(name_checks(records, key))
     named = name_uploads(records, checks, catalog, snp_maps, key)
     base = layout.select(key, "header_ok").join(checks, key, "left")
     out = base.join(named, key, "left")
-    return reliable_checkpoint(out.select(
+    return stored(out.select(
         key,
         F.when(~F.col("header_ok") | (F.col("n_null") > 0) | F.col("n_rows").isNull(), "m_B")
          .when(F.col("verdict") == "m_A", "m_A").otherwise(F.col("code")).alias("code"),

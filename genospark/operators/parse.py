@@ -76,6 +76,9 @@ def report_calls(lines: DataFrame, layout: DataFrame, key: str = "nume_cari") ->
     """
     usable = layout.where(F.col("sep").isNotNull() & F.col("has_alleles")).select(
         key, "header_line_no", "sep", "i_snp", "i_sample", "i_a1", "i_a2")
+    # One layout row per upload, broadcast behind a row-count check: the lines
+    # are never shuffled by upload key (one upload may hold a third of all
+    # lines).  Pass a stored layout so that the check reads only stored rows.
     body = lines.join(checked_broadcast(usable), key).where(F.col("line_no") > F.col("header_line_no"))
     text = clean_line(F.col("line"))
     body = body.where(text != "").withColumn("fields", split_literal(text, F.col("sep")))

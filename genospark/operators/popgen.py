@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genospark.functions.sizing import checked_broadcast
-from genospark.session import reliable_checkpoint
+from genospark.session import stored
 
 BLOCK = 64
 ERROR_RATE = 0.01
@@ -95,7 +95,7 @@ def _side(bits: DataFrame, who: str) -> DataFrame:
 
 def opposing_homozygotes(cells: DataFrame, pedigree: DataFrame) -> DataFrame:
     """Per (child, parent, role) with both genotyped: jointly called SNPs and opposing homozygotes."""
-    bits = reliable_checkpoint(bitsets(cells))
+    bits = stored(bitsets(cells))
     genotyped = cells.select("sample_id").distinct()
     pairs = (parent_pairs(pedigree)
              .join(genotyped.withColumnRenamed("sample_id", "child"), "child", "left_semi")
@@ -118,7 +118,7 @@ def _verdict(opp, cmp, max_rate):
 
 def parent_verdicts(cells: DataFrame, pedigree: DataFrame, max_rate: float = MAX_CONFLICT_RATE) -> DataFrame:
     """Per child with sire and dam genotyped: each parent's verdict and Mendelian trio conflicts."""
-    bits = reliable_checkpoint(bitsets(cells))
+    bits = stored(bitsets(cells))
     genotyped = cells.select("sample_id").distinct()
     trios = pedigree.select("child", "sire", "dam")
     for who in ("child", "sire", "dam"):
@@ -196,8 +196,8 @@ def ancestors(pedigree: DataFrame, max_generations: int = 64) -> DataFrame:
     only recomputes the current round.
     """
     edges = parent_pairs(pedigree).select("child", "parent").distinct()
-    edges = reliable_checkpoint(edges)
-    frontier = reliable_checkpoint(edges.select(F.col("child").alias("sample"),
+    edges = stored(edges)
+    frontier = stored(edges.select(F.col("child").alias("sample"),
                                                 F.col("parent").alias("ancestor"),
                                                 F.lit(1).alias("generation")))
     found = frontier
@@ -207,10 +207,10 @@ def ancestors(pedigree: DataFrame, max_generations: int = 64) -> DataFrame:
                 .select("sample", F.col("parent").alias("ancestor")).distinct()
                 .join(found.select("sample", "ancestor"), ["sample", "ancestor"], "left_anti"))
         gen += 1
-        frontier = reliable_checkpoint(step.withColumn("generation", F.lit(gen)))
+        frontier = stored(step.withColumn("generation", F.lit(gen)))
         if frontier.isEmpty():
             break
-        found = reliable_checkpoint(found.unionByName(frontier))
+        found = stored(found.unionByName(frontier))
     return found
 
 

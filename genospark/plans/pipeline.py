@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from genospark.operators import encode, maps, outcomes, parse, reconcile, reports
 from genospark.schemas import PANEL_MAP
-from genospark.session import reliable_checkpoint
+from genospark.session import stored
 
 KEY = "nume_cari"
 
@@ -41,9 +41,11 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
     row per upload, input of ``outcomes.genotype_code``) and the staging rows
     (main-map string, call rate and panel string) of the uploads that pass.
     """
-    # parsed once, stored in the shared checkpoint folder, read by every check
-    layout = reliable_checkpoint(parse.report_layout(lines))
-    calls = reliable_checkpoint(parse.report_calls(lines, layout))
+    # lines, layout and calls are each stored once in the shared checkpoint
+    # folder: every later check reads stored rows instead of re-reading input
+    lines = stored(lines, "lines")
+    layout = stored(parse.report_layout(lines))
+    calls = stored(parse.report_calls(lines, layout))
     counts = reports.sample_counts(calls)
     snp_n = reports.snp_counts(calls)
     resolved = reports.resolve_maps(layout, counts, snp_n, catalog)
@@ -56,14 +58,14 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
            .join(consistency, KEY, "left")
            .withColumn("n_short", F.coalesce("n_short", F.lit(0)))
            .withColumn("n_encoded", F.col("n_samples")))
-    pre = reliable_checkpoint(pre)
+    pre = stored(pre)
     eligible = pre.where(outcomes.genotype_code(None).isin("g_I", "g_K")).select(KEY, "map_name")
     main_calls = calls.join(F.broadcast(eligible), KEY)
     used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
     staging = encode.staging_rows(main_calls, used_maps)
     panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
     panel = encode.panel_strings(panel_calls, snp_maps.where(F.col("map_name") == panel_map))
-    staging = reliable_checkpoint(encode.with_panel(staging, panel))
+    staging = stored(encode.with_panel(staging, panel))
     n_enc = staging.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_staged"))
     flags = (pre.join(n_enc, KEY, "left")
              .withColumn("n_encoded", F.when(outcomes.genotype_code(None).isin("g_I", "g_K"),
@@ -86,8 +88,9 @@ class MapBatch:
 
 
 def map_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame, key: str = "upload_id") -> MapBatch:
-    layout = reliable_checkpoint(parse.map_layout(lines, key))
-    records = reliable_checkpoint(parse.map_records(lines, layout, key))
+    lines = stored(lines, "map_lines")
+    layout = stored(parse.map_layout(lines, key))
+    records = stored(parse.map_records(lines, layout, key))
     out = maps.map_outcomes(layout, records, catalog, snp_maps, key)
     cat_rows, snp_rows = maps.registrations(out, records, key)
     return MapBatch(layout, records, out, cat_rows, snp_rows)
@@ -95,3 +98,60 @@ def map_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame, key: st
 
 def reconciliation(calls: DataFrame, archive: DataFrame, staging: DataFrame) -> DataFrame:
     return reconcile.summary(reconcile.report_samples(calls), archive, staging)
+
+
+@dataclass
+class UploadRun:
+    status: DataFrame          # (nume_cari, code, bit_ok, bit_elaborato, errori_elab)
+    staging: DataFrame         # encoded rows of successful genotype uploads
+    names: DataFrame           # output file names per upload
+    catalog_rows: DataFrame    # maps registered by this run
+    snp_rows: DataFrame
+    alias_updates: DataFrame   # (nume_cari, map_name, number_snp, map_alias)
+
+
+def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
+                    archive: DataFrame, panel_map: str = PANEL_MAP) -> UploadRun:
+    """Decide every pending upload of ``queue_df`` in one set-based run.
+
+    ``lines`` comes from ``sources.zipfiles.zip_lines`` (path, file_name,
+    n_members, status, line_no, line).  Files are matched to queue rows by
+    exact stored name.  Rule order before parsing: file absent (c_B maps,
+    g_B reports), several members (m_C / g_H), unreadable archive (c_B,
+    stays pending), wrong type (c_A).
+    """
+    from genospark.functions.sizing import checked_broadcast
+    from genospark.operators import queue
+    from genospark.sources.zipfiles import archive_status
+
+    pend = stored(queue.pending(queue_df), "pending")
+    names = queue.file_names(pend)
+    wanted = checked_broadcast(names.select(KEY, "file_name"))
+    mine = stored(lines.join(wanted, "file_name"), "upload_lines")
+    arch = archive_status(mine, keys=(KEY,))
+    jobs = pend.select(KEY, "tipo_cari").join(arch, KEY, "left")
+    is_map = F.col("tipo_cari") == "M"
+    pre = (F.when(F.col("status").isNull(), F.when(is_map, "c_B").otherwise("g_B"))
+           .when(F.col("status") == "members", F.when(is_map, "m_C").otherwise("g_H"))
+           .when(F.col("status") == "corrupt", "c_B")
+           .otherwise(outcomes.type_code(F.col("tipo_cari"), F.col("first_line"))))
+    jobs = stored(jobs.withColumn("pre_code", pre), "jobs")
+    early = jobs.where(F.col("pre_code").isNotNull()).select(KEY, F.col("pre_code").alias("code"))
+    go = jobs.where(F.col("pre_code").isNull())
+    body = mine.where(F.col("status") == "ok").select(KEY, "line_no", "line")
+    map_lines = body.join(checked_broadcast(go.where(is_map).select(KEY)), KEY, "left_semi")
+    geno_lines = body.join(checked_broadcast(go.where(~is_map).select(KEY)), KEY, "left_semi")
+
+    mb = map_batch(map_lines, catalog, snp_maps, key=KEY)
+    gb = genotype_batch(geno_lines, catalog, snp_maps, panel_map)
+    geno_out = genotype_outcomes(gb)
+    summaries = reconciliation(gb.calls, archive, gb.staging.select(KEY, "campione"))
+    status = (outcomes.status_rows(early)
+              .unionByName(outcomes.status_rows(mb.outcomes.select(KEY, "code")))
+              .unionByName(outcomes.status_rows(geno_out.select(KEY, "code"), summaries)))
+    chips = gb.layout.select(KEY, F.col("chip").alias("map_alias"))
+    sizes = catalog.select("map_name", "number_snp")
+    alias_updates = (geno_out.where(F.col("code") == "g_K").select(KEY, "map_name")
+                     .join(chips, KEY).join(F.broadcast(sizes), "map_name", "left")
+                     .select(KEY, "map_name", "number_snp", "map_alias"))
+    return UploadRun(status, gb.staging, names, mb.catalog_rows, mb.snp_rows, alias_updates)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from genospark.operators import encode
 from genospark.plans.fixtures import Fixtures
+from genospark.session import stored
 from genospark.schemas import PANEL_MAP
 
 MAIN_MAP = "MAIN_a"
@@ -113,7 +114,6 @@ def q32_staging_with_panel(spark, sf_dir):
 
 from genospark.operators import maps, outcomes, parse, queue, reconcile, reports  # noqa: E402
 from genospark.plans import pipeline  # noqa: E402
-from genospark.session import reliable_checkpoint  # noqa: E402
 
 
 def _catalog_snp_maps(fx: Fixtures) -> DataFrame:
@@ -152,13 +152,13 @@ def q04_separator(spark, sf_dir):
 @query("q05")
 def q05_map_records(spark, sf_dir):
     lines = Fixtures(spark, sf_dir).fx_map_lines
-    return parse.map_records(lines, parse.map_layout(lines))
+    return parse.map_records(lines, stored(parse.map_layout(lines)))
 
 
 @query("q13")
 def q13_report_calls(spark, sf_dir):
     lines = Fixtures(spark, sf_dir).fx_raw_lines
-    return parse.report_calls(lines, parse.report_layout(lines))
+    return parse.report_calls(lines, stored(parse.report_layout(lines)))
 
 
 @query("q14")
@@ -196,8 +196,8 @@ def q08_map_verdict(spark, sf_dir):
 
 
 def _checked_new(fx: Fixtures):
-    records = reliable_checkpoint(fx.fx_new_map)
-    return records, reliable_checkpoint(maps.name_checks(records))
+    records = stored(fx.fx_new_map)
+    return records, stored(maps.name_checks(records))
 
 
 @query("q09")
@@ -234,9 +234,9 @@ def q12_map_outcomes(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def _parsed_calls(fx: Fixtures):
-    lines = fx.fx_raw_lines
-    lay = parse.report_layout(lines)
-    return lay, parse.report_calls(lines, lay)
+    lines = stored(fx.fx_raw_lines, "lines")
+    lay = stored(parse.report_layout(lines))
+    return lay, stored(parse.report_calls(lines, lay))
 
 
 @query("q16")
@@ -346,8 +346,8 @@ from genospark.operators import popgen  # noqa: E402
 def _cells(fx: Fixtures):
     """Winning calls of every sample against the main map, stored once (read by several branches)."""
     positions = encode.map_positions(_map(fx, MAIN_MAP))
-    cells = reliable_checkpoint(encode.last_calls(_calls_for(fx, MAIN_MAP), positions))
-    return cells, reliable_checkpoint(positions)
+    cells = stored(encode.last_calls(_calls_for(fx, MAIN_MAP), positions))
+    return cells, stored(positions)
 
 
 def _freqs(fx: Fixtures):
@@ -391,7 +391,7 @@ def x05_exclusion(spark, sf_dir):
 def x06_likelihood(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     cells, _, fr = _freqs(fx)
-    return popgen.likelihood_ratios(cells, reliable_checkpoint(fr), fx.fx_pedigree)
+    return popgen.likelihood_ratios(cells, stored(fr), fx.fx_pedigree)
 
 
 @query("x07")

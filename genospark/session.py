@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # small test data: keep CPU-heavy stages spread over the local cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in CLUSTER_CONF.items():
         builder = builder.config(key, value)
@@ -53,17 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with an eager checkpoint into ``spark.checkpoint.dir``.
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table under ``spark.checkpoint.dir`` and read it back.
 
-    Survives executor loss (the data lives in the shared folder, not on the
-    executors), unlike ``localCheckpoint``.
+    Cuts lineage (a lost executor recomputes nothing before this point: the
+    rows live in the shared folder, unlike ``localCheckpoint``), lets later
+    scans prune columns and push filters, and gives the planner real sizes.
+    Used where one intermediate is read by several branches.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -85,8 +85,8 @@ def zip_lines(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
     return lines.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
-def archive_status(lines: DataFrame) -> DataFrame:
+def archive_status(lines: DataFrame, keys: tuple[str, ...] = ("path", "file_name")) -> DataFrame:
     """One row per archive: member count, status, first line (the type check reads it)."""
-    return lines.groupBy("path", "file_name").agg(
+    return lines.groupBy(*keys).agg(
         F.max("n_members").alias("n_members"), F.max("status").alias("status"),
         F.min_by("line", "line_no").alias("first_line"), F.count("line").alias("n_lines"))
