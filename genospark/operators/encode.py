@@ -25,21 +25,29 @@ from pyspark.sql import functions as F
 from genospark.functions.columns import allele_ok, decode_pair
 from genospark.functions.sizing import checked_broadcast
 from genospark.schemas import MISSING_DIGIT
+from genospark.session import stored
 
 UPLOAD_SAMPLE = ["nume_cari", "sample_id", "map_name"]
 
 
 def map_positions(snp_maps: DataFrame) -> DataFrame:
-    """(map_name, snp_key, pos): dense position per distinct upper-cased name."""
+    """(map_name, snp_key, pos, n_snp): dense position per distinct upper-cased name, map size.
+
+    One window per map (a map is bounded by its chip, < 1M names), computed
+    once and stored: the size check, the broadcast and the map sizes all read
+    the stored rows.
+    """
     first = (snp_maps
              .select("map_name", F.upper("snp_name").alias("snp_key"), "id")
              .groupBy("map_name", "snp_key").agg(F.min("id").alias("id")))
     w = Window.partitionBy("map_name").orderBy("id")
-    return first.select("map_name", "snp_key", (F.row_number().over(w) - 1).alias("pos"))
+    return stored(first.select(
+        "map_name", "snp_key", (F.row_number().over(w) - 1).alias("pos"),
+        F.count(F.lit(1)).over(Window.partitionBy("map_name")).cast("int").alias("n_snp")), "positions")
 
 
 def map_sizes(positions: DataFrame) -> DataFrame:
-    return positions.groupBy("map_name").agg(F.count(F.lit(1)).cast("int").alias("n_snp"))
+    return positions.select("map_name", "n_snp").distinct()
 
 
 def decoded_calls(calls: DataFrame) -> DataFrame:

@@ -50,7 +50,9 @@ def _verify(pairs: DataFrame, left: DataFrame, right: DataFrame, lkey: str, rkey
     """Keep pairs (lkey, rkey, n_snp) whose name sets are equal (names unique on both sides)."""
     lr = left.select(F.col(lkey).alias("_l"), "snp_name")
     rr = right.select(F.col(rkey).alias("_r"), "snp_name")
-    p = pairs.select(F.col(lkey).alias("_l"), F.col(rkey).alias("_r"), "n_snp")
+    # at most a few candidates per upload: broadcast behind a row check, so
+    # the records of one large upload are never shuffled by upload key
+    p = checked_broadcast(pairs.select(F.col(lkey).alias("_l"), F.col(rkey).alias("_r"), "n_snp"))
     matched = (lr.join(p.select("_l", "_r"), "_l")
                .join(rr, ["_r", "snp_name"])
                .groupBy("_l", "_r").agg(F.count(F.lit(1)).alias("n_matched")))
@@ -60,9 +62,15 @@ def _verify(pairs: DataFrame, left: DataFrame, right: DataFrame, lkey: str, rkey
 
 def identical_maps(new_records: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
                    key: str = "upload_id") -> DataFrame:
-    """(upload, map_name, n_snp) for every new map whose names equal a catalogued map's."""
-    cat_rec = catalogue_records(catalog, snp_maps)
-    new_sig = signatures(new_records, key)
+    """(upload, map_name, n_snp) for every new map whose names equal a catalogued map's.
+
+    Only catalogued maps whose size equals a new upload's size are read (with
+    ``snp_maps`` partitioned by map name, the semi join prunes partitions).
+    """
+    new_sig = stored(signatures(new_records, key), "signatures")
+    sizes = new_sig.select(F.col("n_snp").alias("number_snp")).distinct()
+    same_size = catalog.join(sizes, "number_snp", "left_semi")
+    cat_rec = catalogue_records(same_size, snp_maps)
     cat_sig = signatures(cat_rec, "map_name")
     pairs = new_sig.join(cat_sig, ["n_snp", "sig_sum", "sig_xor"]).select(key, "map_name", "n_snp")
     return _verify(pairs, new_records, cat_rec, key, "map_name")
@@ -132,10 +140,12 @@ def name_uploads(records: DataFrame, checks: DataFrame, catalog: DataFrame, snp_
     ``records`` and ``checks`` should be stored tables (see ``map_outcomes``);
     the identity result is stored too, since both naming branches read it.
     """
+    # checks and identical are stored tables: the planner broadcasts them from
+    # their real file size (and shuffles beyond the threshold)
     valid = checks.where(F.col("verdict") == "ok").select(key)
-    valid_records = records.join(checked_broadcast(valid), key, "left_semi")
+    valid_records = records.join(valid, key, "left_semi")
     identical = stored(identical_maps(valid_records, catalog, snp_maps, key))
-    not_ident = valid_records.join(checked_broadcast(identical.select(key)), key, "left_anti")
+    not_ident = valid_records.join(identical.select(key), key, "left_anti")
     dups = stored(batch_duplicates(not_ident, key))
     return assign_names(checks, catalog, identical, dups, key)
 
@@ -145,11 +155,10 @@ def map_outcomes(layout: DataFrame, records: DataFrame, catalog: DataFrame, snp_
     """(upload, code, map_name, n_snp) for every map upload, in rule order m_B, m_A, m_D, m_E/m_F.
 
     ``records`` is read by several branches (checks, signatures, verification
-    joins); it and the per-upload check table are written once to the shared
-    checkpoint folder so that each branch scans the stored rows instead of
-    re-parsing, and the plan stays small.
+    joins): pass a stored table (``map_batch`` does).  The per-upload check
+    table is written once too, so that each branch scans stored rows and the
+    plan stays small.
     """
-    records = stored(records)
     checks = stored(name_checks(records, key))
     named = name_uploads(records, checks, catalog, snp_maps, key)
     base = layout.select(key, "header_ok").join(checks, key, "left")

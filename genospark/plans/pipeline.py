@@ -34,7 +34,7 @@ def short_lines(calls: DataFrame) -> DataFrame:
 
 
 def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
-                   panel_map: str = PANEL_MAP) -> GenotypeBatch:
+                   panel_map: str = PANEL_MAP, store_lines: bool = True) -> GenotypeBatch:
     """Parse, check, resolve and encode every report upload of ``lines``.
 
     ``lines``: (nume_cari, line_no, line).  Returns the per-upload flags (one
@@ -43,7 +43,8 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
     """
     # lines, layout and calls are each stored once in the shared checkpoint
     # folder: every later check reads stored rows instead of re-reading input
-    lines = stored(lines, "lines")
+    if store_lines:  # e.g. lines decompressed from zip files: read them once
+        lines = stored(lines, "lines")
     layout = stored(parse.report_layout(lines))
     calls = stored(parse.report_calls(lines, layout))
     counts = reports.sample_counts(calls)
@@ -60,7 +61,7 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
            .withColumn("n_encoded", F.col("n_samples")))
     pre = stored(pre)
     eligible = pre.where(outcomes.genotype_code(None).isin("g_I", "g_K")).select(KEY, "map_name")
-    main_calls = calls.join(F.broadcast(eligible), KEY)
+    main_calls = calls.join(eligible, KEY)  # stored per-upload table: broadcast from its file size
     used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
     staging = encode.staging_rows(main_calls, used_maps)
     panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
@@ -87,8 +88,10 @@ class MapBatch:
     snp_rows: DataFrame
 
 
-def map_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame, key: str = "upload_id") -> MapBatch:
-    lines = stored(lines, "map_lines")
+def map_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame, key: str = "upload_id",
+              store_lines: bool = True) -> MapBatch:
+    if store_lines:
+        lines = stored(lines, "map_lines")
     layout = stored(parse.map_layout(lines, key))
     records = stored(parse.map_records(lines, layout, key))
     out = maps.map_outcomes(layout, records, catalog, snp_maps, key)
@@ -126,7 +129,7 @@ def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, s
 
     pend = stored(queue.pending(queue_df), "pending")
     names = queue.file_names(pend)
-    wanted = checked_broadcast(names.select(KEY, "file_name"))
+    wanted = checked_broadcast(names.select(KEY, "file_name"))  # never shuffle lines by file
     mine = stored(lines.join(wanted, "file_name"), "upload_lines")
     arch = archive_status(mine, keys=(KEY,))
     jobs = pend.select(KEY, "tipo_cari").join(arch, KEY, "left")
@@ -139,11 +142,11 @@ def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, s
     early = jobs.where(F.col("pre_code").isNotNull()).select(KEY, F.col("pre_code").alias("code"))
     go = jobs.where(F.col("pre_code").isNull())
     body = mine.where(F.col("status") == "ok").select(KEY, "line_no", "line")
-    map_lines = body.join(checked_broadcast(go.where(is_map).select(KEY)), KEY, "left_semi")
-    geno_lines = body.join(checked_broadcast(go.where(~is_map).select(KEY)), KEY, "left_semi")
+    map_lines = body.join(go.where(is_map).select(KEY), KEY, "left_semi")  # jobs is stored: sized by file
+    geno_lines = body.join(go.where(~is_map).select(KEY), KEY, "left_semi")
 
-    mb = map_batch(map_lines, catalog, snp_maps, key=KEY)
-    gb = genotype_batch(geno_lines, catalog, snp_maps, panel_map)
+    mb = map_batch(map_lines, catalog, snp_maps, key=KEY, store_lines=False)
+    gb = genotype_batch(geno_lines, catalog, snp_maps, panel_map, store_lines=False)
     geno_out = genotype_outcomes(gb)
     summaries = reconciliation(gb.calls, archive, gb.staging.select(KEY, "campione"))
     status = (outcomes.status_rows(early)

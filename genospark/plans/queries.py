@@ -224,7 +224,7 @@ def q11_next_name(spark, sf_dir):
 @query("q12")
 def q12_map_outcomes(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    mb = pipeline.map_batch(fx.fx_map_lines, fx.fx_map_catalog, _catalog_snp_maps(fx))
+    mb = pipeline.map_batch(fx.fx_map_lines, fx.fx_map_catalog, _catalog_snp_maps(fx), store_lines=False)
     return outcomes.decode(mb.outcomes).select("upload_id", "code", "map_name", "n_snp", "bit_ok",
                                                "bit_elaborato", "errori_elab")
 
@@ -234,7 +234,7 @@ def q12_map_outcomes(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def _parsed_calls(fx: Fixtures):
-    lines = stored(fx.fx_raw_lines, "lines")
+    lines = fx.fx_raw_lines  # a stored fixture table
     lay = stored(parse.report_layout(lines))
     return lay, stored(parse.report_calls(lines, lay))
 
@@ -313,7 +313,7 @@ def q36_summary(spark, sf_dir):
 
 
 def _genotype_batch(fx: Fixtures):
-    return pipeline.genotype_batch(fx.fx_raw_lines, fx.fx_map_catalog, _catalog_snp_maps(fx))
+    return pipeline.genotype_batch(fx.fx_raw_lines, fx.fx_map_catalog, _catalog_snp_maps(fx), store_lines=False)
 
 
 @query("q37")
@@ -331,7 +331,7 @@ def q38_upload_status(spark, sf_dir):
     gb = _genotype_batch(fx)
     summaries = pipeline.reconciliation(gb.calls, fx.fx_archive, gb.staging.select("nume_cari", "campione"))
     geno = outcomes.status_rows(pipeline.genotype_outcomes(gb).select("nume_cari", "code"), summaries)
-    mb = pipeline.map_batch(fx.fx_map_lines, fx.fx_map_catalog, _catalog_snp_maps(fx))
+    mb = pipeline.map_batch(fx.fx_map_lines, fx.fx_map_catalog, _catalog_snp_maps(fx), store_lines=False)
     mapped = outcomes.status_rows(mb.outcomes.select(F.col("upload_id").alias("nume_cari"), "code"))
     return outcomes.status_rows(typed).unionByName(geno).unionByName(mapped)
 
