@@ -43,8 +43,10 @@ def write_staging(staging: DataFrame, path: str) -> None:
 
 
 def append_status(status: DataFrame, path: str) -> None:
-    """K7: append-only status log with a run timestamp."""
-    status.withColumn("run_ts", F.current_timestamp()).write.mode("append").parquet(path)
+    """K7: append-only status log with the run timestamp and the run date text (yyyy-MM-dd)."""
+    (status.withColumn("run_ts", F.current_timestamp())
+     .withColumn("run_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
+     .write.mode("append").parquet(path))
 
 
 def latest_status(status_log: DataFrame) -> DataFrame:

@@ -20,9 +20,13 @@ from genospark.plans import sinks
 from genospark.schemas import STATUS_SCHEMA
 
 
-def queue_stream(spark: SparkSession, queue_dir: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(queue_dir))
+def queue_stream(spark: SparkSession, queue_dir: str, schema, files_per_trigger: int = 1,
+                 archive_dir: str | None = None) -> DataFrame:
+    """Queue rows as a file stream; with ``archive_dir`` processed files are moved there."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.parquet(queue_dir)
 
 
 def read_status(spark: SparkSession, status_dir: str) -> DataFrame:
@@ -61,12 +65,21 @@ def make_batch_handler(spark: SparkSession, status_dir: str, files: DataFrame):
 
 
 def run_queue(spark: SparkSession, queue_dir: str, schema, status_dir: str, checkpoint: str,
-              files: DataFrame) -> None:
-    """Process everything available now, then stop (the poll loop of the upload system)."""
-    q = (queue_stream(spark, queue_dir, schema).writeStream
+              files: DataFrame, archive_dir: str | None = None, interval: str | None = None):
+    """Process the queue folder.
+
+    Without ``interval``: everything available now, then stop.  With an
+    interval (e.g. ``"30 seconds"``): poll like the upload system's loop and
+    return the running query.
+    """
+    q = (queue_stream(spark, queue_dir, schema, archive_dir=archive_dir).writeStream
          .foreachBatch(make_batch_handler(spark, status_dir, files))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint))
+    if interval:
+        return q.trigger(processingTime=interval).start()
+    q = q.trigger(availableNow=True).start()
     q.awaitTermination()
+    return q
 
 
 def retry_set(queue_df: DataFrame, status_log: DataFrame) -> DataFrame:
