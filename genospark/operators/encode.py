@@ -157,10 +157,12 @@ def unmapped_snps(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
 def sample_qc(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
     """QC line per sample: map size, missing SNPs and unmapped SNPs of its file, call rate, map."""
     rates = genotype_strings(calls, snp_maps)
-    n_missing = missing_snps(calls, snp_maps).groupBy("nume_cari", "map_name").agg(
-        F.count(F.lit(1)).alias("n_missing"))
-    n_unmapped = unmapped_snps(calls, snp_maps).groupBy("nume_cari", "map_name").agg(
-        F.count(F.lit(1)).alias("n_not_in_map"))
+    # per-file counts (one row per upload), stored so that the join with the
+    # per-sample rows is a broadcast sized from the file, not a shuffle by upload
+    n_missing = stored(missing_snps(calls, snp_maps).groupBy("nume_cari", "map_name").agg(
+        F.count(F.lit(1)).alias("n_missing")), "n_missing")
+    n_unmapped = stored(unmapped_snps(calls, snp_maps).groupBy("nume_cari", "map_name").agg(
+        F.count(F.lit(1)).alias("n_not_in_map")), "n_unmapped")
     per_file = ["nume_cari", "map_name"]
     return (rates.join(n_missing, per_file, "left").join(n_unmapped, per_file, "left")
             .select("nume_cari", F.col("sample_id").alias("campione"), "n_snp",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genospark.schemas import MAX_SAMPLE_ID_LENGTH, SUMMARY_LIST_SIZE
+from genospark.session import stored
 
 KEY = "nume_cari"
 WS = " \t\r\n"
@@ -49,7 +50,9 @@ def first_k(df: DataFrame, value: str, k: int = SUMMARY_LIST_SIZE, out: str = "f
 
 def summary(samples: DataFrame, archive: DataFrame, staging: DataFrame) -> DataFrame:
     """One row per upload: counts, first-10 lists and the summary text."""
-    n_samples = samples.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_samples"))
+    # one row per upload, stored: joins against it are broadcast from its file
+    # size, so staged rows are never shuffled by upload key
+    n_samples = stored(samples.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_samples")), "n_samples")
     missing = not_in_archive(samples, archive)
     n_missing = missing.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_not_in_archive"))
     staged = staged_samples(staging).join(n_samples.select(KEY), KEY, "left_semi")

@@ -48,10 +48,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session (``spark.checkpoint.dir``)."""
+    """The shared checkpoint folder of the session (``spark.checkpoint.dir``).
+
+    On a cluster the setting must name a shared folder.  Only a local-mode
+    session (one machine, e.g. a test harness) without the setting gets a
+    fresh folder of its own.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
+        path = tempfile.mkdtemp(prefix="genospark-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 

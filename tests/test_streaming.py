@@ -21,3 +21,15 @@ def test_stream_once_and_restart(spark, tmp_path):
     retry = queue_stream.retry_set(jobs, spark.read.parquet(sdir))
     assert retry.count() == spark.read.parquet(sdir).where("code = 'c_B'").count()
     assert os.path.isdir(ck)
+
+
+def test_processed_queue_files_are_archived(spark, tmp_path):
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    jobs = fx.fx_jobs
+    qdir, sdir, ck, arch = (str(tmp_path / n) for n in ("queue", "status", "ck", "archive"))
+    jobs.repartition(2).write.parquet(qdir)
+    files = list_archives(spark, str(tmp_path / "uploads"))
+    queue_stream.run_queue(spark, qdir, jobs.schema, sdir, ck, files, archive_dir=arch)
+    assert spark.read.parquet(sdir).count() == jobs.where("coalesce(bit_elaborato, -1) = 0").count()
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
+    assert archived  # processed queue files moved out of the source folder
