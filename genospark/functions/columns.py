@@ -13,9 +13,31 @@ def clean_line(line: Column) -> Column:
     return F.btrim(line, F.lit(" \r\n"))
 
 
-def split_literal(text: Column, sep: Column) -> Column:
-    """Split on a literal separator (``split`` takes a regex, so quote it)."""
-    return F.split(text, F.concat(F.lit("\\Q"), sep, F.lit("\\E")), -1)
+_REGEX_META = set(".$|()[{^?*+\\")
+
+
+def _pattern(sep: str) -> str:
+    """Regex for a literal separator.  A single ordinary character stays as
+    it is, so the JVM splits it without compiling a regex per row."""
+    if len(sep) == 1 and sep not in _REGEX_META:
+        return sep
+    return "\\Q" + sep + "\\E"
+
+
+def split_literal(text: Column, sep) -> Column:
+    """Split on a literal separator (a Python string or a column).
+
+    ``split`` takes a regex; a non-constant pattern would be compiled for
+    every row, so a separator column is matched against the known candidates,
+    each with a constant pattern, and only an unknown one is quoted per row.
+    """
+    if isinstance(sep, str):
+        return F.split(text, _pattern(sep), -1)
+    out = None
+    for s in SEPARATORS:
+        branch = F.split(text, _pattern(s), -1)
+        out = F.when(sep == s, branch) if out is None else out.when(sep == s, branch)
+    return out.otherwise(F.split(text, F.concat(F.lit("\\Q"), sep, F.lit("\\E")), -1))
 
 
 def decode_pair(a1: Column, a2: Column) -> Column:

@@ -38,7 +38,12 @@ def report_layout(lines: DataFrame, key: str = "nume_cari") -> DataFrame:
               .agg(F.min_by("line", "line_no").alias("header"), F.min("line_no").alias("header_line_no")))
     content = (marks.where(F.col("line").startswith(CONTENT_PREFIX)).groupBy(key)
                .agg(F.min_by("line", "line_no").alias("content"), F.min("line_no").alias("content_line_no")))
-    first = lines.groupBy(key).agg(F.min_by("line", "line_no").alias("first_line"))
+    # first line: min(line_no) is a hash aggregate over all lines; the few
+    # winning rows are then picked with a broadcast join (a string-valued
+    # min_by over every line would fall back to a sort-based aggregate)
+    first_no = lines.groupBy(key).agg(F.min("line_no").alias("line_no"))
+    first = (lines.join(F.broadcast(first_no), [key, "line_no"], "left_semi")
+             .groupBy(key).agg(F.min("line").alias("first_line")))
     lay = first.join(header, key, "left").join(content, key, "left")
     lay = lay.withColumn("content", F.when(
         F.col("header_line_no").isNull() | (F.col("content_line_no") < F.col("header_line_no")),
