@@ -18,7 +18,7 @@ BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
 FIXTURE_SQL: dict[str, str] = {
     "fx_calls": """
 SELECT n.n_regionkey AS nume_cari,
-       row_number() OVER (PARTITION BY n.n_regionkey ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) AS line_no,
+       CAST(row_number() OVER (PARTITION BY n.n_regionkey ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) AS BIGINT) AS line_no,
        concat('SMP', l.l_suppkey) AS sample_id,
        CASE WHEN l.l_partkey % 2 = 0 THEN concat('snp', l.l_partkey) ELSE concat('SNP', l.l_partkey) END AS snp_name,
        CASE l.l_returnflag WHEN 'A' THEN 'A' WHEN 'N' THEN 'B' ELSE '-' END AS a1,

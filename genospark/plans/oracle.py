@@ -344,7 +344,7 @@ oracle("q33", ["fx_calls", "fx_archive"], """
 SELECT DISTINCT nume_cari, sample_id FROM fx_calls WHERE sample_id NOT IN (SELECT sample_id FROM arch)""", _ARCHIVE)
 oracle("q34", ["fx_staging"], "SELECT nume_cari, replace(campione, ' ', '') AS campione FROM fx_staging")
 oracle("q35", ["fx_calls"], """
-SELECT DISTINCT nume_cari, sample_id, length(sample_id) AS id_length FROM fx_calls WHERE length(sample_id) > 25""")
+SELECT DISTINCT nume_cari, sample_id, CAST(length(sample_id) AS INTEGER) AS id_length FROM fx_calls WHERE length(sample_id) > 25""")
 
 
 def _summary(calls: str, staging: str) -> str:
