@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from genospark.functions.columns import clean_line, first_separator, split_literal
 from genospark.functions.sizing import checked_broadcast
 from genospark.schemas import (COL_ALLELE1, COL_ALLELE2, COL_SAMPLE, COL_SNP, CONTENT_PREFIX,
-                               MAP_COL_INDEX, MAP_COL_NAME)
+                               MAP_COL_INDEX, MAP_COL_NAME, SEPARATORS)
 
 TAB = "\t"
 
@@ -49,7 +49,7 @@ def report_layout(lines: DataFrame, key: str = "nume_cari") -> DataFrame:
         F.col("header_line_no").isNull() | (F.col("content_line_no") < F.col("header_line_no")),
         clean_line(F.col("content"))))
     content_sep = F.get(F.filter(
-        F.array(*[F.lit(s) for s in _separators()]),
+        F.array(*[F.lit(s) for s in SEPARATORS]),
         lambda s: F.size(split_literal(F.col("content"), s)) > 1), 0)
     lay = lay.withColumn("content_sep", content_sep)
     chip_fields = split_literal(F.col("content"), F.col("content_sep"))
@@ -68,11 +68,6 @@ def report_layout(lines: DataFrame, key: str = "nume_cari") -> DataFrame:
                       (F.col("i_a1").isNotNull() & F.col("i_a2").isNotNull()).alias("has_alleles"))
 
 
-def _separators():
-    from genospark.schemas import SEPARATORS
-    return SEPARATORS
-
-
 def report_calls(lines: DataFrame, layout: DataFrame, key: str = "nume_cari") -> DataFrame:
     """Data lines after the header, cut into (sample_id, snp_name, a1, a2).
 
