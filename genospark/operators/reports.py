@@ -13,13 +13,18 @@ def rows_per_sample(calls: DataFrame) -> DataFrame:
 
 
 def sample_counts(calls: DataFrame) -> DataFrame:
-    """Per upload: samples, min/max rows per sample, uniformity, chip size = rows / samples."""
-    per = rows_per_sample(calls)
+    """Per upload: samples, min/max rows per sample, uniformity, chip size = rows / samples,
+    and the number of short lines (a missing field), all from one pass over the calls."""
+    bad = (F.col("sample_id").isNull() | F.col("snp_name").isNull()
+           | F.col("a1").isNull() | F.col("a2").isNull())
+    per = calls.groupBy(KEY, "sample_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.when(bad, 1).otherwise(0)).alias("n_short"))
     agg = per.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("n_samples"), F.sum("n_rows").alias("n_rows"),
-        F.min("n_rows").alias("min_rows"), F.max("n_rows").alias("max_rows"))
+        F.min("n_rows").alias("min_rows"), F.max("n_rows").alias("max_rows"),
+        F.sum("n_short").alias("n_short"))
     return agg.select(
-        KEY, "n_samples", "n_rows", "min_rows", "max_rows",
+        KEY, "n_samples", "n_rows", "min_rows", "max_rows", "n_short",
         (F.col("min_rows") == F.col("max_rows")).alias("is_uniform"),
         F.when(F.col("n_samples") > 0, F.expr("n_rows div n_samples")).alias("chip_size"))
 

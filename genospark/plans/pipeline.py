@@ -19,6 +19,13 @@ from genospark.session import stored
 KEY = "nume_cari"
 
 
+def _empty_staging(calls: DataFrame) -> DataFrame:
+    key_type = calls.schema[KEY].dataType.simpleString()
+    return calls.sparkSession.createDataFrame(
+        [], f"{KEY} {key_type}, campione string, callrate_g double, mappa_usata_g string, "
+            "genotipo string, genotipo_parentela string")
+
+
 @dataclass
 class GenotypeBatch:
     layout: DataFrame
@@ -27,12 +34,6 @@ class GenotypeBatch:
     staging: DataFrame
 
 
-def short_lines(calls: DataFrame) -> DataFrame:
-    bad = (F.col("sample_id").isNull() | F.col("snp_name").isNull()
-           | F.col("a1").isNull() | F.col("a2").isNull())
-    return calls.groupBy(KEY).agg(F.sum(F.when(bad, 1).otherwise(0)).alias("n_short"))
-
-
 def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
                    panel_map: str = PANEL_MAP, store_lines: bool = True) -> GenotypeBatch:
     """Parse, check, resolve and encode every report upload of ``lines``.
@@ -53,20 +54,22 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
     consistency = reports.map_consistency(calls, resolved, snp_maps).select(KEY, "consistent")
     pre = (layout.select(KEY, "first_line", "sep", "has_alleles")
            .withColumn("type_code", outcomes.type_code(F.lit("G"), F.col("first_line")))
-           .join(short_lines(calls), KEY, "left")
-           .join(counts.select(KEY, "n_samples", "is_uniform"), KEY, "left")
+           .join(counts.select(KEY, "n_samples", "is_uniform", "n_short"), KEY, "left")
            .join(resolved.select(KEY, "map_name", "alias_update"), KEY, "left")
            .join(consistency, KEY, "left")
            .withColumn("n_short", F.coalesce("n_short", F.lit(0)))
            .withColumn("n_encoded", F.col("n_samples")))
     pre = stored(pre)
     eligible = pre.where(outcomes.genotype_code(None).isin("g_I", "g_K")).select(KEY, "map_name")
-    main_calls = calls.join(eligible, KEY)  # stored per-upload table: broadcast from its file size
-    used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
-    staging = encode.staging_rows(main_calls, used_maps)
-    panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
-    panel = encode.panel_strings(panel_calls, snp_maps.where(F.col("map_name") == panel_map))
-    staging = stored(encode.with_panel(staging, panel))
+    if eligible.isEmpty():  # one small read of the stored per-upload table
+        staging = _empty_staging(calls)
+    else:
+        main_calls = calls.join(eligible, KEY)  # stored per-upload table: broadcast from its file size
+        used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
+        staging = encode.staging_rows(main_calls, used_maps)
+        panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
+        panel = encode.panel_strings(panel_calls, snp_maps.where(F.col("map_name") == panel_map))
+        staging = stored(encode.with_panel(staging, panel))
     n_enc = staging.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_staged"))
     flags = (pre.join(n_enc, KEY, "left")
              .withColumn("n_encoded", F.when(outcomes.genotype_code(None).isin("g_I", "g_K"),
