@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from genospark.plans import pipeline
 from genospark.sources.zipfiles import zip_lines
 
-from helpers import TAB, map_file, report, write_zip
+from helpers import map_file, report, write_zip
 
 QUEUE = "nume_cari long, data_cari timestamp, user_cari long, tipo_cari string, nome_file string, bit_elaborato int"
 
@@ -83,3 +83,35 @@ def test_sinks_roundtrip(spark, tmp_path):
     sinks.write_staging(rows, str(tmp_path / "stg"))
     sinks.write_staging(rows.withColumn("genotipo", F.lit("000")), str(tmp_path / "stg"))  # rerun replaces
     assert [r["genotipo"] for r in spark.read.parquet(str(tmp_path / "stg")).collect()] == ["000"]
+
+
+def test_stream_runs_full_batches(spark, tmp_path):
+    """Queue rows arrive as files; each micro-batch decides its uploads and writes every output."""
+    import os
+    from genospark.plans.run import Layout, process_queue_stream
+    d = str(tmp_path / "uploads")
+    os.makedirs(d)
+    three = ["S1", "S2", "S3"]
+    write_zip(d, "GEN_1.zip", {"r.txt": report(_report_rows(["A", "B"], three), chip="CHIPA")})
+    write_zip(d, "MAP_2.zip", {"m.txt": map_file(["X1", "X2"])})
+    t = dt.datetime(2024, 1, 1)
+    queue = spark.createDataFrame([(1, t, 1, "G", "G_1.zip", 0), (2, t, 1, "M", "M_2.zip", 0),
+                                   (3, t, 1, "G", "G_3.zip", 0)], QUEUE)
+    qdir = str(tmp_path / "queue")
+    queue.repartition(3, "nume_cari").write.parquet(qdir)
+    spark.createDataFrame([("3_a", 3, "CHIPA")], "map_name string, number_snp int, map_alias string") \
+        .write.parquet(str(tmp_path / "catalog"))
+    spark.createDataFrame([("3_a", i + 1, n) for i, n in enumerate(three)] + [("554_ICAR", 1, "S2")],
+                          "map_name string, id long, snp_name string").write.parquet(str(tmp_path / "maps"))
+    spark.createDataFrame([("A",)], "chr_codicecampionelab string").write.parquet(str(tmp_path / "archive"))
+    layout = Layout(d, str(tmp_path / "catalog"), str(tmp_path / "maps"), str(tmp_path / "archive"),
+                    str(tmp_path / "out"))
+    process_queue_stream(spark, qdir, queue.schema, layout, str(tmp_path / "ck"))
+    status = {int(r["nume_cari"]): r["code"] for r in spark.read.parquet(layout.path("status")).collect()}
+    assert status == {1: "g_I", 2: "m_E", 3: "g_B"}
+    staged = spark.read.parquet(layout.path("staging")).collect()
+    assert sorted((r["campione"], r["genotipo"], r["genotipo_parentela"]) for r in staged) == [
+        ("A", "111", "1"), ("B", "111", "1")]
+    assert [r["map_name"] for r in spark.read.parquet(layout.path("new_catalog")).collect()] == ["2_a"]
+    csv = spark.read.option("sep", ";").option("header", True).csv(layout.path("genotypes_csv"))
+    assert csv.count() == 2
