@@ -34,8 +34,11 @@ class Layout:
 
 
 def run_batch(spark: SparkSession, queue_df: DataFrame, layout: Layout) -> pipeline.UploadRun:
+    from genospark.operators import queue
+    pending_names = queue.file_names(queue.pending(queue_df)).select("file_name")
     run = pipeline.process_uploads(
-        queue_df, zip_lines(spark, layout.uploads), tables.read_catalog(spark, layout.catalog),
+        queue_df, zip_lines(spark, layout.uploads, names=pending_names),
+        tables.read_catalog(spark, layout.catalog),
         tables.read_snp_maps(spark, layout.snp_maps), tables.read_archive(spark, layout.archive))
     sinks.write_staging(run.staging, layout.path("staging"))
     sinks.write_genotype_csv(run.staging, run.names, layout.path("genotypes_csv"))

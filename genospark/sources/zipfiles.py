@@ -73,16 +73,35 @@ def _lines(path: str, start: int, lines: list[str]) -> pd.DataFrame:
                          "line_no": pd.array(range(start, start + n), dtype="Int64"), "line": lines})
 
 
-def zip_lines(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """(path, file_name, n_members, status, line_no, line) for every archive under ``root``.
+MAX_LISTED_FILES = 1_000_000
+
+
+def _lines_of(files: DataFrame) -> DataFrame:
+    lines = files.select("path", "content").mapInPandas(_explode, LINES_SCHEMA)
+    return lines.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+
+
+def zip_lines(spark: SparkSession, root: str, glob: str = "*.zip", names: DataFrame | None = None) -> DataFrame:
+    """(path, file_name, n_members, status, line_no, line) for the archives under ``root``.
 
     An archive with one member yields its lines (status ok, line_no from 0);
-    any other archive yields a single row with a null line.
+    any other archive yields a single row with a null line.  With ``names``
+    (a ``file_name`` column, e.g. the pending uploads) only the matching
+    archives are read: the folder is listed without content, matched, and
+    only the matched paths are loaded.  Like Spark's own file listing, the
+    matched paths are driver-side metadata; their number is checked.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob).load(root).select("path", "content"))
-    lines = files.mapInPandas(_explode, LINES_SCHEMA)
-    return lines.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+    if names is None:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", glob).load(root))
+        return _lines_of(files)
+    listed = list_archives(spark, root, glob).join(names.select("file_name").distinct(), "file_name", "left_semi")
+    paths = [r["path"] for r in listed.select("path").limit(MAX_LISTED_FILES + 1).collect()]
+    if len(paths) > MAX_LISTED_FILES:
+        raise ValueError(f"more than {MAX_LISTED_FILES} archives matched; process the queue in smaller passes")
+    if not paths:
+        return spark.createDataFrame([], LINES_SCHEMA).withColumn("file_name", F.lit(None).cast("string"))
+    return _lines_of(spark.read.format("binaryFile").load(paths))
 
 
 def archive_status(lines: DataFrame, keys: tuple[str, ...] = ("path", "file_name")) -> DataFrame:
