@@ -61,13 +61,14 @@ def _verify(pairs: DataFrame, left: DataFrame, right: DataFrame, lkey: str, rkey
 
 
 def identical_maps(new_records: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
-                   key: str = "upload_id") -> DataFrame:
+                   key: str = "upload_id", new_sig: DataFrame | None = None) -> DataFrame:
     """(upload, map_name, n_snp) for every new map whose names equal a catalogued map's.
 
     Only catalogued maps whose size equals a new upload's size are read (with
     ``snp_maps`` partitioned by map name, the semi join prunes partitions).
     """
-    new_sig = stored(signatures(new_records, key), "signatures")
+    if new_sig is None:
+        new_sig = stored(signatures(new_records, key), "signatures")
     sizes = new_sig.select(F.col("n_snp").alias("number_snp")).distinct()
     same_size = catalog.join(sizes, "number_snp", "left_semi")
     cat_rec = catalogue_records(same_size, snp_maps)
@@ -76,13 +77,14 @@ def identical_maps(new_records: DataFrame, catalog: DataFrame, snp_maps: DataFra
     return _verify(pairs, new_records, cat_rec, key, "map_name")
 
 
-def batch_duplicates(new_records: DataFrame, key: str = "upload_id") -> DataFrame:
+def batch_duplicates(new_records: DataFrame, key: str = "upload_id", sig: DataFrame | None = None) -> DataFrame:
     """(upload, first_upload) for uploads whose names equal an earlier upload of the same batch.
 
     Each signature group is checked against its first upload only (a star,
     not all pairs), so the work stays linear in the group size.
     """
-    sig = signatures(new_records, key)
+    if sig is None:
+        sig = signatures(new_records, key)
     first = sig.groupBy("n_snp", "sig_sum", "sig_xor").agg(F.min(key).alias("first_upload"))
     members = (sig.join(first, ["n_snp", "sig_sum", "sig_xor"])
                .where(F.col(key) != F.col("first_upload")).select(key, "first_upload", "n_snp"))
@@ -144,9 +146,10 @@ def name_uploads(records: DataFrame, checks: DataFrame, catalog: DataFrame, snp_
     # their real file size (and shuffles beyond the threshold)
     valid = checks.where(F.col("verdict") == "ok").select(key)
     valid_records = records.join(valid, key, "left_semi")
-    identical = stored(identical_maps(valid_records, catalog, snp_maps, key))
+    sig = stored(signatures(valid_records, key), "signatures")  # one pass, read by both checks
+    identical = stored(identical_maps(valid_records, catalog, snp_maps, key, new_sig=sig))
     not_ident = valid_records.join(identical.select(key), key, "left_anti")
-    dups = stored(batch_duplicates(not_ident, key))
+    dups = stored(batch_duplicates(not_ident, key, sig=sig.join(identical.select(key), key, "left_anti")))
     return assign_names(checks, catalog, identical, dups, key)
 
 
