@@ -105,7 +105,17 @@ def zip_lines(spark: SparkSession, root: str, glob: str = "*.zip", names: DataFr
 
 
 def archive_status(lines: DataFrame, keys: tuple[str, ...] = ("path", "file_name")) -> DataFrame:
-    """One row per archive: member count, status, first line (the type check reads it)."""
-    return lines.groupBy(*keys).agg(
+    """One row per archive: member count, status, first line (the type check reads it).
+
+    Hash aggregates only: the first line is picked by (key, min line_no) with a
+    broadcast semi join instead of a string-valued min_by over every line.
+    The broadcast side has one row per archive; archives are bounded by the
+    checked file list (``zip_lines(names=...)``, ``pipeline.process_uploads``).
+    """
+    per = lines.groupBy(*keys).agg(
         F.max("n_members").alias("n_members"), F.max("status").alias("status"),
-        F.min_by("line", "line_no").alias("first_line"), F.count("line").alias("n_lines"))
+        F.count("line").alias("n_lines"), F.min("line_no").alias("line_no"))
+    first = (lines.join(F.broadcast(per.select(*keys, "line_no").where(F.col("line_no").isNotNull())),
+                        [*keys, "line_no"], "left_semi")
+             .groupBy(*keys).agg(F.min("line").alias("first_line")))
+    return per.drop("line_no").join(first, list(keys), "left")
