@@ -196,7 +196,7 @@ def q08_map_verdict(spark, sf_dir):
 
 
 def _checked_new(fx: Fixtures):
-    records = stored(fx.fx_new_map)
+    records = fx.fx_new_map  # already a stored fixture table
     return records, stored(maps.name_checks(records))
 
 
