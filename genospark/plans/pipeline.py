@@ -64,11 +64,14 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
     if eligible.isEmpty():  # one small read of the stored per-upload table
         staging = _empty_staging(calls)
     else:
+        panel_snps = snp_maps.where(F.col("map_name") == panel_map)
+        if panel_snps.isEmpty():  # job precondition: nothing is written, uploads stay pending
+            raise RuntimeError(f"panel map {panel_map!r} has no SNPs; the batch is left pending")
         main_calls = calls.join(eligible, KEY)  # stored per-upload table: broadcast from its file size
         used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
         staging = encode.staging_rows(main_calls, used_maps)
         panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
-        panel = encode.panel_strings(panel_calls, snp_maps.where(F.col("map_name") == panel_map))
+        panel = encode.panel_strings(panel_calls, panel_snps)
         staging = stored(encode.with_panel(staging, panel))
     n_enc = staging.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_staged"))
     flags = (pre.join(n_enc, KEY, "left")

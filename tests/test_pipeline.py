@@ -115,3 +115,17 @@ def test_stream_runs_full_batches(spark, tmp_path):
     assert [r["map_name"] for r in spark.read.parquet(layout.path("new_catalog")).collect()] == ["2_a"]
     csv = spark.read.option("sep", ";").option("header", True).csv(layout.path("genotypes_csv"))
     assert csv.count() == 2
+
+
+def test_empty_panel_map_leaves_batch_pending(spark, tmp_path):
+    import os
+    import pytest
+    d = str(tmp_path / "uploads")
+    os.makedirs(d)
+    write_zip(d, "GEN_1.zip", {"r.txt": report(_report_rows(["A"], ["S1"]), chip="CHIPA")})
+    queue = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1, "G", "G_1.zip", 0)], QUEUE)
+    catalog = spark.createDataFrame([("1_a", 1, "CHIPA")], "map_name string, number_snp int, map_alias string")
+    snp_maps = spark.createDataFrame([("1_a", 1, "S1")], "map_name string, id long, snp_name string")
+    archive = spark.createDataFrame([("A",)], "chr_codicecampionelab string")
+    with pytest.raises(RuntimeError, match="panel map"):
+        pipeline.process_uploads(queue, zip_lines(spark, d), catalog, snp_maps, archive)
