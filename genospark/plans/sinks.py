@@ -15,8 +15,8 @@ from genospark.schemas import PANEL_SUFFIX
 
 
 def _dynamic(df: DataFrame):
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return df.write.mode("overwrite")
+    """Overwrite only the partitions present in ``df`` (per write, session settings untouched)."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
 def write_genotype_csv(staging: DataFrame, names: DataFrame, out_dir: str) -> None:

@@ -80,9 +80,10 @@ def test_sinks_roundtrip(spark, tmp_path):
         ("A", "1.0", "3_a", "111")]
     panel = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "panel"))
     assert panel.select("output_name").first()[0] == "GEN_1_ICAR"
-    sinks.write_staging(rows, str(tmp_path / "stg"))
-    sinks.write_staging(rows.withColumn("genotipo", F.lit("000")), str(tmp_path / "stg"))  # rerun replaces
-    assert [r["genotipo"] for r in spark.read.parquet(str(tmp_path / "stg")).collect()] == ["000"]
+    sinks.write_staging(rows.unionByName(rows.withColumn("nume_cari", F.lit(2).cast("long"))), str(tmp_path / "stg"))
+    sinks.write_staging(rows.withColumn("genotipo", F.lit("000")), str(tmp_path / "stg"))  # rerun of upload 1 only
+    got = sorted((r["nume_cari"], r["genotipo"]) for r in spark.read.parquet(str(tmp_path / "stg")).collect())
+    assert got == [(1, "000"), (2, "111")]  # upload 2's partition is untouched
 
 
 def test_stream_runs_full_batches(spark, tmp_path):
