@@ -7,8 +7,8 @@ tests, bench and the driver smoke check) fills that setting in when it is unset.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,16 +78,24 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for intermediate tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "genospark", f"{name}-{os.getpid()}-{next(_counter)}")
+    """A fresh sub-folder of the shared checkpoint folder for one intermediate table.
+
+    The application id and a uuid make the name unique among all drivers that
+    share the folder, so no run can overwrite another one's rows.
+    """
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete every intermediate table this application wrote.
+
+    Only for callers that have written their final outputs: frames read from
+    ``stored()`` tables are unusable afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-_counter = _count()
+def _application_dir(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/genospark/{spark.sparkContext.applicationId}"
