@@ -6,21 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from genospark.llm import exact_dedup
+from genospark.llm import exact_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op4_exact_dedup": op4_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_url_filters": url_filters.ORACLE_SQL,
     "op4_exact_dedup": exact_dedup.ORACLE_SQL,
 }
