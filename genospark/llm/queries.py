@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from genospark.llm import exact_dedup, url_filters
+from genospark.llm import decontamination, exact_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,16 +18,22 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_url_filters": url_filters.ORACLE_SQL,
+    "op2_benchmark_decontamination": decontamination.ORACLE_SQL,
     "op4_exact_dedup": exact_dedup.ORACLE_SQL,
 }
