@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from genospark.llm import decontamination, exact_dedup, url_filters
+from genospark.llm import decontamination, exact_dedup, importance_resampling, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_importance_resampling": op5_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
