@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from genospark.llm import decontamination, exact_dedup, importance_resampling, url_filters
+from genospark.llm import decontamination, exact_dedup, html_extraction, importance_resampling, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +30,16 @@ def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_importance_resampling": op5_importance_resampling,
+    "op6_html_extraction": op6_html_extraction,
 }
 
 ORACLE: dict[str, str] = {
