@@ -197,7 +197,7 @@ def _hits(match: Callable, phrases: Phrases):
             order = np.lexsort((start, doc))
             which, doc, start, end = which[order], doc[order], start[order], end[order]
             docs, first = np.unique(doc, return_index=True)
-            for d, i, j in zip(docs.tolist(), first, [*first[1:], len(doc)], strict=True):
+            for d, i, j in zip(docs.tolist(), first, np.append(first, len(doc))[1:], strict=True):
                 reach = np.maximum.accumulate(end[i:j])
                 cut = np.concatenate(([0], np.flatnonzero(start[i + 1:j] > reach[:-1]) + 1))
                 stop = np.concatenate((cut[1:], [j - i])) - 1
