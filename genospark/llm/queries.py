@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from genospark.llm import decontamination, exact_dedup, html_extraction, importance_resampling, url_filters
+from genospark.llm import (bm25_packing, decontamination, exact_dedup, html_extraction, importance_resampling,
+                           language_mixture, url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +37,29 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def remainder(column: str, divisor: int) -> Column:
+    """crc32 of the column as text, modulo ``divisor``; null counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(divisor))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
+    model = language_mixture.fit(docs.where("NOT held_out"))
+    return language_mixture.identify(docs, model, keep=["held_out"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_importance_resampling": op5_importance_resampling,
     "op6_html_extraction": op6_html_extraction,
+    "op7_bm25_packing": op7_bm25_packing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
