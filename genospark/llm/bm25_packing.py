@@ -272,6 +272,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     Returns a row for each piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id and offset.
     """
+    T.bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     size = Tokenizer.from_file(tokenizer).get_vocab_size()
     dtype = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)

@@ -34,7 +34,7 @@ from genospark.session import stored
 
 WINDOW = 10
 #: Bytes of text in a segment; a longer text is a segment of its own.
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 1 << 20
 #: Distinct test phrases sent to the tasks at once.
 BLOCK = 200_000
 
@@ -64,6 +64,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The positional index of ``docs``, stored."""
+    T.bounded_batches(docs.sparkSession)
     return stored(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
                   .mapInArrow(_index, INDEX_SCHEMA), "positional-index")
 

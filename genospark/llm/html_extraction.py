@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genospark.llm import textarrays as T
 from genospark.session import stored
 
 HOT_PARTS = 1000
@@ -219,6 +220,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The main text of every page: its id, url, ``text`` and ``n_chars``."""
+    T.bounded_batches(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(url_col, r"://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host.alias("host"))

@@ -212,6 +212,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     ``docs``: its id, ``log_weight``, ``gumbel_key`` and ``kept`` (the k largest keys,
     and any equal to the last of them).
     """
+    T.bounded_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     known = context.broadcast(known_labels(labels, id_col, labelled))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

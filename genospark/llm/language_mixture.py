@@ -104,6 +104,7 @@ class Model:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Count the n-grams of all rows with a text and a language."""
+    T.bounded_batches(docs.sparkSession)
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     counts = known.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string")).mapInArrow(_count, COUNTS)
     # two levels, so that no task adds up the rows of all tasks
@@ -207,6 +208,7 @@ def _identify(model: Broadcast, schema: pa.Schema):
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
              keep: list[str] | None = None) -> DataFrame:
     """A row for each row of ``docs``: its id, the columns in ``keep``, ``lang_pred`` and ``score``."""
+    T.bounded_batches(docs.sparkSession)
     kept = docs.select(F.col(id_col), *(keep or []))
     out = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
     from pyspark.sql.pandas.types import to_arrow_schema

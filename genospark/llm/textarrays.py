@@ -14,9 +14,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes handled at once; a longer single text is handled whole.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+
+#: Bytes of an Arrow batch between the JVM and a worker.
+BATCH_BYTES = 8 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -116,6 +120,13 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, lower: bool
     return SpanHash(text, lower)(start, end), np.searchsorted(start, starts_at)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session, so that a task holds little beside one slice."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted values and how often each occurs."""
     return np.unique(values, return_counts=True)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from genospark.llm import textarrays as T
 from genospark.session import stored
 
 #: Splitter sample: keys for each bucket.
@@ -78,6 +79,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
     its id, ``host``, ``path``, ``rule`` (host and path of the rule, else null)
     and ``verdict`` (the rule's, else ``default``).
     """
+    T.bounded_batches(urls.sparkSession)
     spark = urls.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     host, path = url_parts(F.col("__url"))
