@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genospark.llm import (bm25_packing, decontamination, exact_dedup, html_extraction, importance_resampling,
-                           language_mixture, url_filters)
+from genospark.llm import (bm25_packing, decontamination, exact_dedup, hidden_markov, html_extraction,
+                           importance_resampling, language_mixture, url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ def remainder(column: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(divisor))
 
 
+def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("train", remainder("doc_id", 7) != 2)
+    return hidden_markov.score_texts(docs, "train")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
     model = language_mixture.fit(docs.where("NOT held_out"))
@@ -55,6 +60,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_hidden_markov": op3_hidden_markov,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_importance_resampling": op5_importance_resampling,
     "op6_html_extraction": op6_html_extraction,
