@@ -80,8 +80,8 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([batch.column(0).slice(i, j - i).to_pylist()], pa.list_(pa.int64())),
                  pa.array([batch.column(2).slice(i, j - i).to_pylist()], pa.list_(pa.bool_())),
                  pa.array([np.concatenate(lengths).astype(np.int32)], pa.list_(pa.int32())),
-                 pa.array([hashes.tobytes()], pa.binary()), pa.array([tokens.astype(np.uint32).tobytes()], pa.binary())],
-                schema=_SLICE)
+                 pa.array([hashes.tobytes()], pa.binary()),
+                 pa.array([tokens.astype(np.uint32).tobytes()], pa.binary())], schema=_SLICE)
             number += 1
 
 
@@ -416,9 +416,11 @@ class Scorer:
         return {"n_tokens": size, "n_known": seen, "base_score": base, "score": chain / np.log(10) + inner}
 
 
-SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-_SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+          "base_score double, score double")
+_SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+                     ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
+                     ("score", pa.float64())])
 
 
 def _score(scorer: Broadcast):
