@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genospark.llm import (bm25_packing, decontamination, exact_dedup, hidden_markov, html_extraction,
-                           importance_resampling, language_mixture, url_filters)
+                           importance_resampling, language_mixture, ngram_jaccard, url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.score_texts(docs, "train")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
     model = language_mixture.fit(docs.where("NOT held_out"))
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_importance_resampling": op5_importance_resampling,
     "op6_html_extraction": op6_html_extraction,
     "op7_bm25_packing": op7_bm25_packing,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
