@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genospark.llm import (bm25_packing, decontamination, exact_dedup, hidden_markov, html_extraction,
-                           importance_resampling, language_mixture, ngram_jaccard, url_filters)
+                           importance_resampling, language_mixture, ngram_jaccard, suffix_dedup,
+                           url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
     model = language_mixture.fit(docs.where("NOT held_out"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_bm25_packing": op7_bm25_packing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
 }
 
