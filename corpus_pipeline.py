@@ -1,15 +1,79 @@
-"""Corpus pipeline: placeholder until its five stages exist."""
+"""Corpus pipeline: five stages from raw documents to packed sequences.
+
+Each stage takes the rows that its predecessor kept, read back from Parquet, and all
+but the last return the columns of ``documents``.  A stage's ``docs`` must be a stored
+table (or any frame whose rows come in the same partitions whenever it is read).
+
+Rows that a stage drops reach the texts as a stored table of ids: a small one is
+broadcast by its known size, so texts are shuffled only if many rows go.
+
+Defined cases: null and empty texts pass the first stage by their weight of 0 or not at
+all, one of them passes the second, and the rest as each operator says; rows that
+share an id, but not their text, stay or go together from the third stage on; an
+empty table gives an empty result of the last stage's columns; columns beside id and
+text go through the first four stages untouched.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from genospark.llm.bm25_packing import pack
+from genospark.llm.decontamination import decontaminate
+from genospark.llm.exact_dedup import exact_dedup
+from genospark.llm.importance_resampling import Resampling
+from genospark.llm.ngram_jaccard import near_copies
+from genospark.session import stored
+
+_ROW = "__pipeline_row"
+
+
+def _without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose key is in the one column of ``dropped``."""
+    gone = stored(dropped.select(F.col(key).alias("__gone")).distinct(), "dropped")
+    return docs.join(gone, docs[key].eqNullSafe(gone["__gone"]), "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling keeps."""
+    return Resampling(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).kept_rows(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest id."""
+    rows = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    dropped = exact_dedup(rows, row_col=_ROW).where("NOT kept")
+    return _without(rows, dropped, _ROW).select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id."""
+    found = near_copies(docs)
+    return _without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "doc_id")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.where("contaminated"), "doc_id")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality), ("exact_dedup", exact), ("near_copies", near),
+          ("decontamination", decontamination), ("packing", packing)]
 
-STAGES: list = []
+#: The first stage samples with hashed n-gram models, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

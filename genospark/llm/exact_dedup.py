@@ -15,13 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genospark.llm.skewed import join_groups
 from genospark.session import scratch_path, stored
 
-#: A digest with more rows than this part of the batch is joined by broadcast;
-#: there are fewer than HOT_PARTS of them, whatever the size of the batch.
-HOT_PARTS = 1000
-
-
 class DigestIndex:
     """Digests seen so far, each with the id of the row that stays.
 
@@ -44,15 +40,18 @@ class DigestIndex:
          .write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest")
          .option("path", self.path).saveAsTable(self.table))
 
-    def add(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def add(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            row_col: str | None = None) -> DataFrame:
         """Dedup ``batch`` against the index and itself, and append what is new.
 
         Returns a row for each row of the batch: its id, ``keep_id`` (the row that
         stays: an earlier batch's, else the largest id of the copies),
-        ``group_size`` (copies in the batch), ``kept`` and ``text_sha256``.
+        ``group_size`` (copies in the batch), ``kept`` and ``text_sha256``, and ``row_col``, a
+        long that is unique to the row, if it is named.
         """
+        row = F.col(row_col) if row_col else F.monotonically_increasing_id()
         digests = stored(batch.select(
-            F.struct(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row")).alias("at"),
+            F.struct(F.col(id_col).alias("id"), row.alias("row")).alias("at"),
             F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest")), "digests")
         # partial aggregation folds the copies of a hot text before the shuffle
         groups = stored(digests.groupBy("digest").agg(
@@ -62,28 +61,21 @@ class DigestIndex:
 
         judged = groups.hint("merge").join(self.rows(), "digest")
         judged = judged.withColumn("mine", F.col("keep_id").eqNullSafe(F.col("own.id")))
-        limit = digests.count() // HOT_PARTS
-        is_hot = F.col("group_size") > F.lit(max(limit, 1))
-        hot = judged.where(is_hot)
-        cold = judged.where(~is_hot)
-        # rows of hot texts meet their group by broadcast, so no task gets them all
-        marked = digests.join(F.broadcast(hot), "digest", "left")
-        out = ["at", "own", "digest", "keep_id", "group_size", "mine"]
-        rest = marked.where(F.col("group_size").isNull()).select("at", "digest")
-        both = marked.where(F.col("group_size").isNotNull()).select(*out).unionByName(
-            rest.hint("merge").join(cold, "digest").select(*out))
+        # rows of a hot text meet its group by broadcast, so no task gets them all
+        both = join_groups(digests, judged, "digest", "group_size", digests.count())
         return both.select(
             F.col("at.id").alias(id_col), "keep_id", "group_size",
             (F.col("mine") & (F.col("at").eqNullSafe(F.col("own")))).alias("kept"),
-            F.lower(F.hex("digest")).alias("text_sha256"))
+            F.lower(F.hex("digest")).alias("text_sha256"), *([F.col("at.row").alias(row_col)] if row_col else []))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                row_col: str | None = None) -> DataFrame:
     """Decisions for ``docs`` against an index that starts empty."""
     spark = docs.sparkSession
     path = scratch_path(spark, "digest-index")
     name = "digest_index_" + path[-32:]
-    return DigestIndex(spark, path, name).add(docs, id_col, text_col)
+    return DigestIndex(spark, path, name).add(docs, id_col, text_col, row_col)
 
 
 ORACLE_SQL = """

@@ -7,8 +7,8 @@ extracted again from the containers on its host's winning path; a page without
 such a container uses its own best one.
 
 Votes are added up within each task before the shuffle.  The html itself is
-shuffled only for hosts with few pages: hosts above 1/HOT_PARTS of all pages, fewer
-than HOT_PARTS in number, get their winning path by broadcast.
+shuffled only for hosts with few pages (see ``skewed``): the large hosts, of which there
+are few, get their winning path by broadcast.
 
 Blocks end where block elements begin or end.  Character references are decoded,
 white space in a block becomes one space, and blocks are joined by a newline.
@@ -31,10 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genospark.llm import textarrays as T
+from genospark.llm.skewed import join_groups
 from genospark.session import stored
 
-HOT_PARTS = 1000
-
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(>?)""", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -226,12 +225,6 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                         F.col(html_col).cast("string").alias("html"), host.alias("host"))
     winners = host_paths(rows.select("host", "html"))
     total = winners.agg(F.sum("pages")).first()[0] or 0
-    is_hot = F.col("pages") > F.lit(total // HOT_PARTS)
-    hot = winners.where(is_hot).select("host", F.col("path").alias("hot_path"), F.lit(True).alias("hot"))
-    marked = rows.join(F.broadcast(hot), "host", "left")
-    cold = (marked.where("hot IS NULL").drop("hot", "hot_path")
-            .join(winners.where(~is_hot).select("host", "path"), "host", "left"))
-    columns = ["id", "url", "html", "path"]
-    both = marked.where("hot").withColumn("path", F.col("hot_path")).select(*columns).unionByName(cold.select(*columns))
+    both = join_groups(rows, winners.drop("votes"), "host", "pages", total).select("id", "url", "html", "path")
     return (both.mapInArrow(_extract, "id long, url string, text string, n_chars long")
             .withColumnsRenamed({"id": id_col, "url": url_col}))

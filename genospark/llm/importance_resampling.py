@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,24 +204,49 @@ def kth_largest(weighed: DataFrame, k: int) -> int:
     return prefix
 
 
-def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None,
-             keep_cost: float = KEEP_COST, labelled: int = LABELLED, seed: int = 5) -> DataFrame:
-    """Judge every document.
+class Resampling:
+    """The two models fitted to ``docs`` and the key of the last document that is kept.
 
-    ``labels`` has the id and ``quality`` (0 or 1).  ``k`` is the number of documents to
-    keep; None takes it from the labelled documents.  Returns a row for each row of
-    ``docs``: its id, ``log_weight``, ``gumbel_key`` and ``kept`` (the k largest keys,
-    and any equal to the last of them).
+    ``labels`` has the id and ``quality`` (0 or 1).  ``k`` is the number of documents to keep;
+    None takes it from the labelled documents.
     """
-    T.bounded_batches(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    known = context.broadcast(known_labels(labels, id_col, labelled))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    model = context.broadcast(train(rows, known))
-    weighed = stored(rows.mapInArrow(_weigh(model, known, seed), WEIGHT_SCHEMA), "weights")
-    if k is None:
-        k = weighed.where(F.col("key") >= F.lit(operating_point(weighed, keep_cost))).count()
-    kept = F.lit(False)
-    if k > 0:
-        kept = F.lit(True) if k >= weighed.count() else F.col("sort_key") >= F.lit(kth_largest(weighed, k)).cast("long")
-    return weighed.select(F.col("id").alias(id_col), "log_weight", F.col("key").alias("gumbel_key"), kept.alias("kept"))
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 k: int | None = None, keep_cost: float = KEEP_COST, labelled: int = LABELLED, seed: int = 5):
+        T.bounded_batches(docs.sparkSession)
+        context = docs.sparkSession.sparkContext
+        self.id_col, self.text_col, self.seed = id_col, text_col, seed
+        self.known = context.broadcast(known_labels(labels, id_col, labelled))
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.model = context.broadcast(train(rows, self.known))
+        self.weighed = stored(rows.mapInArrow(_weigh(self.model, self.known, seed), WEIGHT_SCHEMA), "weights")
+        n = self.weighed.count()
+        if k is None:
+            cut = operating_point(self.weighed, keep_cost)
+            k = self.weighed.where(F.col("key") >= F.lit(cut)).count()
+        most, least = (1 << 63) - 1, -(1 << 63)
+        self.last = most if k <= 0 else least if k >= n else kth_largest(self.weighed, k)
+
+    def decisions(self) -> DataFrame:
+        """A row for each row of the documents: its id, ``log_weight``, ``gumbel_key`` and ``kept``
+        (the k largest keys, and any equal to the last of them)."""
+        return self.weighed.select(F.col("id").alias(self.id_col), "log_weight", F.col("key").alias("gumbel_key"),
+                                   (F.col("sort_key") >= F.lit(self.last).cast("long")).alias("kept"))
+
+    def kept_rows(self, docs: DataFrame) -> DataFrame:
+        """The rows of ``docs`` that stay, with all their columns; no row is shuffled."""
+        weigh, last = _weigh(self.model, self.known, self.seed), self.last
+        at_id, at_text = docs.columns.index(self.id_col), docs.columns.index(self.text_col)
+
+        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                pair = pa.RecordBatch.from_arrays(
+                    [batch.column(at_id).cast(pa.int64()), batch.column(at_text).cast(pa.string())], names=["id", "text"])
+                (weights,) = weigh(iter([pair]))
+                yield batch.filter(pc.greater_equal(weights.column("sort_key"), pa.scalar(last, pa.int64())))
+        return docs.mapInArrow(chosen, docs.schema)
+
+
+def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """Judge every document; see ``Resampling``."""
+    return Resampling(docs, labels, **options).decisions()
