@@ -3,6 +3,9 @@
 All inputs are the long winner table of ``encode.last_calls``:
 (nume_cari, sample_id, map_name, pos, code) with code in {0, 1, 2, 5};
 0 = BB, 1 = AB, 2 = AA, 5 = no call.  p is the frequency of allele A.
+A position belongs to its map, so everything is keyed by (map_name, pos).  A
+sample of several uploads counts once: at each position its call from the
+latest upload (largest id) that called it holds.
 
 Pair comparisons never emit per-position pair rows for whole genomes when
 a bitset does: each sample's calls are packed into 64-position blocks
@@ -17,8 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genospark.functions.sizing import checked_broadcast
-from genospark.session import stored
+from genospark.session import scratch_path, stored
 
 BLOCK = 64
 ERROR_RATE = 0.01
@@ -43,9 +45,10 @@ def called(code):
     return code.isin(0, 1, 2)
 
 
-def cells_by_sample(cells: DataFrame) -> DataFrame:
-    """(sample_id, pos, code) keeping called positions only."""
-    return cells.where(called(F.col("code"))).select("sample_id", "pos", "code")
+def current_calls(cells: DataFrame) -> DataFrame:
+    """(map_name, sample_id, pos, code): one call per sample and position, the latest upload's."""
+    return (cells.where(called(F.col("code"))).groupBy("map_name", "sample_id", "pos")
+            .agg(F.max_by("code", "nume_cari").alias("code")))
 
 
 def allele_frequencies(cells: DataFrame, positions: DataFrame,
@@ -53,7 +56,7 @@ def allele_frequencies(cells: DataFrame, positions: DataFrame,
     """Per map position: genotype counts, frequency of A, MAF, call rate and panel suitability."""
     samples = cells.groupBy("map_name").agg(F.countDistinct("sample_id").alias("n_samples"))
     c = F.col("code")
-    counts = (cells.where(called(c)).groupBy("map_name", "pos").agg(
+    counts = (current_calls(cells).groupBy("map_name", "pos").agg(
         F.count(F.when(c == 0, 1)).alias("n0"), F.count(F.when(c == 1, 1)).alias("n1"),
         F.count(F.when(c == 2, 1)).alias("n2")))
     out = (positions.join(counts, ["map_name", "pos"], "left").join(F.broadcast(samples), "map_name")
@@ -71,11 +74,11 @@ def allele_frequencies(cells: DataFrame, positions: DataFrame,
 
 
 def bitsets(cells: DataFrame) -> DataFrame:
-    """(sample_id, block, b0, b1, b2): one row per sample and 64-position block with any call."""
+    """(map_name, sample_id, block, b0, b1, b2): one row per sample and 64-position block with any call."""
     c = F.col("code")
     bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), CAST(pos % {BLOCK} AS INT))")
     zero = F.lit(0).cast("long")
-    return (cells_by_sample(cells).groupBy("sample_id", (F.col("pos") / BLOCK).cast("int").alias("block"))
+    return (current_calls(cells).groupBy("map_name", "sample_id", (F.col("pos") / BLOCK).cast("int").alias("block"))
             .agg(F.coalesce(F.bit_or(F.when(c == 0, bit)), zero).alias("b0"),
                  F.coalesce(F.bit_or(F.when(c == 1, bit)), zero).alias("b1"),
                  F.coalesce(F.bit_or(F.when(c == 2, bit)), zero).alias("b2")))
@@ -89,26 +92,28 @@ def parent_pairs(pedigree: DataFrame) -> DataFrame:
 
 
 def _side(bits: DataFrame, who: str) -> DataFrame:
-    return bits.select(F.col("sample_id").alias(who), "block",
+    return bits.select("map_name", F.col("sample_id").alias(who), "block",
                        *[F.col(b).alias(f"{who}_{b}") for b in ("b0", "b1", "b2")])
 
 
 def opposing_homozygotes(cells: DataFrame, pedigree: DataFrame) -> DataFrame:
-    """Per (child, parent, role) with both genotyped: jointly called SNPs and opposing homozygotes."""
+    """Per (map_name, child, parent, role) with both genotyped on the map: jointly called SNPs and
+    opposing homozygotes."""
     bits = stored(bitsets(cells))
-    genotyped = cells.select("sample_id").distinct()
+    genotyped = cells.select("map_name", "sample_id").distinct()
     pairs = (parent_pairs(pedigree)
-             .join(genotyped.withColumnRenamed("sample_id", "child"), "child", "left_semi")
-             .join(genotyped.withColumnRenamed("sample_id", "parent"), "parent", "left_semi"))
-    j = (pairs.join(_side(bits, "child"), "child").join(_side(bits, "parent"), ["parent", "block"]))
+             .join(genotyped.withColumnRenamed("sample_id", "child"), "child")
+             .join(genotyped.withColumnRenamed("sample_id", "parent"), ["map_name", "parent"], "left_semi"))
+    j = (pairs.join(_side(bits, "child"), ["map_name", "child"])
+         .join(_side(bits, "parent"), ["map_name", "parent", "block"]))
     b = {k: F.col(k) for k in j.columns}
     cc = bor(b["child_b0"], b["child_b1"], b["child_b2"])
     pc = bor(b["parent_b0"], b["parent_b1"], b["parent_b2"])
     opp = bor(band(b["child_b0"], b["parent_b2"]), band(b["child_b2"], b["parent_b0"]))
-    sums = j.groupBy("child", "parent", "role").agg(
+    sums = j.groupBy("map_name", "child", "parent", "role").agg(
         F.sum(F.bit_count(band(cc, pc))).cast("long").alias("n_compared"),
         F.sum(F.bit_count(opp)).cast("long").alias("n_opposing"))
-    return (pairs.join(sums, ["child", "parent", "role"], "left")
+    return (pairs.join(sums, ["map_name", "child", "parent", "role"], "left")
             .fillna(0, ["n_compared", "n_opposing"]))
 
 
@@ -117,15 +122,16 @@ def _verdict(opp, cmp, max_rate):
 
 
 def parent_verdicts(cells: DataFrame, pedigree: DataFrame, max_rate: float = MAX_CONFLICT_RATE) -> DataFrame:
-    """Per child with sire and dam genotyped: each parent's verdict and Mendelian trio conflicts."""
+    """Per map and child with sire and dam genotyped on it: each parent's verdict and Mendelian
+    trio conflicts."""
     bits = stored(bitsets(cells))
-    genotyped = cells.select("sample_id").distinct()
-    trios = pedigree.select("child", "sire", "dam")
-    for who in ("child", "sire", "dam"):
-        trios = trios.join(genotyped.withColumnRenamed("sample_id", who), who, "left_semi")
-    j = (trios.join(_side(bits, "child"), "child")
-         .join(_side(bits, "sire"), ["sire", "block"], "left")
-         .join(_side(bits, "dam"), ["dam", "block"], "left")
+    genotyped = cells.select("map_name", "sample_id").distinct()
+    trios = pedigree.select("child", "sire", "dam").join(genotyped.withColumnRenamed("sample_id", "child"), "child")
+    for who in ("sire", "dam"):
+        trios = trios.join(genotyped.withColumnRenamed("sample_id", who), ["map_name", who], "left_semi")
+    j = (trios.join(_side(bits, "child"), ["map_name", "child"])
+         .join(_side(bits, "sire"), ["map_name", "sire", "block"], "left")
+         .join(_side(bits, "dam"), ["map_name", "dam", "block"], "left")
          .fillna(0))
     b = {k: F.col(k) for k in j.columns}
     cc = bor(b["child_b0"], b["child_b1"], b["child_b2"])
@@ -137,16 +143,16 @@ def parent_verdicts(cells: DataFrame, pedigree: DataFrame, max_rate: float = MAX
                  band(b["child_b0"], bor(b["sire_b2"], b["dam_b2"])),
                  band(b["child_b1"], bor(band(b["sire_b0"], b["dam_b0"]), band(b["sire_b2"], b["dam_b2"]))))
     all3 = band(cc, sc, dc)
-    sums = j.groupBy("child", "sire", "dam").agg(
+    sums = j.groupBy("map_name", "child", "sire", "dam").agg(
         F.sum(F.bit_count(band(cc, sc))).cast("long").alias("sire_compared"),
         F.sum(F.bit_count(s_opp)).cast("long").alias("sire_opposing"),
         F.sum(F.bit_count(band(cc, dc))).cast("long").alias("dam_compared"),
         F.sum(F.bit_count(d_opp)).cast("long").alias("dam_opposing"),
         F.sum(F.bit_count(all3)).cast("long").alias("trio_compared"),
         F.sum(F.bit_count(band(mendel, all3))).cast("long").alias("trio_conflicts"))
-    out = trios.join(sums, ["child", "sire", "dam"], "left").fillna(0)
+    out = trios.join(sums, ["map_name", "child", "sire", "dam"], "left").fillna(0)
     return out.select(
-        "child", "sire", "dam", "sire_compared", "sire_opposing",
+        "map_name", "child", "sire", "dam", "sire_compared", "sire_opposing",
         _verdict(F.col("sire_opposing"), F.col("sire_compared"), max_rate).alias("sire_verdict"),
         "dam_compared", "dam_opposing",
         _verdict(F.col("dam_opposing"), F.col("dam_compared"), max_rate).alias("dam_verdict"),
@@ -165,66 +171,96 @@ def exclusion_probability(freqs: DataFrame) -> DataFrame:
         F.round(F.avg("pe"), 6).alias("pe_mean"))
 
 
+def _by_block(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """One row per key and block: an array of the block's values, null where there is none."""
+    return (rows.groupBy(*keys, (F.col("pos") / BLOCK).cast("int").alias("block"))
+            .agg(F.map_from_entries(F.collect_list(F.struct(F.col("pos") % BLOCK, value))).alias("m"))
+            .select(*keys, "block", F.expr(f"transform(sequence(0, {BLOCK - 1}), i -> m[i])").alias(out)))
+
+
 def likelihood_ratios(cells: DataFrame, freqs: DataFrame, pedigree: DataFrame,
                       error_rate: float = ERROR_RATE) -> DataFrame:
-    """Per (child, parent, role): LOD = sum ln(((1-e) T(c|g) + e P(c)) / P(c)) over jointly called polymorphic SNPs."""
+    """Per (map_name, child, parent, role): LOD = sum ln(((1-e) T(c|g) + e P(c)) / P(c)) over jointly
+    called polymorphic SNPs.
+
+    Pairs meet block by block: one joined row has the 64 calls of both samples and the 64
+    frequencies, and the block's terms are summed in one expression.
+    """
     fr = freqs.where(F.col("n_called") > 0).select(
-        "pos", ((2 * F.col("n2") + F.col("n1")) / (2 * F.col("n_called"))).alias("p"))
-    fr = checked_broadcast(fr.where((F.col("p") > 0) & (F.col("p") < 1)))
-    cs = cells_by_sample(cells)
+        "map_name", F.col("pos").cast("int").alias("pos"),
+        ((2 * F.col("n2") + F.col("n1")) / (2 * F.col("n_called"))).alias("p"))
+    fr = _by_block(fr.where((F.col("p") > 0) & (F.col("p") < 1)), ["map_name"], "p", "ps")
+    calls = stored(_by_block(current_calls(cells).withColumn("pos", F.col("pos").cast("int")),
+                             ["map_name", "sample_id"], "code", "codes"), "call-blocks")
     j = (parent_pairs(pedigree)
-         .join(cs.select(F.col("sample_id").alias("child"), "pos", F.col("code").alias("c")), "child")
-         .join(cs.select(F.col("sample_id").alias("parent"), "pos", F.col("code").alias("g")), ["parent", "pos"])
-         .join(fr, "pos"))
-    p, c, g = F.col("p"), F.col("c"), F.col("g")
-    q = 1 - p
-    prior = F.when(c == 2, p * p).when(c == 1, 2 * p * q).otherwise(q * q)
-    trans = (F.when(g == 2, F.when(c == 2, p).when(c == 1, q).otherwise(F.lit(0.0)))
-             .when(g == 1, F.when(c == 2, p / 2).when(c == 1, F.lit(0.5)).otherwise(q / 2))
-             .otherwise(F.when(c == 2, F.lit(0.0)).when(c == 1, p).otherwise(q)))
-    term = F.log(((1 - error_rate) * trans + error_rate * prior) / prior)
-    return j.groupBy("child", "parent", "role").agg(
-        F.count(F.lit(1)).alias("n_snps"), F.round(F.sum(term), 4).alias("lod"))
-
-
-def ancestors(pedigree: DataFrame, max_generations: int = 64) -> DataFrame:
+         .join(calls.select("map_name", F.col("sample_id").alias("child"), "block", F.col("codes").alias("cs")), "child")
+         .join(calls.select("map_name", F.col("sample_id").alias("parent"), "block", F.col("codes").alias("gs")),
+               ["map_name", "parent", "block"])
+         .join(fr, ["map_name", "block"]))
+
+    def term(x):
+        c, g, p = x["cs"], x["gs"], x["ps"]
+        q = 1 - p
+        prior = F.when(c == 2, p * p).when(c == 1, 2 * p * q).otherwise(q * q)
+        trans = (F.when(g == 2, F.when(c == 2, p).when(c == 1, q).otherwise(F.lit(0.0)))
+                 .when(g == 1, F.when(c == 2, p / 2).when(c == 1, F.lit(0.5)).otherwise(q / 2))
+                 .otherwise(F.when(c == 2, F.lit(0.0)).when(c == 1, p).otherwise(q)))
+        return F.log(((1 - error_rate) * trans + error_rate * prior) / prior)
+
+    both = F.filter(F.arrays_zip("cs", "gs", "ps"),
+                    lambda x: x["cs"].isNotNull() & x["gs"].isNotNull() & x["ps"].isNotNull())
+    j = j.select("map_name", "child", "parent", "role", F.transform(both, term).alias("terms")).where("size(terms) > 0")
+    return j.groupBy("map_name", "child", "parent", "role").agg(
+        F.sum(F.size("terms")).cast("long").alias("n_snps"),
+        F.round(F.sum(F.aggregate("terms", F.lit(0.0), lambda a, x: a + x)), 4).alias("lod"))
+
+
+def ancestors(pedigree: DataFrame) -> DataFrame:
     """(sample, ancestor, generation): transitive closure of sire/dam, shortest generation.
 
     Breadth-first: each round joins the newest frontier with the parent
-    edges and drops pairs already found.  Each round is written to the shared
-    checkpoint folder, so lineage stays one round deep and a lost executor
+    edges and drops pairs already found; it ends when nothing is new, which also
+    ends on a cycle.  Each round is one partition of a table in the shared
+    checkpoint folder, so found pairs are written once and a lost executor
     only recomputes the current round.
     """
-    edges = parent_pairs(pedigree).select("child", "parent").distinct()
-    edges = stored(edges)
-    frontier = stored(edges.select(F.col("child").alias("sample"),
-                                                F.col("parent").alias("ancestor"),
-                                                F.lit(1).alias("generation")))
-    found = frontier
-    gen = 1
-    while gen < max_generations:
+    spark = pedigree.sparkSession
+    edges = stored(parent_pairs(pedigree).select("child", "parent").distinct())
+    base = scratch_path(spark, "ancestors")
+    step = edges.select(F.col("child").alias("sample"), F.col("parent").alias("ancestor"))
+    schema, generation = "sample string, ancestor string, generation int", 1
+    while True:
+        step.write.parquet(f"{base}/generation={generation}")
+        frontier = spark.read.parquet(f"{base}/generation={generation}")
+        found = spark.read.schema(schema).parquet(base)
+        if frontier.isEmpty():
+            return found
         step = (frontier.join(edges.select(F.col("child").alias("ancestor"), "parent"), "ancestor")
                 .select("sample", F.col("parent").alias("ancestor")).distinct()
                 .join(found.select("sample", "ancestor"), ["sample", "ancestor"], "left_anti"))
-        gen += 1
-        frontier = stored(step.withColumn("generation", F.lit(gen)))
-        if frontier.isEmpty():
-            break
-        found = stored(found.unionByName(frontier))
-    return found
+        generation += 1
 
 
 def sibling_counts(pedigree: DataFrame) -> DataFrame:
-    """Per child: full sibs and paternal / maternal half sibs, from group sizes (no pair list)."""
+    """Per child: full sibs and paternal / maternal half sibs, from group sizes (no pair list).
+
+    Every child has a row.  Half sibs share one known parent and have another known one; a
+    child with an unknown parent has no full sibs, and half sibs on neither side, since
+    its other parent cannot be told from theirs.
+    """
     ped = pedigree.select("child", "sire", "dam")
-    by_sire = ped.groupBy("sire").agg(F.count(F.lit(1)).alias("n_sire"))
-    by_dam = ped.groupBy("dam").agg(F.count(F.lit(1)).alias("n_dam"))
-    by_both = ped.groupBy("sire", "dam").agg(F.count(F.lit(1)).alias("n_both"))
-    j = ped.join(by_sire, "sire").join(by_dam, "dam").join(by_both, ["sire", "dam"])
+    both = ped.where("sire IS NOT NULL AND dam IS NOT NULL")
+    by_sire = both.groupBy("sire").agg(F.count(F.lit(1)).alias("n_sire"))
+    by_dam = both.groupBy("dam").agg(F.count(F.lit(1)).alias("n_dam"))
+    by_both = both.groupBy("sire", "dam").agg(F.count(F.lit(1)).alias("n_both"))
+    j = ped.join(by_sire, "sire", "left").join(by_dam, "dam", "left").join(by_both, ["sire", "dam"], "left")
+
+    def known(n):
+        return F.when(F.col("sire").isNotNull() & F.col("dam").isNotNull(), n).otherwise(0)
     return j.select("child", "sire", "dam",
-                    (F.col("n_both") - 1).alias("n_full_sibs"),
-                    (F.col("n_sire") - F.col("n_both")).alias("n_paternal_half_sibs"),
-                    (F.col("n_dam") - F.col("n_both")).alias("n_maternal_half_sibs"))
+                    known(F.col("n_both") - 1).alias("n_full_sibs"),
+                    known(F.col("n_sire") - F.col("n_both")).alias("n_paternal_half_sibs"),
+                    known(F.col("n_dam") - F.col("n_both")).alias("n_maternal_half_sibs"))
 
 
 def fst(cells: DataFrame, positions: DataFrame, group_col: str = "nume_cari") -> DataFrame:

@@ -83,7 +83,10 @@ SELECT CASE WHEN s_suppkey % 10 = 5 THEN NULL ELSE concat('  SMP', s_suppkey, '
 SELECT DISTINCT nume_cari, sample_id AS campione FROM {fx_calls} WHERE CAST(substr(sample_id, 4) AS BIGINT) % 3 = 0
 """,
     "fx_pedigree": """
-SELECT concat('SMP', s_suppkey) AS child, concat('SMP', CAST(floor(s_suppkey / 2.0) AS BIGINT)) AS sire, concat('SMP', CAST(floor(s_suppkey / 3.0) AS BIGINT)) AS dam FROM {supplier} WHERE s_suppkey > 0
+SELECT concat('SMP', s_suppkey) AS child,
+       CASE WHEN s_suppkey % 7 <> 3 THEN concat('SMP', CAST(floor(s_suppkey / 2.0) AS BIGINT)) END AS sire,
+       CASE WHEN s_suppkey % 5 <> 4 THEN concat('SMP', CAST(floor(s_suppkey / 3.0) AS BIGINT)) END AS dam
+FROM {supplier} WHERE s_suppkey > 0
 """,
 }
 

@@ -518,7 +518,7 @@ anc(sample, ancestor, gen) AS (
 
 oracle("x08", ["fx_pedigree"], """
 SELECT p.child, p.sire, p.dam,
-       (SELECT count(*) FROM fx_pedigree q WHERE q.sire = p.sire AND q.dam = p.dam) - 1 AS n_full_sibs,
+       (SELECT count(*) FROM fx_pedigree q WHERE q.sire = p.sire AND q.dam = p.dam AND q.child <> p.child) AS n_full_sibs,
        (SELECT count(*) FROM fx_pedigree q WHERE q.sire = p.sire AND q.dam <> p.dam) AS n_paternal_half_sibs,
        (SELECT count(*) FROM fx_pedigree q WHERE q.dam = p.dam AND q.sire <> p.sire) AS n_maternal_half_sibs
 FROM fx_pedigree p""")
