@@ -343,6 +343,8 @@ def train_chain(slices: DataFrame, share: np.ndarray, states: int, rounds: int,
         sums = slices.select("train", "lengths", "hashes", "tokens", "slice").mapInArrow(_expect(sent), EXPECTED)
         half = sums.repartition(4 * parts, "part", F.pmod(F.spark_partition_id(), F.lit(4))).mapInArrow(_add, EXPECTED)
         got = {r["part"]: r["sums"] for r in half.repartition(parts, "part").mapInArrow(_add, EXPECTED).collect()}
+        if not got:
+            break
         small = np.frombuffer(got.pop(-1), np.float64)
         emits = np.concatenate([np.frombuffer(got[p], np.float32) for p in sorted(got)])
         emits = emits.astype(np.float64).reshape(-1, states)

@@ -241,7 +241,8 @@ class Resampling:
         def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 pair = pa.RecordBatch.from_arrays(
-                    [batch.column(at_id).cast(pa.int64()), batch.column(at_text).cast(pa.string())], names=["id", "text"])
+                    [batch.column(at_id).cast(pa.int64()), batch.column(at_text).cast(pa.string())],
+                    names=["id", "text"])
                 (weights,) = weigh(iter([pair]))
                 yield batch.filter(pc.greater_equal(weights.column("sort_key"), pa.scalar(last, pa.int64())))
         return docs.mapInArrow(chosen, docs.schema)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of the largest bitmap; with more keys more rows pass than are wanted.
-MOST_BITS = 26
+MOST_BITS = 24
 
 
 class Filter:
@@ -24,9 +27,30 @@ class Filter:
         return self.map[(keys >> np.int64(64 - self.bits)) + (1 << self.bits - 1)]
 
 
+def bits_for(count: int) -> int:
+    return min(MOST_BITS, max(12, count.bit_length() + 4))
+
+
+def _leading(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [np.unique((np.frombuffer(x.as_buffer(), np.int64) >> np.int64(64 - bits)) + (1 << bits - 1))
+                  .astype(np.uint32).tobytes() for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary())], names=["at"])
+    return run
+
+
+def packed_filter(keys: DataFrame, count: int) -> Filter:
+    """The filter of ``count`` distinct keys that come as arrays of int64 in the binary first
+    column, rows by leading bits of the keys."""
+    bits = bits_for(count)
+    rows = keys.mapInArrow(_leading(bits), "at binary").collect()  # 4 * 2**bits bytes at most
+    return Filter(bits, [np.frombuffer(r["at"], np.uint32).astype(np.int64) for r in rows])
+
+
 def wanted(keys: DataFrame, count: int) -> Filter:
     """The filter of the distinct keys in the first column, ``count`` of them."""
-    bits = min(MOST_BITS, max(12, count.bit_length() + 4))
+    bits = bits_for(count)
     at = F.shiftright(F.col(keys.columns[0]), 64 - bits) + F.lit(1 << bits - 1)
     rows = keys.select(at.alias("at")).distinct().groupBy(F.shiftright("at", 12).alias("part")).agg(
         F.collect_set("at").alias("at")).collect()  # at most 2**12 bits in a row
