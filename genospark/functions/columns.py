@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from genospark.schemas import DECODE_GENOTYPE, MISSING_DIGIT, SEPARATORS, VALID_ALLELES
+from genospark.schemas import DECODE_GENOTYPE, SEPARATORS, VALID_ALLELES
 
 
 def clean_line(line: Column) -> Column:
@@ -71,6 +71,3 @@ def first_separator(text: Column, required: list[str]) -> Column:
         return cond
     return F.get(F.filter(separator_candidates(), ok), 0)["sep"]
 
-
-def missing_fill(n: Column) -> Column:
-    return F.repeat(F.lit(MISSING_DIGIT), n)

@@ -6,9 +6,9 @@ Inputs
              is encoded against.
   snp_maps   (map_name, id, snp_name); file order of a map is ``id`` order.
 
-Plan (two shuffles, both bounded):
+Plan (one shuffle, by sample; groups are bounded by the chip):
   1. positions per map: distinct upper-cased names, first id kept, dense from 0.
-  2. calls LEFT JOIN positions (broadcast behind a size check), decode the pair.
+  2. calls LEFT JOIN positions (stored, so its size is known), decode the pair.
   3. last decodable call per (upload, sample, position): hash aggregate with
      map-side partial aggregation, so a hot duplicated key collapses before
      the shuffle.
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genospark.functions.columns import allele_ok, decode_pair
-from genospark.functions.sizing import checked_broadcast
 from genospark.schemas import MISSING_DIGIT
 from genospark.session import stored
 
@@ -58,7 +57,7 @@ def decoded_calls(calls: DataFrame) -> DataFrame:
 
 def positioned_calls(calls: DataFrame, positions: DataFrame) -> DataFrame:
     """Decoded calls with their map position (null when the name is not in the map)."""
-    pos = checked_broadcast(positions.select("map_name", "snp_key", "pos"))
+    pos = positions.select("map_name", "snp_key", "pos")  # stored: broadcast from its size, else AQE
     return decoded_calls(calls).join(pos, ["map_name", "snp_key"], "left")
 
 
@@ -72,14 +71,17 @@ def last_calls(calls: DataFrame, positions: DataFrame, keep_unplaced: bool = Fal
     if not keep_unplaced:
         pc = pc.where(F.col("pos").isNotNull() & F.col("code").isNotNull())
     usable = F.col("code").isNotNull()
+    # one exchange: both aggregates (per position, per sample) run on this partitioning
+    pc = pc.select(*UPLOAD_SAMPLE, "pos", "code", "line_no").repartition(*UPLOAD_SAMPLE)
     return (pc.groupBy(*UPLOAD_SAMPLE, "pos")
             .agg(F.max_by("code", F.when(usable, F.col("line_no"))).alias("code"),
                  F.max(F.when(usable, F.col("line_no"))).alias("line_no")))
 
 
-def genotype_strings(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
+def genotype_strings(calls: DataFrame, snp_maps: DataFrame, positions: DataFrame | None = None) -> DataFrame:
     """(nume_cari, sample_id, map_name, n_snp, n_called, genotype) for every sample of every upload."""
-    positions = map_positions(snp_maps)
+    if positions is None:
+        positions = map_positions(snp_maps)
     sizes = F.broadcast(map_sizes(positions))  # one row per map: bounded by the catalogue
     winners = last_calls(calls, positions, keep_unplaced=True)
     placed = F.col("pos").isNotNull() & F.col("code").isNotNull()
@@ -136,10 +138,14 @@ def allele_errors(calls: DataFrame) -> DataFrame:
 def missing_snps(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
     """Map SNPs (upper-cased) that no line of the upload names; per upload, not per sample."""
     positions = map_positions(snp_maps)
-    seen = calls.select("nume_cari", "map_name", F.upper("snp_name").alias("snp_key")).distinct()
-    uploads = calls.select("nume_cari", "map_name").distinct()
-    expected = uploads.join(positions, "map_name")
-    return (expected.join(seen, ["nume_cari", "map_name", "snp_key"], "left_anti")
+    # per upload the set of seen positions, at most one map long; only missing ones become rows
+    seen = (calls.select("nume_cari", "map_name", F.upper("snp_name").alias("snp_key")).distinct()
+            .join(positions.select("map_name", "snp_key", "pos"), ["map_name", "snp_key"], "left")
+            .groupBy("nume_cari", "map_name").agg(F.collect_set("pos").alias("seen")))
+    absent = F.array_except(F.sequence(F.lit(0), F.col("n_snp") - 1), "seen")
+    return (seen.join(map_sizes(positions), "map_name")
+            .select("nume_cari", "map_name", F.explode(absent).alias("pos"))
+            .join(positions.select("map_name", "pos", "snp_key"), ["map_name", "pos"])
             .select("nume_cari", "map_name", F.col("snp_key").alias("snp_name"), "pos"))
 
 
@@ -156,18 +162,17 @@ def unmapped_snps(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
 
 def sample_qc(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
     """QC line per sample: map size, missing SNPs and unmapped SNPs of its file, call rate, map."""
-    rates = genotype_strings(calls, snp_maps)
-    # per-file counts (one row per upload), stored so that the join with the
-    # per-sample rows is a broadcast sized from the file, not a shuffle by upload
-    n_missing = stored(missing_snps(calls, snp_maps).groupBy("nume_cari", "map_name").agg(
-        F.count(F.lit(1)).alias("n_missing")), "n_missing")
-    n_unmapped = stored(unmapped_snps(calls, snp_maps).groupBy("nume_cari", "map_name").agg(
-        F.count(F.lit(1)).alias("n_not_in_map")), "n_unmapped")
+    positions = map_positions(snp_maps)
+    rates = genotype_strings(calls, snp_maps, positions)
+    # one pass per file: its distinct names, whether each has a position and a decodable pair
     per_file = ["nume_cari", "map_name"]
-    return (rates.join(n_missing, per_file, "left").join(n_unmapped, per_file, "left")
+    names = positioned_calls(calls, positions).groupBy(*per_file, "snp_key").agg(
+        F.max("pos").alias("pos"), F.max(F.col("pos").isNull() | F.col("code").isNull()).alias("bad"))
+    files = stored(names.groupBy(*per_file).agg(
+        F.count("pos").alias("n_seen"), F.sum(F.col("bad").cast("long")).alias("n_not_in_map")), "file-qc")
+    return (rates.join(files, per_file)
             .select("nume_cari", F.col("sample_id").alias("campione"), "n_snp",
-                    F.coalesce("n_missing", F.lit(0)).alias("n_missing"),
-                    F.coalesce("n_not_in_map", F.lit(0)).alias("n_not_in_map"),
+                    (F.col("n_snp") - F.col("n_seen")).alias("n_missing"), "n_not_in_map",
                     call_rate("n_called", "n_snp").alias("call_rate"),
                     F.col("map_name").alias("mappa_usata")))
 

@@ -9,15 +9,11 @@ the result is exact; a collision is removed by the verification join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genospark.functions.sizing import checked_broadcast
 from genospark.session import stored
 
-MAX_SERIES = 26  # a .. z
-
-
 def name_checks(records: DataFrame, key: str = "upload_id") -> DataFrame:
     """Per upload: rows, distinct names, blanks, duplicate flag, verdict (m_A or ok)."""
     per_name = records.groupBy(key, "snp_name").agg(F.count(F.lit(1)).alias("k"))
@@ -50,9 +46,8 @@ def _verify(pairs: DataFrame, left: DataFrame, right: DataFrame, lkey: str, rkey
     """Keep pairs (lkey, rkey, n_snp) whose name sets are equal (names unique on both sides)."""
     lr = left.select(F.col(lkey).alias("_l"), "snp_name")
     rr = right.select(F.col(rkey).alias("_r"), "snp_name")
-    # at most a few candidates per upload: broadcast behind a row check, so
-    # the records of one large upload are never shuffled by upload key
-    p = checked_broadcast(pairs.select(F.col(lkey).alias("_l"), F.col(rkey).alias("_r"), "n_snp"))
+    # a few candidates per upload, stored: broadcast from their real size, else a skew-split join
+    p = stored(pairs.select(F.col(lkey).alias("_l"), F.col(rkey).alias("_r"), "n_snp"), "pairs")
     matched = (lr.join(p.select("_l", "_r"), "_l")
                .join(rr, ["_r", "snp_name"])
                .groupBy("_l", "_r").agg(F.count(F.lit(1)).alias("n_matched")))
@@ -71,10 +66,11 @@ def identical_maps(new_records: DataFrame, catalog: DataFrame, snp_maps: DataFra
         new_sig = stored(signatures(new_records, key), "signatures")
     sizes = new_sig.select(F.col("n_snp").alias("number_snp")).distinct()
     same_size = catalog.join(sizes, "number_snp", "left_semi")
-    cat_rec = catalogue_records(same_size, snp_maps)
-    cat_sig = signatures(cat_rec, "map_name")
-    pairs = new_sig.join(cat_sig, ["n_snp", "sig_sum", "sig_xor"]).select(key, "map_name", "n_snp")
-    return _verify(pairs, new_records, cat_rec, key, "map_name")
+    # one read of the same-size maps for signatures; the names of signature-equal maps alone are read again
+    cat_sig = signatures(catalogue_records(same_size, snp_maps), "map_name")
+    pairs = stored(new_sig.join(cat_sig, ["n_snp", "sig_sum", "sig_xor"]).select(key, "map_name", "n_snp"), "pairs")
+    met = catalogue_records(same_size.join(pairs.select("map_name").distinct(), "map_name", "left_semi"), snp_maps)
+    return _verify(pairs, new_records, met, key, "map_name")
 
 
 def batch_duplicates(new_records: DataFrame, key: str = "upload_id", sig: DataFrame | None = None) -> DataFrame:
@@ -99,38 +95,75 @@ def same_size_maps(checks: DataFrame, catalog: DataFrame, key: str = "upload_id"
         key, "n_snp", "map_name", "map_alias")
 
 
+SERIES = r"^([0-9]+)_([a-z]+)$"
+
+
+def series_slot(letters: Column) -> Column:
+    """Place of a series suffix: a 0 .. z 25, aa 26, and so on."""
+    place = F.aggregate(F.split(letters, ""), F.lit(0).cast("long"), lambda acc, x: acc * 26 + F.ascii(x) - 96)
+    return place - 1
+
+
+def series_letters(slot: Column) -> Column:
+    """Inverse of ``series_slot``."""
+    start = F.struct(slot.cast("long").alias("rest"), F.lit("").alias("text"))
+
+    def step(acc, _):
+        more = acc["rest"] >= 0
+        return F.struct(
+            F.when(more, F.expr("0L") + F.floor(acc["rest"] / 26) - 1).otherwise(acc["rest"]).alias("rest"),
+            F.when(more, F.concat(F.chr(97 + acc["rest"] % 26), acc["text"])).otherwise(acc["text"]).alias("text"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(13)), start, step, lambda acc: acc["text"])
+
+
+def free_slots(fresh: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(n_snp, rank, slot): for each size its free names, as many as it has new maps, in order.
+
+    Only names of the size's own series take a slot.  Per size the candidates are its
+    taken slots plus its new maps, so rows stay within catalogue plus uploads.
+    """
+    taken = (catalog.select(F.regexp_extract("map_name", SERIES, 1).alias("n"),
+                            F.regexp_extract("map_name", SERIES, 2).alias("letters")).where("letters <> ''")
+             .select(F.col("n").cast("int").alias("n_snp"), series_slot(F.col("letters")).alias("slot")).distinct())
+    used = taken.groupBy("n_snp").agg(F.count(F.lit(1)).alias("n_taken"))
+    need = fresh.groupBy("n_snp").agg(F.count(F.lit(1)).alias("n_new"))
+    tried = (need.join(used, "n_snp", "left")
+             .select("n_snp", "n_new", F.explode(F.sequence(
+                 F.lit(0).cast("long"), F.col("n_new") + F.coalesce("n_taken", F.lit(0)) - 1)).alias("slot")))
+    w = Window.partitionBy("n_snp").orderBy("slot")
+    return (tried.join(taken, ["n_snp", "slot"], "left_anti")
+            .select("n_snp", "slot", "n_new", F.row_number().over(w).alias("rank")).where("rank <= n_new")
+            .select("n_snp", "rank", "slot"))
+
+
 def assign_names(checks: DataFrame, catalog: DataFrame, identical: DataFrame,
                  duplicates: DataFrame, key: str = "upload_id") -> DataFrame:
     """Outcome and map name for every valid upload.
 
     m_D: identical to a catalogued map (or to an earlier upload of the batch);
-    m_E: first map of a size without a catalogued series, named ``<n>_a``;
-    m_F: further maps of a size, named with the next free letters in upload order.
-    A series past ``z`` fails the upload (m_B).
+    m_E: first map of a size that no catalogued map has; m_F: any other new map.  New maps
+    get the free names of their size's series (``<n>_a`` .. ``<n>_z``, ``<n>_aa`` ..) in
+    upload order.
     """
     ok = checks.where(F.col("verdict") == "ok").select(key, F.col("n_rows").cast("int").alias("n_snp"))
     ident = identical.groupBy(key).agg(F.min("map_name").alias("identical_to"))
     dup = duplicates.select(key, "first_upload")
-    series = catalog.groupBy(F.col("number_snp").alias("n_snp")).agg(
-        F.count(F.lit(1)).cast("int").alias("n_existing"))
-    cand = ok.join(ident, key, "left").join(dup, key, "left")
+    cand = stored(ok.join(ident, key, "left").join(dup, key, "left"), "candidates")
     fresh = cand.where(F.col("identical_to").isNull() & F.col("first_upload").isNull())
     # one row per upload: the window runs over the upload list, not over data lines
     w = Window.partitionBy("n_snp").orderBy(key)
-    fresh = (fresh.join(F.broadcast(series), "n_snp", "left")
-             .withColumn("n_existing", F.coalesce("n_existing", F.lit(0)))
-             .withColumn("slot", F.col("n_existing") + F.row_number().over(w) - 1))
-    fresh = fresh.select(
-        key, "n_snp",
-        F.when(F.col("slot") < MAX_SERIES,
-               F.concat(F.col("n_snp").cast("string"), F.lit("_"), F.chr(97 + F.col("slot")))).alias("map_name"),
-        F.when(F.col("slot") >= MAX_SERIES, "m_B")
-         .when(F.col("slot") == 0, "m_E").otherwise("m_F").alias("code"))
-    named = fresh.select(F.col(key).alias("first_upload"), F.col("map_name").alias("first_name"))
+    sizes = catalog.select(F.col("number_snp").alias("n_snp"), F.lit(True).alias("known")).distinct()
+    named = (fresh.withColumn("rank", F.row_number().over(w))
+             .join(free_slots(fresh, catalog), ["n_snp", "rank"]).join(sizes, "n_snp", "left")
+             .select(key, "n_snp", F.concat(F.col("n_snp").cast("string"), F.lit("_"),
+                                            series_letters(F.col("slot"))).alias("map_name"),
+                     F.when(F.col("known").isNull() & (F.col("rank") == 1), "m_E").otherwise("m_F").alias("code")))
+    fresh = stored(named, "named")
+    first = fresh.select(F.col(key).alias("first_upload"), F.col("map_name").alias("first_name"))
     same = cand.where(F.col("identical_to").isNotNull()).select(
         key, "n_snp", F.col("identical_to").alias("map_name"), F.lit("m_D").alias("code"))
     batch = (cand.where(F.col("identical_to").isNull() & F.col("first_upload").isNotNull())
-             .join(named, "first_upload")
+             .join(first, "first_upload")
              .select(key, "n_snp", F.col("first_name").alias("map_name"), F.lit("m_D").alias("code")))
     return fresh.unionByName(same).unionByName(batch)
 
@@ -177,13 +210,15 @@ def map_outcomes(layout: DataFrame, records: DataFrame, catalog: DataFrame, snp_
 def registrations(outcomes: DataFrame, records: DataFrame, key: str = "upload_id"):
     """New catalogue rows and SNP rows for uploads registered as E or F.
 
-    Returns (catalog_rows, snp_rows); ids follow line order within the map.
+    Returns (catalog_rows, snp_rows), both with the registering upload; ids follow line order
+    within the map.
     The alias stays null at registration and is filled by the alias update.
     """
     new = outcomes.where(F.col("code").isin("m_E", "m_F")).select(key, "map_name", "n_snp")
-    cat_rows = new.select("map_name", F.col("n_snp").alias("number_snp"),
+    cat_rows = new.select(F.col(key).alias("upload"), "map_name", F.col("n_snp").alias("number_snp"),
                           F.lit(None).cast("string").alias("map_alias"))
     w = Window.partitionBy(key).orderBy("line_no")  # one map per window group: bounded by map size
-    snp_rows = (records.join(checked_broadcast(new.select(key, "map_name")), key)
-                .select("map_name", F.row_number().over(w).cast("long").alias("id"), "snp_name"))
+    snp_rows = (records.join(stored(new.select(key, "map_name"), "new-maps"), key)
+                .select(F.col(key).alias("upload"), "map_name", F.row_number().over(w).cast("long").alias("id"),
+                        "snp_name"))
     return cat_rows, snp_rows

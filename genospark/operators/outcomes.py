@@ -17,7 +17,7 @@ def type_code(kind, first_line):
             .when((kind == "G") & ~F.coalesce(is_report, F.lit(False)), "c_A"))
 
 
-def genotype_code(_=None) -> F.Column:
+def genotype_code() -> F.Column:
     """Rule order for a report upload (columns of ``genotype_flags``)."""
     return (F.when(F.col("type_code").isNotNull(), F.col("type_code"))
             .when(F.col("sep").isNull(), "g_M")

@@ -2,8 +2,8 @@
 
 A raw line table has one row per text line: (<key>, line_no, line).  Each
 upload contributes one header row to a small per-upload layout table, which
-is joined back to the lines (broadcast behind a size check) so that the
-fields of every data line are cut with built-in ``split``/``get``.
+is joined back to the lines so that the fields of every data line are cut with
+built-in ``split``/``get``.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genospark.functions.columns import clean_line, first_separator, split_literal
-from genospark.functions.sizing import checked_broadcast
 from genospark.schemas import (COL_ALLELE1, COL_ALLELE2, COL_SAMPLE, COL_SNP, CONTENT_PREFIX,
                                MAP_COL_INDEX, MAP_COL_NAME, SEPARATORS)
+from genospark.session import stored
 
 TAB = "\t"
 
@@ -33,18 +33,20 @@ def report_layout(lines: DataFrame, key: str = "nume_cari") -> DataFrame:
     chip: from the first ``Content`` line before the header, split by the first
     separator giving more than one field; field 2 for tab, else field 1.
     """
-    marks = lines.where(F.col("line").startswith(COL_SNP) | F.col("line").startswith(CONTENT_PREFIX))
-    header = (marks.where(F.col("line").startswith(COL_SNP)).groupBy(key)
-              .agg(F.min_by("line", "line_no").alias("header"), F.min("line_no").alias("header_line_no")))
-    content = (marks.where(F.col("line").startswith(CONTENT_PREFIX)).groupBy(key)
-               .agg(F.min_by("line", "line_no").alias("content"), F.min("line_no").alias("content_line_no")))
-    # first line: min(line_no) is a hash aggregate over all lines; the few
-    # winning rows are then picked with a broadcast join (a string-valued
-    # min_by over every line would fall back to a sort-based aggregate)
-    first_no = lines.groupBy(key).agg(F.min("line_no").alias("line_no"))
-    first = (lines.join(F.broadcast(first_no), [key, "line_no"], "left_semi")
-             .groupBy(key).agg(F.min("line").alias("first_line")))
-    lay = first.join(header, key, "left").join(content, key, "left")
+    # one scan: hash aggregates over line numbers (partial before the shuffle, so a large
+    # upload moves one row per task), then the few marked lines by their numbers
+    is_header, is_content = F.col("line").startswith(COL_SNP), F.col("line").startswith(CONTENT_PREFIX)
+    marks = stored(lines.groupBy(key).agg(
+        F.min("line_no").alias("first_line_no"), F.min(F.when(is_header, F.col("line_no"))).alias("header_line_no"),
+        F.min(F.when(is_content, F.col("line_no"))).alias("content_line_no")), "marks")
+    at = F.explode(F.array_distinct(F.array("first_line_no", "header_line_no", "content_line_no")))
+    wanted = marks.select(key, at.alias("line_no")).where("line_no IS NOT NULL")
+    texts = (lines.join(wanted, [key, "line_no"]).groupBy(key, "line_no").agg(F.min("line").alias("line"))
+             .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("line_no", "line"))).alias("texts")))
+    lay = marks.join(texts, key).select(
+        key, "header_line_no", "content_line_no", F.col("texts")[F.col("first_line_no")].alias("first_line"),
+        F.col("texts")[F.col("header_line_no")].alias("header"),
+        F.col("texts")[F.col("content_line_no")].alias("content"))
     lay = lay.withColumn("content", F.when(
         F.col("header_line_no").isNull() | (F.col("content_line_no") < F.col("header_line_no")),
         clean_line(F.col("content"))))
@@ -76,10 +78,9 @@ def report_calls(lines: DataFrame, layout: DataFrame, key: str = "nume_cari") ->
     """
     usable = layout.where(F.col("sep").isNotNull() & F.col("has_alleles")).select(
         key, "header_line_no", "sep", "i_snp", "i_sample", "i_a1", "i_a2")
-    # One layout row per upload, broadcast behind a row-count check: the lines
-    # are never shuffled by upload key (one upload may hold a third of all
-    # lines).  Pass a stored layout so that the check reads only stored rows.
-    body = lines.join(checked_broadcast(usable), key).where(F.col("line_no") > F.col("header_line_no"))
+    # Pass a stored layout (one row per upload): the planner broadcasts it from its
+    # file size, and beyond the threshold AQE splits the partitions of a large upload.
+    body = lines.join(usable, key).where(F.col("line_no") > F.col("header_line_no"))
     text = clean_line(F.col("line"))
     body = body.where(text != "").withColumn("fields", split_literal(text, F.col("sep")))
     return body.select(
@@ -112,7 +113,7 @@ def map_layout(lines: DataFrame, key: str = "upload_id") -> DataFrame:
 def map_records(lines: DataFrame, layout: DataFrame, key: str = "upload_id") -> DataFrame:
     """SNP names of map uploads with a valid header: the ``Name`` field of every later non-blank line."""
     ok = layout.where("header_ok").select(key, "header_line_no", "sep", "i_name")
-    body = lines.join(checked_broadcast(ok), key).where(F.col("line_no") > F.col("header_line_no"))
+    body = lines.join(ok, key).where(F.col("line_no") > F.col("header_line_no"))
     text = clean_line(F.col("line"))
     return body.where(text != "").select(
         key, "line_no", F.get(split_literal(text, F.col("sep")), F.col("i_name")).alias("snp_name"))

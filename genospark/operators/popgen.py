@@ -193,9 +193,8 @@ def likelihood_ratios(cells: DataFrame, freqs: DataFrame, pedigree: DataFrame,
     calls = stored(_by_block(current_calls(cells).withColumn("pos", F.col("pos").cast("int")),
                              ["map_name", "sample_id"], "code", "codes"), "call-blocks")
     j = (parent_pairs(pedigree)
-         .join(calls.select("map_name", F.col("sample_id").alias("child"), "block", F.col("codes").alias("cs")), "child")
-         .join(calls.select("map_name", F.col("sample_id").alias("parent"), "block", F.col("codes").alias("gs")),
-               ["map_name", "parent", "block"])
+         .join(calls.withColumnsRenamed({"sample_id": "child", "codes": "cs"}), "child")
+         .join(calls.withColumnsRenamed({"sample_id": "parent", "codes": "gs"}), ["map_name", "parent", "block"])
          .join(fr, ["map_name", "block"]))
 
     def term(x):

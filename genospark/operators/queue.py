@@ -12,8 +12,8 @@ QUEUE_COLS = ["nume_cari", "data_cari", "user_cari", "tipo_cari", "nome_file", "
 
 
 def pending(queue: DataFrame) -> DataFrame:
-    """Rows waiting for processing: a null flag counts as -1, pending is 0 (filter pushed to the scan)."""
-    return queue.where(F.coalesce(F.col("bit_elaborato"), F.lit(-1)) == 0)
+    """Rows waiting for processing: flag 0; a null flag is not pending (a plain filter reaches the scan)."""
+    return queue.where(F.col("bit_elaborato") == 0)
 
 
 def in_order(queue: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genospark.schemas import MAX_SAMPLE_ID_LENGTH, SUMMARY_LIST_SIZE
+from genospark.schemas import (MAX_SAMPLE_ID_LENGTH, SUMMARY_FIRST, SUMMARY_LIST_SIZE, SUMMARY_NOT_IN_ARCHIVE,
+                               SUMMARY_OVERWRITTEN, SUMMARY_READY)
 from genospark.session import stored
 
 KEY = "nume_cari"
@@ -64,13 +65,13 @@ def summary(samples: DataFrame, archive: DataFrame, staging: DataFrame) -> DataF
                  F.coalesce("first_not_in_archive", F.lit("")).alias("first_not_in_archive"),
                  F.coalesce("n_staged", F.lit(0)).alias("n_staged"),
                  F.coalesce("first_staged", F.lit("")).alias("first_staged"))
-    head = F.concat(F.col("n_samples").cast("string"), F.lit(" genotypes ready to be uploaded.\n"))
+    head = F.concat(F.col("n_samples").cast("string"), F.lit(SUMMARY_READY))
     missing_part = F.when(F.col("n_not_in_archive") > 0, F.concat(
-        F.col("n_not_in_archive").cast("string"), F.lit(" samples not present in genomic archive\n"),
-        F.lit("The first 10 are: "), F.col("first_not_in_archive"), F.lit("\n"))).otherwise(F.lit(""))
+        F.col("n_not_in_archive").cast("string"), F.lit(SUMMARY_NOT_IN_ARCHIVE),
+        F.lit(SUMMARY_FIRST), F.col("first_not_in_archive"), F.lit("\n"))).otherwise(F.lit(""))
     staged_part = F.when(F.col("n_staged") > 0, F.concat(
-        F.col("n_staged").cast("string"), F.lit(" samples with existing Genotype that will be overwritten,\n"),
-        F.lit("The first 10 are: "), F.col("first_staged"), F.lit(" "))).otherwise(F.concat(
-        F.col("n_staged").cast("string"), F.lit(" samples with existing Genotype that will be overwritten.")))
+        F.col("n_staged").cast("string"), F.lit(SUMMARY_OVERWRITTEN + ",\n"),
+        F.lit(SUMMARY_FIRST), F.col("first_staged"), F.lit(" "))).otherwise(F.concat(
+        F.col("n_staged").cast("string"), F.lit(SUMMARY_OVERWRITTEN + ".")))
     text = F.replace(F.concat(head, missing_part, staged_part), F.lit("'"), F.lit('"'))
     return s.withColumn("summary", text)

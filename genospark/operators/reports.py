@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genospark.session import stored
+
 KEY = "nume_cari"
 
 
@@ -62,16 +64,20 @@ def resolve_maps(layout: DataFrame, counts: DataFrame, snp_n: DataFrame, catalog
     With a chip name: the map whose alias is the chip; failing that, the map
     whose size equals the number of distinct SNP names of the report, flagged
     for an alias update.  Without a chip name: the map whose size equals
-    rows / samples.  The catalogue is one row per registered map (small,
-    bounded by the number of maps), so it is broadcast.
+    rows / samples.  A catalogue column ``since`` names the upload of the same batch
+    that registers the map: only later uploads see it.
     """
     by_alias = _last_map(catalog, "map_alias", "chip", "alias_map")
-    by_count = _last_map(catalog, "number_snp", "_n", "count_map")
     base = (layout.select(KEY, "chip").join(counts.select(KEY, "chip_size"), KEY, "left")
             .join(snp_n, KEY, "left")
             .withColumn("_n", F.when(F.col("chip").isNotNull(), F.col("n_report_snps"))
                         .otherwise(F.col("chip_size")).cast("int")))
-    r = base.join(F.broadcast(by_alias), "chip", "left").join(F.broadcast(by_count), "_n", "left")
+    base = stored(base, "lookups")
+    same = catalog.select(F.col("number_snp").alias("_n"), "map_name",
+                          F.col("since") if "since" in catalog.columns else F.lit(None).cast("long").alias("since"))
+    by_count = (base.select(KEY, "_n").join(same, "_n").where(F.col("since").isNull() | (F.col("since") < F.col(KEY)))
+                .groupBy(KEY).agg(F.max("map_name").alias("count_map")))
+    r = base.join(F.broadcast(by_alias), "chip", "left").join(by_count, KEY, "left")
     has_chip = F.col("chip").isNotNull()
     return r.select(
         KEY, "chip",
@@ -89,7 +95,7 @@ def map_consistency(calls: DataFrame, resolved: DataFrame, snp_maps: DataFrame)
     consistent when it equals both sizes.
     """
     assigned = resolved.where(F.col("map_name").isNotNull()).select(KEY, "map_name")
-    rep = distinct_snps(calls).join(F.broadcast(assigned), KEY)
+    rep = distinct_snps(calls).join(assigned, KEY)
     used = snp_maps.join(assigned.select("map_name").distinct(), "map_name", "left_semi")
     mdist = used.select("map_name", "snp_name").distinct()
     n_map = mdist.groupBy("map_name").agg(F.count(F.lit(1)).alias("n_map_snps"))

@@ -75,6 +75,28 @@ SELECT nume_cari, CAST(-3 AS BIGINT) AS line_no, '[Header]' AS line FROM f
 UNION ALL SELECT nume_cari, CAST(-2 AS BIGINT), CASE WHEN sep = chr(9) THEN concat('Content', sep, sep, 'CHIP', nume_cari) ELSE concat('Content', sep, 'CHIP', nume_cari) END FROM f WHERE nume_cari <> 3
 UNION ALL SELECT nume_cari, CAST(-1 AS BIGINT), concat('SNP Name', sep, 'Sample ID', sep, CASE WHEN nume_cari = 2 THEN 'Allele1 - Top' ELSE 'Allele1 - AB' END, sep, 'Allele2 - AB') FROM f
 UNION ALL SELECT c.nume_cari, c.line_no, concat(c.snp_name, f.sep, c.sample_id, f.sep, c.a1, f.sep, c.a2) FROM {fx_calls} c JOIN f ON c.nume_cari = f.nume_cari
+UNION ALL SELECT nume_cari, line_no, line FROM {fx_map_reports}
+""",
+    # Reports whose SNPs are those of a catalogued map: 100 names it by alias, 101 is
+    # found by its size, 102 by its size after an unknown chip, 103 has a short line,
+    # 104 a quote in one sample id and over 25 characters in the other.
+    "fx_map_reports": """
+WITH by_name AS (SELECT min(map_alias) AS brand FROM {fx_map_catalog}),
+by_size AS (SELECT map_alias AS brand FROM {fx_map_catalog} ORDER BY number_snp DESC, map_name DESC LIMIT 1),
+f AS (
+  SELECT 100 AS nume_cari, brand AS chip, brand FROM by_name UNION ALL SELECT 101, NULL, brand FROM by_size
+  UNION ALL SELECT 102, 'UNKNOWN', brand FROM by_size UNION ALL SELECT 103, brand, brand FROM by_name
+  UNION ALL SELECT 104, brand, brand FROM by_name),
+s AS (
+  SELECT nume_cari, brand, 1 AS k, CASE WHEN nume_cari = 104 THEN concat('O', chr(39), 'NEIL') ELSE 'SMP1' END AS sample_id FROM f
+  UNION ALL SELECT nume_cari, brand, 2, CASE WHEN nume_cari = 104 THEN 'SAMPLE-WITH-A-LONG-IDENTIFIER' ELSE 'SMP4' END FROM f)
+SELECT nume_cari, CAST(-3 AS BIGINT) AS line_no, '[Header]' AS line FROM f
+UNION ALL SELECT nume_cari, CAST(-2 AS BIGINT), concat('Content', chr(9), chr(9), chip) FROM f WHERE chip IS NOT NULL
+UNION ALL SELECT nume_cari, CAST(-1 AS BIGINT), concat('SNP Name', chr(9), 'Sample ID', chr(9), 'Allele1 - AB', chr(9), 'Allele2 - AB') FROM f
+UNION ALL SELECT nume_cari, CAST(0 AS BIGINT), concat('SNP0', chr(9), 'SMP1') FROM f WHERE nume_cari = 103
+UNION ALL SELECT s.nume_cari, CAST(p_partkey * 10 + s.k AS BIGINT),
+  concat('SNP', p_partkey, chr(9), s.sample_id, chr(9), CASE WHEN p_size % 2 = 0 THEN 'A' ELSE 'B' END, chr(9), 'B')
+FROM {part} p JOIN s ON p.p_brand = s.brand
 """,
     "fx_archive": """
 SELECT CASE WHEN s_suppkey % 10 = 5 THEN NULL ELSE concat('  SMP', s_suppkey, ' ') END AS chr_codicecampionelab FROM {supplier} WHERE s_suppkey % 4 <> 0

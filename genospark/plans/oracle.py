@@ -263,10 +263,33 @@ oracle("q11", ["fx_new_map", "fx_map_catalog", "fx_map_snps"], "SELECT upload_id
        _naming("fx_new_map"))
 
 
+# FIXED VALUES: the expected outcome rows, stated here apart from the engine's own table
+_OUTCOME_ROWS = """
+  ('c_A', 0, 1, 'Incorrect file type'),
+  ('c_B', 0, 0, 'An error occurred. Please contact the system administrator.'),
+  ('m_A', 0, 1, 'Error with the map'),
+  ('m_B', 0, 1, 'The uploaded file is invalid'),
+  ('m_C', 0, 1, 'Uploaded file contains more than one file'),
+  ('m_D', 1, 1, 'Map loaded (1)'),
+  ('m_E', 1, 1, 'Map loaded (2)'),
+  ('m_F', 1, 1, 'Map loaded (3)'),
+  ('g_A', 0, 1, 'Final report file with missing column errors'),
+  ('g_B', 0, 1, 'Final report file not found or incorrectly named'),
+  ('g_C', 0, 1, 'Final Report file with errors (1)'),
+  ('g_D', 1, 1, 'Genotype processing completed'),
+  ('g_E', 0, 1, 'Final Report file with errors (2)'),
+  ('g_F', 0, 1, 'Final report map not found or does not match'),
+  ('g_G', 0, 1, 'Final Report file with errors (2)'),
+  ('g_H', 0, 1, 'Uploaded file contains more than one file'),
+  ('g_I', 1, 1, 'Genotypes ready for loading'),
+  ('g_K', 1, 1, 'Genotypes ready for loading'),
+  ('g_L', 0, 1, 'Sample number does not correspond'),
+  ('g_M', 0, 1, 'Chip exists but separator different from those in the parameter list'),
+  ('g_N', 0, 1, 'Number or Names of SNPs different from an already loaded map. Correct or load new map')"""
+
+
 def _outcome_values() -> str:
-    from genospark.schemas import OUTCOMES
-    rows = ", ".join("('{}', {}, {}, '{}')".format(c, a, b, t.replace("'", "''")) for c, a, b, t in OUTCOMES)
-    return f"outc AS (SELECT * FROM (VALUES {rows}) t(code, bit_ok, bit_elaborato, errori_elab))"
+    return f"outc AS (SELECT * FROM (VALUES {_OUTCOME_ROWS}) t(code, bit_ok, bit_elaborato, errori_elab))"
 
 
 _MAP_OUTCOMES = _MAPS + "," + _naming("mrec") + "," + _outcome_values() + """,
@@ -318,7 +341,11 @@ SELECT c.nume_cari, CAST(c.chip_size AS INTEGER) AS chip_size, b.count_map AS ma
 FROM rcount c LEFT JOIN by_count b ON b.number_snp = c.chip_size""", _REPORT + "," + _COUNTS)
 oracle("q21", ["fx_raw_lines", "fx_map_catalog"], "SELECT * FROM res", _REPORT + "," + _COUNTS)
 
-oracle("q22", ["fx_calls", "fx_snp_map"], """
+_CATALOGUE_SNPS = """
+csnp AS (SELECT c.map_name, s.snp_name FROM fx_map_catalog c JOIN fx_map_snps s USING (map_alias)
+         UNION ALL SELECT map_name, snp_name FROM fx_snp_map)"""
+
+oracle("q22", ["fx_calls", "fx_snp_map", "fx_raw_lines", "fx_map_catalog", "fx_map_snps"], """
 SELECT r.nume_cari, 'MAIN_a' AS map_name, r.n AS n_report_snps, m.n AS n_map_snps, r.k AS n_matched,
        x.n_outer, x.n_outer = r.n AND x.n_outer = m.n AS consistent
 FROM (SELECT d.nume_cari, count(*) AS n, count(s.snp_name) AS k
@@ -330,7 +357,16 @@ JOIN (SELECT u.nume_cari, count(*) AS n_outer
            LATERAL (SELECT * FROM (SELECT DISTINCT snp_name FROM fx_calls c WHERE c.nume_cari = u.nume_cari) a
                     FULL OUTER JOIN (SELECT DISTINCT snp_name FROM fx_snp_map WHERE map_name = 'MAIN_a') b
                     USING (snp_name)) j
-      GROUP BY 1) x USING (nume_cari)""")
+      GROUP BY 1) x USING (nume_cari)
+UNION ALL
+SELECT r.nume_cari, r.map_name, a.n, m.n, k.n, o.n, o.n = a.n AND o.n = m.n
+FROM res r, LATERAL (SELECT count(DISTINCT snp_name) AS n FROM rcalls c WHERE c.nume_cari = r.nume_cari) a,
+     LATERAL (SELECT count(DISTINCT snp_name) AS n FROM csnp c WHERE c.map_name = r.map_name) m,
+     LATERAL (SELECT count(*) AS n FROM (SELECT snp_name FROM rcalls c WHERE c.nume_cari = r.nume_cari
+                                         INTERSECT SELECT snp_name FROM csnp c WHERE c.map_name = r.map_name)) k,
+     LATERAL (SELECT count(*) AS n FROM (SELECT snp_name FROM rcalls c WHERE c.nume_cari = r.nume_cari
+                                         UNION SELECT snp_name FROM csnp c WHERE c.map_name = r.map_name)) o
+WHERE r.map_name IS NOT NULL""", _REPORT + "," + _COUNTS + "," + _CATALOGUE_SNPS)
 
 # --------------------------------------------------------------------------
 # reconciliation and status
@@ -343,8 +379,9 @@ arch AS (SELECT DISTINCT trim(chr_codicecampionelab, ' ' || chr(9) || chr(13) ||
 oracle("q33", ["fx_calls", "fx_archive"], """
 SELECT DISTINCT nume_cari, sample_id FROM fx_calls WHERE sample_id NOT IN (SELECT sample_id FROM arch)""", _ARCHIVE)
 oracle("q34", ["fx_staging"], "SELECT nume_cari, replace(campione, ' ', '') AS campione FROM fx_staging")
-oracle("q35", ["fx_calls"], """
-SELECT DISTINCT nume_cari, sample_id, CAST(length(sample_id) AS INTEGER) AS id_length FROM fx_calls WHERE length(sample_id) > 25""")
+oracle("q35", ["fx_raw_lines"], """
+SELECT DISTINCT nume_cari, sample_id, CAST(length(sample_id) AS INTEGER) AS id_length
+FROM rcalls WHERE length(sample_id) > 25""", _REPORT)
 
 
 def _summary(calls: str, staging: str) -> str:
@@ -375,11 +412,10 @@ summt AS (SELECT *, replace(
             '''', '"') AS summary FROM summ)"""
 
 
-oracle("q36", ["fx_calls", "fx_archive", "fx_staging"], "SELECT * FROM summt", _summary("fx_calls", "fx_staging"))
+oracle("q36", ["fx_raw_lines", "fx_archive", "fx_staging"], "SELECT * FROM summt",
+       _REPORT + "," + _summary("rcalls", "fx_staging"))
 
-_GENO_TAIL = """
-csnp AS (SELECT c.map_name, s.snp_name FROM fx_map_catalog c JOIN fx_map_snps s USING (map_alias)
-         UNION ALL SELECT map_name, snp_name FROM fx_snp_map),
+_GENO_TAIL = _CATALOGUE_SNPS + """,
 cons AS (SELECT r.nume_cari,
                 count(DISTINCT d.snp_name) = count(DISTINCT m.snp_name)
                 AND count(DISTINCT d.snp_name) = (SELECT count(DISTINCT snp_name) FROM csnp WHERE map_name = r.map_name)
@@ -418,11 +454,15 @@ oracle("q38", ["fx_raw_lines", "fx_map_catalog", "fx_map_snps", "fx_snp_map", "f
 SELECT CAST(nume_cari AS VARCHAR) AS nume_cari, o.code, bit_ok, bit_elaborato, errori_elab
 FROM (SELECT nume_cari, {_TYPE_CODE} AS code FROM fx_jobs WHERE {_PENDING}) o JOIN outc USING (code)
 UNION ALL
-SELECT CAST(g.nume_cari AS VARCHAR), g.code, o.bit_ok, o.bit_elaborato, o.errori_elab
-FROM gout g LEFT JOIN outc o USING (code)
+SELECT CAST(g.nume_cari AS VARCHAR), g.code, o.bit_ok, o.bit_elaborato,
+       CASE WHEN o.bit_ok = 1 THEN t.summary ELSE o.errori_elab END
+FROM gout g LEFT JOIN outc o USING (code) LEFT JOIN summt t USING (nume_cari)
 UNION ALL
 SELECT upload_id, m.code, o.bit_ok, o.bit_elaborato, o.errori_elab FROM mout m LEFT JOIN outc o USING (code)""",
-       ",".join([_GENO, _MAPS_BODY, _naming("mrec"), _MOUT]))
+       ",".join([_GENO, _MAPS_BODY, _naming("mrec"), _MOUT, """
+encoded AS (SELECT DISTINCT nume_cari, sample_id AS campione FROM rcalls
+            WHERE nume_cari IN (SELECT nume_cari FROM gout WHERE code IN ('g_I', 'g_K')))""",
+                 _summary("rcalls", "encoded")]))
 
 
 # --------------------------------------------------------------------------

@@ -19,6 +19,10 @@ from genospark.session import stored
 KEY = "nume_cari"
 
 
+_QC = (KEY + " {}, campione string, n_snp int, n_missing long, n_not_in_map long, call_rate double, "
+       "mappa_usata string")
+
+
 def _empty_staging(calls: DataFrame) -> DataFrame:
     key_type = calls.schema[KEY].dataType.simpleString()
     return calls.sparkSession.createDataFrame(
@@ -32,6 +36,7 @@ class GenotypeBatch:
     calls: DataFrame
     flags: DataFrame
     staging: DataFrame
+    qc: DataFrame              # one line per encoded sample
 
 
 def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
@@ -60,29 +65,35 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
            .withColumn("n_short", F.coalesce("n_short", F.lit(0)))
            .withColumn("n_encoded", F.col("n_samples")))
     pre = stored(pre)
-    eligible = pre.where(outcomes.genotype_code(None).isin("g_I", "g_K")).select(KEY, "map_name")
+    eligible = pre.where(outcomes.genotype_code().isin("g_I", "g_K")).select(KEY, "map_name")
+    panel_ready, qc = True, None
     if eligible.isEmpty():  # one small read of the stored per-upload table
         staging = _empty_staging(calls)
     else:
         panel_snps = snp_maps.where(F.col("map_name") == panel_map)
-        if panel_snps.isEmpty():  # job precondition: nothing is written, uploads stay pending
-            raise RuntimeError(f"panel map {panel_map!r} has no SNPs; the batch is left pending")
+        panel_ready = not panel_snps.isEmpty()  # one-row read
         main_calls = calls.join(eligible, KEY)  # stored per-upload table: broadcast from its file size
         used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
         staging = encode.staging_rows(main_calls, used_maps)
         panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
         panel = encode.panel_strings(panel_calls, panel_snps)
-        staging = stored(encode.with_panel(staging, panel))
+        staging = stored(encode.with_panel(staging, panel)) if panel_ready else _empty_staging(calls)
+        qc = stored(encode.sample_qc(main_calls, used_maps), "qc")
+    if not panel_ready:  # these uploads cannot be finished now: they stay pending
+        pre = pre.withColumn("type_code", F.when(outcomes.genotype_code().isin("g_I", "g_K"), "c_B")
+                             .otherwise(F.col("type_code")))
     n_enc = staging.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_staged"))
     flags = (pre.join(n_enc, KEY, "left")
-             .withColumn("n_encoded", F.when(outcomes.genotype_code(None).isin("g_I", "g_K"),
+             .withColumn("n_encoded", F.when(outcomes.genotype_code().isin("g_I", "g_K"),
                                              F.coalesce("n_staged", F.lit(0))).otherwise(F.col("n_samples")))
              .drop("n_staged"))
-    return GenotypeBatch(layout, calls, flags, staging)
+    if qc is None:
+        qc = calls.sparkSession.createDataFrame([], _QC.format(calls.schema[KEY].dataType.simpleString()))
+    return GenotypeBatch(layout, calls, flags, staging, qc)
 
 
 def genotype_outcomes(batch: GenotypeBatch) -> DataFrame:
-    return batch.flags.select(KEY, outcomes.genotype_code(None).alias("code"), "map_name")
+    return batch.flags.select(KEY, outcomes.genotype_code().alias("code"), "map_name")
 
 
 @dataclass
@@ -117,6 +128,9 @@ class UploadRun:
     catalog_rows: DataFrame    # maps registered by this run
     snp_rows: DataFrame
     alias_updates: DataFrame   # (nume_cari, map_name, number_snp, map_alias)
+    qc: DataFrame              # QC line per encoded sample
+    allele_errors: DataFrame   # bad allele letters per upload
+    long_ids: DataFrame        # sample ids over the length limit
 
 
 def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
@@ -129,13 +143,12 @@ def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, s
     g_B reports), several members (m_C / g_H), unreadable archive (c_B,
     stays pending), wrong type (c_A).
     """
-    from genospark.functions.sizing import checked_broadcast
     from genospark.operators import queue
     from genospark.sources.zipfiles import archive_status
 
     pend = stored(queue.pending(queue_df), "pending")
     names = queue.file_names(pend)
-    wanted = checked_broadcast(names.select(KEY, "file_name"))  # never shuffle lines by file
+    wanted = stored(names.select(KEY, "file_name"), "wanted")  # broadcast from its size, else AQE
     mine = stored(lines.join(wanted, "file_name"), "upload_lines")
     arch = archive_status(mine, keys=(KEY,))
     jobs = pend.select(KEY, "tipo_cari").join(arch, KEY, "left")
@@ -147,20 +160,28 @@ def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, s
     jobs = stored(jobs.withColumn("pre_code", pre), "jobs")
     early = jobs.where(F.col("pre_code").isNotNull()).select(KEY, F.col("pre_code").alias("code"))
     go = jobs.where(F.col("pre_code").isNull())
-    body = mine.where(F.col("status") == "ok").select(KEY, "line_no", "line")
+    body = mine.where(F.col("line").isNotNull()).select(KEY, "line_no", "line")  # bad archives have no upload in ``go``
     map_lines = body.join(go.where(is_map).select(KEY), KEY, "left_semi")  # jobs is stored: sized by file
     geno_lines = body.join(go.where(~is_map).select(KEY), KEY, "left_semi")
 
     mb = map_batch(map_lines, catalog, snp_maps, key=KEY, store_lines=False)
-    gb = genotype_batch(geno_lines, catalog, snp_maps, panel_map, store_lines=False)
+    # a report sees the maps that earlier uploads of the same batch register
+    new_rows = stored(mb.catalog_rows, "new-catalogue")
+    mapped = catalog.select("map_name", "number_snp", "map_alias", F.lit(None).cast("long").alias("since")).unionByName(
+        new_rows.select("map_name", "number_snp", "map_alias", F.col("upload").cast("long").alias("since")))
+    new_snps = stored(mb.snp_rows, "new-snps")
+    all_snps = snp_maps.select("map_name", "id", "snp_name").unionByName(new_snps.drop("upload"))
+    gb = genotype_batch(geno_lines, mapped, all_snps, panel_map, store_lines=False)
     geno_out = genotype_outcomes(gb)
     summaries = reconciliation(gb.calls, archive, gb.staging.select(KEY, "campione"))
     status = (outcomes.status_rows(early)
               .unionByName(outcomes.status_rows(mb.outcomes.select(KEY, "code")))
               .unionByName(outcomes.status_rows(geno_out.select(KEY, "code"), summaries)))
     chips = gb.layout.select(KEY, F.col("chip").alias("map_alias"))
-    sizes = catalog.select("map_name", "number_snp")
+    sizes = mapped.select("map_name", "number_snp")
     alias_updates = (geno_out.where(F.col("code") == "g_K").select(KEY, "map_name")
                      .join(chips, KEY).join(F.broadcast(sizes), "map_name", "left")
                      .select(KEY, "map_name", "number_snp", "map_alias"))
-    return UploadRun(status, gb.staging, names, mb.catalog_rows, mb.snp_rows, alias_updates)
+    staging = gb.staging.join(names.select(KEY, "file_name"), KEY)
+    return UploadRun(status, staging, names, new_rows, new_snps, alias_updates, gb.qc,
+                     encode.allele_errors(gb.calls), reconcile.long_ids(reconcile.report_samples(gb.calls)))

@@ -282,7 +282,10 @@ def q21_alias_updates(spark, sf_dir):
 def q22_map_consistency(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     assigned = fx.fx_calls.select("nume_cari").distinct().withColumn("map_name", F.lit(MAIN_MAP))
-    return reports.map_consistency(fx.fx_calls, assigned, fx.fx_snp_map)
+    main = reports.map_consistency(fx.fx_calls, assigned, fx.fx_snp_map)
+    lay, calls = _parsed_calls(fx)
+    resolved = reports.resolve_maps(lay, reports.sample_counts(calls), reports.snp_counts(calls), fx.fx_map_catalog)
+    return main.unionByName(reports.map_consistency(calls, resolved, _catalog_snp_maps(fx)))
 
 
 # --------------------------------------------------------------------------
@@ -303,13 +306,13 @@ def q34_staged_samples(spark, sf_dir):
 @query("q35")
 def q35_long_ids(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return reconcile.long_ids(reconcile.report_samples(fx.fx_calls))
+    return reconcile.long_ids(reconcile.report_samples(_parsed_calls(fx)[1]))
 
 
 @query("q36")
 def q36_summary(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return pipeline.reconciliation(fx.fx_calls, fx.fx_archive, fx.fx_staging)
+    return pipeline.reconciliation(_parsed_calls(fx)[1], fx.fx_archive, fx.fx_staging)
 
 
 def _genotype_batch(fx: Fixtures):

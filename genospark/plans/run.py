@@ -3,8 +3,9 @@
 ``run_batch`` is the set-based counterpart of one poll of the upload
 system: it decides every pending upload and writes the status log, the
 staging rows (main and panel strings), the genotype and panel CSV files, the
-newly registered maps and the alias updates.  ``process_queue_stream`` runs
-it for each micro-batch of a queue folder.
+QC tables, the newly registered maps and the alias updates.  Later passes
+read the registered maps together with the catalogue.  ``process_queue_stream``
+runs it for each micro-batch of a queue folder.
 """
 
 from __future__ import annotations
@@ -12,9 +13,13 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from genospark.operators import queue
 from genospark.plans import pipeline, sinks
+from genospark.session import stored
 from genospark.sources import tables
 from genospark.sources.zipfiles import zip_lines
 from genospark.streaming import queue_stream
@@ -33,38 +38,93 @@ class Layout:
         return os.path.join(self.out, name)
 
 
-def run_batch(spark: SparkSession, queue_df: DataFrame, layout: Layout) -> pipeline.UploadRun:
-    from genospark.operators import queue
-    pending_names = queue.file_names(queue.pending(queue_df)).select("file_name")
+def _registered(spark: SparkSession, path: str, columns: list[str], batch: DataFrame) -> DataFrame | None:
+    """Rows that earlier uploads registered; those of this batch's own uploads are written anew."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException:  # nothing registered yet
+        return None
+    mine = batch.select(F.col("nume_cari").cast("long").alias("upload"))
+    rows = rows.withColumn("upload", F.col("upload").cast("long")).join(mine, "upload", "left_anti")
+    return rows.select(*[F.col(c).cast("string") if c in ("map_name", "snp_name", "map_alias") else F.col(c)
+                         for c in columns])
+
+
+def run_batch(spark: SparkSession, queue_df: DataFrame, layout: Layout, batch: str | None = None) -> pipeline.UploadRun:
+    """Decide the pending rows of ``queue_df``; running a named batch again replaces its rows."""
+    pending = stored(queue.pending(queue_df), "batch")
+    catalog = tables.read_catalog(spark, layout.catalog)
+    snp_maps = tables.read_snp_maps(spark, layout.snp_maps)
+    new = _registered(spark, layout.path("new_catalog"), catalog.columns, pending)
+    if new is not None:
+        catalog = stored(catalog.unionByName(new), "catalogue")
+        snps = _registered(spark, layout.path("new_snp_maps"), snp_maps.columns, pending)
+        # read before this batch replaces its own partitions
+        snp_maps = snp_maps.unionByName(stored(snps, "registered-snps"))
     run = pipeline.process_uploads(
-        queue_df, zip_lines(spark, layout.uploads, names=pending_names),
-        tables.read_catalog(spark, layout.catalog),
-        tables.read_snp_maps(spark, layout.snp_maps), tables.read_archive(spark, layout.archive))
+        pending, zip_lines(spark, layout.uploads, names=queue.file_names(pending).select("file_name")),
+        catalog, snp_maps, tables.read_archive(spark, layout.archive))
     sinks.write_staging(run.staging, layout.path("staging"))
     sinks.write_genotype_csv(run.staging, run.names, layout.path("genotypes_csv"))
     sinks.write_panel_csv(run.staging, run.names, layout.path("panel_csv"))
+    sinks.write_checks(run.qc, run.allele_errors, run.long_ids, layout.path("checks"))
     sinks.register_maps(run.catalog_rows, run.snp_rows, layout.path("new_catalog"), layout.path("new_snp_maps"))
     sinks.append_alias_updates(run.alias_updates, layout.path("alias_updates"))
-    sinks.append_status(run.status, layout.path("status"))  # last: the upload is decided
+    sinks.append_status(run.status, layout.path("status"), batch)  # last: the upload is decided
     return run
 
 
+def _still_open(spark: SparkSession, layout: Layout, epoch_id: int, schema) -> DataFrame:
+    """Queue rows that the epochs before this one left pending."""
+    try:
+        rows = spark.read.parquet(layout.path("open")).where(F.col("epoch") < epoch_id)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    last = rows.agg(F.max("epoch")).first()[0]
+    return rows.where(F.col("epoch") == F.lit(last)).select(*[f.name for f in schema.fields])
+
+
 def process_queue_stream(spark: SparkSession, queue_dir: str, schema, layout: Layout, checkpoint: str,
-                         interval: str | None = None):
-    """Queue folder as a stream; each micro-batch runs ``run_batch`` on its pending,
-    not yet finally decided uploads (status log anti join)."""
+                         interval: str | None = None, archive_dir: str | None = None):
+    """Queue folder as a stream; each micro-batch runs ``run_batch`` on its pending rows and on
+    the rows that earlier micro-batches left pending (one row per upload, no final status yet).
+
+    All writes are by upload or by micro-batch id, so a replayed micro-batch adds nothing.
+    """
     status_dir = layout.path("status")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        done = (queue_stream.read_status(spark, status_dir).where("bit_elaborato = 1")
-                .selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari"))
-        todo = batch.join(done, "nume_cari", "left_anti")
-        run_batch(spark, todo, layout)
+        name = f"epoch-{epoch_id}"
+        log = queue_stream.read_status(spark, status_dir)
+        if "batch" in log.columns:  # a replay decides its own uploads again
+            log = log.where(F.col("batch") != name)
+        done = log.where("bit_elaborato = 1").selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari")
+        rows = queue.pending(batch).unionByName(_still_open(spark, layout, epoch_id, schema))
+        newest = Window.partitionBy("nume_cari").orderBy(F.col("data_cari").desc())
+        todo = stored(rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
+                      .join(done, "nume_cari", "left_anti"), "todo")
+        run = run_batch(spark, todo, layout, name)
+        left = run.status.where("bit_elaborato <> 1").selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari")
+        (todo.join(left, "nume_cari", "left_semi").write.mode("overwrite")
+         .parquet(layout.path(f"open/epoch={epoch_id}")))
 
-    q = (queue_stream.queue_stream(spark, queue_dir, schema).writeStream.foreachBatch(handle)
+    q = (queue_stream.queue_stream(spark, queue_dir, schema, archive_dir=archive_dir).writeStream.foreachBatch(handle)
          .option("checkpointLocation", checkpoint))
     if interval:
         return q.trigger(processingTime=interval).start()
     q = q.trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+def retry_open(spark: SparkSession, layout: Layout, schema, name: str) -> pipeline.UploadRun | None:
+    """Try the uploads that are still open again, outside of a micro-batch (e.g. before a poll that
+    brings no new rows); the ones that stay open are kept for the next time."""
+    rows = stored(_still_open(spark, layout, 1 << 62, schema), "open")
+    if rows.isEmpty():
+        return None
+    epoch = spark.read.parquet(layout.path("open")).agg(F.max("epoch")).first()[0]
+    run = run_batch(spark, rows, layout, name)
+    left = run.status.where("bit_elaborato <> 1").selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari")
+    rows.join(left, "nume_cari", "left_semi").write.mode("overwrite").parquet(layout.path(f"open/epoch={epoch}"))
+    return run

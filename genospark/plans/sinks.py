@@ -8,6 +8,8 @@ table is append-only and read through ``latest_status``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,14 +41,17 @@ def write_panel_csv(staging: DataFrame, names: DataFrame, out_dir: str) -> None:
 
 def write_staging(staging: DataFrame, path: str) -> None:
     """K5/K6: staging rows (with the panel column) partitioned by upload."""
-    _dynamic(staging).partitionBy("nume_cari").parquet(path)
+    _dynamic(staging.repartition("nume_cari")).partitionBy("nume_cari").parquet(path)
+
 
+def append_status(status: DataFrame, path: str, batch: str | None = None) -> None:
+    """K7: status log with the run timestamp and the run date text (yyyy-MM-dd).
 
-def append_status(status: DataFrame, path: str) -> None:
-    """K7: append-only status log with the run timestamp and the run date text (yyyy-MM-dd)."""
-    (status.withColumn("run_ts", F.current_timestamp())
-     .withColumn("run_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
-     .write.mode("append").parquet(path))
+    Rows of one batch are one partition: writing a batch again replaces them.
+    """
+    _dynamic(status.withColumn("run_ts", F.current_timestamp())
+             .withColumn("run_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
+             .withColumn("batch", F.lit(batch or uuid.uuid4().hex))).partitionBy("batch").parquet(path)
 
 
 def latest_status(status_log: DataFrame) -> DataFrame:
@@ -56,11 +61,18 @@ def latest_status(status_log: DataFrame) -> DataFrame:
 
 
 def register_maps(catalog_rows: DataFrame, snp_rows: DataFrame, catalog_path: str, maps_path: str) -> None:
-    """K1/K2: append new catalogue rows; SNP rows partitioned by map name."""
-    catalog_rows.write.mode("append").parquet(catalog_path)
-    snp_rows.write.mode("append").partitionBy("map_name").parquet(maps_path)
+    """K1/K2: new catalogue and SNP rows, partitioned by the registering upload; running an upload
+    again replaces its rows."""
+    _dynamic(catalog_rows).partitionBy("upload").parquet(catalog_path)
+    _dynamic(snp_rows.repartition("upload")).partitionBy("upload", "map_name").parquet(maps_path)
 
 
 def append_alias_updates(updates: DataFrame, path: str) -> None:
     """K8: (nume_cari, map_name, number_snp, map_alias) for uploads resolved by size with a new chip name."""
-    updates.write.mode("append").parquet(path)
+    _dynamic(updates).partitionBy("nume_cari").parquet(path)
+
+
+def write_checks(qc: DataFrame, allele_errors: DataFrame, long_ids: DataFrame, path: str) -> None:
+    """QC line per sample, bad allele letters per upload and over-long sample ids, by upload."""
+    for name, df in (("sample_qc", qc), ("allele_errors", allele_errors), ("long_ids", long_ids)):
+        _dynamic(df.repartition("nume_cari")).partitionBy("nume_cari").parquet(f"{path}/{name}")

@@ -47,8 +47,7 @@ OUTCOMES = [
     ("g_K", 1, 1, "Genotypes ready for loading"),
     ("g_L", 0, 1, "Sample number does not correspond"),
     ("g_M", 0, 1, "Chip exists but separator different from those in the parameter list"),
-    ("g_N", 0, 1, "Number or Names of SNPs different from an already loaded map. "
-            "Correct or load new map"),
+    ("g_N", 0, 1, "Number or Names of SNPs different from an already loaded map. Correct or load new map"),
 ]
 
 # Report column names, map column names, header markers.
@@ -68,6 +67,12 @@ PANEL_MAP = "554_ICAR"
 MAX_SAMPLE_ID_LENGTH = 25
 SUMMARY_LIST_SIZE = 10
 
+# Texts of the reconciliation summary.
+SUMMARY_READY = " genotypes ready to be uploaded.\n"
+SUMMARY_NOT_IN_ARCHIVE = " samples not present in genomic archive\n"
+SUMMARY_FIRST = "The first 10 are: "
+SUMMARY_OVERWRITTEN = " samples with existing Genotype that will be overwritten"
+
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
@@ -110,18 +115,7 @@ STATUS_SCHEMA = T.StructType([
 ])
 
 
-def decode_table(spark: SparkSession) -> DataFrame:
-    """4-row (pair, code) table; fixed size, safe to broadcast."""
-    return spark.createDataFrame(
-        [(p, int(c)) for p, c in DECODE_GENOTYPE], "pair string, code int")
-
-
 def outcome_table(spark: SparkSession) -> DataFrame:
     """21-row outcome dimension; fixed size, safe to broadcast."""
     return spark.createDataFrame(
         OUTCOMES, "code string, bit_ok int, bit_elaborato int, errori_elab string")
-
-
-def separator_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(i, s) for i, s in enumerate(SEPARATORS)], "priority int, sep string")

@@ -49,6 +49,14 @@ def read_archive(spark: SparkSession, source: str | dict,
 
 
 def read_staging(spark: SparkSession, source: str | dict, uploads: DataFrame | None = None) -> DataFrame:
-    """S6: staging rows; with ``uploads`` (one row per upload key), only those uploads."""
+    """S6: staging rows; with ``uploads`` (one row per upload key), only those uploads.
+
+    The keys' range is pushed to the source (a JDBC WHERE, parquet row groups); within it
+    the semi join keeps the uploads themselves.
+    """
     df = _lower(read_table(spark, source), ["nume_cari", "campione"])
-    return df.join(uploads.select("nume_cari"), "nume_cari", "left_semi") if uploads is not None else df
+    if uploads is None:
+        return df
+    low, high = uploads.agg(F.min("nume_cari"), F.max("nume_cari")).first()
+    return (df.where(F.col("nume_cari").between(low, high))
+            .join(uploads.select("nume_cari"), "nume_cari", "left_semi"))

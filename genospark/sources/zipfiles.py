@@ -1,20 +1,24 @@
 """Zipped upload files -> one row per text line.
 
-``binaryFile`` lists the archives (path filters and ``pathGlobFilter`` are
-applied before any content is read); ``mapInPandas`` opens each archive in the
-task that holds it and yields its lines in bounded batches.  An archive is not
-splittable, so parallelism is over files; downstream steps repartition by
-upload.  Archives with more or fewer than one member, corrupt archives and
-non-UTF-8 text become a status instead of an exception.
+``binaryFile`` lists the archives without reading them; the wanted ones are
+found by a join on the file name, and each task opens its archives from the
+file system and streams the member, so neither the list of paths nor an
+archive has to fit anywhere.  An archive is not splittable: parallelism is
+over files.  Archives with more or fewer than one member, damaged,
+encrypted or unsupported archives and non-UTF-8 text become a status instead
+of an exception.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,9 @@ from pyspark.sql import functions as F
 from genospark.schemas import LINES_SCHEMA
 
 LINES_PER_BATCH = 50_000
+#: What opening or reading a bad archive raises: damage, password, unknown method, not UTF-8, cut off.
+BAD_ARCHIVE = (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, UnicodeDecodeError, EOFError,
+               OSError, ValueError)
 
 
 def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
@@ -39,32 +46,38 @@ def _empty(path: str, n: int, status: str) -> pd.DataFrame:
                          "line_no": pd.array([None], dtype="Int64"), "line": [None]})
 
 
+def _open(path: str):
+    """The archive as a seekable stream."""
+    system, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return system.open_input_file(name)
+
+
 def _explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                zf = zipfile.ZipFile(io.BytesIO(content))
-                names = zf.namelist()
-            except zipfile.BadZipFile:
-                yield _empty(path, 0, "corrupt")
-                continue
-            if len(names) != 1:
-                yield _empty(path, len(names), "members")
-                continue
+        for path in pdf["path"]:
+            n = 0
             try:
-                with zf.open(names[0]) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8")
-                    buf, start = [], 0
-                    for line in text:
-                        buf.append(line.rstrip("\n"))
-                        if len(buf) >= LINES_PER_BATCH:
-                            yield _lines(path, start, buf)
-                            start += len(buf)
-                            buf = []
-                    if buf or start == 0:
-                        yield _lines(path, start, buf)
-            except (UnicodeDecodeError, zipfile.BadZipFile, EOFError):
-                yield _empty(path, 1, "corrupt")
+                with _open(path) as stream, zipfile.ZipFile(stream) as zf:
+                    n = len(zf.namelist())
+                    if n == 1:
+                        yield from _member(path, zf)
+                    else:
+                        yield _empty(path, n, "members")
+            except BAD_ARCHIVE:
+                yield _empty(path, n, "corrupt")  # wins over the lines read before (archive_status)
+
+
+def _member(path: str, zf: zipfile.ZipFile) -> Iterator[pd.DataFrame]:
+    with zf.open(zf.namelist()[0]) as raw:
+        buf, start = [], 0
+        for line in io.TextIOWrapper(raw, encoding="utf-8"):
+            buf.append(line.rstrip("\n"))
+            if len(buf) >= LINES_PER_BATCH:
+                yield _lines(path, start, buf)
+                start += len(buf)
+                buf = []
+        if buf or start == 0:
+            yield _lines(path, start, buf)
 
 
 def _lines(path: str, start: int, lines: list[str]) -> pd.DataFrame:
@@ -73,49 +86,43 @@ def _lines(path: str, start: int, lines: list[str]) -> pd.DataFrame:
                          "line_no": pd.array(range(start, start + n), dtype="Int64"), "line": lines})
 
 
-MAX_LISTED_FILES = 1_000_000
-
-
-def _lines_of(files: DataFrame) -> DataFrame:
-    lines = files.select("path", "content").mapInPandas(_explode, LINES_SCHEMA)
-    return lines.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
-
-
 def zip_lines(spark: SparkSession, root: str, glob: str = "*.zip", names: DataFrame | None = None) -> DataFrame:
     """(path, file_name, n_members, status, line_no, line) for the archives under ``root``.
 
     An archive with one member yields its lines (status ok, line_no from 0);
-    any other archive yields a single row with a null line.  With ``names``
-    (a ``file_name`` column, e.g. the pending uploads) only the matching
-    archives are read: the folder is listed without content, matched, and
-    only the matched paths are loaded.  Like Spark's own file listing, the
-    matched paths are driver-side metadata; their number is checked.
+    any other archive yields a row with a null line.  A damaged archive may
+    yield lines before that row: ``archive_status`` and ``good_lines`` drop them.
+    With ``names`` (a ``file_name`` column, e.g. the pending uploads) only the
+    matching archives are opened.
     """
-    if names is None:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", glob).load(root))
-        return _lines_of(files)
-    listed = list_archives(spark, root, glob).join(names.select("file_name").distinct(), "file_name", "left_semi")
-    paths = [r["path"] for r in listed.select("path").limit(MAX_LISTED_FILES + 1).collect()]
-    if len(paths) > MAX_LISTED_FILES:
-        raise ValueError(f"more than {MAX_LISTED_FILES} archives matched; process the queue in smaller passes")
-    if not paths:
-        return spark.createDataFrame([], LINES_SCHEMA).withColumn("file_name", F.lit(None).cast("string"))
-    return _lines_of(spark.read.format("binaryFile").load(paths))
+    files = list_archives(spark, root, glob)
+    if names is not None:
+        files = files.join(names.select("file_name").distinct(), "file_name", "left_semi")
+    # one archive per task where there are enough tasks: they are of unlike size
+    spread = files.select("path").repartition("path")
+    return spread.mapInPandas(_explode, LINES_SCHEMA).withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
 def archive_status(lines: DataFrame, keys: tuple[str, ...] = ("path", "file_name")) -> DataFrame:
     """One row per archive: member count, status, first line (the type check reads it).
 
-    Hash aggregates only: the first line is picked by (key, min line_no) with a
-    broadcast semi join instead of a string-valued min_by over every line.
-    The broadcast side has one row per archive; archives are bounded by the
-    checked file list (``zip_lines(names=...)``, ``pipeline.process_uploads``).
+    One corrupt row makes the archive corrupt, whatever lines came before it; then
+    ``members``, then ``ok``.  Hash aggregates over numbers only; the first lines are picked
+    by their line number.
     """
+    def any_row(status: str):
+        return F.max(F.col("status") == status)
     per = lines.groupBy(*keys).agg(
-        F.max("n_members").alias("n_members"), F.max("status").alias("status"),
+        F.max("n_members").alias("n_members"),
+        F.when(any_row("corrupt"), "corrupt").when(any_row("members"), "members").otherwise("ok").alias("status"),
         F.count("line").alias("n_lines"), F.min("line_no").alias("line_no"))
-    first = (lines.join(F.broadcast(per.select(*keys, "line_no").where(F.col("line_no").isNotNull())),
-                        [*keys, "line_no"], "left_semi")
+    numbers = per.select(*keys, "line_no").where(F.col("line_no").isNotNull())
+    first = (lines.join(numbers, [*keys, "line_no"], "left_semi")
              .groupBy(*keys).agg(F.min("line").alias("first_line")))
     return per.drop("line_no").join(first, list(keys), "left")
+
+
+def good_lines(lines: DataFrame, status: DataFrame, keys: tuple[str, ...] = ("path", "file_name")) -> DataFrame:
+    """The lines of the archives that are ok as a whole."""
+    ok = status.where("status = 'ok'").select(*keys)
+    return lines.where(F.col("status") == "ok").join(ok, list(keys), "left_semi")

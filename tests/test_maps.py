@@ -1,4 +1,4 @@
-"""Map naming and identity: batch duplicates, series letters, overflow past z."""
+"""Map naming and identity: batch duplicates, free names, series letters."""
 
 from genospark.operators import maps
 
@@ -35,11 +35,28 @@ def test_batch_duplicates_and_series(spark):
                    "u4": ("m_D", "3_a"), "u5": ("m_F", "3_b")}
 
 
-def test_series_overflow_fails(spark):
-    catalog = [(f"1_{chr(97 + i)}", 1, f"C{i}") for i in range(26)]
-    snps = [(f"1_{chr(97 + i)}", 1, f"N{i}") for i in range(26)]
-    got = _run(spark, {"late": ["fresh"]}, catalog, snps)
-    assert got == {"late": ("m_B", None)}
+def test_series_goes_on_after_z(spark):
+    catalog = [(f"1_{chr(97 + i)}", 1, f"C{i}") for i in range(25)]
+    snps = [(f"1_{chr(97 + i)}", 1, f"N{i}") for i in range(25)]
+    got = _run(spark, {"u1": ["f1"], "u2": ["f2"], "u3": ["f3"]}, catalog, snps)
+    assert got == {"u1": ("m_F", "1_z"), "u2": ("m_F", "1_aa"), "u3": ("m_F", "1_ab")}
+
+
+def test_free_names_fill_gaps(spark):
+    catalog = [("3_b", 3, None), ("3_d", 3, None), ("2_ICAR", 2, None), ("2", 2, None), ("4_c", 9, None)]
+    uploads = {"u1": ["A", "B", "C"], "u2": ["A", "B", "D"], "u3": ["A", "B", "E"], "v1": ["A", "B"],
+               "w1": ["A", "B", "C", "D"]}
+    got = _run(spark, uploads, catalog, [("3_b", 1, "X")])
+    assert got == {"u1": ("m_F", "3_a"), "u2": ("m_F", "3_c"), "u3": ("m_F", "3_e"), "v1": ("m_F", "2_a"),
+                   "w1": ("m_E", "4_a")}
+
+
+def test_series_letters_and_back(spark):
+    slots = spark.createDataFrame([(k,) for k in (0, 25, 26, 51, 701, 702, 18277, 18278)], "slot long")
+    rows = slots.withColumn("text", maps.series_letters(slots["slot"]))
+    got = rows.withColumn("back", maps.series_slot(rows["text"])).collect()
+    assert [r.text for r in got] == ["a", "z", "aa", "az", "zz", "aaa", "zzz", "aaaa"]
+    assert all(r.slot == r.back for r in got)
 
 
 def test_name_checks(spark):

@@ -34,12 +34,14 @@ def test_outcomes(spark, tmp_path):
     write_zip(d, "MAP_11.zip", {"m.txt": map_file(["S1", "S2", "S9"], sep=";")})
     write_zip(d, "MAP_12.zip", {"m.txt": map_file(["S1", "S1"])})
     write_zip(d, "MAP_13.zip", {"m.txt": map_file(["S1"], header=("Index", "SNP", "Chr"))})
+    # resolved by size: before MAP_11 registers a second map of size 3, and after it
+    write_zip(d, "GEN_0.zip", {"r.txt": report(_report_rows(["H"], three), chip="CHIPZ")})
     write_zip(d, "GEN_14.zip", {"r.txt": report(_report_rows(["H"], three), chip="CHIPZ")})
     write_zip(d, "GEN_15.zip", {"r.txt": report(_report_rows(["I"], three))})
     t = dt.datetime(2024, 1, 1)
     jobs = [(k, t, 1, "M" if k in (8, 9, 10, 11, 12, 13) else "G",
              f"{'M' if k in (8, 9, 10, 11, 12, 13) else 'G'}_{k}.zip", 1 if k == 15 else 0)
-            for k in range(1, 16)]
+            for k in range(16)]
     queue = spark.createDataFrame(jobs, QUEUE)
     catalog = spark.createDataFrame([("3_a", 3, "CHIPA")], "map_name string, number_snp int, map_alias string")
     snp_maps = spark.createDataFrame(
@@ -48,17 +50,17 @@ def test_outcomes(spark, tmp_path):
     archive = spark.createDataFrame([("  A ",), (None,), ("C",)], "chr_codicecampionelab string")
     run = pipeline.process_uploads(queue, zip_lines(spark, d), catalog, snp_maps, archive)
     codes = {int(r["nume_cari"]): r["code"] for r in run.status.collect()}
-    assert codes == {1: "g_I", 2: "g_I", 3: "g_A", 4: "g_M", 5: "g_C", 6: "g_H", 7: "g_B",
-                     8: "c_A", 9: "m_E", 10: "m_D", 11: "m_F", 12: "m_A", 13: "m_B", 14: "g_K"}
+    assert codes == {0: "g_K", 1: "g_I", 2: "g_I", 3: "g_A", 4: "g_M", 5: "g_C", 6: "g_H", 7: "g_B",
+                     8: "c_A", 9: "m_E", 10: "m_D", 11: "m_F", 12: "m_A", 13: "m_B", 14: "g_N"}
     staged = {(r["nume_cari"], r["campione"]): r for r in run.staging.collect()}
     assert staged[(1, "A")]["genotipo"] == "111" and staged[(1, "A")]["genotipo_parentela"] == "11"
     assert staged[(1, " B")]["callrate_g"] == 1.0
-    assert staged[(14, "H")]["mappa_usata_g"] == "3_a"
+    assert staged[(0, "H")]["mappa_usata_g"] == "3_a"
     assert {r["map_name"] for r in run.catalog_rows.collect()} == {"2_a", "3_b"}
     assert sorted((r["map_name"], r["id"], r["snp_name"]) for r in run.snp_rows.where("map_name = '2_a'").collect()) == [
         ("2_a", 1, "X1"), ("2_a", 2, "X2")]
     upd = run.alias_updates.collect()
-    assert [(r["nume_cari"], r["map_name"], r["map_alias"]) for r in upd] == [(14, "3_a", "CHIPZ")]
+    assert [(r["nume_cari"], r["map_name"], r["map_alias"]) for r in upd] == [(0, "3_a", "CHIPZ")]
     msg = {int(r["nume_cari"]): r["errori_elab"] for r in run.status.collect()}
     assert msg[1].startswith("2 genotypes ready to be uploaded.\n1 samples not present in genomic archive\n"
                              "The first 10 are:  B\n2 samples with existing Genotype")
@@ -118,15 +120,127 @@ def test_stream_runs_full_batches(spark, tmp_path):
     assert csv.count() == 2
 
 
-def test_empty_panel_map_leaves_batch_pending(spark, tmp_path):
+def _world(spark, tmp_path, catalog, snps):
+    """Folders for one run: uploads, catalogue, maps, archive, outputs."""
     import os
-    import pytest
+    from genospark.plans.run import Layout
     d = str(tmp_path / "uploads")
     os.makedirs(d)
+    spark.createDataFrame(catalog, "map_name string, number_snp int, map_alias string").write.parquet(
+        str(tmp_path / "catalog"))
+    spark.createDataFrame(snps, "map_name string, id long, snp_name string").write.parquet(str(tmp_path / "maps"))
+    spark.createDataFrame([("A",)], "chr_codicecampionelab string").write.parquet(str(tmp_path / "archive"))
+    return d, Layout(d, str(tmp_path / "catalog"), str(tmp_path / "maps"), str(tmp_path / "archive"),
+                     str(tmp_path / "out"))
+
+
+def _queue(spark, *rows):
+    t = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([(k, t, 1, kind, f"{kind}_{k}.zip", 0) for k, kind in rows], QUEUE)
+
+
+def _codes(spark, layout):
+    return {int(r["nume_cari"]): r["code"] for r in spark.read.parquet(layout.path("status")).collect()}
+
+
+PANEL = [("554_ICAR", 1, "S1")]
+
+
+def test_empty_panel_map_leaves_its_uploads_pending(spark, tmp_path):
+    from genospark.plans.run import run_batch
+    d, layout = _world(spark, tmp_path, [("1_a", 1, "CHIPA")], [("1_a", 1, "S1")])
     write_zip(d, "GEN_1.zip", {"r.txt": report(_report_rows(["A"], ["S1"]), chip="CHIPA")})
-    queue = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1, "G", "G_1.zip", 0)], QUEUE)
-    catalog = spark.createDataFrame([("1_a", 1, "CHIPA")], "map_name string, number_snp int, map_alias string")
-    snp_maps = spark.createDataFrame([("1_a", 1, "S1")], "map_name string, id long, snp_name string")
-    archive = spark.createDataFrame([("A",)], "chr_codicecampionelab string")
-    with pytest.raises(RuntimeError, match="panel map"):
-        pipeline.process_uploads(queue, zip_lines(spark, d), catalog, snp_maps, archive)
+    write_zip(d, "MAP_2.zip", {"m.txt": map_file(["X", "Y"])})
+    write_zip(d, "GEN_3.zip", {"r.txt": report(_report_rows(["A"], ["NOPE"]), chip="CHIPA")})
+    run_batch(spark, _queue(spark, (1, "G"), (2, "M"), (3, "G")), layout)
+    assert _codes(spark, layout) == {1: "c_B", 2: "m_E", 3: "g_N"}
+    flags = {int(r["nume_cari"]): r["bit_elaborato"] for r in spark.read.parquet(layout.path("status")).collect()}
+    assert flags == {1: 0, 2: 1, 3: 1}
+
+
+def _map_report_map(d):
+    write_zip(d, "MAP_1.zip", {"m.txt": map_file(["P", "Q", "R"])})
+    write_zip(d, "GEN_2.zip", {"r.txt": report(_report_rows(["A", "B"], ["P", "Q", "R"]), chip=None)})
+    write_zip(d, "MAP_3.zip", {"m.txt": map_file(["R", "Q", "P"])})
+
+
+def _one_registration(spark, layout):
+    rows = spark.read.parquet(layout.path("new_catalog")).collect()
+    assert [(r["map_name"], r["number_snp"], int(r["upload"])) for r in rows] == [("3_a", 3, 1)]
+    snps = spark.read.parquet(layout.path("new_snp_maps")).orderBy("id").collect()
+    assert [(r["id"], r["snp_name"]) for r in snps] == [(1, "P"), (2, "Q"), (3, "R")]
+
+
+def test_a_registered_map_is_seen_by_later_batches(spark, tmp_path):
+    from genospark.plans.run import run_batch
+    d, layout = _world(spark, tmp_path, [("9_a", 9, None)], PANEL)
+    _map_report_map(d)
+    for k, kind in ((1, "M"), (2, "G"), (3, "M"), (1, "M")):  # the first one again: nothing new
+        run_batch(spark, _queue(spark, (k, kind)), layout, f"b{k}")
+        assert _codes(spark, layout)[k] == {1: "m_E", 2: "g_I", 3: "m_D"}[k]
+    _one_registration(spark, layout)
+    assert spark.read.parquet(layout.path("status")).count() == 3
+    staged = spark.read.parquet(layout.path("staging")).collect()
+    assert {(r["campione"], r["genotipo"], r["mappa_usata_g"], r["file_name"]) for r in staged} == {
+        ("A", "111", "3_a", "GEN_2.zip"), ("B", "111", "3_a", "GEN_2.zip")}
+    qc = spark.read.parquet(layout.path("checks/sample_qc")).collect()
+    assert {(r["campione"], r["n_missing"], r["n_not_in_map"], r["call_rate"]) for r in qc} == {
+        ("A", 0, 0, 1.0), ("B", 0, 0, 1.0)}
+    assert spark.read.parquet(layout.path("checks/allele_errors")).first()["n_bad_a1"] == 0
+
+
+def test_a_map_is_seen_by_later_uploads_of_its_batch(spark, tmp_path):
+    from genospark.plans.run import run_batch
+    d, layout = _world(spark, tmp_path, [("9_a", 9, None)], PANEL)
+    _map_report_map(d)
+    write_zip(d, "GEN_0.zip", {"r.txt": report(_report_rows(["A"], ["P", "Q", "R"]), chip=None)})
+    run_batch(spark, _queue(spark, (0, "G"), (1, "M"), (2, "G"), (3, "M")), layout)
+    assert _codes(spark, layout) == {0: "g_N", 1: "m_E", 2: "g_I", 3: "m_D"}
+    _one_registration(spark, layout)
+
+
+def test_damaged_archives_keep_no_line(spark, tmp_path):
+    import zipfile
+    from genospark.plans.run import run_batch
+    d, layout = _world(spark, tmp_path, [("3_a", 3, "CHIPA")], [("3_a", i, f"S{i}") for i in (1, 2, 3)] + PANEL)
+    rows = [(f"S{1 + k % 3}", f"smp{k // 3}", "A", "B") for k in range(60_000)]
+    write_zip(d, "GEN_1.zip", {"r.txt": report(rows, chip="CHIPA")})
+    for k in (2, 3, 4):
+        with zipfile.ZipFile(f"{d}/GEN_{k}.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("r.txt", report(rows, chip="CHIPA"))
+    raw = bytearray(open(f"{d}/GEN_2.zip", "rb").read())
+    at = raw.rfind(b"PK\x01\x02")
+    raw[at + 16:at + 20] = b"abcd"  # the directory's checksum
+    open(f"{d}/GEN_2.zip", "wb").write(raw)
+    raw = bytearray(open(f"{d}/GEN_3.zip", "rb").read())
+    raw[len(raw) // 2:len(raw) // 2 + 400] = b"\xff" * 400  # the stream
+    open(f"{d}/GEN_3.zip", "wb").write(raw)
+    raw = bytearray(open(f"{d}/GEN_4.zip", "rb").read())
+    raw[6] |= 1  # marked as encrypted
+    raw[raw.rfind(b"PK\x01\x02") + 8] |= 1
+    open(f"{d}/GEN_4.zip", "wb").write(raw)
+    run_batch(spark, _queue(spark, (1, "G"), (2, "G"), (3, "G"), (4, "G")), layout)
+    assert _codes(spark, layout) == {1: "g_I", 2: "c_B", 3: "c_B", 4: "c_B"}
+    staged = spark.read.parquet(layout.path("staging"))
+    assert [r["nume_cari"] for r in staged.select("nume_cari").distinct().collect()] == [1] and staged.count() == 20_000
+
+
+def test_open_uploads_are_tried_again(spark, tmp_path):
+    from genospark.plans.run import process_queue_stream, retry_open
+    d, layout = _world(spark, tmp_path, [("3_a", 3, None)], [("3_a", i, f"S{i}") for i in (1, 2, 3)] + PANEL)
+    qdir = str(tmp_path / "queue")
+    first = _queue(spark, (1, "M"), (2, "M"))
+    first.coalesce(1).write.parquet(qdir)
+    process_queue_stream(spark, qdir, first.schema, layout, str(tmp_path / "ck"))
+    assert _codes(spark, layout) == {1: "c_B", 2: "c_B"}
+    write_zip(d, "MAP_1.zip", {"m.txt": map_file(["X1", "X2"])})  # the archive comes late
+    _queue(spark, (3, "G")).coalesce(1).write.mode("append").parquet(qdir)
+    process_queue_stream(spark, qdir, first.schema, layout, str(tmp_path / "ck"))
+    latest = {(r["batch"], int(r["nume_cari"])): r["code"] for r in spark.read.parquet(layout.path("status")).collect()}
+    assert latest == {("epoch-0", 1): "c_B", ("epoch-0", 2): "c_B", ("epoch-1", 1): "m_E", ("epoch-1", 2): "c_B",
+                      ("epoch-1", 3): "g_B"}
+    write_zip(d, "MAP_2.zip", {"m.txt": map_file(["Y1", "Y2"])})
+    assert retry_open(spark, layout, first.schema, "again") is not None
+    assert retry_open(spark, layout, first.schema, "again-2") is None
+    final = spark.read.parquet(layout.path("status")).where("bit_elaborato = 1").collect()
+    assert {(int(r["nume_cari"]), r["code"]) for r in final} == {(1, "m_E"), (2, "m_F"), (3, "g_B")}

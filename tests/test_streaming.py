@@ -17,7 +17,7 @@ def test_stream_once_and_restart(spark, tmp_path):
     assert first == pending
     queue_stream.run_queue(spark, qdir, jobs.schema, sdir, ck, files)  # restart: nothing new
     assert spark.read.parquet(sdir).count() == first
-    # a later file with a re-queued map upload: still pending (c_B), so it is processed again
+    # the uploads left pending (c_B) are the ones to try again (tests/test_pipeline.py does)
     retry = queue_stream.retry_set(jobs, spark.read.parquet(sdir))
     assert retry.count() == spark.read.parquet(sdir).where("code = 'c_B'").count()
     assert os.path.isdir(ck)
