@@ -2,7 +2,8 @@
 
 The library never picks storage locations on its own: lineage cuts use the
 shared folder named by ``spark.checkpoint.dir``.  Only ``local_session`` (used by
-tests, bench and the driver smoke check) fills that setting in when it is unset.
+tests, bench and the driver smoke check) and ``local_checkpoint_dir`` (the entry) fill
+that setting in when it is unset, on one machine.
 """
 
 from __future__ import annotations
@@ -42,24 +43,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="genospark-ckpt-"))
+    local_checkpoint_dir(spark)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session (``spark.checkpoint.dir``).
+def local_checkpoint_dir(spark: SparkSession) -> None:
+    """For harnesses (entry, bench, tests) on one machine: a fresh folder where the setting is unset."""
+    if spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="genospark-ckpt-"))
 
-    On a cluster the setting must name a shared folder.  Only a local-mode
-    session (one machine, e.g. a test harness) without the setting gets a
-    fresh folder of its own.
-    """
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder of the session (``spark.checkpoint.dir``), which must be set."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
-        path = tempfile.mkdtemp(prefix="genospark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
     return path
 
 
