@@ -61,7 +61,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+def stored(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` as a parquet table under ``spark.checkpoint.dir`` and read it back.
 
     Cuts lineage (a lost executor recomputes nothing before this point: the
@@ -71,7 +71,7 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)
 
 
