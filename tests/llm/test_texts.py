@@ -203,9 +203,11 @@ def brute_repeats(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("bucket", [1_000_000, 40])
-def test_repeated_strings(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("bucket, group", [(1_000_000, 20_000), (40, 3), (1_000_000, 3)])
+def test_repeated_strings(spark, monkeypatch, bucket, group):
     monkeypatch.setattr(S, "BUCKET_ENTRIES", bucket)
+    monkeypatch.setattr(S, "GROUP_RUNS", group)
+    monkeypatch.setattr(S, "BUCKET_RUNS", 2 * group)
     rng = random.Random(9)
     passages = [words(rng, 40) for _ in range(3)]
     rows = messy_texts() + [(5000 + i, words(rng, i % 7) + rng.choice(passages)[i % 50:] + words(rng, 9)) for i in range(60)]
