@@ -75,13 +75,28 @@ def run_batch(spark: SparkSession, queue_df: DataFrame, layout: Layout, batch: s
 
 
 def _still_open(spark: SparkSession, layout: Layout, epoch_id: int, schema) -> DataFrame:
-    """Queue rows that the epochs before this one left pending."""
+    """Queue rows that the last epoch before this one left pending."""
+    last = _last_epoch(spark, layout, epoch_id)
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(layout.path(f"open/epoch={last}"))
+
+
+def _last_epoch(spark: SparkSession, layout: Layout, before: int) -> int | None:
+    """The last epoch that wrote its open rows (there may be none of them)."""
     try:
-        rows = spark.read.parquet(layout.path("open")).where(F.col("epoch") < epoch_id)
+        marks = spark.read.parquet(layout.path("open_epochs"))
     except AnalysisException:
-        return spark.createDataFrame([], schema)
-    last = rows.agg(F.max("epoch")).first()[0]
-    return rows.where(F.col("epoch") == F.lit(last)).select(*[f.name for f in schema.fields])
+        return None
+    return marks.where(F.col("epoch") < before).agg(F.max("epoch")).first()[0]
+
+
+def _keep_open(todo: DataFrame, run: pipeline.UploadRun, layout: Layout, epoch_id: int) -> None:
+    """Keep the rows that are still pending for the next epoch."""
+    left = run.status.where("bit_elaborato <> 1").selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari")
+    (todo.join(left, "nume_cari", "left_semi").select(*todo.columns).write.mode("overwrite")
+     .parquet(layout.path(f"open/epoch={epoch_id}")))
+    todo.sparkSession.range(1).write.mode("overwrite").parquet(layout.path(f"open_epochs/epoch={epoch_id}"))
 
 
 def process_queue_stream(spark: SparkSession, queue_dir: str, schema, layout: Layout, checkpoint: str,
@@ -103,10 +118,7 @@ def process_queue_stream(spark: SparkSession, queue_dir: str, schema, layout: La
         newest = Window.partitionBy("nume_cari").orderBy(F.col("data_cari").desc())
         todo = stored(rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
                       .join(done, "nume_cari", "left_anti"), "todo")
-        run = run_batch(spark, todo, layout, name)
-        left = run.status.where("bit_elaborato <> 1").selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari")
-        (todo.join(left, "nume_cari", "left_semi").write.mode("overwrite")
-         .parquet(layout.path(f"open/epoch={epoch_id}")))
+        _keep_open(todo, run_batch(spark, todo, layout, name), layout, epoch_id)
 
     q = (queue_stream.queue_stream(spark, queue_dir, schema, archive_dir=archive_dir).writeStream.foreachBatch(handle)
          .option("checkpointLocation", checkpoint))
@@ -123,8 +135,6 @@ def retry_open(spark: SparkSession, layout: Layout, schema, name: str) -> pipeli
     rows = stored(_still_open(spark, layout, 1 << 62, schema), "open")
     if rows.isEmpty():
         return None
-    epoch = spark.read.parquet(layout.path("open")).agg(F.max("epoch")).first()[0]
     run = run_batch(spark, rows, layout, name)
-    left = run.status.where("bit_elaborato <> 1").selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari")
-    rows.join(left, "nume_cari", "left_semi").write.mode("overwrite").parquet(layout.path(f"open/epoch={epoch}"))
+    _keep_open(rows, run, layout, _last_epoch(spark, layout, 1 << 62))
     return run

@@ -46,10 +46,42 @@ def _empty(path: str, n: int, status: str) -> pd.DataFrame:
                          "line_no": pd.array([None], dtype="Int64"), "line": [None]})
 
 
-def _open(path: str):
+class _Stream(io.RawIOBase):
+    """A file of any file system; a seek before its start is an OSError, as ``zipfile`` expects."""
+
+    def __init__(self, path: str):
+        system, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+        self.file = system.open_input_file(name)
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.file.read(len(buffer))
+        buffer[:len(data)] = data
+        return len(data)
+
+    def tell(self) -> int:
+        return self.file.tell()
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            self.file.seek(offset, whence)
+        except ValueError as e:
+            raise OSError(str(e)) from e
+        return self.file.tell()
+
+    def close(self) -> None:
+        self.file.close()
+        super().close()
+
+
+def _open(path: str) -> io.BufferedReader:
     """The archive as a seekable stream."""
-    system, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-    return system.open_input_file(name)
+    return io.BufferedReader(_Stream(path), 1 << 20)
 
 
 def _explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
