@@ -45,7 +45,9 @@ SHARD_TOKENS = 2_000_000
 QUERY_TOKENS = 16
 K1, B = 1.2, 0.75
 #: Distinct words a worker remembers; it then starts anew.
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 600_000
+#: New words encoded at once; an encoding takes far more memory than its ids.
+ENCODED_WORDS = 4096
 
 _SPLIT = np.ones(256, bool)
 _SPLIT[[0x20, 0x09, 0x0A, 0x0D]] = False
@@ -74,8 +76,8 @@ class WordCache:
         known = list(map(self.slot.get, words.tolist()))
         new = [k for k, s in enumerate(known) if s is None]
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(
-                [text[start[k]:end[k]].decode() for k in new], add_special_tokens=False)]
+            found = [e.ids for a in range(0, len(new), ENCODED_WORDS) for e in self.tokenizer.encode_batch_fast(
+                [text[start[k]:end[k]].decode() for k in new[a:a + ENCODED_WORDS]], add_special_tokens=False)]
             n = len(self.slot)
             for j, k in enumerate(new):
                 known[k] = self.slot[int(words[k])] = n + j
