@@ -1,10 +1,10 @@
 """Corpus pipeline: five stages from raw documents to packed sequences.
 
 Each stage takes the rows that its predecessor kept, read back from Parquet, and all
-but the last return the columns of ``documents``.  A stage's ``docs`` must be a stored
-table (or any frame whose rows come in the same partitions whenever it is read).
+but the last return the columns of ``documents``.
 
-Rows that a stage drops reach the texts as a stored table of ids: a small one is
+A stage drops rows by a number of the row that no second scan can change (see
+``numbered``).  The dropped numbers reach the texts as a stored table: a small one is
 broadcast by its known size, so texts are shuffled only if many rows go.
 
 Defined cases: null and empty texts pass the first stage by their weight of 0 or not at
@@ -28,6 +28,26 @@ from genospark.llm.ngram_jaccard import near_copies
 from genospark.session import stored
 
 _ROW = "__pipeline_row"
+_FILE, _FILE_NUMBER = "__pipeline_file", "__pipeline_file_number"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a long in ``_ROW`` that is unique to the row and the same in every scan.
+
+    A table of files is numbered by each row's file and place in it, however a scan is
+    split.  Any other frame is stored with its numbers; one that has them stays.
+    """
+    if _ROW in docs.columns:
+        return docs
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    at = docs.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias("__at"))
+    # the driver lists the files of a table anyway
+    paths = sorted(r[0] for r in at.select(_FILE).distinct().collect())
+    files = docs.sparkSession.createDataFrame([(p, k) for k, p in enumerate(paths)],
+                                              f"{_FILE} string, {_FILE_NUMBER} long")
+    return at.join(F.broadcast(files), _FILE).select(
+        *docs.columns, F.shiftleft(_FILE_NUMBER, 36).bitwiseOR(F.col("__at")).alias(_ROW))
 
 
 def _without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
@@ -43,7 +63,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id."""
-    rows = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    rows = numbered(docs)
     dropped = exact_dedup(rows, row_col=_ROW).where("NOT kept")
     return _without(rows, dropped, _ROW).select(*docs.columns)
 

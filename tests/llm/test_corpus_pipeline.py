@@ -46,6 +46,27 @@ def test_stages(spark, tmp_path):
     check_pieces(after["decontamination"], docs.collect(), 1)
 
 
+def test_exact_stage_when_the_second_scan_is_split_otherwise(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i % 300}") for i in range(400)]
+    docs = spark.read.parquet(f"{folder(spark, str(tmp_path), documents=documents(spark, rows))}/documents.parquet")
+    judge, size = C.exact_dedup, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+
+    def judge_then_split(*args, **options):
+        found = judge(*args, **options)
+        spark.conf.set(size, "300")  # as if the number of cores had changed
+        return found
+
+    monkeypatch.setattr(C, "exact_dedup", judge_then_split)
+    try:
+        for frame in (docs, docs.where("doc_id >= 0")):  # a table, and a frame over one
+            spark.conf.set(size, before)
+            got = C.exact(spark, frame, "").collect()
+            assert sorted(r.doc_id for r in got) == list(range(100, 400))
+    finally:
+        spark.conf.set(size, before)
+
+
 def test_run_on_generated_documents(spark):
     sf = "/root/testdata/sf0.001"
     pieces = C.run(spark, sf)
