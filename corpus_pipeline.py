@@ -8,9 +8,9 @@ A stage drops rows by a number of the row that no second scan can change (see
 broadcast by its known size, so texts are shuffled only if many rows go.
 
 Defined cases: null and empty texts pass the first stage by their weight of 0 or not at
-all, one of them passes the second, and the rest as each operator says; rows that
-share an id, but not their text, stay or go together from the third stage on; an
-empty table gives an empty result of the last stage's columns; columns beside id and
+all, one of them passes the second, and the rest as each operator says; rows are judged
+one by one, also those that share an id or have none, and of near copies a row without
+id stays only if none has one; an empty table gives an empty result of the last stage's columns; columns beside id and
 text go through the first four stages untouched.
 """
 
@@ -50,10 +50,10 @@ def numbered(docs: DataFrame) -> DataFrame:
         *docs.columns, F.shiftleft(_FILE_NUMBER, 36).bitwiseOR(F.col("__at")).alias(_ROW))
 
 
-def _without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """``docs`` without the rows whose key is in the one column of ``dropped``."""
-    gone = stored(dropped.select(F.col(key).alias("__gone")).distinct(), "dropped")
-    return docs.join(gone, docs[key].eqNullSafe(gone["__gone"]), "left_anti")
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The ``numbered`` rows whose number is not in ``dropped``."""
+    gone = stored(dropped.select(F.col(_ROW).alias("__gone")).distinct(), "dropped")
+    return rows.join(gone, rows[_ROW] == gone["__gone"], "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,19 +65,25 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id."""
     rows = numbered(docs)
     dropped = exact_dedup(rows, row_col=_ROW).where("NOT kept")
-    return _without(rows, dropped, _ROW).select(*docs.columns)
+    return _without(rows, dropped).select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
-    found = near_copies(docs)
-    return _without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "doc_id")
+    """Of each group of near copies the row with the smallest id; texts without shingles have no copies."""
+    rows = numbered(docs)
+    found = near_copies(rows, id_col=_ROW).where("n_shingles > 0")
+    found = stored(found.join(rows.select(_ROW, "doc_id"), _ROW).select(_ROW, "doc_id", "component_id"), "near")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", _ROW))[_ROW].alias(_ROW)
+    stay = found.groupBy("component_id").agg(first).select(_ROW)
+    return _without(rows, found.join(stay, _ROW, "left_anti")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.where("contaminated"), "doc_id")
+    rows = numbered(docs)
+    found = decontaminate(rows.select(F.col(_ROW).alias("doc_id"), "text"),
+                          spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, found.where("contaminated").withColumnRenamed("doc_id", _ROW)).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

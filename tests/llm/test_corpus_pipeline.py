@@ -67,6 +67,30 @@ def test_exact_stage_when_the_second_scan_is_split_otherwise(spark, tmp_path, mo
         spark.conf.set(size, before)
 
 
+def test_one_bad_row_among_clean_ones_that_share_its_id(spark, tmp_path):
+    rng = random.Random(3)
+    clean = [words(rng, 40, 100_000) for _ in range(8)]
+    near = [words(rng, 60, 100_000) for _ in range(3)]
+    leak = words(rng, 30, 100_000)
+    rows = [(None, t) for t in clean[:4]] + [(7, t) for t in clean[4:]]
+    rows += [(None, near[0]), (3, near[0] + " end"),  # a near copy without id, among clean rows without id
+             (7, near[1]), (7, near[1] + " end"),  # near copies that share an id
+             (None, near[2]), (None, near[2] + " end"),  # near copies without id
+             (None, f"{words(rng, 30, 100_000)} {leak}"), (7, f"{leak} {words(rng, 30, 100_000)}"), (8, "x"), (8, "y"), (None, None)]
+    path = folder(spark, str(tmp_path), documents=documents(spark, rows), benchmark=spark.createDataFrame(
+        [(1, leak)], "item_id long, text string"))
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+
+    got = [(r.doc_id, r.text) for r in C.near(spark, docs, path).collect()]
+    assert (3, near[0] + " end") in got and (None, near[0]) not in got
+    for i, t in ((7, near[1]), (None, near[2])):
+        assert sum(r in ((i, t), (i, t + " end")) for r in got) == 1
+    assert len(got) == len(rows) - 3 and set(rows[:8]) <= set(got)
+
+    got = [(r.doc_id, r.text) for r in C.decontamination(spark, docs, path).collect()]
+    assert sorted(got, key=repr) == sorted((r for r in rows if leak not in (r[1] or "")), key=repr)
+
+
 def test_run_on_generated_documents(spark):
     sf = "/root/testdata/sf0.001"
     pieces = C.run(spark, sf)
