@@ -1,8 +1,8 @@
 """HTML extraction by consensus host paths.
 
 Every page's containers are scored by the text of their blocks, links aside.  The
-best container's generalised path (tags with classes, digits and ids removed)
-gets the page's vote, votes are counted per host in Spark, and every page is
+best container is widened to the whole article around it (see ``widened``), and its
+generalised path (tags with classes, digits and ids removed) gets the page's vote, votes are counted per host in Spark, and every page is
 extracted again from the containers on its host's winning path; a page without
 such a container uses its own best one.
 
@@ -56,6 +56,11 @@ ASIDE_WORDS = frozenset(
 #: An open element of the first set is ended by an opening tag of the second.
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
               "th": {"td", "th", "tr"}, "option": {"option"}}
+#: Elements whose text, right inside a container, is a part of the container's own text.
+_FLOW = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure "
+                  "figcaption section hgroup details summary".split())
+#: Other parts of a container call for it if they have this part of the text found so far.
+LARGE_PART = 0.25
 _SCOPE = frozenset("article section main div td th table ul ol dl blockquote body aside nav header footer form".split())
 
 
@@ -79,7 +84,7 @@ def _kind(tag: str, attributes: str) -> tuple[str, bool]:
             else:
                 aside |= not ASIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", value))
             if key.lower() == "class" and value:
-                name = ".".join([tag, *sorted(set(re.sub(r"\d+", "", value).split()))])
+                name = ".".join([tag, *sorted(set(re.sub(r"[\d>]+", "", value).split()))])
     return name, aside
 
 
@@ -172,12 +177,49 @@ def best_path(found: list[Block]) -> str | None:
     return max(score, key=lambda p: (score[p], p)) if score else None
 
 
+def _tag_of(path: str) -> str:
+    return path.rpartition(">")[2].partition(".")[0]
+
+
+def widened(found: list[Block], path: str | None) -> str | None:
+    """The path of the whole article around the container on ``path``.
+
+    That is the outermost ``article`` around it.  Without one, it is the outermost
+    container, ``main`` at most, up to which each adds text that is not mostly links
+    and not of another article: blocks of its own or sections, or large other parts.
+    """
+    if path is None:
+        return None
+    around = next(b.paths for b in found if path in b.paths)
+    at = around.index(path)
+    tags = [_tag_of(p) for p in around[:at + 1]]
+    if "article" in tags:
+        return around[tags.index("article")]
+    last = tags.index("main") if "main" in tags else 0
+    inside = [path in b.paths for b in found]
+    had = sum(len(b.text) - b.linked for b, own in zip(found, inside, strict=True) if own)
+    for k in range(at - 1, last - 1, -1):
+        new = [n for n, b in enumerate(found) if not inside[n] and len(b.paths) > k and b.paths[k] == around[k]]
+        below = [[_tag_of(p) for p in found[n].paths[k + 1:]] for n in new]
+        weight = sum(len(found[n].text) - found[n].linked for n in new)
+        linked = sum(found[n].linked for n in new)
+        if linked > weight or any("article" in tags for tags in below):
+            break
+        own = any(2 * found[n].linked < len(found[n].text) and _FLOW.issuperset(tags)
+                  for n, tags in zip(new, below, strict=True))
+        if new and (own or weight >= LARGE_PART * had):
+            at, had = k, had + weight
+            for n in new:
+                inside[n] = True
+    return around[at]
+
+
 def extract(page: str | None, path: str | None) -> str:
     """The text of the containers on ``path``, else of the page's best one."""
     found = blocks(page or "")
     chosen = [b.text for b in found if path in b.paths] if path is not None else []
     if not chosen:
-        own = best_path(found)
+        own = widened(found, best_path(found))
         chosen = [b.text for b in found if own in b.paths]
     return "\n".join(chosen)
 
@@ -186,7 +228,8 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     votes: Counter = Counter()
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            votes[host, best_path(blocks(page.as_py() or ""))] += 1
+            found = blocks(page.as_py() or "")
+            votes[host, widened(found, best_path(found))] += 1
         if len(votes) > 100_000:
             yield _votes(votes)
             votes.clear()

@@ -55,6 +55,27 @@ def test_extraction_odd_tables(spark):
     assert len(got) == 52 and sum(r.text == "deep" for r in got) == 2
 
 
+PARA, LI = "<p>" + "a sentence of the text. " * 5 + "</p>", "<li>" + "an item of the list. " * 9 + "</li>"
+
+
+@pytest.mark.parametrize("article, end", [
+    (f"<article><h1>Title</h1><p>Lead</p><div class=body>{PARA * 9}</div></article>", ""),
+    (f"<article><h1>Title</h1><section class=a>{PARA * 2}</section><section class=b>{PARA * 9}</section></article>", ""),
+    (f"<article><h1>Title</h1>{PARA}<ul>{LI * 9}</ul>{PARA}</article>", "<article class=next><p>Next</p></article>"),
+    (f"<article><h1>Title</h1>{PARA}<table><tr><td>{PARA * 20}</td></tr></table></article>", ""),
+    (f"<main><h1>Title</h1><p>Lead</p><div class=body>{PARA * 9}</div></main>", "<div><p>Beside</p></div>"),
+    (f"<div class=post><h1>Title</h1><div class=body>{PARA * 9}</div><div class=rest>{PARA * 4}</div></div>",
+     "<div class=teasers><p><a href=x>A link to another page</a></p></div>"),
+    (f"<div class=post><h1>Title</h1>{PARA}<ol>{LI * 9}</ol></div>", "<article><p>Another</p></article>")])
+def test_extraction_of_whole_articles(spark, article, end):
+    page = f"<body><nav><a href=/>Home</a></nav>{article}{end}<footer>me</footer></body>"
+    short = "<body><article><h1>Short</h1><p>only</p></article></body>"
+    want = "\n".join(" ".join(x.split()) for x in X.re.sub("<[^>]+>", "\0", article).split("\0") if x.strip())
+    rows = [(1, "http://h/1", page), (2, "http://h/2", page), (3, "http://h/3", short)]
+    got = {r.page_id: r.text for r in X.extract_pages(pages(spark, rows)).collect()}
+    assert got == {1: want, 2: want, 3: "Short\nonly"}
+
+
 def test_extraction_of_the_generated_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in X.extract_pages(df).collect()}
