@@ -1,10 +1,11 @@
 """HTML extraction by consensus host paths.
 
 Every page's containers are scored by the text of their blocks, links aside.  The
-best container is widened to the whole article around it (see ``widened``), and its
-generalised path (tags with classes, digits and ids removed) gets the page's vote, votes are counted per host in Spark, and every page is
-extracted again from the containers on its host's winning path; a page without
-such a container uses its own best one.
+best container is widened to the whole article around it (see ``widened``).  The
+generalised path of that (tags with classes, digits and ids removed) gets the page's
+vote, votes are counted per host in Spark, and every page is extracted again from the
+containers on its host's winning path; a page without such a container uses its own
+best one, widened.
 
 Votes are added up within each task before the shuffle.  The html itself is
 shuffled only for hosts with few pages (see ``skewed``): the large hosts, of which there
@@ -13,6 +14,9 @@ are few, get their winning path by broadcast.
 Blocks end where block elements begin or end.  Character references are decoded,
 white space in a block becomes one space, and blocks are joined by a newline.
 
+An element is beside the main text by its tag, role, or the name that its class or id
+gives it, unless it holds what must be the main text (see ``blocks``).
+
 Defined cases: a null or empty html gives an empty text; a null url, or one
 without ``://``, counts for the empty host; of paths with equal votes the first in
 alphabetical order wins; rows that repeat an id are extracted one by one; other
@@ -44,21 +48,25 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 #: Elements whose text is never main text.
-ASIDE_TAGS = frozenset("nav header footer aside form button select dialog menu object video audio canvas figcaption "
-                       "fieldset".split())
+ASIDE_TAGS = frozenset("nav header footer aside form button select dialog menu object video audio canvas".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
-#: Words of a class or id that mark what is not main text.
+#: Names in a class or id of what is not main text.
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement adbox sponsor sponsored promo promotion banner menu nav navbar navigation "
     "breadcrumb breadcrumbs sidebar aside footer header masthead topbar toolbar comment comments reply replies "
     "discussion disqus notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe "
     "signup login form search share sharing social related recommended widget pagination pager skip copyright".split())
+#: A name with one of these words says what goes along with an element, not what it is.
+_WITH = frozenset("with without no not non has have hide hides hidden show shows is are".split())
+#: Last words that do not change what a name means.
+_PART = frozenset("area bar block box container content inner outer wrap wrapper list item items section group slot "
+                  "unit links widget widgets left right top bottom body text".split())
 #: An open element of the first set is ended by an opening tag of the second.
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
               "th": {"td", "th", "tr"}, "option": {"option"}}
 #: Elements whose text, right inside a container, is a part of the container's own text.
-_FLOW = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure "
-                  "figcaption section hgroup details summary".split())
+_FLOW = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre "
+                  "figure figcaption section hgroup details summary".split())
 #: Other parts of a container call for it if they have this part of the text found so far.
 LARGE_PART = 0.25
 _SCOPE = frozenset("article section main div td th table ul ol dl blockquote body aside nav header footer form".split())
@@ -73,26 +81,73 @@ class Block:
         self.text, self.paths, self.linked = text, paths, linked
 
 
-def _kind(tag: str, attributes: str) -> tuple[str, bool]:
-    """Generalised name of an element, and whether it is beside the main text."""
-    aside, name = tag in ASIDE_TAGS, tag
+def _names_aside(token: str) -> bool:
+    """Does the class or id name something beside the main text?  The last word of a name
+    says what it is; what follows ``--`` is a variant of it."""
+    words = [w for w in re.split(r"[^a-z]+", token.partition("--")[0] or token) if w]
+    if not _WITH.isdisjoint(words):
+        return False
+    while len(words) > 1 and words[-1] in _PART:
+        words.pop()
+    return bool(words) and words[-1] in ASIDE_WORDS
+
+
+#: What makes an element one beside the main text: its tag or role, or only its name.
+_BY_TAG, _BY_NAME = 1, 2
+
+
+def _kind(tag: str, attributes: str) -> tuple[str, int]:
+    """Generalised name of an element, and what makes it one beside the main text (0: nothing)."""
+    aside, name = _BY_TAG if tag in ASIDE_TAGS else 0, tag
     if attributes:
         for key, *value in _ATTR.findall(attributes):
             value = "".join(value).lower()
             if key.lower() == "role":
-                aside |= value in ASIDE_ROLES
-            else:
-                aside |= not ASIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", value))
+                aside = _BY_TAG if value in ASIDE_ROLES else aside
+            elif not aside and value and tag != "main" and any(map(_names_aside, value.split())):
+                aside = _BY_NAME
             if key.lower() == "class" and value:
                 name = ".".join([tag, *sorted(set(re.sub(r"[\d>]+", "", value).split()))])
     return name, aside
 
 
+class Aside:
+    """What an element beside the main text holds: characters outside of links, ``article`` or ``main``
+    elements that are not marked themselves, and main headings."""
+
+    __slots__ = ("kind", "weight", "articles", "headings")
+
+    def __init__(self, kind: int = 0):
+        self.kind, self.weight, self.articles, self.headings = kind, 0, 0, 0
+
+
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page outside of elements beside the main text, in order."""
+    """The blocks of a page outside of elements beside the main text, in order.
+
+    No element is beside the main text if it holds all ``article`` and ``main`` elements of
+    the page, or a main heading and most of the text.  If no text is left, the largest of
+    those by name alone are not beside it either.
+    """
+    found, whole, asides = _blocks(page, frozenset())
+    spared = {n for n, a in enumerate(asides)
+              if (a.articles and a.articles == whole.articles) or (a.headings and 2 * a.weight > whole.weight)}
+    if spared:
+        found, _, _ = _blocks(page, spared)
+    if all(b.linked == len(b.text) for b in found):
+        named = {n: a.weight for n, a in enumerate(asides) if a.kind == _BY_NAME}
+        large = {n for n, weight in named.items() if 2 * weight > max(named.values())}
+        if large:
+            found, _, _ = _blocks(page, spared | large)
+    return found
+
+
+def _blocks(page: str, spared: frozenset | set) -> tuple[list[Block], Aside, list[Aside]]:
+    """The blocks, what the whole page holds, and what each element beside the main text
+    does; those whose numbers are ``spared`` are not beside it."""
     out: list[Block] = []
-    # open elements: tag, path, paths of the containers, beside the main text
-    stack: list[tuple[str, str, tuple, bool]] = [("", "", ("",), False)]
+    whole, asides = Aside(), []
+    # open elements: tag, path, paths of the containers, asides around
+    stack: list[tuple[str, str, tuple, tuple]] = [("", "", ("",), ())]
     words: list[str] = []
     links = linked = at = 0
 
@@ -107,6 +162,11 @@ def blocks(page: str) -> list[Block]:
 
     def put(text: str) -> None:
         nonlocal linked
+        if text and not links:
+            weight = len(text.strip())
+            whole.weight += weight
+            for a in stack[-1][3]:
+                a.weight += weight
         if text and not stack[-1][3]:
             words.append(html.unescape(text) if "&" in text else text)
             linked += len(text) if links else 0
@@ -157,13 +217,22 @@ def blocks(page: str) -> list[Block]:
                     break
         name, aside = _kind(tag, m[3])
         top = stack[-1]
-        if aside and not top[3] and tag in INLINE:
-            put(" ")
+        around = top[3]
+        if aside:
+            asides.append(Aside(aside))
+            if len(asides) - 1 not in spared:
+                if not around and tag in INLINE:
+                    put(" ")
+                around = (*around, asides[-1])
+        elif tag in ("article", "main", "h1"):
+            for a in (whole, *around):
+                a.articles += tag != "h1"
+                a.headings += tag == "h1"
         path = top[1] if tag in INLINE else f"{top[1]}>{name}"
         paths = top[2] if tag in INLINE else (*top[2], path)
-        stack.append((tag, path, paths, top[3] or aside))
+        stack.append((tag, path, paths, around))
     flush()
-    return out
+    return out, whole, asides
 
 
 def best_path(found: list[Block]) -> str | None:

@@ -76,6 +76,22 @@ def test_extraction_of_whole_articles(spark, article, end):
     assert got == {1: want, 2: want, 3: "Short\nonly"}
 
 
+@pytest.mark.parametrize("around", [
+    "<div class='layout with-sidebar'>{}</div>", "<main class='no-sidebar'>{}</main>", "<div class='has-ads'>{}</div>",
+    "<article class='post comments-open'>{}</article>", "<div id='search-result-page'>{}</div>",
+    "<form id=page><main>{}</main></form>", "<div class=widget><article>{}</article></div>", "<div id=search>{}</div>",
+    "<div class=promo><h1>Title</h1>{}</div><div><p>Beside</p></div>"])
+def test_extraction_keeps_what_only_sounds_beside_the_text(spark, around):
+    body = f"{PARA * 3}<figure><img src=x><figcaption>Caption</figcaption></figure>{PARA}"
+    page = ("<body><nav><p>Home</p></nav><div class=cookie-notice><p>Cookies</p></div>"
+            + around.format(f"{body}<div class='ad-container'><p>Buy</p></div><p class=comments--open>Nice</p>")
+            + "<div class='sidebar sidebar-left'><p>Side</p></div><footer>me</footer></body>")
+    line = " ".join(PARA[3:-4].split())
+    want = [*["Title"] * ("Title" in around), line, line, line, "Caption", line]
+    (row,) = X.extract_pages(pages(spark, [(1, "http://h/1", page)])).collect()
+    assert row.text.split("\n") == want
+
+
 def test_extraction_of_the_generated_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in X.extract_pages(df).collect()}
