@@ -4,14 +4,15 @@ Every document is encoded whole.  Windows that one document fills alone are cut
 first; the rest, less than a window, is what gets packed.  Rests are sharded by
 their most telling token, so related ones meet, and each shard holds an inverted
 index of its rests.  In a shard, the longest unused rest seeds a window and the
-index returns its unused neighbours by BM25 score, which fill the window in
+index returns its unused neighbours by BM25 score over all tokens of the seed, which fill the window in
 turn; the last one is cut to fit and what is left of it stays unused.  Only a
 shard's last window has padding.
 
 Document frequencies and lengths are counted over all rests and are bounded by the
 tokenizer's vocabulary, so they reach the tasks as one array.  Shards hold about
 SHARD_TOKENS tokens: neighbouring tokens share a shard until it is full, and the
-rests of a token with more than that are dealt to several shards by row.
+rests of a token with more than that are dealt to several shards by row.  Neighbours in
+other shards are not found; the README has the measured recall.
 
 Encoding: the tokenizer drops white space and never looks across it, so each
 distinct word is encoded once a worker and texts are put together from the words'
@@ -41,8 +42,6 @@ from genospark.session import stored
 WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-#: Tokens of a seed that are looked up in the index: those with its largest weights.
-QUERY_TOKENS = 16
 K1, B = 1.2, 0.75
 #: Distinct words a worker remembers; it then starts anew.
 CACHED_WORDS = 600_000
@@ -216,14 +215,14 @@ def pack_shard(rests: list[np.ndarray], terms: Terms) -> Iterator[list[tuple[int
     token, doc = pairs // n, pairs % n
     weight = terms.idf[token] * times * (K1 + 1) / (times + K1 * (1 - B + B * size[doc] / terms.mean))
     first = np.searchsorted(token, np.arange(len(terms.idf) + 1))
-    by_doc = np.lexsort((-weight, doc))
+    by_doc = np.argsort(doc, kind="stable")
     doc_first = np.searchsorted(doc[by_doc], np.arange(n + 1))
 
     used = np.zeros(n, np.int64)  # ids of each rest already in a window
     for seed in np.argsort(-size, kind="stable").tolist():
         if used[seed] == size[seed]:
             continue
-        query = token[by_doc[doc_first[seed]:min(doc_first[seed + 1], doc_first[seed] + QUERY_TOKENS)]]
+        query = token[by_doc[doc_first[seed]:doc_first[seed + 1]]]
         lists = T.ranges(first[query], first[query + 1] - first[query])
         score = np.bincount(doc[lists], weight[lists], minlength=n)
         score[used == size] = -1

@@ -149,6 +149,18 @@ def test_a_window_takes_the_most_related_rests():
     assert np.mean(alike) > 0.7
 
 
+def test_every_token_of_a_seed_is_looked_up():
+    shared = np.arange(1000, 1040, dtype=np.uint16)  # less telling than the seed's own tokens
+    seed = np.concatenate((np.arange(100, 140, dtype=np.uint16), shared, np.full(1900, 7, np.uint16)))
+    rests = [np.full(600, 9, np.uint16)] * 5 + [np.concatenate((shared, np.full(500, 8, np.uint16)))] * 3 + [seed]
+    frequency = np.zeros(2000, np.int64)
+    for r in rests:
+        frequency[np.unique(r)] += 1
+    terms = P.Terms(frequency, len(rests), sum(map(len, rests)), np.dtype(np.uint16))
+    window = next(iter(P.pack_shard(rests, terms)))
+    assert [at for at, *_ in window][:4] == [8, 5, 6, 7]
+
+
 def test_shard_plan_splits_what_is_too_large():
     plan = P.shard_plan([(1, 5), (2, 5), (3, 35), (4, 5), (5, 6)], 10)
     assert plan == {1: (0, 1), 2: (0, 1), 3: (1, 4), 4: (5, 1), 5: (6, 1)}
