@@ -4,9 +4,10 @@ Each language has a character model: the probability of a byte symbol given the
 before it in the word, counted over all training texts.  A document is a mixture:
 every word comes from one of the languages in its set, and expectation-maximisation
 estimates their proportions from the words' likelihoods.  The set grows from the best
-single language, one language at a time, while the log likelihood gains more than
-PENALTY * log(words) per language; a language that cannot gain this much even if
-every word took its better choice is not tried.  The prediction is the language with
+single language, at each step by the language that gains most, while the log likelihood
+gains more than PENALTY * log(words) per language; a language that cannot gain this
+much, or more than the best one of the step so far, even if every word took its better
+choice is not tried.  The prediction is the language with
 the largest proportion and the score is that proportion.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and so is
@@ -154,19 +155,23 @@ def choose(like: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray,
         now = own[sets[:, d], np.arange(len(d))].max(axis=0)
         bound = np.stack([np.bincount(d, np.maximum(now, row), minlength=len(active)) for row in own])
         bound[sets, np.arange(len(active))] = -np.inf
-        add = bound.argmax(axis=0)
-        hope = bound.max(axis=0) - total[active] > penalty[active]
-        if not hope.any():
-            break
-        go = hope[d]
-        number = np.cumsum(hope) - 1
-        active, sets = active[hope], np.concatenate((sets[:, hope], add[None, hope]))
-        d, own = number[d[go]], own[:, go]
-        share, gained = proportions(own[sets[:, d], np.arange(len(d))], d, len(active))
-        better = gained - total[active] > penalty[active]
-        share, sets, active, gained = share[:, better], sets[:, better], active[better], gained[better]
-        if not len(active):
+        # of those that can gain more than the penalty and the best one so far, the one that gains most
+        gained, added = total[active] + penalty[active], np.full(len(active), -1)
+        share = np.zeros((len(sets) + 1, len(active)))
+        while (hope := bound.max(axis=0) > gained).any():
+            at, go = np.flatnonzero(hope), hope[d]
+            add = bound.argmax(axis=0)[at]
+            trial, e = np.concatenate((sets[:, at], add[None])), (np.cumsum(hope) - 1)[d[go]]
+            found, reached = proportions(own[:, go][trial[:, e], np.arange(len(e))], e, len(at))
+            bound[add, at] = -np.inf
+            better = reached > gained[at]
+            at = at[better]
+            gained[at], added[at], share[:, at] = reached[better], add[better], found[:, better]
+        grown = added >= 0
+        if not grown.any():
             break
+        active, share, gained = active[grown], share[:, grown], gained[grown]
+        sets = np.concatenate((sets[:, grown], added[None, grown]))
         total[active] = gained
         lead = share.argmax(axis=0)
         best[active] = sets[lead, np.arange(len(active))]

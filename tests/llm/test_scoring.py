@@ -173,6 +173,16 @@ def test_language_proportions_of_a_mixed_text(spark):
     assert got[7].lang_pred in model.names
 
 
+def test_a_language_is_tried_after_the_one_with_the_best_bound():
+    like = np.zeros((3, 1000))
+    like[1, :500], like[1, 500:] = 0.5, -3  # could gain 250 at most, and gains nothing in a mixture
+    like[2], like[2, -50:] = -20, 4  # could gain 200 at most, and gains 19
+    like = np.tile(like, 2)
+    like[:, 1000:] = like[[0, 2, 1], 1000:]
+    best, share = L.choose(like, np.repeat([0, 1], 1000), 2)
+    assert best.tolist() == [0, 0] and share[0] == share[1] and 0.96 < share[0] < 0.98
+
+
 def test_languages_odd_tables(spark):
     nothing = L.fit(empty(spark, "text string, lang string"))
     out = L.identify(documents(spark, messy_texts()), nothing).collect()
