@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genospark.llm import textarrays as T
-from genospark.session import stored
+from genospark.session import scratch_path, stored
 
 WINDOW = 10
 #: Bytes of text in a segment; a longer text is a segment of its own.
@@ -239,24 +239,28 @@ def phrase_table(items: DataFrame, size: int = WINDOW, id_col: str = "item_id",
     return phrases, stored(windows.join(phrases, "key").select("item_id", "phrase_id").distinct(), "item-phrases")
 
 
-def _over_blocks(index: DataFrame, phrases: DataFrame, wrap: Callable, match: Callable, schema: str) -> DataFrame:
-    """All segments against the phrases, a bounded block of them at a time."""
-    n = phrases.count()
-    blocks = max(1, -(-n // BLOCK))
-    out = None
+def _over_blocks(index: DataFrame, phrases: DataFrame, wrap: Callable, match: Callable, schema: str,
+                 name: str) -> DataFrame:
+    """All segments against the phrases, a bounded block of them at a time; stored block by
+    block, so the driver holds only one."""
+    blocks = max(1, -(-phrases.count() // BLOCK))
+    path = scratch_path(index.sparkSession, name)
     for b in range(blocks):
-        part = phrases.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).toArrow()
-        block = Phrases(part["phrase_id"].to_pylist(), part["key"].to_pylist())
-        found = index.mapInArrow(wrap(match, block), schema)
-        out = found if out is None else out.unionByName(found)
-    return out
+        _write_block(index, phrases.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b), wrap, match, schema, path)
+    return index.sparkSession.read.schema(schema).parquet(path)
+
+
+def _write_block(index: DataFrame, phrases: DataFrame, wrap: Callable, match: Callable, schema: str, path: str) -> None:
+    part = phrases.toArrow()
+    block = Phrases(part["phrase_id"].to_pylist(), part["key"].to_pylist())
+    index.mapInArrow(wrap(match, block), schema).write.mode("append").parquet(path)
 
 
 def find_matches(index: DataFrame, phrases: DataFrame, match: Callable = exact_matches) -> DataFrame:
     """Every match as (doc_id, phrase_id, start, end), in words of the text; ``match`` is
     ``exact_matches`` or ``near_matches(slop)``."""
     ids = index.select("segment", F.posexplode("doc_ids").alias("at", "doc_id"))
-    return (_over_blocks(index, phrases, _matches, match, MATCH_SCHEMA)
+    return (_over_blocks(index, phrases, _matches, match, MATCH_SCHEMA, "matches")
             .join(ids, ["segment", "at"]).select("doc_id", "phrase_id", "start", "end"))
 
 
@@ -277,7 +281,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, match:
     """
     index = build_index(docs)
     phrases, item_phrases = phrase_table(items, size)
-    hits = stored(_over_blocks(index, phrases, _hits, match, HIT_SCHEMA), "hits")
+    hits = _over_blocks(index, phrases, _hits, match, HIT_SCHEMA, "hits")
     key = ["segment", "at"]
     spans = hits.groupBy(*key).agg(_covered(F.flatten(F.collect_list("spans"))).alias("n_hit"))
     ids = F.array_sort(F.collect_set(F.col("item_id").cast("string")))

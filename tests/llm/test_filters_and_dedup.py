@@ -1,6 +1,8 @@
 """URL filters, decontamination and exact dedup against DuckDB on awkward rows."""
 
+import gc
 import random
+import weakref
 
 from genospark.llm import decontamination as D
 from genospark.llm import exact_dedup, queries, url_filters
@@ -69,6 +71,22 @@ def test_decontamination_in_blocks_and_segments(spark, tmp_path, monkeypatch):
     assert collected(queries.op2_benchmark_decontamination(spark, path)) == whole
 
 
+def test_decontamination_holds_one_block_of_phrases(spark, monkeypatch):
+    made, alive, phrases = weakref.WeakSet(), [], D.Phrases
+
+    def watched(ids, keys):
+        gc.collect()
+        alive.append(len(made))
+        block = phrases(ids, keys)
+        made.add(block)
+        return block
+
+    monkeypatch.setattr(D, "BLOCK", 7)
+    monkeypatch.setattr(D, "Phrases", watched)
+    out = D.decontaminate(documents(spark, messy_texts()), benchmark(spark))
+    assert out.count() == len(messy_texts()) and len(alive) > 3 and set(alive) == {0}
+
+
 def test_decontamination_odd_tables(spark):
     items = benchmark(spark)
     assert D.decontaminate(empty(spark), items).count() == 0
