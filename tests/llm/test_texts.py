@@ -226,6 +226,18 @@ def test_near_copies(spark, monkeypatch, shards):
     assert sorted(map(tuple, got), key=repr) == brute_components(shingle_sets(rows))
 
 
+def test_all_links_between_sets(spark):
+    rows = [(k, t) for k, (_, t) in enumerate(messy_texts() + chains())]
+    docs = documents(spark, rows)
+    ids = {r.doc_id: r.set_id for r in N.near_copies(docs).collect()}
+    sets = {ids[i]: s for i, s in shingle_sets(rows) if s}
+    want = {(a, b) for a in sets for b in sets
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    got = [(r.set_u, r.set_v) for r in N.all_links(docs).collect()]
+    assert len(got) == len(want) and set(got) == want and len(want) > 500
+    assert N.all_links(empty(spark)).count() == 0
+
+
 def test_near_copies_odd_tables(spark):
     assert N.near_copies(empty(spark)).count() == 0
     rows = [(1, None), (2, ""), (3, " ")]
