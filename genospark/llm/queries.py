@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genospark.llm import (bm25_packing, decontamination, exact_dedup, hidden_markov, html_extraction,
-                           importance_resampling, language_mixture, ngram_jaccard, suffix_dedup,
-                           url_filters)
+from genospark.llm import (bm25_packing, byte_pairs, decontamination, exact_dedup, hidden_markov, html_extraction,
+                           importance_resampling, language_mixture, ngram_jaccard, sharded_lloyd, suffix_dedup,
+                           token_alignment, url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mixture.identify(docs, model, keep=["held_out"])
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_lloyd.Lloyd(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1).assigned()
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"), *vocabulary)
+    return byte_pairs.decode(encoded, *vocabulary).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -77,10 +94,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
     "op1_url_filters": url_filters.ORACLE_SQL,
     "op2_benchmark_decontamination": decontamination.ORACLE_SQL,
     "op4_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op12_centroid_clustering": sharded_lloyd.oracle_sql(),
 }
