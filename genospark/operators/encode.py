@@ -9,9 +9,8 @@ Inputs
 Plan (one shuffle, by sample; groups are bounded by the chip):
   1. positions per map: distinct upper-cased names, first id kept, dense from 0.
   2. calls LEFT JOIN positions (stored, so its size is known), decode the pair.
-  3. last decodable call per (upload, sample, position): hash aggregate with
-     map-side partial aggregation, so a hot duplicated key collapses before
-     the shuffle.
+  3. last decodable call per (upload, sample, position): aggregated behind the
+     one exchange, on its partitioning; copies of a call travel with their sample.
   4. per (upload, sample): sorted (pos, code) array, gaps filled with '5',
      ``n_called`` for the call rate.  A group holds at most one row per map
      position, so its size is bounded by the map, not by the data.
@@ -110,7 +109,11 @@ def call_rate(n_called, n_snp):
 
 def staging_rows(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
     """Encoded rows in the staging shape (nume_cari, campione, callrate_g, mappa_usata_g, genotipo)."""
-    g = genotype_strings(calls, snp_maps)
+    return staged(genotype_strings(calls, snp_maps))
+
+
+def staged(g: DataFrame) -> DataFrame:
+    """The staging shape of ``genotype_strings`` rows."""
     return g.select("nume_cari", F.col("sample_id").alias("campione"),
                     call_rate("n_called", "n_snp").alias("callrate_g"),
                     F.col("map_name").alias("mappa_usata_g"), F.col("genotype").alias("genotipo"))
@@ -160,10 +163,16 @@ def unmapped_snps(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
                 F.when(F.col("outside"), "not_in_map").otherwise("undecodable").alias("reason")))
 
 
-def sample_qc(calls: DataFrame, snp_maps: DataFrame) -> DataFrame:
-    """QC line per sample: map size, missing SNPs and unmapped SNPs of its file, call rate, map."""
-    positions = map_positions(snp_maps)
-    rates = genotype_strings(calls, snp_maps, positions)
+def sample_qc(calls: DataFrame, snp_maps: DataFrame, positions: DataFrame | None = None,
+              rates: DataFrame | None = None) -> DataFrame:
+    """QC line per sample: map size, missing SNPs and unmapped SNPs of its file, call rate, map.
+
+    ``rates`` are the ``genotype_strings`` rows of the same calls, where they are there already.
+    """
+    if positions is None:
+        positions = map_positions(snp_maps)
+    if rates is None:
+        rates = genotype_strings(calls, snp_maps, positions)
     # one pass per file: its distinct names, whether each has a position and a decodable pair
     per_file = ["nume_cari", "map_name"]
     names = positioned_calls(calls, positions).groupBy(*per_file, "snp_key").agg(

@@ -17,6 +17,10 @@ join key on one side only; AQE's skew-join split handles it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -171,11 +175,80 @@ def exclusion_probability(freqs: DataFrame) -> DataFrame:
         F.round(F.avg("pe"), 6).alias("pe_mean"))
 
 
-def _by_block(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """One row per key and block: an array of the block's values, null where there is none."""
-    return (rows.groupBy(*keys, (F.col("pos") / BLOCK).cast("int").alias("block"))
-            .agg(F.map_from_entries(F.collect_list(F.struct(F.col("pos") % BLOCK, value))).alias("m"))
-            .select(*keys, "block", F.expr(f"transform(sequence(0, {BLOCK - 1}), i -> m[i])").alias(out)))
+def prior(p: np.ndarray) -> np.ndarray:
+    """Chance of each genotype at allele frequency ``p``, as rows."""
+    q = 1 - p
+    return np.stack([q * q, 2 * p * q, p * p])
+
+
+def genotypes(cells: DataFrame) -> DataFrame:
+    """(map_name, sample_id, codes): the calls of a sample as bytes by position, 5 for none."""
+    calls = current_calls(cells).groupBy("map_name", "sample_id").agg(
+        F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), F.col("code").cast("int").alias("code"))).alias("calls"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for calls in batch.column(2):
+                at, code = (calls.values.field(k).to_numpy() for k in ("pos", "code"))
+                codes = np.full(at.max() + 1, 5, np.uint8)
+                codes[at] = code
+                out.append(codes.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
+                                             names=["map_name", "sample_id", "codes"])
+    return calls.mapInArrow(run, "map_name string, sample_id string, codes binary")
+
+
+def frequencies_by_map(freqs: DataFrame) -> dict[str, np.ndarray]:
+    """Frequency of A by position of each map, NaN where no call is: eight bytes for each SNP of a registered map."""
+    rows = freqs.where("n_called > 0").select(
+        "map_name", F.col("pos").cast("int"), ((2 * F.col("n2") + F.col("n1")) / (2 * F.col("n_called"))).alias("p")).toArrow()
+    out: dict[str, np.ndarray] = {}
+    names, pos, p = rows["map_name"].to_numpy(), rows["pos"].to_numpy(), rows["p"].to_numpy()
+    for name in np.unique(names.astype(str)):
+        mine = names == name
+        out[name] = np.full(pos[mine].max() + 1, np.nan)
+        out[name][pos[mine]] = p[mine]
+    return out
+
+
+def padded(codes: bytes, size: int) -> np.ndarray:
+    out = np.full(size, 5, np.uint8)
+    got = np.frombuffer(codes, np.uint8)[:size]
+    out[:len(got)] = got
+    return out
+
+
+def _pair_terms(frequencies, error_rate: float):
+    """Sum over SNPs of ln(((1 - e) T(child | parent) + e P(child)) / P(child)) for rows of two samples' codes."""
+    tables: dict[str, np.ndarray] = {}
+
+    def terms(map_name: str) -> np.ndarray:
+        """The term by 3 * child + parent and position; NaN where the SNP has one allele or no call."""
+        if map_name not in tables:
+            p = frequencies.value[map_name]
+            p = np.where((p > 0) & (p < 1), p, np.nan)
+            q, zero = 1 - p, np.zeros(len(p))
+            chance = np.stack([q, q / 2, zero, p, np.full(len(p), 0.5), q, zero, p / 2, p])
+            base = np.repeat(prior(p), 3, axis=0)
+            tables[map_name] = np.log(((1 - error_rate) * chance + error_rate * base) / base)
+        return tables[map_name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, rest = batch.column(0).to_pylist(), batch.columns[:4]
+            sizes, sums = [], []
+            for name, child, parent in zip(names, batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                table = terms(name)
+                c, g = padded(child, table.shape[1]), padded(parent, table.shape[1])
+                at = np.flatnonzero((c < 3) & (g < 3))
+                values = table[3 * c[at] + g[at], at]
+                known = ~np.isnan(values)
+                sizes.append(int(known.sum()))
+                sums.append(round(float(values[known].sum()), 4))
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
+                                             names=["map_name", "child", "parent", "role", "n_snps", "lod"])
+    return run
 
 
 def likelihood_ratios(cells: DataFrame, freqs: DataFrame, pedigree: DataFrame,
@@ -183,35 +256,19 @@ def likelihood_ratios(cells: DataFrame, freqs: DataFrame, pedigree: DataFrame,
     """Per (map_name, child, parent, role): LOD = sum ln(((1-e) T(c|g) + e P(c)) / P(c)) over jointly
     called polymorphic SNPs.
 
-    Pairs meet block by block: one joined row has the 64 calls of both samples and the 64
-    frequencies, and the block's terms are summed in one expression.
+    Each sample's calls are packed to a byte a position once; a pair's row has both, and its terms are looked up
+    and summed in one step.  The terms of a map (nine for each SNP) are computed once a worker from frequencies
+    that are bounded by the map.
     """
-    fr = freqs.where(F.col("n_called") > 0).select(
-        "map_name", F.col("pos").cast("int").alias("pos"),
-        ((2 * F.col("n2") + F.col("n1")) / (2 * F.col("n_called"))).alias("p"))
-    fr = _by_block(fr.where((F.col("p") > 0) & (F.col("p") < 1)), ["map_name"], "p", "ps")
-    calls = stored(_by_block(current_calls(cells).withColumn("pos", F.col("pos").cast("int")),
-                             ["map_name", "sample_id"], "code", "codes"), "call-blocks")
+    calls = stored(genotypes(cells), "genotypes")
     j = (parent_pairs(pedigree)
          .join(calls.withColumnsRenamed({"sample_id": "child", "codes": "cs"}), "child")
-         .join(calls.withColumnsRenamed({"sample_id": "parent", "codes": "gs"}), ["map_name", "parent", "block"])
-         .join(fr, ["map_name", "block"]))
-
-    def term(x):
-        c, g, p = x["cs"], x["gs"], x["ps"]
-        q = 1 - p
-        prior = F.when(c == 2, p * p).when(c == 1, 2 * p * q).otherwise(q * q)
-        trans = (F.when(g == 2, F.when(c == 2, p).when(c == 1, q).otherwise(F.lit(0.0)))
-                 .when(g == 1, F.when(c == 2, p / 2).when(c == 1, F.lit(0.5)).otherwise(q / 2))
-                 .otherwise(F.when(c == 2, F.lit(0.0)).when(c == 1, p).otherwise(q)))
-        return F.log(((1 - error_rate) * trans + error_rate * prior) / prior)
-
-    both = F.filter(F.arrays_zip("cs", "gs", "ps"),
-                    lambda x: x["cs"].isNotNull() & x["gs"].isNotNull() & x["ps"].isNotNull())
-    j = j.select("map_name", "child", "parent", "role", F.transform(both, term).alias("terms")).where("size(terms) > 0")
-    return j.groupBy("map_name", "child", "parent", "role").agg(
-        F.sum(F.size("terms")).cast("long").alias("n_snps"),
-        F.round(F.sum(F.aggregate("terms", F.lit(0.0), lambda a, x: a + x)), 4).alias("lod"))
+         .join(calls.withColumnsRenamed({"sample_id": "parent", "codes": "gs"}), ["map_name", "parent"]))
+    frequencies = cells.sparkSession.sparkContext.broadcast(frequencies_by_map(freqs))
+    return (j.select("map_name", "child", "parent", "role", "cs", "gs")
+            .mapInArrow(_pair_terms(frequencies, error_rate),
+                        "map_name string, child string, parent string, role string, n_snps long, lod double")
+            .where("n_snps > 0"))
 
 
 def ancestors(pedigree: DataFrame) -> DataFrame:
@@ -243,23 +300,23 @@ def ancestors(pedigree: DataFrame) -> DataFrame:
 def sibling_counts(pedigree: DataFrame) -> DataFrame:
     """Per child: full sibs and paternal / maternal half sibs, from group sizes (no pair list).
 
-    Every child has a row.  Half sibs share one known parent and have another known one; a
-    child with an unknown parent has no full sibs, and half sibs on neither side, since
-    its other parent cannot be told from theirs.
+    Every child has a row.  Full sibs share both parents, both known.  All others that share a known
+    sire (dam) count as paternal (maternal) half sibs; ``n_paternal_unresolved`` (``n_maternal_unresolved``) of
+    them could be full sibs, since the other parent of either is unknown.
     """
     ped = pedigree.select("child", "sire", "dam")
-    both = ped.where("sire IS NOT NULL AND dam IS NOT NULL")
-    by_sire = both.groupBy("sire").agg(F.count(F.lit(1)).alias("n_sire"))
-    by_dam = both.groupBy("dam").agg(F.count(F.lit(1)).alias("n_dam"))
-    by_both = both.groupBy("sire", "dam").agg(F.count(F.lit(1)).alias("n_both"))
-    j = ped.join(by_sire, "sire", "left").join(by_dam, "dam", "left").join(by_both, ["sire", "dam"], "left")
-
-    def known(n):
-        return F.when(F.col("sire").isNotNull() & F.col("dam").isNotNull(), n).otherwise(0)
-    return j.select("child", "sire", "dam",
-                    known(F.col("n_both") - 1).alias("n_full_sibs"),
-                    known(F.col("n_sire") - F.col("n_both")).alias("n_paternal_half_sibs"),
-                    known(F.col("n_dam") - F.col("n_both")).alias("n_maternal_half_sibs"))
+    by_both = ped.where("sire IS NOT NULL AND dam IS NOT NULL").groupBy("sire", "dam").agg(F.count(F.lit(1)).alias("n_both"))
+    out = ped.join(by_both, ["sire", "dam"], "left")
+    full = F.coalesce(F.col("n_both") - 1, F.lit(0))
+    counts = [full.alias("n_full_sibs")]
+    for side, parent, other in (("paternal", "sire", "dam"), ("maternal", "dam", "sire")):
+        sizes = ped.where(F.col(parent).isNotNull()).groupBy(parent).agg(
+            F.count(F.lit(1)).alias(f"n_{parent}"), F.count(F.when(F.col(other).isNull(), 1)).alias(f"open_{parent}"))
+        out = out.join(sizes, parent, "left")
+        half = F.coalesce(F.col(f"n_{parent}") - 1 - full, F.lit(0))
+        unresolved = F.when(F.col(other).isNull(), half).otherwise(F.coalesce(f"open_{parent}", F.lit(0)))
+        counts += [half.alias(f"n_{side}_half_sibs"), unresolved.alias(f"n_{side}_unresolved")]
+    return out.select("child", "sire", "dam", *counts)
 
 
 def fst(cells: DataFrame, positions: DataFrame, group_col: str = "nume_cari") -> DataFrame:

@@ -109,6 +109,43 @@ SELECT concat('SMP', s_suppkey) AS child,
        CASE WHEN s_suppkey % 7 <> 3 THEN concat('SMP', CAST(floor(s_suppkey / 2.0) AS BIGINT)) END AS sire,
        CASE WHEN s_suppkey % 5 <> 4 THEN concat('SMP', CAST(floor(s_suppkey / 3.0) AS BIGINT)) END AS dam
 FROM {supplier} WHERE s_suppkey > 0
+""",
+    # Families: even keys are founders (0, 4, .. sires and 2, 6, .. dams), odd keys their children.  An
+    # allele of a founder and the one a parent hands on come from squares modulo a prime; one call in
+    # 200 is wrong (one in 10 at every 29th SNP) and one in 50 is missing.
+    "fx_family_true": """
+WITH q AS (SELECT count(*) AS n FROM {supplier})
+SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 1 THEN 4 * ((s_suppkey * 7 + 1) % CAST(floor(n / 4.0) AS BIGINT)) END AS sire_k,
+       CASE WHEN s_suppkey % 2 = 1 THEN 4 * ((s_suppkey * 5 + 2) % CAST(floor(n / 4.0) AS BIGINT)) + 2 END AS dam_k,
+       CASE WHEN s_suppkey % 2 = 1 THEN 4 * ((s_suppkey * 7 + 2) % CAST(floor(n / 4.0) AS BIGINT)) END AS wrong_k
+FROM {supplier} CROSS JOIN q
+""",
+    "fx_family_alleles": """
+WITH m AS (SELECT p_partkey AS m, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INT) AS pos, 15 + (p_partkey * 37) % 45 AS t
+           FROM {part} WHERE p_size <= 5),
+h AS (SELECT 1 AS h UNION ALL SELECT 2)
+SELECT k, m, pos, h, CASE WHEN (((k * 1009 + m * 9176 + h * 31337) * (k * 1009 + m * 9176 + h * 31337)) % 1000003) % 100 < t THEN 1 ELSE 0 END AS a
+FROM {fx_family_true} CROSS JOIN m CROSS JOIN h WHERE k % 2 = 0
+""",
+    "fx_family_calls": """
+WITH c AS (SELECT f.k, f.sire_k, f.dam_k, s.m, s.pos, s.a AS s_a, d.a AS d_a
+  FROM {fx_family_true} f JOIN {fx_family_alleles} s ON s.k = f.sire_k
+  JOIN {fx_family_alleles} d ON d.k = f.dam_k AND d.m = s.m
+  WHERE s.h = 1 + (((f.k * 2003 + s.m * 7411 + 1) * (f.k * 2003 + s.m * 7411 + 1)) % 1000003) % 2
+    AND d.h = 1 + (((f.k * 3001 + s.m * 5273 + 7) * (f.k * 3001 + s.m * 5273 + 7)) % 1000003) % 2),
+g AS (SELECT k, m, pos, CAST(sum(a) AS BIGINT) AS n_a FROM {fx_family_alleles} GROUP BY k, m, pos
+      UNION ALL SELECT k, m, pos, CAST(s_a + d_a AS BIGINT) FROM c),
+r AS (SELECT k, m, pos, n_a, ((k * 4001 + m * 6007 + 11) * (k * 4001 + m * 6007 + 11)) % 1000003 AS x FROM g)
+SELECT CAST(1 AS BIGINT) AS nume_cari, concat('SMP', k) AS sample_id, 'PANEL' AS map_name, pos,
+       CAST(CASE WHEN x % 50 = 3 THEN 5 WHEN x % 200 = 7 OR (m % 29 = 0 AND x % 10 = 1) THEN (n_a + 1) % 3 ELSE n_a END AS INT) AS code
+FROM r
+""",
+    # What is recorded: of the sires one in five wrong and one in five unknown, of the dams one in six unknown.
+    "fx_family_pedigree": """
+SELECT concat('SMP', k) AS child,
+       CASE WHEN k % 10 = 3 THEN concat('SMP', wrong_k) WHEN k % 10 <> 7 THEN concat('SMP', sire_k) END AS sire,
+       CASE WHEN k % 12 <> 5 THEN concat('SMP', dam_k) END AS dam
+FROM {fx_family_true} WHERE k % 2 = 1
 """,
 }
 

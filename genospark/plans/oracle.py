@@ -558,10 +558,12 @@ anc(sample, ancestor, gen) AS (
 
 oracle("x08", ["fx_pedigree"], """
 SELECT p.child, p.sire, p.dam,
-       (SELECT count(*) FROM fx_pedigree q WHERE q.sire = p.sire AND q.dam = p.dam AND q.child <> p.child) AS n_full_sibs,
-       (SELECT count(*) FROM fx_pedigree q WHERE q.sire = p.sire AND q.dam <> p.dam) AS n_paternal_half_sibs,
-       (SELECT count(*) FROM fx_pedigree q WHERE q.dam = p.dam AND q.sire <> p.sire) AS n_maternal_half_sibs
-FROM fx_pedigree p""")
+       count(*) FILTER (WHERE q.sire = p.sire AND q.dam = p.dam) AS n_full_sibs,
+       count(*) FILTER (WHERE q.sire = p.sire AND (q.dam = p.dam) IS NOT TRUE) AS n_paternal_half_sibs,
+       count(*) FILTER (WHERE q.sire = p.sire AND (q.dam IS NULL OR p.dam IS NULL)) AS n_paternal_unresolved,
+       count(*) FILTER (WHERE q.dam = p.dam AND (q.sire = p.sire) IS NOT TRUE) AS n_maternal_half_sibs,
+       count(*) FILTER (WHERE q.dam = p.dam AND (q.sire IS NULL OR p.sire IS NULL)) AS n_maternal_unresolved
+FROM fx_pedigree p LEFT JOIN fx_pedigree q ON q.child <> p.child GROUP BY p.child, p.sire, p.dam""")
 
 oracle("x09", ["fx_calls", "fx_snp_map"], """
 SELECT 'MAIN_a' AS map_name, a.pos, mp.snp_key AS snp_name, a.n_groups, round(a.hs, 6) AS hs,
@@ -573,6 +575,93 @@ FROM (SELECT pos, count(*) AS n_groups, avg(2 * p * (1 - p)) AS hs, avg(p) AS pb
 JOIN mp USING (pos)""", _positions("MAIN_a") + "," + _last())
 
 
+# --------------------------------------------------------------------------
+# parent search, assignment and error rates on the derived families
+# --------------------------------------------------------------------------
+
+_FAMILY = ["fx_family_calls", "fx_family_pedigree"]
+_SEARCH = """
+cc AS (SELECT sample_id, pos, code FROM fx_family_calls WHERE code IN (0, 1, 2)),
+pairs AS (SELECT c.sample_id AS child, g.sample_id AS candidate, count(*) AS n_compared,
+                 count(*) FILTER (WHERE (c.code = 0 AND g.code = 2) OR (c.code = 2 AND g.code = 0)) AS n_opposing
+          FROM cc c JOIN cc g ON g.pos = c.pos WHERE c.sample_id IN (SELECT child FROM fx_family_pedigree) GROUP BY 1, 2),
+rec AS (SELECT DISTINCT child, sire AS parent FROM fx_family_pedigree UNION SELECT child, dam FROM fx_family_pedigree),
+gone AS (SELECT pairs.child, candidate FROM pairs JOIN rec ON rec.child = pairs.child AND parent = candidate
+         WHERE n_opposing / n_compared > CAST(0.03 AS DOUBLE)),
+kids AS (SELECT p.child, sire, dam, s.candidate IS NOT NULL AS sire_out, d.candidate IS NOT NULL AS dam_out
+         FROM fx_family_pedigree p LEFT JOIN gone s ON s.child = p.child AND s.candidate = sire
+         LEFT JOIN gone d ON d.child = p.child AND d.candidate = dam WHERE p.child IN (SELECT sample_id FROM cc)),
+roles AS (SELECT child, 'sire' AS role, CASE WHEN sire_out THEN 'excluded' ELSE 'unknown' END AS reason, sire AS recorded,
+                 CASE WHEN NOT dam_out THEN dam END AS other FROM kids WHERE sire IS NULL OR sire_out
+          UNION ALL
+          SELECT child, 'dam', CASE WHEN dam_out THEN 'excluded' ELSE 'unknown' END, dam, CASE WHEN NOT sire_out THEN sire END
+          FROM kids WHERE dam IS NULL OR dam_out),
+found AS (SELECT * FROM (
+  SELECT roles.child, role, reason, recorded, row_number() OVER (PARTITION BY roles.child, role
+           ORDER BY n_opposing / n_compared, n_compared DESC, candidate) AS rank, candidate, n_compared, n_opposing
+  FROM roles JOIN pairs ON pairs.child = roles.child
+  WHERE candidate <> roles.child AND (other IS NULL OR other <> candidate) AND n_compared >= 20
+    AND n_opposing <= CAST(0.03 AS DOUBLE) * n_compared
+    AND NOT EXISTS (SELECT 1 FROM rec WHERE rec.child = candidate AND rec.parent = roles.child)) WHERE rank <= 3)"""
+
+oracle("x10", _FAMILY, "SELECT * FROM found", _SEARCH)
+
+_FAMILY_P = """
+fp AS (SELECT pos, sum(code) / (2 * count(*)) AS p FROM fx_family_calls WHERE code IN (0, 1, 2) GROUP BY 1)"""
+
+
+def _mendel(c: str, s: str, d: str) -> str:
+    """Chance of the child's genotype for its parents' genotypes."""
+    return (f"CASE {c} WHEN 0 THEN (1 - {s} / 2) * (1 - {d} / 2) WHEN 2 THEN {s} / 2 * {d} / 2 "
+            f"ELSE {s} / 2 * (1 - {d} / 2) + (1 - {s} / 2) * {d} / 2 END")
+
+
+def _prior(c: str) -> str:
+    return f"CASE {c} WHEN 0 THEN (1 - p) * (1 - p) WHEN 1 THEN 2 * p * (1 - p) ELSE p * p END"
+
+
+oracle("x11", _FAMILY, """
+SELECT a.child, a.one AS parent_1, a.two AS parent_2, a.n_snps, round(a.s, 4) AS lod, b.one AS next_1, b.two AS next_2,
+       round(b.s, 4) AS next_lod, round(a.s - b.s, 4) AS delta, a.n_pairs
+FROM ranked a LEFT JOIN ranked b ON b.child = a.child AND b.r = 2 WHERE a.r = 1""", _SEARCH + "," + _FAMILY_P + f""",
+may AS (SELECT child, candidate FROM found UNION
+        SELECT rec.child, parent FROM rec JOIN pairs ON pairs.child = rec.child AND candidate = parent
+        WHERE n_opposing <= CAST(0.03 AS DOUBLE) * n_compared),
+scored AS (SELECT x.child, x.candidate AS one, y.candidate AS two, count(p) AS n_snps,
+                  round(coalesce(sum(ln(((1 - 0.01) * t + 0.01 * pr) / pr)), 0), 6) AS s
+           FROM may x JOIN may y ON y.child = x.child AND y.candidate > x.candidate
+           LEFT JOIN LATERAL (SELECT p, {_mendel('c.code', 'g.code', 'h.code')} AS t, {_prior('c.code')} AS pr
+                      FROM cc c JOIN cc g ON g.pos = c.pos JOIN cc h ON h.pos = c.pos JOIN fp ON fp.pos = c.pos
+                      WHERE c.sample_id = x.child AND g.sample_id = x.candidate AND h.sample_id = y.candidate
+                        AND p > 0 AND p < 1) ON true
+           GROUP BY 1, 2, 3),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY child ORDER BY s DESC, one, two) AS r,
+                  count(*) OVER (PARTITION BY child) AS n_pairs FROM scored)""")
+
+
+def _em(rounds: int) -> str:
+    """Expectation-maximisation of the rate of each SNP, one step a round."""
+    steps = ["e0 AS (SELECT DISTINCT pos, CAST(0.05 AS DOUBLE) AS e FROM tri)"]
+    steps += [f"e{k} AS (SELECT pos, sum(n * e * b / ((1 - e) * t + e * b)) / sum(n) AS e FROM tri JOIN e{k - 1} USING (pos) "
+              "GROUP BY 1)" for k in range(1, rounds + 1)]
+    steps += [f"l{k} AS (SELECT pos, sum(n) AS n, sum(n * ln((1 - e) * t + e * b)) AS l FROM tri JOIN e{k} USING (pos) GROUP BY 1)"
+              for k in (0, rounds)]
+    return ",\n".join(steps)
+
+
+oracle("x12", _FAMILY, """
+SELECT pos, CAST(l8.n AS BIGINT) AS n_trios, round(e, 8) AS rate, round(l0.l, 6) AS first_log_likelihood,
+       round(l8.l, 6) AS log_likelihood, CAST(8 AS BIGINT) AS rounds
+FROM l8 JOIN l0 USING (pos) JOIN e8 USING (pos)""", _FAMILY_P + f""",
+cc AS (SELECT sample_id, pos, code FROM fx_family_calls WHERE code IN (0, 1, 2)),
+tri AS (SELECT pos, count(*) AS n, {_mendel('c', 's', 'd')} AS t, {_prior('c')} AS b
+        FROM (SELECT fp.pos, p, c.code AS c, s.code AS s, d.code AS d FROM fx_family_pedigree x
+              JOIN cc c ON c.sample_id = x.child JOIN cc s ON s.sample_id = x.sire AND s.pos = c.pos
+              JOIN cc d ON d.sample_id = x.dam AND d.pos = c.pos JOIN fp ON fp.pos = c.pos WHERE p > 0 AND p < 1)
+        GROUP BY pos, p, c, s, d),
+""" + _em(8))
+
+
 # --------------------------------------------------------------------------
 # streaming queue
 # --------------------------------------------------------------------------

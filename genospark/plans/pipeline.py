@@ -74,11 +74,14 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
         panel_ready = not panel_snps.isEmpty()  # one-row read
         main_calls = calls.join(eligible, KEY)  # stored per-upload table: broadcast from its file size
         used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
-        staging = encode.staging_rows(main_calls, used_maps)
+        positions = encode.map_positions(used_maps)
+        # read by staging and QC: every call is encoded once
+        encoded = stored(encode.genotype_strings(main_calls, used_maps, positions), "encoded")
+        staging = encode.staged(encoded)
         panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
         panel = encode.panel_strings(panel_calls, panel_snps)
         staging = stored(encode.with_panel(staging, panel)) if panel_ready else _empty_staging(calls)
-        qc = stored(encode.sample_qc(main_calls, used_maps), "qc")
+        qc = stored(encode.sample_qc(main_calls, used_maps, positions, encoded), "qc")
     if not panel_ready:  # these uploads cannot be finished now: they stay pending
         pre = pre.withColumn("type_code", F.when(outcomes.genotype_code().isin("g_I", "g_K"), "c_B")
                              .otherwise(F.col("type_code")))
@@ -131,6 +134,7 @@ class UploadRun:
     qc: DataFrame              # QC line per encoded sample
     allele_errors: DataFrame   # bad allele letters per upload
     long_ids: DataFrame        # sample ids over the length limit
+    archives: DataFrame        # (nume_cari, path): the archive read for each upload that has one
 
 
 def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
@@ -184,4 +188,5 @@ def process_uploads(queue_df: DataFrame, lines: DataFrame, catalog: DataFrame, s
                      .select(KEY, "map_name", "number_snp", "map_alias"))
     staging = gb.staging.join(names.select(KEY, "file_name"), KEY)
     return UploadRun(status, staging, names, new_rows, new_snps, alias_updates, gb.qc,
-                     encode.allele_errors(gb.calls), reconcile.long_ids(reconcile.report_samples(gb.calls)))
+                     encode.allele_errors(gb.calls), reconcile.long_ids(reconcile.report_samples(gb.calls)),
+                     mine.groupBy(KEY).agg(F.min("path").alias("path")))

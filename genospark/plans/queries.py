@@ -414,6 +414,61 @@ def x09_fst(spark, sf_dir):
     return popgen.fst(cells, positions)
 
 
+# --------------------------------------------------------------------------
+# Parent search and assignment on the derived families (x10 - x13)
+# --------------------------------------------------------------------------
+
+from genospark.operators import parentage  # noqa: E402
+
+#: Conflicts that the families' planted errors cause, and SNPs that a comparison needs.
+FAMILY_CONFLICTS, FAMILY_SNPS = 0.03, 20
+
+
+def _family(fx: Fixtures):
+    cells = fx.fx_family_calls
+    positions = cells.select("map_name", "pos", F.col("pos").cast("string").alias("snp_key")).distinct()
+    return cells, stored(popgen.allele_frequencies(cells, positions), "family-frequencies")
+
+
+def _found_parents(fx: Fixtures):
+    return parentage.parent_search(fx.fx_family_calls, fx.fx_family_pedigree, FAMILY_CONFLICTS, FAMILY_SNPS)
+
+
+def _assigned(fx: Fixtures):
+    cells, freqs = _family(fx)
+    possible = parentage.possible_parents(cells, fx.fx_family_pedigree, _found_parents(fx), FAMILY_CONFLICTS)
+    return freqs, parentage.assign_parents(cells, freqs, possible)
+
+
+@query("x10")
+def x10_parent_search(spark, sf_dir):
+    return _found_parents(Fixtures(spark, sf_dir)).drop("map_name")
+
+
+@query("x11")
+def x11_parent_assignment(spark, sf_dir):
+    return _assigned(Fixtures(spark, sf_dir))[1].drop("map_name")
+
+
+@query("x12")
+def x12_error_rates(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cells, freqs = _family(fx)
+    # eight rounds for every SNP, as the SQL has; by default a SNP's rounds end with its gain
+    rates = parentage.error_rates(cells, freqs, fx.fx_family_pedigree, rounds=8, gain=-1.0)
+    return rates.select("pos", "n_trios", F.round("rate", 8).alias("rate"),
+                        F.round("first_log_likelihood", 6).alias("first_log_likelihood"),
+                        F.round("log_likelihood", 6).alias("log_likelihood"), "rounds")
+
+
+@query("x13")
+def x13_assignment_confidence(spark, sf_dir):
+    freqs, assigned = _assigned(Fixtures(spark, sf_dir))
+    (p, ) = popgen.frequencies_by_map(freqs).values()
+    return parentage.confident(assigned, parentage.critical_differences(spark, p)).select(
+        "child", "parent_1", "parent_2", "delta", "confidence")
+
+
 # --------------------------------------------------------------------------
 # Streaming queue (s01, s02)
 # --------------------------------------------------------------------------

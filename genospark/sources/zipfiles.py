@@ -118,6 +118,11 @@ def _lines(path: str, start: int, lines: list[str]) -> pd.DataFrame:
                          "line_no": pd.array(range(start, start + n), dtype="Int64"), "line": lines})
 
 
+def first_of_name(files: DataFrame) -> DataFrame:
+    """One archive for each name: where folders hold several, the first by path."""
+    return files.groupBy("file_name").agg(F.min("path").alias("path"))
+
+
 def zip_lines(spark: SparkSession, root: str, glob: str = "*.zip", names: DataFrame | None = None) -> DataFrame:
     """(path, file_name, n_members, status, line_no, line) for the archives under ``root``.
 
@@ -125,11 +130,11 @@ def zip_lines(spark: SparkSession, root: str, glob: str = "*.zip", names: DataFr
     any other archive yields a row with a null line.  A damaged archive may
     yield lines before that row: ``archive_status`` and ``good_lines`` drop them.
     With ``names`` (a ``file_name`` column, e.g. the pending uploads) only the
-    matching archives are opened.
+    matching archives are opened, one for each name (``first_of_name``).
     """
     files = list_archives(spark, root, glob)
     if names is not None:
-        files = files.join(names.select("file_name").distinct(), "file_name", "left_semi")
+        files = first_of_name(files.join(names.select("file_name").distinct(), "file_name", "left_semi"))
     # one archive per task where there are enough tasks: they are of unlike size
     spread = files.select("path").repartition("path")
     return spread.mapInPandas(_explode, LINES_SCHEMA).withColumn("file_name", F.element_at(F.split("path", "/"), -1))

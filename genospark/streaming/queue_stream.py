@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from genospark.operators import outcomes, queue
 from genospark.plans import sinks
 from genospark.schemas import STATUS_SCHEMA
+from genospark.session import stored
 
 
 def queue_stream(spark: SparkSession, queue_dir: str, schema, files_per_trigger: int = 1,
@@ -56,11 +57,13 @@ def make_batch_handler(spark: SparkSession, status_dir: str, files: DataFrame):
         pend = queue.pending(batch)
         w = Window.partitionBy("nume_cari").orderBy(F.col("data_cari").desc())
         pend = pend.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-        done = read_status(spark, status_dir).where(F.col("bit_elaborato") == 1).select(
-            F.col("nume_cari").cast("long").alias("nume_cari"))
-        todo = pend.join(done, "nume_cari", "left_anti")
-        status = outcomes.status_rows(presence_outcome(todo, files))
-        sinks.append_status(status, status_dir)
+        name = f"epoch-{epoch_id}"
+        log = read_status(spark, status_dir)
+        if "batch" in log.columns:  # a replay decides its own uploads again and replaces their rows
+            log = log.where(F.col("batch") != name)
+        done = log.where(F.col("bit_elaborato") == 1).select(F.col("nume_cari").cast("long").alias("nume_cari"))
+        todo = stored(pend.join(done, "nume_cari", "left_anti"), "todo")
+        sinks.append_status(outcomes.status_rows(presence_outcome(todo, files)), status_dir, name)
     return handle
 
 

@@ -22,7 +22,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+#: Rests on seeded simulation; tests/test_parentage.py has its tests.
+WITHOUT_SQL = {"x13"}
+
+
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
@@ -33,7 +37,7 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) <= set(E.oracle_sql())
+    assert set(QUERIES) - set(E.oracle_sql()) == WITHOUT_SQL
 
 
 def test_entry_runs(spark):

@@ -244,3 +244,27 @@ def test_open_uploads_are_tried_again(spark, tmp_path):
     assert retry_open(spark, layout, first.schema, "again-2") is None
     final = spark.read.parquet(layout.path("status")).where("bit_elaborato = 1").collect()
     assert {(int(r["nume_cari"]), r["code"]) for r in final} == {(1, "m_E"), (2, "m_F"), (3, "g_B")}
+
+
+def test_one_archive_is_read_of_several_with_one_name(spark, tmp_path):
+    """Of archives with one name in several folders the first by path is read and recorded."""
+    import os
+    for folder, snps in (("b", ["T1", "T1"]), ("a", ["S1", "S2"]), ("c", ["U1"])):
+        os.makedirs(tmp_path / "up" / folder)
+        write_zip(str(tmp_path / "up" / folder), "MAP_x.zip", {"m.txt": map_file(snps)})
+    jobs = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1, "M", "MAP_x.zip", 0)], QUEUE)
+    catalog = spark.createDataFrame([], "map_name string, number_snp int, map_alias string")
+    snp_maps = spark.createDataFrame([], "map_name string, id long, snp_name string")
+    archive = spark.createDataFrame([], "chr_codicecampionelab string")
+    from genospark.operators import queue
+    names = queue.file_names(queue.pending(jobs))
+    stored_name = names.first()["file_name"]
+    if stored_name != "MAP_x.zip":
+        for folder in "abc":
+            os.rename(tmp_path / "up" / folder / "MAP_x.zip", tmp_path / "up" / folder / stored_name)
+    run = pipeline.process_uploads(jobs, zip_lines(spark, str(tmp_path / "up"), names=names.select("file_name")),
+                                   catalog, snp_maps, archive)
+    assert [(int(r["nume_cari"]), r["code"]) for r in run.status.collect()] == [(1, "m_E")]
+    assert [r["snp_name"] for r in run.snp_rows.orderBy("id").collect()] == ["S1", "S2"]
+    path, = [r["path"] for r in run.archives.collect()]
+    assert path.endswith(f"/up/a/{stored_name}")

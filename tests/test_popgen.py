@@ -69,6 +69,7 @@ def test_ancestors_of_a_deep_pedigree(spark):
 def test_siblings_with_unknown_parents(spark):
     ped = spark.createDataFrame([("a", "s", "d"), ("b", "s", "d"), ("c", "s", "e"), ("f", "s", None), ("g", None, "d"),
                                  ("h", None, None)], PED)
-    got = {r.child: (r.n_full_sibs, r.n_paternal_half_sibs, r.n_maternal_half_sibs)
-           for r in popgen.sibling_counts(ped).collect()}
-    assert got == {"a": (1, 1, 0), "b": (1, 1, 0), "c": (0, 2, 0), "f": (0, 0, 0), "g": (0, 0, 0), "h": (0, 0, 0)}
+    got = {r.child: (r.n_full_sibs, r.n_paternal_half_sibs, r.n_paternal_unresolved, r.n_maternal_half_sibs,
+                     r.n_maternal_unresolved) for r in popgen.sibling_counts(ped).collect()}
+    assert got == {"a": (1, 2, 1, 1, 1), "b": (1, 2, 1, 1, 1), "c": (0, 3, 1, 0, 0), "f": (0, 3, 3, 0, 0),
+                   "g": (0, 0, 0, 2, 2), "h": (0, 0, 0, 0, 0)}

@@ -33,3 +33,13 @@ def test_processed_queue_files_are_archived(spark, tmp_path):
     assert spark.read.parquet(sdir).count() == jobs.where("coalesce(bit_elaborato, -1) = 0").count()
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
     assert archived  # processed queue files moved out of the source folder
+
+
+def test_a_replayed_micro_batch_adds_nothing(spark, tmp_path):
+    jobs = Fixtures(spark, "/root/testdata/sf0.001").fx_jobs
+    status = str(tmp_path / "status")
+    handle = queue_stream.make_batch_handler(spark, status, list_archives(spark, str(tmp_path / "uploads")))
+    for epoch in (0, 0, 1, 0):
+        handle(jobs.where(f"nume_cari % 2 = {epoch}"), epoch)
+    rows = spark.read.parquet(status)
+    assert rows.count() == rows.select("nume_cari").distinct().count() == jobs.where("bit_elaborato = 0").count()
