@@ -1,4 +1,9 @@
-"""A bitmap that lets tasks drop rows before a shuffle."""
+"""A bitmap that lets tasks drop rows before a shuffle.
+
+The bits are set by the tasks, joined by part in Spark and reach the driver packed: 2**MOST_BITS / 8 bytes
+(2 MB) at most, whatever the number of keys.  Beyond some millions of keys more rows pass than are wanted, up to
+all of them: results do not change, but the shuffle behind it grows.
+"""
 
 from __future__ import annotations
 
@@ -7,51 +12,79 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-#: Bits of the largest bitmap; with more keys more rows pass than are wanted.
+#: Bits of the largest bitmap.
 MOST_BITS = 24
+#: Bytes of a part of it.
+PART = 512
 
 
 class Filter:
     """Keys (64-bit hashes) that may be wanted: a bitmap over their leading bits."""
 
-    def __init__(self, bits: int, set_bits: list[np.ndarray]):
+    def __init__(self, bits: int, parts: list[tuple[int, bytes]] = ()):
         self.bits = bits
-        self.map = np.zeros(1 << bits, bool)
-        for at in set_bits:
-            self.map[at] = True
+        self.map = np.zeros(1 << bits - 3, np.uint8)
+        for part, own in parts:
+            self.map[part * PART:(part + 1) * PART] = np.frombuffer(own, np.uint8)
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.int64(64 - self.bits)) + (1 << self.bits - 1)
+
+    def add(self, keys: np.ndarray) -> None:
+        at = self._at(keys)
+        np.bitwise_or.at(self.map, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         """Which of the signed 64-bit keys may be wanted."""
-        return self.map[(keys >> np.int64(64 - self.bits)) + (1 << self.bits - 1)]
+        at = self._at(keys)
+        return (self.map[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+    def parts(self) -> pa.RecordBatch:
+        """The parts with any bit."""
+        rows = self.map.reshape(-1, PART)
+        some = np.flatnonzero(rows.any(axis=1))
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)),
+                                           pa.array([rows[k].tobytes() for k in some], pa.binary())], names=["part", "map"])
 
 
 def bits_for(count: int) -> int:
     return min(MOST_BITS, max(12, count.bit_length() + 4))
 
 
-def _leading(bits: int):
+def _set(bits: int, packed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Filter(bits)
         for batch in batches:
-            at = [np.unique((np.frombuffer(x.as_buffer(), np.int64) >> np.int64(64 - bits)) + (1 << bits - 1))
-                  .astype(np.uint32).tobytes() for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary())], names=["at"])
+            for keys in ([np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)] if packed
+                         else [batch.column(0).to_numpy(zero_copy_only=False)]):
+                own.add(keys)
+        yield own.parts()
     return run
 
 
-def packed_filter(keys: DataFrame, count: int) -> Filter:
-    """The filter of ``count`` distinct keys that come as arrays of int64 in the binary first
-    column, rows by leading bits of the keys."""
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, own in zip(*batch.to_pydict().values(), strict=True):
+            own = np.frombuffer(own, np.uint8)
+            total[part] = total[part] | own if part in total else own
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                      pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["part", "map"])
+
+
+def _collected(keys: DataFrame, count: int, packed: bool) -> Filter:
     bits = bits_for(count)
-    rows = keys.mapInArrow(_leading(bits), "at binary").collect()  # 4 * 2**bits bytes at most
-    return Filter(bits, [np.frombuffer(r["at"], np.uint32).astype(np.int64) for r in rows])
+    schema = "part int, map binary"
+    rows = keys.mapInArrow(_set(bits, packed), schema).repartition("part").mapInArrow(_joined, schema).collect()
+    return Filter(bits, [tuple(r) for r in rows])
+
+
+def packed_filter(keys: DataFrame, count: int) -> Filter:
+    """The filter of ``count`` distinct keys that come as arrays of int64 in the binary first column."""
+    return _collected(keys.select(keys.columns[0]), count, True)
 
 
 def wanted(keys: DataFrame, count: int) -> Filter:
     """The filter of the distinct keys in the first column, ``count`` of them."""
-    bits = bits_for(count)
-    at = F.shiftright(F.col(keys.columns[0]), 64 - bits) + F.lit(1 << bits - 1)
-    rows = keys.select(at.alias("at")).distinct().groupBy(F.shiftright("at", 12).alias("part")).agg(
-        F.collect_set("at").alias("at")).collect()  # at most 2**12 bits in a row
-    return Filter(bits, [np.asarray(r["at"], np.int64) for r in rows])
+    return _collected(keys.select(keys.columns[0]), count, False)
