@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,8 @@ WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
-#: Distinct words a worker remembers; it then starts anew.
-CACHED_WORDS = 600_000
+#: Distinct words a worker remembers; then the half that was not met lately goes.
+CACHED_WORDS = 2_000_000
 #: New words encoded at once; an encoding takes far more memory than its ids.
 ENCODED_WORDS = 4096
 
@@ -56,34 +57,63 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
+class Words:
+    """Words by the order of their hashes, and the ids of each in one array."""
+
+    def __init__(self):
+        self.words = np.zeros(0, np.uint64)
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each word, and whether it is there."""
+        at = np.searchsorted(self.words, words)
+        at[at == len(self.words)] = 0
+        return at, self.words[at] == words if len(self.words) else np.zeros(len(words), bool)
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places, one after the other, and how many each has."""
+        size = self.size[at].astype(np.int64)
+        return self.flat[T.ranges(self.first[at], size)], size
+
+    def add(self, words: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """New words, sorted."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
+        self.flat[self.used:self.used + len(ids)] = ids
+        first = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        at = np.searchsorted(self.words, words)
+        self.words, self.first, self.size = (np.insert(old, at, new) for old, new in (
+            (self.words, words), (self.first, first), (self.size, size)))
+
+
 class WordCache:
-    """Ids of the words met so far by this worker."""
+    """Ids of the words this worker has met lately."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.first, self.ids = [np.zeros(1, np.int64)], []
-        self.flat, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def slots(self, words: np.ndarray, text: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The slot of each (distinct) word; new words are encoded."""
-        if len(self.slot) > CACHED_WORDS:
-            self.clear()
-        known = list(map(self.slot.get, words.tolist()))
-        new = [k for k, s in enumerate(known) if s is None]
-        if new:
-            found = [e.ids for a in range(0, len(new), ENCODED_WORDS) for e in self.tokenizer.encode_batch_fast(
-                [text[start[k]:end[k]].decode() for k in new[a:a + ENCODED_WORDS]], add_special_tokens=False)]
-            n = len(self.slot)
-            for j, k in enumerate(new):
-                known[k] = self.slot[int(words[k])] = n + j
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.flat = np.concatenate((self.flat, np.fromiter((i for x in found for i in x), np.uint32, sizes.sum())))
-            self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
-        return np.asarray(known, np.int64)
+        self.new, self.old = Words(), Words()
+
+    def lookup(self, words: np.ndarray, text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First id (in ``new.flat``) and number of ids of each of the distinct words, which are sorted;
+        unknown ones are encoded."""
+        if len(self.new.words) > CACHED_WORDS // 2:
+            self.old, self.new = self.new, Words()
+        _, known = self.new.find(words)
+        rest = np.flatnonzero(~known)
+        at, known = self.old.find(words[rest])
+        if known.any():
+            self.new.add(words[rest[known]], *self.old.ids(at[known]))
+        rest = rest[~known]
+        if len(rest):
+            spans = list(zip(start[rest].tolist(), end[rest].tolist(), strict=True))
+            found = [e.ids for a in range(0, len(rest), ENCODED_WORDS) for e in self.tokenizer.encode_batch_fast(
+                [text[i:j].decode() for i, j in spans[a:a + ENCODED_WORDS]], add_special_tokens=False)]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            self.new.add(words[rest], np.fromiter(chain.from_iterable(found), np.uint32, size.sum()), size)
+        at, _ = self.new.find(words)
+        return self.new.first[at], self.new.size[at].astype(np.int64)
 
 
 _caches: dict[str, WordCache] = {}
@@ -100,11 +130,11 @@ def encode_texts(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     ends[:-1] &= ~solid[1:] | begins[1:]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     words, at, which = np.unique(T.SpanHash(text)(start, end), return_index=True, return_inverse=True)
-    slot = cache.slots(words, text.tobytes(), start[at], end[at])[which]
-    size = cache.bounds[slot + 1] - cache.bounds[slot]
+    begin, size = cache.lookup(words, text.tobytes(), start[at], end[at])
+    begin, size = begin[which], size[which]
     total = np.concatenate(([0], np.cumsum(size)))
     first = total[np.searchsorted(start, starts_at)]
-    ids = cache.flat[T.ranges(cache.bounds[slot], size)]
+    ids = cache.new.flat[T.ranges(begin, size)]
     return np.insert(ids, first[1:], END_ID), first + np.arange(len(first))
 
 
