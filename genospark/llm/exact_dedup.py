@@ -12,31 +12,45 @@ kept before a row with an id.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genospark.llm.skewed import join_groups
 from genospark.session import scratch_path, stored
 
+
 class DigestIndex:
-    """Digests seen so far, each with the id of the row that stays.
+    """Digests seen so far, each with the id of the row that stays and the batch that brought it.
 
     ``path`` is a shared folder and ``table`` its name in the catalog; a later
-    session passes the same two and goes on with what is there.
+    session passes the same two and goes on with what is there.  The number of buckets is
+    stored beside the index when it is made (by default the shuffle partitions of that session);
+    an index is opened with its own number, whatever a later session's settings are, and asking for another one
+    raises ``ValueError``.
     """
 
     def __init__(self, spark: SparkSession, path: str, table: str, buckets: int | None = None):
         self.spark, self.path, self.table = spark, path, table
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        about = f"{path.rstrip('/')}-about"
+        try:
+            self.buckets = spark.read.parquet(about).first()["buckets"]
+        except AnalysisException:  # a new index
+            self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            spark.range(1).select(F.lit(self.buckets).alias("buckets")).write.parquet(about)
+        if buckets not in (None, self.buckets):
+            raise ValueError(f"the index at {path} has {self.buckets} buckets, not {buckets}")
         if not spark.catalog.tableExists(table):
-            spark.sql(f"CREATE TABLE {table} (digest BINARY, keep_id BIGINT) USING parquet "
+            spark.sql(f"CREATE TABLE {table} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
                       f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def append(self, new: DataFrame) -> None:
-        (new.select("digest", "keep_id").repartition(self.buckets, "digest")
+    def append(self, new: DataFrame, batch: str) -> None:
+        (new.select("digest", "keep_id", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
          .write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest")
          .option("path", self.path).saveAsTable(self.table))
 
@@ -57,10 +71,12 @@ class DigestIndex:
         groups = stored(digests.groupBy("digest").agg(
             F.max("at").alias("own"), F.count(F.lit(1)).alias("group_size")), "digest-groups")
         new = groups.hint("merge").join(self.rows().select("digest"), "digest", "left_anti")
-        self.append(new.select("digest", F.col("own.id").alias("keep_id")))
+        name = uuid.uuid4().hex
+        self.append(new.select("digest", F.col("own.id").alias("keep_id")), name)
 
         judged = groups.hint("merge").join(self.rows(), "digest")
-        judged = judged.withColumn("mine", F.col("keep_id").eqNullSafe(F.col("own.id")))
+        # ids may come again in a later batch, so a row stays by its batch and place, not by its id
+        judged = judged.withColumn("mine", F.col("batch") == name).drop("batch")
         # rows of a hot text meet its group by broadcast, so no task gets them all
         both = join_groups(digests, judged, "digest", "group_size", digests.count())
         return both.select(

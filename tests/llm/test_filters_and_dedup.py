@@ -4,6 +4,8 @@ import gc
 import random
 import weakref
 
+import pytest
+
 from genospark.llm import decontamination as D
 from genospark.llm import exact_dedup, queries, url_filters
 from genospark.session import scratch_path
@@ -139,3 +141,40 @@ def test_digest_index_goes_on(spark):
     plan = again.rows()._jdf.queryExecution().toString()
     assert "kept_digests" in plan
     assert spark.sql("DESCRIBE EXTENDED kept_digests").where("col_name = 'Num Buckets'").first().data_type == "3"
+
+
+def index_of(spark, path, table, partitions, buckets=None):
+    """The index as a session with an empty catalog and other settings opens it."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        return exact_dedup.DigestIndex(spark, path, table, buckets)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_index_keeps_its_number_of_buckets(spark, tmp_path):
+    path, texts = str(tmp_path / "index"), [(k, f"text {k}") for k in range(40)]
+    index = index_of(spark, path, "own_buckets", "4")
+    assert index.buckets == 4 and sum(r.kept for r in index.add(documents(spark, texts)).collect()) == 40
+    again = index_of(spark, path, "own_buckets", "7")
+    assert again.buckets == 4
+    got = again.add(documents(spark, [(k + 100, t) for k, t in texts] + [(7, "new")])).collect()
+    assert [(r.doc_id, r.keep_id) for r in got if r.kept] == [(7, 7)] and again.rows().count() == 41
+    assert {r.keep_id for r in got if not r.kept} == set(range(40))
+    with pytest.raises(ValueError, match="has 4 buckets"):
+        index_of(spark, path, "own_buckets", "4", buckets=5)
+    spark.sql("DROP TABLE IF EXISTS own_buckets")
+
+
+def test_rows_given_again_are_not_kept_again(spark, tmp_path):
+    """Same ids and null ids in later batches."""
+    rows = [(1, "a"), (2, "b"), (None, "c"), (None, None)]
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), "given_again", buckets=3)
+    assert sum(r.kept for r in index.add(documents(spark, rows)).collect()) == 4
+    for batch in (rows, rows + rows, [(2, "a"), (1, "b"), (3, "c")]):
+        got = index.add(documents(spark, batch)).collect()
+        assert len(got) == len(batch) and not any(r.kept for r in got)
+    assert index.rows().count() == 4
+    spark.sql("DROP TABLE given_again")
