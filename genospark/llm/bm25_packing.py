@@ -149,6 +149,7 @@ _REST = pa.schema([("row", pa.int64()), ("first_window", pa.int64()), ("doc_id",
 
 def _encode(path: str, dtype: np.dtype):
     """The windows that a text fills alone (their checksums) and the rest of it."""
+    @T.releases
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = window = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         for batch in batches:
@@ -281,6 +282,7 @@ def _pack(terms: Broadcast):
                             doc_tokens, (shard << 28) + number, offset))
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=_PIECES)
 
+    @T.releases
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, rows = None, []
         for batch in batches:

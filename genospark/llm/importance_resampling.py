@@ -95,7 +95,7 @@ def known_labels(labels: DataFrame, id_col: str, limit: int) -> Labels:
 
 def _count(labels: Broadcast):
     """N-gram counts of a whole task: all rows, and the rows labelled good."""
-    return lambda batches: _count_task(batches, labels.value)
+    return T.releases(lambda batches: _count_task(batches, labels.value))
 
 
 def _count_task(batches: Iterator[pa.RecordBatch], labels: Labels) -> Iterator[pa.RecordBatch]:
@@ -113,6 +113,7 @@ def _count_task(batches: Iterator[pa.RecordBatch], labels: Labels) -> Iterator[p
                                          for x in (raw, good)], names=["part", "raw", "good"])
 
 
+@T.releases
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the rows of each part; a task holds one array for each part it has."""
     total: dict[int, list[np.ndarray]] = {}
@@ -145,6 +146,7 @@ WEIGHT_SCHEMA = "id long, log_weight double, key double, sort_key long, good boo
 def _weigh(model: Broadcast, labels: Broadcast, seed: int):
     salt = np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
 
+    @T.releases
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = T.buffers(batch.column(1))

@@ -9,7 +9,10 @@ probability 2**-64 per pair (random byte table, random odd base).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +130,23 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_BYTES)
 
 
+def give_back() -> None:
+    """Return the memory that is free in this process to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def releases(run: Callable) -> Callable:
+    """The task ``run`` of Arrow batches, which gives its free memory back at its end: workers are used again, and
+    what one stage left in them would stand beside the next stage's needs."""
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+    return task
+
+
 def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted values and how often each occurs."""
     return np.unique(values, return_counts=True)
