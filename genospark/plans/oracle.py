@@ -674,3 +674,7 @@ FROM (SELECT nume_cari, coalesce({_TYPE_CODE}, CASE WHEN tipo_cari = 'M' THEN 'c
 oracle("s02", ["fx_jobs"], f"""
 SELECT nume_cari, tipo_cari, nome_file FROM fx_jobs
 WHERE {_PENDING} AND tipo_cari = 'M' AND ({_TYPE_CODE}) IS NULL""")
+
+oracle("s03", ["fx_jobs"], f"""
+SELECT CAST(nume_cari AS VARCHAR) AS nume_cari, code, bit_ok, bit_elaborato, errori_elab
+FROM (SELECT nume_cari, {_TYPE_CODE} AS code FROM fx_jobs WHERE {_PENDING}) j JOIN outc USING (code)""", _outcome_values())

@@ -475,6 +475,7 @@ def x13_assignment_confidence(spark, sf_dir):
 
 import os  # noqa: E402
 
+from genospark.plans.commits import Published  # noqa: E402
 from genospark.session import scratch_path  # noqa: E402
 from genospark.sources.zipfiles import list_archives  # noqa: E402
 from genospark.streaming import queue_stream  # noqa: E402
@@ -502,3 +503,20 @@ def s01_queue_stream(spark, sf_dir):
 def s02_retry(spark, sf_dir):
     fx, status = _stream_once(spark, sf_dir)
     return queue_stream.retry_set(fx.fx_jobs, status).select("nume_cari", "tipo_cari", "nome_file")
+
+
+@query("s03")
+def s03_published_batches(spark, sf_dir):
+    """Early outcomes of the queue in two batches; of each the first attempt is lost before its commit."""
+    fx = Fixtures(spark, sf_dir)
+    typed = queue.route(queue.pending(fx.fx_jobs)).where(F.col("type_code").isNotNull()).select(
+        "nume_cari", F.col("type_code").alias("code"))
+    status = outcomes.status_rows(typed)
+    published = Published(spark, scratch_path(spark, "published"))
+    for k in range(2):
+        rows = status.where(F.pmod(F.col("nume_cari").cast("long"), F.lit(2)) == k)
+        published.begin(f"half {k}").write("status", rows)
+        attempt = published.begin(f"half {k}")
+        attempt.write("status", rows)
+        attempt.commit()
+    return published.read("status", "nume_cari").drop("batch", "seq")

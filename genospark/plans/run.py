@@ -11,6 +11,7 @@ runs it for each micro-batch of a queue folder.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from genospark.operators import queue
 from genospark.plans import pipeline, sinks
+from genospark.plans.commits import Published
 from genospark.session import stored
 from genospark.sources import tables
 from genospark.sources.zipfiles import zip_lines
@@ -33,16 +35,31 @@ class Layout:
     snp_maps: str | dict
     archive: str | dict
     out: str                # folder for every output table
+    atomic: bool = False    # publish a batch's tables by one commit (plans/commits.py) and read them through commits
 
     def path(self, name: str) -> str:
         return os.path.join(self.out, name)
 
 
-def _registered(spark: SparkSession, path: str, columns: list[str], batch: DataFrame) -> DataFrame | None:
-    """Rows that earlier uploads registered; those of this batch's own uploads are written anew."""
+def published(spark: SparkSession, layout: Layout) -> Published:
+    return Published(spark, layout.path("published"))
+
+
+def read_table(spark: SparkSession, layout: Layout, name: str, key: str | None = None) -> DataFrame | None:
+    """An output table, or None before the first batch; with ``key``, an upload's rows are those of its last batch.
+    Of an atomic layout only published batches are seen."""
+    if layout.atomic:
+        return published(spark, layout).read(name, key)
     try:
-        rows = spark.read.parquet(path)
-    except AnalysisException:  # nothing registered yet
+        return spark.read.parquet(layout.path(name))
+    except AnalysisException:
+        return None
+
+
+def _registered(spark: SparkSession, layout: Layout, name: str, columns: list[str], batch: DataFrame) -> DataFrame | None:
+    """Rows that earlier uploads registered; those of this batch's own uploads are written anew."""
+    rows = read_table(spark, layout, name, "upload")
+    if rows is None:  # nothing registered yet
         return None
     mine = batch.select(F.col("nume_cari").cast("long").alias("upload"))
     rows = rows.withColumn("upload", F.col("upload").cast("long")).join(mine, "upload", "left_anti")
@@ -55,15 +72,24 @@ def run_batch(spark: SparkSession, queue_df: DataFrame, layout: Layout, batch: s
     pending = stored(queue.pending(queue_df), "batch")
     catalog = tables.read_catalog(spark, layout.catalog)
     snp_maps = tables.read_snp_maps(spark, layout.snp_maps)
-    new = _registered(spark, layout.path("new_catalog"), catalog.columns, pending)
+    new = _registered(spark, layout, "new_catalog", catalog.columns, pending)
     if new is not None:
         catalog = stored(catalog.unionByName(new), "catalogue")
-        snps = _registered(spark, layout.path("new_snp_maps"), snp_maps.columns, pending)
+        snps = _registered(spark, layout, "new_snp_maps", snp_maps.columns, pending)
         # read before this batch replaces its own partitions
         snp_maps = snp_maps.unionByName(stored(snps, "registered-snps"))
     run = pipeline.process_uploads(
         pending, zip_lines(spark, layout.uploads, names=queue.file_names(pending).select("file_name")),
         catalog, snp_maps, tables.read_archive(spark, layout.archive))
+    if layout.atomic:
+        attempt = published(spark, layout).begin(batch or uuid.uuid4().hex)
+        for name, rows in sinks.tables_of(run).items():
+            attempt.write(name, rows)
+        attempt.commit()
+        # exports follow the commit; running the batch again writes the same files again
+        sinks.write_genotype_csv(run.staging, run.names, layout.path("genotypes_csv"))
+        sinks.write_panel_csv(run.staging, run.names, layout.path("panel_csv"))
+        return run
     sinks.write_staging(run.staging, layout.path("staging"))
     sinks.write_genotype_csv(run.staging, run.names, layout.path("genotypes_csv"))
     sinks.write_panel_csv(run.staging, run.names, layout.path("panel_csv"))
@@ -106,13 +132,13 @@ def process_queue_stream(spark: SparkSession, queue_dir: str, schema, layout: La
 
     All writes are by upload or by micro-batch id, so a replayed micro-batch adds nothing.
     """
-    status_dir = layout.path("status")
-
     def handle(batch: DataFrame, epoch_id: int) -> None:
         name = f"epoch-{epoch_id}"
-        log = queue_stream.read_status(spark, status_dir)
+        log = read_table(spark, layout, "status")
+        if log is None:
+            log = queue_stream.read_status(spark, layout.path("status"))
         if "batch" in log.columns:  # a replay decides its own uploads again
-            log = log.where(F.col("batch") != name)
+            log = log.where(~F.col("batch").isin(name, f"batch {name}"))
         done = log.where("bit_elaborato = 1").selectExpr("CAST(nume_cari AS BIGINT) AS nume_cari")
         rows = queue.pending(batch).unionByName(_still_open(spark, layout, epoch_id, schema))
         newest = Window.partitionBy("nume_cari").orderBy(F.col("data_cari").desc())

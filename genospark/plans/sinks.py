@@ -49,9 +49,19 @@ def append_status(status: DataFrame, path: str, batch: str | None = None) -> Non
 
     Rows of one batch are one partition: writing a batch again replaces them.
     """
-    _dynamic(status.withColumn("run_ts", F.current_timestamp())
-             .withColumn("run_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
-             .withColumn("batch", F.lit(batch or uuid.uuid4().hex))).partitionBy("batch").parquet(path)
+    _dynamic(_dated(status).withColumn("batch", F.lit(batch or uuid.uuid4().hex))).partitionBy("batch").parquet(path)
+
+
+def _dated(status: DataFrame) -> DataFrame:
+    return status.withColumn("run_ts", F.current_timestamp()).withColumn(
+        "run_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
+
+
+def tables_of(run) -> dict[str, DataFrame]:
+    """Every output table of an upload run, the status log last."""
+    return {"staging": run.staging, "sample_qc": run.qc, "allele_errors": run.allele_errors, "long_ids": run.long_ids,
+            "archives": run.archives, "new_catalog": run.catalog_rows, "new_snp_maps": run.snp_rows,
+            "alias_updates": run.alias_updates, "status": _dated(run.status)}
 
 
 def latest_status(status_log: DataFrame) -> DataFrame:
