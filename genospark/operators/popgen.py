@@ -183,7 +183,8 @@ def prior(p: np.ndarray) -> np.ndarray:
 
 def genotypes(cells: DataFrame) -> DataFrame:
     """(map_name, sample_id, codes): the calls of a sample as bytes by position, 5 for none."""
-    calls = current_calls(cells).groupBy("map_name", "sample_id").agg(
+    # both aggregates run on this partitioning; a group is one sample's calls on a map
+    calls = current_calls(cells.repartition("map_name", "sample_id")).groupBy("map_name", "sample_id").agg(
         F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), F.col("code").cast("int").alias("code"))).alias("calls"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
