@@ -17,7 +17,11 @@ white space in a block becomes one space, and blocks are joined by a newline.
 An element is beside the main text by its tag, role, or the name that its class or id
 gives it, unless it holds what must be the main text (see ``blocks``).
 
-Defined cases: a null or empty html gives an empty text; a null url, or one
+A page is parsed once a pass, in time linear in its length: what an element holds is the
+difference of two running counts, and containers are nodes of a tree of generalised paths.
+
+Defined cases: a quote opens a value only after ``=``, and one that never closes is part of the value; elements
+nested deeper than ``DEPTH`` are siblings at that depth, as browsers have it; a null or empty html gives an empty text; a null url, or one
 without ``://``, counts for the empty host; of paths with equal votes the first in
 alphabetical order wins; rows that repeat an id are extracted one by one; other
 columns are not read; tags cut off at the end of a page are dropped.
@@ -29,6 +33,7 @@ import html
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,9 +43,10 @@ from genospark.llm import textarrays as T
 from genospark.llm.skewed import join_groups
 from genospark.session import stored
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
-                  r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(>?)""", re.S)
-_ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_VALUE = r"""\s*+=\s*+(?>"[^"]*"|'[^']*'|[^\s>]*+)"""
+_TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
+                  rf"""|<(/?)([a-zA-Z][^\s/>]*)((?>[\s/]+|=?[^\s/>=]++(?:{_VALUE})?|=)*+)(>?)""", re.S)
+_ATTR = re.compile(r"""(=?[^\s/>=]++)(?:\s*+=\s*+(?>"([^"]*)"|'([^']*)'|([^\s>]*+)))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in
             ("script", "style", "title", "textarea", "noscript", "iframe", "template", "svg")}
 
@@ -69,16 +75,61 @@ _FLOW = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table thead tbody tfoot
                   "figure figcaption section hgroup details summary".split())
 #: Other parts of a container call for it if they have this part of the text found so far.
 LARGE_PART = 0.25
+#: A form with more than this part of a page's text is the page's own (the whole page is sent with it).
+PAGE_FORM = 0.75
+#: Containers further inside than this are siblings at this depth.
+DEPTH = 512
 _SCOPE = frozenset("article section main div td th table ul ol dl blockquote body aside nav header footer form".split())
 
 
 class Block:
-    """Text of one block, the paths of its containers (outermost first), and its linked characters."""
+    """Text of one block, the node of the container around it, and its linked characters."""
+
+    __slots__ = ("text", "node", "linked")
+
+    def __init__(self, text: str, node: int, linked: int):
+        self.text, self.node, self.linked = text, node, linked
+
+
+class Paths:
+    """The generalised paths of a page's containers as a tree; node 0 is the page."""
+
+    def __init__(self):
+        self.names, self.parents, self.depths = [""], [-1], [0]
+        self._nodes: dict[tuple[int, str], int] = {}
 
-    __slots__ = ("text", "paths", "linked")
+    def child(self, node: int, name: str) -> int:
+        if self.depths[node] >= DEPTH:
+            return node
+        found = self._nodes.get((node, name))
+        if found is None:
+            found = self._nodes[node, name] = len(self.names)
+            self.names.append(name)
+            self.parents.append(node)
+            self.depths.append(self.depths[node] + 1)
+        return found
 
-    def __init__(self, text: str, paths: tuple, linked: int):
-        self.text, self.paths, self.linked = text, paths, linked
+    def around(self, node: int) -> list[int]:
+        """The node and those around it, outermost first."""
+        out = []
+        while node >= 0:
+            out.append(node)
+            node = self.parents[node]
+        return out[::-1]
+
+    def text(self, node: int) -> str:
+        return ">".join(self.names[n] for n in self.around(node))
+
+    def tag(self, node: int) -> str:
+        return self.names[node].partition(".")[0]
+
+    def find(self, path: str) -> int | None:
+        node: int | None = 0
+        for name in path.split(">")[1:]:
+            node = self._nodes.get((node, name))
+            if node is None:
+                break
+        return node
 
 
 def _names_aside(token: str) -> bool:
@@ -92,21 +143,22 @@ def _names_aside(token: str) -> bool:
     return bool(words) and words[-1] in ASIDE_WORDS
 
 
-#: What makes an element one beside the main text: its tag or role, or only its name.
-_BY_TAG, _BY_NAME = 1, 2
+#: What makes an element one beside the main text: its tag or role, only its name, or that it is a form.
+_BY_TAG, _BY_NAME, _BY_FORM = 1, 2, 3
 
 
+@lru_cache(4096)
 def _kind(tag: str, attributes: str) -> tuple[str, int]:
     """Generalised name of an element, and what makes it one beside the main text (0: nothing)."""
-    aside, name = _BY_TAG if tag in ASIDE_TAGS else 0, tag
+    aside, name = _BY_FORM if tag == "form" else _BY_TAG if tag in ASIDE_TAGS else 0, tag
     if attributes:
         for key, *value in _ATTR.findall(attributes):
-            value = "".join(value).lower()
-            if key.lower() == "role":
+            key, value = key.lower(), "".join(value).lower()
+            if key == "role":
                 aside = _BY_TAG if value in ASIDE_ROLES else aside
-            elif not aside and value and tag != "main" and any(map(_names_aside, value.split())):
+            elif key in ("class", "id") and not aside and tag != "main" and any(map(_names_aside, value.split())):
                 aside = _BY_NAME
-            if key.lower() == "class" and value:
+            if key == "class" and value:
                 name = ".".join([tag, *sorted(set(re.sub(r"[\d>]+", "", value).split()))])
     return name, aside
 
@@ -115,61 +167,118 @@ class Aside:
     """What an element beside the main text holds: characters outside of links, ``article`` or ``main``
     elements that are not marked themselves, and main headings."""
 
-    __slots__ = ("kind", "weight", "articles", "headings")
+    __slots__ = ("kind", "parent", "weight", "articles", "headings")
 
-    def __init__(self, kind: int = 0):
-        self.kind, self.weight, self.articles, self.headings = kind, 0, 0, 0
+    def __init__(self, kind: int = 0, parent: int = -1, weight: int = 0, articles: int = 0, headings: int = 0):
+        self.kind, self.parent = kind, parent
+        self.weight, self.articles, self.headings = weight, articles, headings
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page outside of elements beside the main text, in order.
+def blocks(page: str) -> tuple[list[Block], Paths]:
+    """The blocks of a page outside of elements beside the main text, in order, and the page's paths.
 
     No element is beside the main text if it holds all ``article`` and ``main`` elements of
-    the page, or a main heading and most of the text.  If no text is left, the largest of
-    those by name alone are not beside it either.
+    the page, or a main heading and most of the text; nor is a form with nearly all of the text.  If no text is
+    left, the largest of those by name alone, or forms, are not beside it either.
     """
-    found, whole, asides = _blocks(page, frozenset())
+    raw, paths, whole, asides = _parse(page)
     spared = {n for n, a in enumerate(asides)
-              if (a.articles and a.articles == whole.articles) or (a.headings and 2 * a.weight > whole.weight)}
-    if spared:
-        found, _, _ = _blocks(page, spared)
+              if (a.articles and a.articles == whole.articles) or (a.headings and 2 * a.weight > whole.weight)
+              or (a.kind == _BY_FORM and a.weight > PAGE_FORM * whole.weight)}
+    found = _visible(raw, asides, spared)
     if all(b.linked == len(b.text) for b in found):
-        named = {n: a.weight for n, a in enumerate(asides) if a.kind == _BY_NAME}
-        large = {n for n, weight in named.items() if 2 * weight > max(named.values())}
+        named = {n: a.weight for n, a in enumerate(asides) if a.kind in (_BY_NAME, _BY_FORM)}
+        most = max(named.values(), default=0)
+        large = {n for n, weight in named.items() if 2 * weight > most}
         if large:
-            found, _, _ = _blocks(page, spared | large)
-    return found
-
-
-def _blocks(page: str, spared: frozenset | set) -> tuple[list[Block], Aside, list[Aside]]:
-    """The blocks, what the whole page holds, and what each element beside the main text
-    does; those whose numbers are ``spared`` are not beside it."""
-    out: list[Block] = []
+            found = _visible(raw, asides, spared | large)
+    return found, paths
+
+
+def _visible(raw: list, asides: list[Aside], spared: set[int]) -> list[Block]:
+    """The blocks with what is in no element beside the main text, those ``spared`` aside."""
+    hidden: list[bool] = []
+    for n, a in enumerate(asides):
+        hidden.append(n not in spared or (a.parent >= 0 and hidden[a.parent]))
+    out = []
+    for node, words in raw:
+        words = [w for w in words if w[0] < 0 or not hidden[w[0]]]
+        text = " ".join("".join(html.unescape(t) if "&" in t else t for _, t, _ in words).split())
+        if text:
+            out.append(Block(text, node, min(sum(len(t) for _, t, link in words if link), len(text))))
+    return out
+
+
+class _Open:
+    """The open elements: (tag, container node, aside around its content, whether that aside is its own)."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, int, bool]] = [("", 0, -1, False)]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = [0]
+        self.scopes: list[int] = [0]
+
+    def push(self, tag: str, node: int, aside: int, own: bool) -> None:
+        at = len(self.stack)
+        self.stack.append((tag, node, aside, own))
+        self.places[tag].append(at)
+        if tag not in INLINE:
+            self.blocks.append(at)
+        if tag in _SCOPE:
+            self.scopes.append(at)
+
+    def last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def ended_by(self, tag: str) -> int:
+        """The innermost open element that an opening tag ends (0: none)."""
+        at = max(self.last("p"), *(self.last(t) for t, by in _CLOSED_BY.items() if tag in by), 0)
+        return at if at >= self.scopes[-1] else 0
+
+    def cut(self, at: int) -> list[int]:
+        """Close the elements from ``at`` on; the asides that end."""
+        ended = []
+        while len(self.stack) > at:
+            tag, _, aside, own = self.stack.pop()
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+            if tag in _SCOPE:
+                self.scopes.pop()
+            if own:
+                ended.append(aside)
+        return ended
+
+
+def _parse(page: str) -> tuple[list, Paths, Aside, list[Aside]]:
+    """The blocks as (container node, [(aside around, text, in a link)]), the paths, what the whole page holds,
+    and what each element beside the main text does."""
+    raw: list[tuple[int, list]] = []
+    paths, opened = Paths(), _Open()
     whole, asides = Aside(), []
-    # open elements: tag, path, paths of the containers, asides around
-    stack: list[tuple[str, str, tuple, tuple]] = [("", "", ("",), ())]
-    words: list[str] = []
-    links = linked = at = 0
+    stack = opened.stack
+    words: list[tuple[int, str, bool]] = []
+    link = False
+    at = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal words
         if words:
-            text = " ".join("".join(words).split())
-            if text:
-                out.append(Block(text, stack[-1][2], min(linked, len(text))))
-            words.clear()
-        linked = 0
+            raw.append((stack[-1][1], words))
+            words = []
 
     def put(text: str) -> None:
-        nonlocal linked
-        if text and not links:
-            weight = len(text.strip())
-            whole.weight += weight
-            for a in stack[-1][3]:
-                a.weight += weight
-        if text and not stack[-1][3]:
-            words.append(html.unescape(text) if "&" in text else text)
-            linked += len(text) if links else 0
+        if text:
+            if not link:
+                whole.weight += len(text.strip())
+            words.append((stack[-1][2], text, link))
+
+    def close(place: int) -> None:
+        for n in opened.cut(place):  # until here the aside has the counts of what came before it
+            a = asides[n]
+            a.weight, a.articles, a.headings = (
+                whole.weight - a.weight, whole.articles - a.articles, whole.headings - a.headings)
 
     n = len(page)
     while at < n:
@@ -190,106 +299,132 @@ def _blocks(page: str, spared: frozenset | set) -> tuple[list[Block], Aside, lis
             flush()
             continue
         if tag == "a":
-            links = 0 if m[1] else 1
+            link = not m[1]
         if tag in ("br", "hr", "img", "input"):
             put(" ")
         if tag in VOID:
             continue
         if m[1]:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if depth and not (tag in INLINE and any(x[0] not in INLINE for x in stack[depth + 1:])):
+            place = opened.last(tag)
+            if place and not (tag in INLINE and opened.blocks[-1] > place):
                 if tag not in INLINE:
                     flush()
-                del stack[depth:]
+                close(place)
             continue
         if tag in INLINE and not m[3]:
-            top = stack[-1]
-            stack.append((tag, top[1], top[2], top[3]))
+            opened.push(tag, stack[-1][1], stack[-1][2], False)
             continue
         if tag not in INLINE:
             flush()
-            links = 0
-            for k in range(len(stack) - 1, 0, -1):  # what this tag ends
-                if stack[k][0] == "p" or tag in _CLOSED_BY.get(stack[k][0], ()):
-                    del stack[k:]
-                    break
-                if stack[k][0] in _SCOPE:
-                    break
-        name, aside = _kind(tag, m[3])
-        top = stack[-1]
-        around = top[3]
-        if aside:
-            asides.append(Aside(aside))
-            if len(asides) - 1 not in spared:
-                if not around and tag in INLINE:
-                    put(" ")
-                around = (*around, asides[-1])
-        elif tag in ("article", "main", "h1"):
-            for a in (whole, *around):
-                a.articles += tag != "h1"
-                a.headings += tag == "h1"
-        path = top[1] if tag in INLINE else f"{top[1]}>{name}"
-        paths = top[2] if tag in INLINE else (*top[2], path)
-        stack.append((tag, path, paths, around))
+            link = False
+            place = opened.ended_by(tag)
+            if place:
+                close(place)
+        name, kind = _kind(tag, m[3])
+        _, node, around, _ = stack[-1]
+        if kind:
+            if tag in INLINE:
+                put(" ")
+            asides.append(Aside(kind, around, whole.weight, whole.articles, whole.headings))
+            around = len(asides) - 1
+        elif tag in ("article", "main"):
+            whole.articles += 1
+        elif tag == "h1":
+            whole.headings += 1
+        opened.push(tag, node if tag in INLINE else paths.child(node, name), around, bool(kind))
     flush()
-    return out, whole, asides
+    close(1)
+    return raw, paths, whole, asides
 
 
-def best_path(found: list[Block]) -> str | None:
-    """The path of the container with the best score: a block counts in full for the
+def best_node(found: list[Block], paths: Paths) -> int | None:
+    """The container with the best score: a block counts in full for the
     container around it, half for the next, and so on outwards."""
-    score: dict[str, float] = defaultdict(float)
+    weights: dict[int, int] = defaultdict(int)
     for b in found:
-        weight = len(b.text) - b.linked
-        for k, path in enumerate(reversed(b.paths[:-1] or b.paths)):
-            score[path] += weight / (k + 1)
-    return max(score, key=lambda p: (score[p], p)) if score else None
-
-
-def _tag_of(path: str) -> str:
-    return path.rpartition(">")[2].partition(".")[0]
+        weights[b.node] += len(b.text) - b.linked
+    score: dict[int, float] = defaultdict(float)
+    for node, weight in weights.items():
+        around = paths.around(node)
+        for k, outer in enumerate(reversed(around[:-1] or around)):
+            score[outer] += weight / (k + 1)
+    if not score:
+        return None
+    best = max(score.values())
+    return max((n for n, value in score.items() if value == best), key=paths.text)
 
 
-def widened(found: list[Block], path: str | None) -> str | None:
-    """The path of the whole article around the container on ``path``.
+def widened(found: list[Block], paths: Paths, node: int | None) -> int | None:
+    """The whole article around the container ``node``.
 
     That is the outermost ``article`` around it.  Without one, it is the outermost
     container, ``main`` at most, up to which each adds text that is not mostly links
     and not of another article: blocks of its own or sections, or large other parts.
     """
-    if path is None:
+    if node is None:
         return None
-    around = next(b.paths for b in found if path in b.paths)
-    at = around.index(path)
-    tags = [_tag_of(p) for p in around[:at + 1]]
+    around = paths.around(node)
+    at = len(around) - 1
+    tags = [paths.tag(n) for n in around]
     if "article" in tags:
         return around[tags.index("article")]
     last = tags.index("main") if "main" in tags else 0
-    inside = [path in b.paths for b in found]
-    had = sum(len(b.text) - b.linked for b, own in zip(found, inside, strict=True) if own)
+    # by node: its innermost container of those around, and whether beyond it are only parts of its text, an article
+    place = {n: (k, True, False) for k, n in enumerate(around)}
+
+    def placed(n: int) -> tuple[int, bool, bool]:
+        up = []
+        while n not in place:
+            up.append(n)
+            n = paths.parents[n]
+        for n in reversed(up):
+            k, flow, article = place[paths.parents[n]]
+            place[n] = (k, flow and paths.tag(n) in _FLOW, article or paths.tag(n) == "article")
+        return place[up[0] if up else n]
+
+    joins: dict[int, list[tuple[Block, bool, bool]]] = defaultdict(list)
+    for b in found:
+        k, flow, article = placed(b.node)
+        joins[k].append((b, flow, article))
+    had = sum(len(b.text) - b.linked for b, _, _ in joins[at])
+    weight = linked = 0
+    own = articles = False
     for k in range(at - 1, last - 1, -1):
-        new = [n for n, b in enumerate(found) if not inside[n] and len(b.paths) > k and b.paths[k] == around[k]]
-        below = [[_tag_of(p) for p in found[n].paths[k + 1:]] for n in new]
-        weight = sum(len(found[n].text) - found[n].linked for n in new)
-        linked = sum(found[n].linked for n in new)
-        if linked > weight or any("article" in tags for tags in below):
+        own = own and tags[k + 1] in _FLOW
+        for b, flow, article in joins[k]:
+            weight, linked = weight + len(b.text) - b.linked, linked + b.linked
+            own = own or (flow and 2 * b.linked < len(b.text))
+            articles = articles or article
+        if linked > weight or articles:
             break
-        own = any(2 * found[n].linked < len(found[n].text) and _FLOW.issuperset(tags)
-                  for n, tags in zip(new, below, strict=True))
-        if new and (own or weight >= LARGE_PART * had):
+        if own or (weight + linked and weight >= LARGE_PART * had):
             at, had = k, had + weight
-            for n in new:
-                inside[n] = True
+            weight = linked = 0
+            own = False
     return around[at]
 
 
+def voted(found: list[Block], paths: Paths) -> str | None:
+    """The path that a page votes for."""
+    node = widened(found, paths, best_node(found, paths))
+    return None if node is None else paths.text(node)
+
+
+def _inside(found: list[Block], paths: Paths, node: int | None) -> list[str]:
+    if node is None:
+        return []
+    within = {node: True, -1: False}
+    for n in range(len(paths.names)):  # a container comes before those in it
+        within.setdefault(n, within[paths.parents[n]])
+    return [b.text for b in found if within[b.node]]
+
+
 def extract(page: str | None, path: str | None) -> str:
     """The text of the containers on ``path``, else of the page's best one."""
-    found = blocks(page or "")
-    chosen = [b.text for b in found if path in b.paths] if path is not None else []
+    found, paths = blocks(page or "")
+    chosen = _inside(found, paths, None if path is None else paths.find(path))
     if not chosen:
-        own = widened(found, best_path(found))
-        chosen = [b.text for b in found if own in b.paths]
+        chosen = _inside(found, paths, widened(found, paths, best_node(found, paths)))
     return "\n".join(chosen)
 
 
@@ -297,8 +432,7 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     votes: Counter = Counter()
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found = blocks(page.as_py() or "")
-            votes[host, widened(found, best_path(found))] += 1
+            votes[host, voted(*blocks(page.as_py() or ""))] += 1
         if len(votes) > 100_000:
             yield _votes(votes)
             votes.clear()

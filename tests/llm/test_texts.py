@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -92,6 +93,52 @@ def test_extraction_keeps_what_only_sounds_beside_the_text(spark, around):
     assert row.text.split("\n") == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<div><p class="x"">text one</p><p>two</p></div>', "text one\ntwo"),
+    ("<div><p title='don't'>text one</p><p>it's two</p></div>", "text one\nit's two"),
+    ("<div><p title=\"never closed>text one</p><p>two</p></div>", "text one\ntwo"),
+    ("<div><p a = 'b>c' data-x=y'z\" d>text one</p><p title=\"a class='ad' b\">two</p></div>", "text one\ntwo"),
+    ("<p>one</p><a href=/?q=1&r='2'>link</a><p>two", "one\nlink\ntwo")])
+def test_extraction_of_malformed_attributes(page, want):
+    assert X.extract(page, None) == want
+
+
+def test_a_form_around_the_page_is_not_beside_its_text():
+    page = ("<body><form id=aspnetForm><input type=hidden><div class=nav><p>Home</p></div><div id=c>{}</div>"
+            "<div class=footer>me</div></form>{}</body>")
+    line = " ".join(PARA[3:-4].split())
+    assert X.extract(page.format(PARA * 3, ""), None) == "\n".join([line] * 3)
+    assert X.extract(page.format("<p>Your name</p><input>", f"<div>{PARA * 3}</div>"), None) == "\n".join([line] * 3)
+
+
+@pytest.mark.parametrize("tag", ["nav", "div", "div class=ad", "b", "span class=x", "li", "form", "q><p"])
+def test_deep_pages_take_linear_time(tag):
+    def seconds(n):
+        page = f"<{tag}>text " * n + "<p>deep" + "</b></q>" * n
+        start = time.process_time()
+        X.extract(page, X.voted(*X.blocks(page)))
+        return time.process_time() - start
+    assert seconds(40_000) < 1 + 12 * seconds(10_000)
+
+
+def test_containers_beyond_the_depth_are_siblings():
+    page = "<div>" * (X.DEPTH + 50) + "<p>one</p><p>two</p>" + "</div>" * 60 + "<p>three</p>"
+    found, paths = X.blocks(page)
+    assert [b.text for b in found] == ["one", "two", "three"] and max(paths.depths) == X.DEPTH
+
+
+def test_of_tied_votes_the_first_path_wins(spark):
+    def page(kind):
+        other = "b" if kind == "a" else "a"
+        return f"<div class={kind}>{PARA * 2}</div><div class={other}><p>short</p></div>"
+    rows = [(1, "http://h/1", page("b")), (2, "http://h/2", page("a")), (3, "http://g/1", page("b"))]
+    paths = {r.host: (r.path, r.votes, r.pages) for r in X.host_paths(
+        pages(spark, rows).selectExpr("regexp_extract(url, '://([^/]*)', 1) as host", "html")).collect()}
+    assert paths == {"h": (">div.a", 1, 2), "g": (">div.b", 1, 1)}
+    got = {r.page_id: r.text for r in X.extract_pages(pages(spark, rows)).collect()}
+    assert got[1] == "short" and got[2] == got[3] != "short"
+
+
 def test_extraction_of_the_generated_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in X.extract_pages(df).collect()}
