@@ -109,6 +109,22 @@ SELECT concat('SMP', s_suppkey) AS child,
        CASE WHEN s_suppkey % 7 <> 3 THEN concat('SMP', CAST(floor(s_suppkey / 2.0) AS BIGINT)) END AS sire,
        CASE WHEN s_suppkey % 5 <> 4 THEN concat('SMP', CAST(floor(s_suppkey / 3.0) AS BIGINT)) END AS dam
 FROM {supplier} WHERE s_suppkey > 0
+""",
+    # A pedigree of many generations; sires have even keys, dams odd ones.  Contradictions are planted among the
+    # younger half, whose keys nobody else names: cycles of one, two and three steps and a child of one, one
+    # sample as both parents, a second record.
+    "fx_lineage": """
+WITH q AS (SELECT count(*) AS n FROM {customer}),
+k AS (SELECT c_custkey AS k, CASE WHEN 2 * c_custkey > n THEN c_custkey % 101 ELSE -1 END AS odd,
+             CASE WHEN c_custkey >= 5 AND c_custkey % 11 <> 4 THEN 2 * CAST(floor(c_custkey / 5.0) AS BIGINT) END AS sire_k,
+             CASE WHEN c_custkey >= 7 AND c_custkey % 13 <> 6 THEN 2 * CAST(floor(c_custkey / 7.0) AS BIGINT) + 1 END AS dam_k
+      FROM {customer} CROSS JOIN q WHERE c_custkey > 0),
+r AS (SELECT k, CASE WHEN odd IN (50, 90, 91) THEN k + 1 WHEN odd = 92 THEN k - 2 WHEN odd = 60 THEN k ELSE sire_k END AS sire_k,
+             CASE WHEN odd IN (51, 93) THEN k - 1 WHEN odd = 70 THEN sire_k ELSE dam_k END AS dam_k FROM k
+      UNION ALL SELECT k, sire_k + 2, dam_k FROM k WHERE odd = 80)
+SELECT concat('SMP', k) AS child, CASE WHEN sire_k IS NOT NULL THEN concat('SMP', sire_k) END AS sire,
+       CASE WHEN dam_k IS NOT NULL THEN concat('SMP', dam_k) END AS dam
+FROM r
 """,
     # Families: even keys are founders (0, 4, .. sires and 2, 6, .. dams), odd keys their children.  An
     # allele of a founder and the one a parent hands on come from squares modulo a prime; one call in

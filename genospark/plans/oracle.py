@@ -662,6 +662,66 @@ tri AS (SELECT pos, count(*) AS n, {_mendel('c', 's', 'd')} AS t, {_prior('c')}
 """ + _em(8))
 
 
+# --------------------------------------------------------------------------
+# pedigree on the derived lineage: closures, and coancestry by expanding the younger of a pair
+# --------------------------------------------------------------------------
+
+oracle("x14", ["fx_lineage"], """
+SELECT s AS sample, 'own_ancestor' AS contradiction, min(len) AS n FROM walk WHERE s = place GROUP BY 1
+UNION ALL SELECT parent, 'sire_and_dam', least(count(*) FILTER (WHERE role = 's'), count(*) FILTER (WHERE role = 'd'))
+FROM roles GROUP BY 1 HAVING count(DISTINCT role) = 2
+UNION ALL SELECT child, 'one_parent_twice', count(*) FROM rec WHERE sire = dam GROUP BY 1
+UNION ALL SELECT child, 'several_records', count(*) FROM rec GROUP BY 1 HAVING count(*) > 1""", """
+rec AS (SELECT DISTINCT child, sire, dam FROM fx_lineage),
+roles AS (SELECT DISTINCT child, sire AS parent, 's' AS role FROM rec WHERE sire IS NOT NULL
+          UNION SELECT child, dam, 'd' FROM rec WHERE dam IS NOT NULL),
+e AS (SELECT DISTINCT child, parent FROM roles),
+clo(sample, ancestor) AS (SELECT child, parent FROM e UNION SELECT c.sample, e.parent FROM clo c JOIN e ON e.child = c.ancestor),
+cyc AS (SELECT sample FROM clo WHERE sample = ancestor),
+walk(s, place, len) AS (
+  SELECT child, parent, CAST(1 AS BIGINT) FROM e WHERE child IN (FROM cyc) AND parent IN (FROM cyc)
+  UNION
+  SELECT w.s, e.parent, w.len + 1 FROM walk w JOIN e ON e.child = w.place
+  WHERE e.parent IN (FROM cyc) AND w.s <> w.place AND w.len < (SELECT count(*) FROM cyc))""", recursive=True)
+
+def _lineage(wanted: str) -> str:
+    """Coancestry of the ``wanted`` pairs."""
+    return f"""
+one AS (SELECT child, sire, dam FROM (SELECT *, row_number() OVER (PARTITION BY child ORDER BY sire NULLS FIRST, dam NULLS FIRST) AS r
+                                      FROM fx_lineage) t WHERE r = 1),
+e AS (SELECT DISTINCT child, parent FROM (SELECT child, sire AS parent FROM one UNION ALL SELECT child, dam FROM one) t
+      WHERE parent IS NOT NULL),
+clo(sample, ancestor) AS (SELECT child, parent FROM e UNION SELECT c.sample, e.parent FROM clo c JOIN e ON e.child = c.ancestor),
+cyc AS (SELECT sample FROM clo WHERE sample = ancestor),
+good AS (SELECT DISTINCT sample FROM (SELECT child AS sample FROM fx_lineage UNION ALL SELECT sire FROM fx_lineage
+                                      UNION ALL SELECT dam FROM fx_lineage) t
+         WHERE sample IS NOT NULL AND sample NOT IN (FROM cyc)
+           AND sample NOT IN (SELECT sample FROM clo WHERE ancestor IN (FROM cyc))),
+steps(sample, g) AS (SELECT sample, 0 FROM good WHERE sample NOT IN (SELECT child FROM e)
+                     UNION SELECT e.child, s.g + 1 FROM steps s JOIN e ON e.parent = s.sample WHERE e.child IN (FROM good)),
+gen AS (SELECT sample, max(g) AS g FROM steps GROUP BY 1),
+gp AS (SELECT one.* FROM one WHERE child IN (FROM good)),
+wanted AS (SELECT DISTINCT o1, o2 FROM ({wanted}) t WHERE o1 IN (FROM good) AND o2 IN (FROM good)),
+co(o1, o2, x, y, w) AS (
+  SELECT o1, o2, o1, o2, CAST(1 AS DOUBLE) FROM wanted
+  UNION ALL
+  SELECT o1, o2, CASE WHEN x = y THEN sire ELSE t END, CASE WHEN x = y OR r = 2 THEN dam ELSE sire END, w / 2
+  FROM (SELECT o1, o2, x, y, w, CASE WHEN (a.g, x) >= (b.g, y) THEN x ELSE y END AS z, CASE WHEN (a.g, x) >= (b.g, y) THEN y ELSE x END AS t
+        FROM co JOIN gen a ON a.sample = x JOIN gen b ON b.sample = y) c
+  JOIN gp ON gp.child = z JOIN (VALUES (1), (2)) v(r) ON x <> y OR r = 1
+  WHERE CASE WHEN x = y THEN sire IS NOT NULL AND dam IS NOT NULL WHEN r = 1 THEN sire IS NOT NULL ELSE dam IS NOT NULL END),
+found AS (SELECT o1, o2, sum(CASE WHEN x = y THEN w / 2 ELSE 0 END) AS phi FROM co GROUP BY 1, 2)"""
+
+
+oracle("x15", ["fx_lineage"], """
+SELECT gen.sample, gen.g AS generation, round(coalesce(phi, 0), 10) AS inbreeding
+FROM gen LEFT JOIN gp ON gp.child = gen.sample LEFT JOIN found ON o1 = sire AND o2 = dam""", _lineage("SELECT sire AS o1, dam AS o2 FROM gp"), recursive=True)
+
+oracle("x16", ["fx_lineage"], """
+SELECT o1 AS sample_1, o2 AS sample_2, round(2 * phi, 10) AS relationship FROM found""", _lineage(
+    "SELECT child AS o1, sire AS o2 FROM fx_lineage UNION ALL SELECT child, dam FROM fx_lineage "
+    "UNION ALL SELECT sire, dam FROM fx_lineage"), recursive=True)
+
 # --------------------------------------------------------------------------
 # streaming queue
 # --------------------------------------------------------------------------

@@ -469,6 +469,31 @@ def x13_assignment_confidence(spark, sf_dir):
         "child", "parent_1", "parent_2", "delta", "confidence")
 
 
+# --------------------------------------------------------------------------
+# Pedigree on the derived lineage (x14 - x16)
+# --------------------------------------------------------------------------
+
+from genospark.operators import pedigree as lineage  # noqa: E402
+
+
+@query("x14")
+def x14_pedigree_contradictions(spark, sf_dir):
+    return lineage.contradictions(Fixtures(spark, sf_dir).fx_lineage)
+
+
+@query("x15")
+def x15_inbreeding(spark, sf_dir):
+    members = lineage.coefficients(Fixtures(spark, sf_dir).fx_lineage).members
+    return members.select("sample", "generation", F.round("inbreeding", 10).alias("inbreeding"))
+
+
+@query("x16")
+def x16_relationship(spark, sf_dir):
+    records = Fixtures(spark, sf_dir).fx_lineage
+    found = lineage.coefficients(records).relationships(lineage.recorded_pairs(records))
+    return found.withColumn("relationship", F.round("relationship", 10))
+
+
 # --------------------------------------------------------------------------
 # Streaming queue (s01, s02)
 # --------------------------------------------------------------------------
