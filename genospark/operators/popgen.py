@@ -77,6 +77,35 @@ def allele_frequencies(cells: DataFrame, positions: DataFrame,
          & (F.col("n_called") / F.col("n_samples") >= min_call_rate)).alias("informative"))
 
 
+def hardy_weinberg(freqs: DataFrame) -> DataFrame:
+    """Per SNP with calls: the exact test of Hardy-Weinberg proportions and the deficit of heterozygotes.
+
+    ``p_value`` is the chance, given the two allele counts, of a number of heterozygotes that is at most as likely
+    as the one found; 1 for a SNP with one allele.  The chances of all possible numbers follow from each other two
+    heterozygotes at a time, so they are summed relative to the number found, upwards and downwards from it;
+    where that sum is beyond a double, the p-value is 0.  ``f`` is 1 - observed / expected heterozygotes, null
+    with one allele.  Column expressions on the rows of ``allele_frequencies``: no shuffle, steps as many as calls.
+    """
+    rare, common = "least(n0, n2)", "greatest(n0, n2)"
+
+    def summed(steps: str, ratio: str) -> str:
+        """Sum of the chances over the steps, and of those not above 1; step ``i`` starts with ``h`` heterozygotes."""
+        return (f"aggregate(CASE WHEN {steps} > 0 THEN sequence(1L, {steps}) ELSE array() END, "
+                f"named_struct('p', 1D, 'all', 0D, 'tail', 0D), "
+                f"(s, i) -> transform(array(s.p * {ratio}), p -> named_struct("
+                f"'p', p, 'all', s.all + p, 'tail', s.tail + if(p <= 1.0000001D, p, 0D)))[0])")
+
+    up = summed(rare, f"(4D * ({rare} - i + 1) * ({common} - i + 1) / ((n1 + 2D * i) * (n1 + 2D * i - 1)))")
+    down = summed("(n1 div 2)", f"((n1 - 2D * i + 2) * (n1 - 2D * i + 1) / (4D * ({rare} + i) * ({common} + i)))")
+    sums = freqs.where("n_called > 0").withColumns({"up": F.expr(up), "down": F.expr(down)})
+    p = (2 * F.col("n2") + F.col("n1")) / (2 * F.col("n_called"))
+    expected = 2 * p * (1 - p) * F.col("n_called")
+    return sums.select(
+        "map_name", "pos", "snp_name", "n0", "n1", "n2",
+        F.expr("least(1D, (1 + up.tail + down.tail) / (1 + up.all + down.all))").alias("p_value"),
+        F.when(expected > 0, 1 - F.col("n1") / expected).alias("f"))
+
+
 def bitsets(cells: DataFrame) -> DataFrame:
     """(map_name, sample_id, block, b0, b1, b2): one row per sample and 64-position block with any call."""
     c = F.col("code")

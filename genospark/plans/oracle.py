@@ -722,6 +722,19 @@ SELECT o1 AS sample_1, o2 AS sample_2, round(2 * phi, 10) AS relationship FROM f
     "SELECT child AS o1, sire AS o2 FROM fx_lineage UNION ALL SELECT child, dam FROM fx_lineage "
     "UNION ALL SELECT sire, dam FROM fx_lineage"), recursive=True)
 
+# the chance of each possible number of heterozygotes from factorials
+oracle("x17", ["fx_calls", "fx_snp_map"], """
+SELECT 'MAIN_a' AS map_name, fr.pos, snp_name, n0, n1, n2, round(p_value, 9) AS p_value,
+       round(CASE WHEN n0 + n1 > 0 AND n2 + n1 > 0 THEN 1 - n1 / (2 * p * (1 - p) * n_called) END, 6) AS f
+FROM fr JOIN tested USING (pos)""", _FREQ + """,
+possible AS (SELECT pos, n1, n0, n2, n_called, unnest(range((n1 % 2), 2 * least(n0, n2) + n1 + 1, 2)) AS h FROM fr WHERE n_called > 0),
+chances AS (SELECT pos, h = n1 AS found, h * ln(2) - lgamma(h + 1) - lgamma((2 * n0 + n1 - h) / 2 + 1) - lgamma((2 * n2 + n1 - h) / 2 + 1) AS l
+            FROM possible),
+relative AS (SELECT pos, l - max(l) OVER (PARTITION BY pos) AS l, max(CASE WHEN found THEN l END) OVER (PARTITION BY pos)
+                    - max(l) OVER (PARTITION BY pos) AS l_found FROM chances),
+tested AS (SELECT pos, least(1, sum(CASE WHEN l <= l_found + 1e-8 THEN exp(l) ELSE 0 END) / sum(exp(l))) AS p_value
+           FROM relative GROUP BY 1)""")
+
 # --------------------------------------------------------------------------
 # streaming queue
 # --------------------------------------------------------------------------

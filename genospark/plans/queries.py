@@ -494,6 +494,13 @@ def x16_relationship(spark, sf_dir):
     return found.withColumn("relationship", F.round("relationship", 10))
 
 
+@query("x17")
+def x17_hardy_weinberg(spark, sf_dir):
+    _, _, fr = _freqs(Fixtures(spark, sf_dir))
+    return popgen.hardy_weinberg(fr).select("map_name", "pos", "snp_name", "n0", "n1", "n2",
+                                            F.round("p_value", 9).alias("p_value"), F.round("f", 6).alias("f"))
+
+
 # --------------------------------------------------------------------------
 # Streaming queue (s01, s02)
 # --------------------------------------------------------------------------

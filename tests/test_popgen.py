@@ -73,3 +73,21 @@ def test_siblings_with_unknown_parents(spark):
                      r.n_maternal_unresolved) for r in popgen.sibling_counts(ped).collect()}
     assert got == {"a": (1, 2, 1, 1, 1), "b": (1, 2, 1, 1, 1), "c": (0, 3, 1, 0, 0), "f": (0, 3, 3, 0, 0),
                    "g": (0, 0, 0, 2, 2), "h": (0, 0, 0, 0, 0)}
+
+
+def test_exact_hardy_weinberg(spark):
+    """Against sums of factorials in whole numbers; counts from one allele to a large deficit."""
+    def exact(bb, ab, aa):
+        a, b, n = 2 * aa + ab, 2 * bb + ab, bb + ab + aa
+        ways = {h: 2 ** h * math.factorial(n) // (math.factorial(h) * math.factorial((a - h) // 2) * math.factorial((b - h) // 2))
+                for h in range(a % 2, min(a, b) + 1, 2)}
+        return sum(w for w in ways.values() if w <= ways[ab]) / sum(ways.values())
+    counts = [(0, 0, 5), (7, 0, 0), (0, 1, 0), (1, 0, 1), (3, 4, 3), (10, 3, 10), (50, 0, 50), (0, 60, 0), (2, 57, 213), (30, 41, 9),
+              (1, 2, 0), (0, 9, 4), (100, 190, 110), (5, 5, 5), (12, 0, 1)]
+    df = spark.createDataFrame([("M", k, f"s{k}", *c, sum(c)) for k, c in enumerate([*counts, (0, 0, 0), (40000, 0, 40000)])],
+                               "map_name string, pos int, snp_name string, n0 long, n1 long, n2 long, n_called long")
+    got = {r.pos: (r.p_value, r.f) for r in popgen.hardy_weinberg(df).collect()}
+    for k, c in enumerate(counts):
+        assert math.isclose(got[k][0], exact(*c), rel_tol=1e-9), c
+    assert len(counts) not in got and got[len(counts) + 1] == (0.0, 1.0)  # no calls; beyond a double
+    assert got[0][1] is None and math.isclose(got[7][1], -1.0)
