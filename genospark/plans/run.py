@@ -35,6 +35,7 @@ class Layout:
     snp_maps: str | dict
     archive: str | dict
     out: str                # folder for every output table
+    named_files: bool = False  # export one file per upload under its own name, not a folder of parts
     atomic: bool = False    # publish a batch's tables by one commit (plans/commits.py) and read them through commits
 
     def path(self, name: str) -> str:
@@ -67,6 +68,13 @@ def _registered(spark: SparkSession, layout: Layout, name: str, columns: list[st
                          for c in columns])
 
 
+def _export(run: pipeline.UploadRun, layout: Layout) -> None:
+    write = ((sinks.write_genotype_files, sinks.write_panel_files) if layout.named_files
+             else (sinks.write_genotype_csv, sinks.write_panel_csv))
+    for write_one, name in zip(write, ("genotypes_csv", "panel_csv"), strict=True):
+        write_one(run.staging, run.names, layout.path(name))
+
+
 def run_batch(spark: SparkSession, queue_df: DataFrame, layout: Layout, batch: str | None = None) -> pipeline.UploadRun:
     """Decide the pending rows of ``queue_df``; running a named batch again replaces its rows."""
     pending = stored(queue.pending(queue_df), "batch")
@@ -87,12 +95,10 @@ def run_batch(spark: SparkSession, queue_df: DataFrame, layout: Layout, batch: s
             attempt.write(name, rows)
         attempt.commit()
         # exports follow the commit; running the batch again writes the same files again
-        sinks.write_genotype_csv(run.staging, run.names, layout.path("genotypes_csv"))
-        sinks.write_panel_csv(run.staging, run.names, layout.path("panel_csv"))
+        _export(run, layout)
         return run
     sinks.write_staging(run.staging, layout.path("staging"))
-    sinks.write_genotype_csv(run.staging, run.names, layout.path("genotypes_csv"))
-    sinks.write_panel_csv(run.staging, run.names, layout.path("panel_csv"))
+    _export(run, layout)
     sinks.write_checks(run.qc, run.allele_errors, run.long_ids, layout.path("checks"))
     sinks.register_maps(run.catalog_rows, run.snp_rows, layout.path("new_catalog"), layout.path("new_snp_maps"))
     sinks.append_alias_updates(run.alias_updates, layout.path("alias_updates"))

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from genospark.plans.named_files import write_named_files
 from genospark.schemas import PANEL_SUFFIX
 
 
@@ -21,21 +22,39 @@ def _dynamic(df: DataFrame):
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
-def write_genotype_csv(staging: DataFrame, names: DataFrame, out_dir: str) -> None:
-    """K3: ``Campione;CallRate;mappa_usata;Genotipo`` with a header, one folder per output file name."""
-    rows = staging.join(names.select("nume_cari", "output_name"), "nume_cari").select(
+def _genotype_lines(staging: DataFrame, names: DataFrame) -> DataFrame:
+    return staging.join(names.select("nume_cari", "output_name"), "nume_cari").select(
         "output_name", F.col("campione").alias("Campione"), F.col("callrate_g").alias("CallRate"),
         F.col("mappa_usata_g").alias("mappa_usata"), F.col("genotipo").alias("Genotipo"))
-    _dynamic(rows).partitionBy("output_name").option("sep", ";").option("header", True).csv(out_dir)
 
 
-def write_panel_csv(staging: DataFrame, names: DataFrame, out_dir: str) -> None:
-    """K4: ``Campione;Genotipo`` of the panel strings, file name suffixed with the panel suffix."""
-    rows = (staging.where(F.col("genotipo_parentela").isNotNull())
+def _panel_lines(staging: DataFrame, names: DataFrame) -> DataFrame:
+    return (staging.where(F.col("genotipo_parentela").isNotNull())
             .join(names.select("nume_cari", F.concat("output_name", F.lit(PANEL_SUFFIX)).alias("output_name")),
                   "nume_cari")
             .select("output_name", F.col("campione").alias("Campione"),
                     F.col("genotipo_parentela").alias("Genotipo")))
+
+
+def write_genotype_files(staging: DataFrame, names: DataFrame, out_dir: str) -> None:
+    """K3: ``Campione;CallRate;mappa_usata;Genotipo`` with a header, one file of the output name per upload."""
+    write_named_files(_genotype_lines(staging, names), out_dir, "output_name", ["Campione"])
+
+
+def write_panel_files(staging: DataFrame, names: DataFrame, out_dir: str) -> None:
+    """K4: ``Campione;Genotipo`` of the panel strings, file name suffixed with the panel suffix."""
+    write_named_files(_panel_lines(staging, names), out_dir, "output_name", ["Campione"])
+
+
+def write_genotype_csv(staging: DataFrame, names: DataFrame, out_dir: str) -> None:
+    """K3 as a table: one folder of part files per output name, which Spark reads back by name."""
+    rows = _genotype_lines(staging, names)
+    _dynamic(rows).partitionBy("output_name").option("sep", ";").option("header", True).csv(out_dir)
+
+
+def write_panel_csv(staging: DataFrame, names: DataFrame, out_dir: str) -> None:
+    """K4 as a table, like ``write_genotype_csv``."""
+    rows = _panel_lines(staging, names)
     _dynamic(rows).partitionBy("output_name").option("sep", ";").option("header", True).csv(out_dir)
 
 
