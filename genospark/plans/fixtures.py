@@ -162,6 +162,28 @@ SELECT concat('SMP', k) AS child,
        CASE WHEN k % 10 = 3 THEN concat('SMP', wrong_k) WHEN k % 10 <> 7 THEN concat('SMP', sire_k) END AS sire,
        CASE WHEN k % 12 <> 5 THEN concat('SMP', dam_k) END AS dam
 FROM {fx_family_true} WHERE k % 2 = 1
+""",
+    # Samples of two groups and mixtures of both (every third sample); an allele comes from a group by the sample's
+    # share and is A by that group's frequency.  Every fourth SNP repeats the one before it but for one allele in 20.
+    "fx_ancestry": """
+WITH a AS (SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 0 ELSE 10 + s_suppkey % 4 * 25 END AS x FROM {supplier})
+SELECT concat('SMP', k) AS sample_id, 'P0' AS grp, CAST(x AS DOUBLE) / 100 AS share FROM a WHERE x > 0
+UNION ALL SELECT concat('SMP', k), 'P1', CAST(100 - x AS DOUBLE) / 100 FROM a WHERE x < 100
+""",
+    "fx_population_calls": """
+WITH m AS (SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INT) AS pos FROM {part} WHERE p_size <= 5),
+h AS (SELECT 1 AS h UNION ALL SELECT 2),
+a AS (SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 0 ELSE 10 + s_suppkey % 4 * 25 END AS x FROM {supplier}),
+d AS (SELECT k, x, pos, h, ((k * 2003 + pos * 7411 + h * 104729) * (k * 2003 + pos * 7411 + h * 104729)) % 1000003 AS r,
+             CASE WHEN pos % 4 = 3 AND ((k * 577 + pos * 7919 + h * 31) * (k * 577 + pos * 7919 + h * 31)) % 1000003 % 20 > 0 THEN pos - 1 ELSE pos END AS like_pos
+      FROM a CROSS JOIN m CROSS JOIN h),
+e AS (SELECT k, pos, h, like_pos, r, CASE WHEN ((k * 3001 + like_pos * 5273 + h * 7) * (k * 3001 + like_pos * 5273 + h * 7)) % 1000003 % 100 < x THEN 0 ELSE 1 END AS g,
+             ((k * 1009 + like_pos * 9176 + h * 31337) * (k * 1009 + like_pos * 9176 + h * 31337)) % 1000003 % 100 AS y FROM d),
+c AS (SELECT k, pos, CAST(sum(CASE WHEN y < 15 + (like_pos * 37 + g * (1 + like_pos % 5) * 17) % 70 THEN 1 ELSE 0 END) AS INT) AS n_a, min(r) AS r
+      FROM e GROUP BY k, pos)
+SELECT CAST(1 AS BIGINT) AS nume_cari, concat('SMP', k) AS sample_id, 'PANEL' AS map_name, pos,
+       CASE WHEN r % 50 = 3 THEN 5 ELSE n_a END AS code
+FROM c
 """,
 }
 

@@ -735,6 +735,53 @@ relative AS (SELECT pos, l - max(l) OVER (PARTITION BY pos) AS l, max(CASE WHEN
 tested AS (SELECT pos, least(1, sum(CASE WHEN l <= l_found + 1e-8 THEN exp(l) ELSE 0 END) / sum(exp(l))) AS p_value
            FROM relative GROUP BY 1)""")
 
+# --------------------------------------------------------------------------
+# substructure and panel choice on the derived populations
+# --------------------------------------------------------------------------
+
+_OWN_P = """
+cc AS (SELECT sample_id, pos, code FROM fx_population_calls WHERE code IN (0, 1, 2)),
+gp AS (SELECT pos, grp, sum(share * code) / (2 * sum(share)) AS p FROM cc JOIN fx_ancestry USING (sample_id) GROUP BY 1, 2),
+own AS (SELECT sample_id, pos, sum(share * p) / sum(share) AS p FROM fx_ancestry JOIN gp USING (grp) GROUP BY 1, 2
+        HAVING count(*) = (SELECT count(*) FROM fx_ancestry f WHERE f.sample_id = fx_ancestry.sample_id))"""
+
+oracle("x19", ["fx_population_calls", "fx_ancestry"], """
+SELECT sample_id, count(*) AS n_snps, round(1 - exp(sum(ln(1 - 2 * p * p * (1 - p) * (1 - p)))), 6) AS pe_combined
+FROM own WHERE p > 0 AND p < 1 AND sample_id IN (SELECT sample_id FROM cc) GROUP BY 1""", _OWN_P)
+
+oracle("x20", ["fx_population_calls", "fx_ancestry", "fx_pedigree"], f"""
+SELECT child, parent, role, count(*) AS n_snps, round(sum(ln(((1 - 0.01) * t + 0.01 * pr) / pr)), 4) AS lod
+FROM (SELECT r.child, parent, role, {_prior("c.code")} AS pr,
+             CASE c.code WHEN 0 THEN (1 - g.code / 2) * (1 - p) WHEN 1 THEN g.code / 2 * (1 - p) + (1 - g.code / 2) * p
+                         ELSE g.code / 2 * p END AS t
+      FROM (SELECT child, sire AS parent, 'sire' AS role FROM fx_pedigree UNION ALL SELECT child, dam, 'dam' FROM fx_pedigree) r
+      JOIN cc c ON c.sample_id = child JOIN cc g ON g.sample_id = parent AND g.pos = c.pos
+      JOIN own ON own.sample_id = child AND own.pos = c.pos WHERE p > 0 AND p < 1) x
+GROUP BY 1, 2, 3""", _OWN_P)
+
+# the rule one SNP after the other, with the list of kept ones
+oracle("x21", ["fx_population_calls"], """
+SELECT pos, round(maf, 6) AS maf, list_contains(kept, i.k) AS kept,
+       CASE WHEN NOT list_contains(kept, i.k) THEN (SELECT min(o.pos) FROM inf o JOIN linked ON o.k = linked.a WHERE linked.b = i.k AND list_contains(kept, o.k)) END AS told_by
+FROM inf i CROSS JOIN (SELECT kept FROM seq ORDER BY k DESC LIMIT 1)""", """
+cc AS (SELECT sample_id, pos, code FROM fx_population_calls WHERE code IN (0, 1, 2)),
+ns AS (SELECT count(DISTINCT sample_id) AS n FROM fx_population_calls),
+fq AS (SELECT pos, least(sum(code) / (2 * count(*)), 1 - sum(code) / (2 * count(*))) AS maf, count(*) AS m FROM cc GROUP BY 1),
+inf AS MATERIALIZED (SELECT pos, maf, row_number() OVER (ORDER BY pos) AS k FROM fq CROSS JOIN ns
+        WHERE maf >= CAST(0.05 AS DOUBLE) AND m / n >= CAST(0.9 AS DOUBLE)),
+ic AS (SELECT sample_id, k, code FROM cc JOIN inf USING (pos)),
+sums AS (SELECT a.k AS a, b.k AS b, CAST(count(*) AS DOUBLE) AS n, CAST(sum(a.code) AS DOUBLE) AS sa, CAST(sum(b.code) AS DOUBLE) AS sb,
+                CAST(sum(a.code * a.code) AS DOUBLE) AS saa, CAST(sum(b.code * b.code) AS DOUBLE) AS sbb, CAST(sum(a.code * b.code) AS DOUBLE) AS sab
+         FROM ic a JOIN ic b ON b.sample_id = a.sample_id AND b.k > a.k AND b.k <= a.k + 20 GROUP BY 1, 2),
+linked AS MATERIALIZED (SELECT a, b FROM sums WHERE n * saa > sa * sa AND n * sbb > sb * sb
+           AND (n * sab - sa * sb) * (n * sab - sa * sb) > CAST(0.2 AS DOUBLE) * ((n * saa - sa * sa) * (n * sbb - sb * sb))),
+before AS MATERIALIZED (SELECT k, coalesce(l, []) AS l FROM inf LEFT JOIN (SELECT b, list(a) AS l FROM linked GROUP BY 1) ON b = k),
+seq(k, kept) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT before.k, CASE WHEN list_has_any(l, kept) THEN kept ELSE list_append(kept, before.k) END FROM seq JOIN before ON before.k = seq.k + 1)""",
+       recursive=True)
+
 # --------------------------------------------------------------------------
 # streaming queue
 # --------------------------------------------------------------------------

@@ -501,6 +501,48 @@ def x17_hardy_weinberg(spark, sf_dir):
                                             F.round("p_value", 9).alias("p_value"), F.round("f", 6).alias("f"))
 
 
+# --------------------------------------------------------------------------
+# Substructure and panel choice on the derived populations (x18 - x21)
+# --------------------------------------------------------------------------
+
+from genospark.operators import linkage, structure  # noqa: E402
+
+
+def _population(fx: Fixtures):
+    cells = fx.fx_population_calls
+    positions = cells.select("map_name", "pos", F.col("pos").cast("string").alias("snp_key")).distinct()
+    return cells, stored(popgen.allele_frequencies(cells, positions), "population-frequencies")
+
+
+@query("x18")
+def x18_principal_components(spark, sf_dir):
+    cells, freqs = _population(Fixtures(spark, sf_dir))
+    found = structure.principal_components(cells, freqs, k=1)
+    return found.scores.join(found.axes.where("component = 1"), "map_name").select(
+        "sample_id", F.round(F.col("scores")[0], 4).alias("score"), F.round("variance", 4).alias("variance"),
+        F.round("share", 6).alias("share"))
+
+
+@query("x19")
+def x19_group_exclusion(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return structure.group_exclusion(fx.fx_population_calls, fx.fx_ancestry).select(
+        "sample_id", "n_snps", F.round("pe_combined", 6).alias("pe_combined"))
+
+
+@query("x20")
+def x20_group_likelihood(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return structure.group_likelihood_ratios(fx.fx_population_calls, fx.fx_ancestry, fx.fx_pedigree).select(
+        "child", "parent", "role", "n_snps", F.round("lod", 4).alias("lod"))
+
+
+@query("x21")
+def x21_pruned_panel(spark, sf_dir):
+    cells, freqs = _population(Fixtures(spark, sf_dir))
+    return linkage.pruned_panel(cells, freqs, window=20).drop("map_name", "snp_name")
+
+
 # --------------------------------------------------------------------------
 # Streaming queue (s01, s02)
 # --------------------------------------------------------------------------

@@ -22,8 +22,8 @@ def con():
     return c
 
 
-#: Rests on seeded simulation; tests/test_parentage.py has its tests.
-WITHOUT_SQL = {"x13"}
+#: Seeded simulation (tests/test_parentage.py), principal components (tests/test_structure.py).
+WITHOUT_SQL = {"x13", "x18"}
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - WITHOUT_SQL))
