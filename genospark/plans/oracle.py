@@ -798,3 +798,5 @@ WHERE {_PENDING} AND tipo_cari = 'M' AND ({_TYPE_CODE}) IS NULL""")
 oracle("s03", ["fx_jobs"], f"""
 SELECT CAST(nume_cari AS VARCHAR) AS nume_cari, code, bit_ok, bit_elaborato, errori_elab
 FROM (SELECT nume_cari, {_TYPE_CODE} AS code FROM fx_jobs WHERE {_PENDING}) j JOIN outc USING (code)""", _outcome_values())
+
+ORACLE["s04"] = ORACLE["s01"]  # every pending upload once, whatever run its row came in

@@ -552,7 +552,8 @@ import os  # noqa: E402
 from genospark.plans.commits import Published  # noqa: E402
 from genospark.session import scratch_path  # noqa: E402
 from genospark.sources.zipfiles import list_archives  # noqa: E402
-from genospark.streaming import queue_stream  # noqa: E402
+from genospark.plans import sinks  # noqa: E402
+from genospark.streaming import queue_stream, queue_table  # noqa: E402
 
 
 def _stream_once(spark, sf_dir):
@@ -594,3 +595,18 @@ def s03_published_batches(spark, sf_dir):
         attempt.write("status", rows)
         attempt.commit()
     return published.read("status", "nume_cari").drop("batch", "seq")
+
+
+@query("s04")
+def s04_queue_table(spark, sf_dir):
+    """The queue table as a source, in two runs from one checkpoint; the rows of the second came late, under smaller ids too."""
+    fx = Fixtures(spark, sf_dir)
+    base = scratch_path(spark, "queue-table")
+    table, status_dir = os.path.join(base, "queue"), os.path.join(base, "status")
+    jobs, files = fx.fx_jobs, list_archives(spark, os.path.join(base, "uploads"))
+    for k in range(2):
+        jobs.where(F.pmod("nume_cari", F.lit(2)) == k).repartition(2).write.mode("append").parquet(table)
+        queue_stream.run_queue(spark, table, jobs.schema, status_dir, os.path.join(base, "checkpoint"), files,
+                               stream=queue_table.queue_table(spark, table, jobs.schema))
+    status = sinks.latest_status(queue_stream.read_status(spark, status_dir))
+    return status.select("nume_cari", "code", "bit_ok", "bit_elaborato", "errori_elab")

@@ -132,8 +132,8 @@ def _keep_open(todo: DataFrame, run: pipeline.UploadRun, layout: Layout, epoch_i
 
 
 def process_queue_stream(spark: SparkSession, queue_dir: str, schema, layout: Layout, checkpoint: str,
-                         interval: str | None = None, archive_dir: str | None = None):
-    """Queue folder as a stream; each micro-batch runs ``run_batch`` on its pending rows and on
+                         interval: str | None = None, archive_dir: str | None = None, stream: DataFrame | None = None):
+    """Queue folder (or another ``stream`` of queue rows, e.g. ``queue_table``) as a stream; each micro-batch runs ``run_batch`` on its pending rows and on
     the rows that earlier micro-batches left pending (one row per upload, no final status yet).
 
     All writes are by upload or by micro-batch id, so a replayed micro-batch adds nothing.
@@ -152,8 +152,9 @@ def process_queue_stream(spark: SparkSession, queue_dir: str, schema, layout: La
                       .join(done, "nume_cari", "left_anti"), "todo")
         _keep_open(todo, run_batch(spark, todo, layout, name), layout, epoch_id)
 
-    q = (queue_stream.queue_stream(spark, queue_dir, schema, archive_dir=archive_dir).writeStream.foreachBatch(handle)
-         .option("checkpointLocation", checkpoint))
+    if stream is None:
+        stream = queue_stream.queue_stream(spark, queue_dir, schema, archive_dir=archive_dir)
+    q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if interval:
         return q.trigger(processingTime=interval).start()
     q = q.trigger(availableNow=True).start()

@@ -68,15 +68,17 @@ def make_batch_handler(spark: SparkSession, status_dir: str, files: DataFrame):
 
 
 def run_queue(spark: SparkSession, queue_dir: str, schema, status_dir: str, checkpoint: str,
-              files: DataFrame, archive_dir: str | None = None, interval: str | None = None):
-    """Process the queue folder.
+              files: DataFrame, archive_dir: str | None = None, interval: str | None = None,
+              stream: DataFrame | None = None):
+    """Process the queue folder, or another ``stream`` of queue rows (e.g. ``queue_table``).
 
     Without ``interval``: everything available now, then stop.  With an
     interval (e.g. ``"30 seconds"``): poll like the upload system's loop and
     return the running query.
     """
-    q = (queue_stream(spark, queue_dir, schema, archive_dir=archive_dir).writeStream
-         .foreachBatch(make_batch_handler(spark, status_dir, files))
+    if stream is None:
+        stream = queue_stream(spark, queue_dir, schema, archive_dir=archive_dir)
+    q = (stream.writeStream.foreachBatch(make_batch_handler(spark, status_dir, files))
          .option("checkpointLocation", checkpoint))
     if interval:
         return q.trigger(processingTime=interval).start()
