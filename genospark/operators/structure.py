@@ -28,6 +28,8 @@ SPARE_AXES = 8
 SNP_BLOCK = 1024
 #: Rows of genotypes multiplied at once.
 ROWS = 256
+#: Group frequencies (groups times SNPs, over all maps) that may be broadcast: half a gigabyte.
+MOST_FREQUENCIES = 1 << 26
 
 
 def _standardised(codes: list[bytes], p: np.ndarray) -> np.ndarray:
@@ -215,7 +217,12 @@ def _shares_by_sample(shares: DataFrame) -> DataFrame:
 
 def _for_samples(rows: DataFrame, groups: DataFrame, keep: list[str], value: str,
                  compute: Callable[[np.ndarray, dict], tuple[int, float]]) -> DataFrame:
-    """(map_name, ``keep``, n_snps, ``value``) by ``compute`` on the sample's own frequencies and the row."""
+    """(map_name, ``keep``, n_snps, ``value``) by ``compute`` on the sample's own frequencies and the row.
+
+    Raises ValueError for more than ``MOST_FREQUENCIES`` of them: then fewer maps have to be given at once."""
+    size = groups.count()
+    if size > MOST_FREQUENCIES:
+        raise ValueError(f"{size} group frequencies, at most {MOST_FREQUENCIES} can be broadcast: give fewer maps at once")
     matrices = rows.sparkSession.sparkContext.broadcast(_matrices(groups))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -148,3 +148,9 @@ def test_one_group_is_the_plain_likelihood(spark, mixed):
     plain = {r.parent: (r.n_snps, r.lod) for r in popgen.likelihood_ratios(cells, _freqs(cells), pedigree).collect()}
     grouped = {r.parent: (r.n_snps, round(r.lod, 4)) for r in structure.group_likelihood_ratios(cells, one, pedigree).collect()}
     assert plain == grouped
+
+
+def test_too_many_frequencies_are_refused(mixed, monkeypatch):
+    monkeypatch.setattr(structure, "MOST_FREQUENCIES", 10)
+    with pytest.raises(ValueError, match="fewer maps"):
+        structure.group_exclusion(mixed[1], mixed[3])
