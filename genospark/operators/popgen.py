@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genospark.session import scratch_path, stored
@@ -210,20 +210,50 @@ def prior(p: np.ndarray) -> np.ndarray:
     return np.stack([q * q, 2 * p * q, p * p])
 
 
+#: First byte of a sample's packed calls that name their positions (codes are 5 at most).
+BY_POSITION = b"\x06"
+#: Bytes of an Arrow batch of packed calls.
+BATCH_BYTES = 1 << 23
+
+
+def packed(at: np.ndarray, code: np.ndarray) -> bytes:
+    """A sample's calls: a byte for each position of the map up to its last call, 5 for none; of a sample with few calls
+    ``BY_POSITION``, the called positions in order (four bytes each) and their codes."""
+    if at.max() + 1 > 5 * len(at):
+        order = np.argsort(at)
+        return BY_POSITION + at[order].astype("<u4").tobytes() + code[order].astype(np.uint8).tobytes()
+    codes = np.full(at.max() + 1, 5, np.uint8)
+    codes[at] = code
+    return codes.tobytes()
+
+
+def calls_of(codes: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The called positions of ``packed`` calls, in order, and their codes."""
+    if codes[:1] == BY_POSITION:
+        n = len(codes) // 5
+        return np.frombuffer(codes, "<u4", n, 1).astype(np.int64), np.frombuffer(codes, np.uint8, n, 1 + 4 * n)
+    dense = np.frombuffer(codes, np.uint8)
+    at = np.flatnonzero(dense < 3)
+    return at, dense[at]
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session: the packed calls of one sample can be a megabyte."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def genotypes(cells: DataFrame) -> DataFrame:
-    """(map_name, sample_id, codes): the calls of a sample as bytes by position, 5 for none."""
+    """(map_name, sample_id, codes): the calls of a sample, ``packed``."""
+    bounded_batches(cells.sparkSession)
     # both aggregates run on this partitioning; a group is one sample's calls on a map
     calls = current_calls(cells.repartition("map_name", "sample_id")).groupBy("map_name", "sample_id").agg(
         F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), F.col("code").cast("int").alias("code"))).alias("calls"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for calls in batch.column(2):
-                at, code = (calls.values.field(k).to_numpy() for k in ("pos", "code"))
-                codes = np.full(at.max() + 1, 5, np.uint8)
-                codes[at] = code
-                out.append(codes.tobytes())
+            out = [packed(*(calls.values.field(k).to_numpy() for k in ("pos", "code"))) for calls in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
                                              names=["map_name", "sample_id", "codes"])
     return calls.mapInArrow(run, "map_name string, sample_id string, codes binary")
@@ -243,7 +273,13 @@ def frequencies_by_map(freqs: DataFrame) -> dict[str, np.ndarray]:
 
 
 def padded(codes: bytes, size: int) -> np.ndarray:
+    """``packed`` calls as a code for each of the first ``size`` positions."""
     out = np.full(size, 5, np.uint8)
+    if codes[:1] == BY_POSITION:
+        at, code = calls_of(codes)
+        n = np.searchsorted(at, size)
+        out[at[:n]] = code[:n]
+        return out
     got = np.frombuffer(codes, np.uint8)[:size]
     out[:len(got)] = got
     return out
@@ -251,31 +287,28 @@ def padded(codes: bytes, size: int) -> np.ndarray:
 
 def _pair_terms(frequencies, error_rate: float):
     """Sum over SNPs of ln(((1 - e) T(child | parent) + e P(child)) / P(child)) for rows of two samples' codes."""
-    tables: dict[str, np.ndarray] = {}
-
-    def terms(map_name: str) -> np.ndarray:
-        """The term by 3 * child + parent and position; NaN where the SNP has one allele or no call."""
-        if map_name not in tables:
-            p = frequencies.value[map_name]
-            p = np.where((p > 0) & (p < 1), p, np.nan)
-            q, zero = 1 - p, np.zeros(len(p))
-            chance = np.stack([q, q / 2, zero, p, np.full(len(p), 0.5), q, zero, p / 2, p])
-            base = np.repeat(prior(p), 3, axis=0)
-            tables[map_name] = np.log(((1 - error_rate) * chance + error_rate * base) / base)
-        return tables[map_name]
+    def terms(map_name: str, at: np.ndarray, child: np.ndarray, parent: np.ndarray) -> np.ndarray:
+        """The terms of the positions that have two alleles; nothing is kept for the rest of the map."""
+        p = frequencies.value[map_name]
+        inside = at < len(p)
+        p, child, parent = p[at[inside]], child[inside], parent[inside]
+        use = (p > 0) & (p < 1)  # NaN where no call is
+        p, child, parent = p[use], child[use], parent[use]
+        q, zero = 1 - p, np.zeros(len(p))
+        chance = np.choose(3 * child + parent, [q, q / 2, zero, p, np.full(len(p), 0.5), q, zero, p / 2, p])
+        base = np.choose(child, prior(p))
+        return np.log(((1 - error_rate) * chance + error_rate * base) / base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, rest = batch.column(0).to_pylist(), batch.columns[:4]
             sizes, sums = [], []
             for name, child, parent in zip(names, batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                table = terms(name)
-                c, g = padded(child, table.shape[1]), padded(parent, table.shape[1])
-                at = np.flatnonzero((c < 3) & (g < 3))
-                values = table[3 * c[at] + g[at], at]
-                known = ~np.isnan(values)
-                sizes.append(int(known.sum()))
-                sums.append(round(float(values[known].sum()), 4))
+                (c_at, c), (g_at, g) = calls_of(child), calls_of(parent)
+                at, in_child, in_parent = np.intersect1d(c_at, g_at, assume_unique=True, return_indices=True)
+                values = terms(name, at, c[in_child], g[in_parent]) if len(at) else np.zeros(0)
+                sizes.append(len(values))
+                sums.append(round(float(values.sum()), 4))
             yield pa.RecordBatch.from_arrays([*rest, pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
                                              names=["map_name", "child", "parent", "role", "n_snps", "lod"])
     return run
@@ -286,9 +319,8 @@ def likelihood_ratios(cells: DataFrame, freqs: DataFrame, pedigree: DataFrame,
     """Per (map_name, child, parent, role): LOD = sum ln(((1-e) T(c|g) + e P(c)) / P(c)) over jointly
     called polymorphic SNPs.
 
-    Each sample's calls are packed to a byte a position once; a pair's row has both, and its terms are looked up
-    and summed in one step.  The terms of a map (nine for each SNP) are computed once a worker from frequencies
-    that are bounded by the map.
+    Each sample's calls are packed once, so a row grows with the calls and not with the map; a pair's row has both,
+    and its terms are computed at the SNPs that both have, from frequencies that are bounded by the map.
     """
     calls = stored(genotypes(cells), "genotypes")
     j = (parent_pairs(pedigree)

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+
 from genospark.operators import popgen
 
 CELLS = "nume_cari long, sample_id string, map_name string, pos int, code int"
@@ -56,6 +58,26 @@ def test_likelihood_over_blocks(spark):
     assert got.n_snps == n and abs(got.lod - lod) < 1e-3
 
 
+def test_packed_calls_grow_with_the_calls(spark):
+    """A few calls on a map of a million positions: no byte for each position."""
+    rows = [(1, s, "A", k * 100_003, (k * (3 + i)) % 3) for i, s in enumerate(("kid", "dad", "other")) for k in range(10)]
+    cells = spark.createDataFrame(rows, CELLS)
+    assert max(len(r.codes) for r in popgen.genotypes(cells).collect()) < 100
+    codes = popgen.packed(np.array([900, 7, 12]), np.array([2, 0, 1]))
+    assert [a.tolist() for a in popgen.calls_of(codes)] == [[7, 12, 900], [0, 1, 2]]
+    assert popgen.padded(codes, 14).tolist() == [5] * 7 + [0] + [5] * 4 + [1, 5]
+    dense = popgen.packed(np.array([2, 0]), np.array([2, 1]))
+    assert [a.tolist() for a in popgen.calls_of(dense)] == [[0, 2], [1, 2]] and popgen.padded(dense, 2).tolist() == [1, 5]
+    near = [(u, s, m, k // 100_003, c) for u, s, m, k, c in rows]
+    found = []
+    for some in (rows, near):
+        cells = spark.createDataFrame(some, CELLS)
+        positions = cells.selectExpr("map_name", "pos", "CAST(pos AS STRING) AS snp_key").distinct()
+        ped = spark.createDataFrame([("kid", "dad", None)], PED)
+        found.append(tuple(popgen.likelihood_ratios(cells, popgen.allele_frequencies(cells, positions), ped).first()))
+    assert found[0] == found[1] and found[0][4] > 3
+
+
 def test_ancestors_of_a_deep_pedigree(spark):
     """Deeper than any fixed number of rounds, with a cycle at its top."""
     n = 70
