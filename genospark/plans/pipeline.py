@@ -76,11 +76,10 @@ def genotype_batch(lines: DataFrame, catalog: DataFrame, snp_maps: DataFrame,
         used_maps = snp_maps.join(eligible.select("map_name").distinct(), "map_name", "left_semi")
         positions = encode.map_positions(used_maps)
         # read by staging and QC: every call is encoded once
-        encoded = stored(encode.genotype_strings(main_calls, used_maps, positions), "encoded")
-        staging = encode.staged(encoded)
+        encoded = stored(encode.sample_calls(main_calls, used_maps, positions), "encoded")
         panel_calls = calls.join(eligible.select(KEY), KEY, "left_semi").withColumn("map_name", F.lit(panel_map))
-        panel = encode.panel_strings(panel_calls, panel_snps)
-        staging = stored(encode.with_panel(staging, panel)) if panel_ready else _empty_staging(calls)
+        panel = encode.sample_calls(panel_calls, panel_snps)
+        staging = stored(encode.with_panel(encoded, panel)) if panel_ready else _empty_staging(calls)
         qc = stored(encode.sample_qc(main_calls, used_maps, positions, encoded), "qc")
     if not panel_ready:  # these uploads cannot be finished now: they stay pending
         pre = pre.withColumn("type_code", F.when(outcomes.genotype_code().isin("g_I", "g_K"), "c_B")

@@ -52,3 +52,20 @@ def test_invariants_and_row_order(spark):
         assert len(g) == n
         assert set(g) <= set("0125")
         assert abs(r[2] - round(sum(c != "5" for c in g) / n, 4)) < 1e-9
+
+
+def test_panel_join_holds_calls_not_strings(spark):
+    """A few calls on a map of 5000 SNPs: what is joined has no string of the map's length; a dense sample has one."""
+    snps = [("M", k, f"S{k}") for k in range(5000)]
+    panel = [("P", k, f"S{k}") for k in range(4)]
+    calls = [(1, 1, "A", "S7", "A", "A"), (1, 2, "A", "S2", "A", "B"), (1, 3, "B", "NOPE", "A", "A"), (2, 1, "A", "S0", "B", "B")]
+    calls += [(3, k, "D", f"S{k}", "A", "A") for k in range(200)]
+    c = spark.createDataFrame(calls, SCHEMA)
+    maps = spark.createDataFrame(snps + panel, MAP_SCHEMA)
+    main = encode.sample_calls(c.withColumn("map_name", F.lit("M")), maps.where("map_name = 'M'"))
+    own = {(r.nume_cari, r.sample_id): r for r in main.collect()}
+    assert own[1, "A"].genotype is None and len(own[1, "A"].calls) == 2 and own[3, "D"].calls is None
+    part = encode.sample_calls(c.where("nume_cari <> 2").withColumn("map_name", F.lit("P")), maps.where("map_name = 'P'"))
+    got = {(r.nume_cari, r.campione): (r.genotipo, r.genotipo_parentela) for r in encode.with_panel(main, part).collect()}
+    assert got == {(1, "A"): ("5515555" + "2" + "5" * 4992, "5515"), (1, "B"): ("5" * 5000, "5555"),
+                   (2, "A"): ("0" + "5" * 4999, None), (3, "D"): ("2" * 200 + "5" * 4800, "2222")}
