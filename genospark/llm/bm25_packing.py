@@ -191,13 +191,14 @@ class Terms:
 
 def _frequencies(size: int, dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency, seen, rests, tokens = np.zeros(size, np.int64), np.zeros(size, np.int64), 0, 0
+        frequency, place, rests, tokens = np.zeros(size, np.int64), np.zeros(size, np.int64), 0, 0
         for batch in batches:
             for rest in batch.column(0):
-                ids = np.frombuffer(rest.as_buffer(), dtype)
+                ids = np.frombuffer(rest.as_buffer(), dtype).astype(np.int64)
                 rests, tokens = rests + 1, tokens + len(ids)
-                seen[ids] = rests
-                frequency += seen == rests
+                at = np.arange(len(ids))
+                place[ids] = at  # one place of each distinct id: the work grows with the rest, not with the vocabulary
+                frequency[ids[place[ids] == at]] += 1
         token = np.flatnonzero(frequency)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(token, [size, size + 1])), pa.array(np.append(frequency[token], [rests, tokens]))],

@@ -7,7 +7,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 from genospark.llm import bm25_packing as P
@@ -327,3 +329,24 @@ def test_repeated_strings(spark, monkeypatch, bucket, group):
 
 def test_repeated_strings_of_an_empty_table(spark):
     assert S.remove_repeats(empty(spark)).count() == 0
+
+
+def test_counters_stop_at_255_in_any_number_of_steps(monkeypatch):
+    """A shingle that comes more often than two bytes count, added in few or many steps: 255, the others as often as they come."""
+    texts = pa.RecordBatch.from_arrays([pa.array(["a b c d e " * 20_000, "a b c d e f", None, "x y"])], names=["text"])
+
+    def counts():
+        (out,) = N._count(1 << 16)(iter([texts]))
+        return np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(c), np.uint8)
+                               for c in out.column(1).to_pylist()])
+    whole = counts()
+    assert whole.max() == 255 and sorted(set(whole.tolist())) == [0, 1, 255]
+    monkeypatch.setattr(N, "ADDED", 7)
+    assert (counts() == whole).all()
+
+
+def test_frequencies_count_each_id_once_in_a_rest():
+    rests = [np.array([5, 5, 1, 5], np.uint16), np.array([1], np.uint16), np.array([9, 5, 9], np.uint16)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rests], pa.binary())], names=["rest"])
+    (out,) = P._frequencies(10, np.dtype(np.uint16))(iter([batch]))
+    assert dict(zip(*(c.to_pylist() for c in out.columns))) == {1: 2, 5: 2, 9: 1, 10: 3, 11: 8}
