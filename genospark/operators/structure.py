@@ -26,8 +26,8 @@ from genospark.session import stored
 SPARE_AXES = 8
 #: SNPs of one row of partial sums.
 SNP_BLOCK = 1024
-#: Rows of genotypes multiplied at once.
-ROWS = 256
+#: Genotypes multiplied at once, in whole rows: 32 MB as doubles.
+CELLS = 1 << 22
 #: Group frequencies (groups times SNPs, over all maps) that may be broadcast: half a gigabyte.
 MOST_FREQUENCIES = 1 << 26
 
@@ -50,8 +50,9 @@ def _products(frequencies, axes):
             names = np.array(batch.column(0).to_pylist(), object)
             for name in sorted(set(names) & set(axes.value)):
                 at, v = np.flatnonzero(names == name), axes.value[name]
-                for lo in range(0, len(at), ROWS):
-                    codes = batch.column(1).take(pa.array(at[lo:lo + ROWS])).to_pylist()
+                step = max(1, CELLS // len(v))
+                for lo in range(0, len(at), step):
+                    codes = batch.column(1).take(pa.array(at[lo:lo + step])).to_pylist()
                     x = _standardised(codes, frequencies.value[name])
                     sums[name] = sums.get(name, 0) + x.T @ (x @ v)
                     squares[name] = squares.get(name, 0.0) + float((x * x).sum())
@@ -182,9 +183,20 @@ def principal_components(cells: DataFrame, freqs: DataFrame, k: int = 4, toleran
 def group_frequencies(cells: DataFrame, shares: DataFrame) -> DataFrame:
     """(map_name, pos, grp, weight, p): frequency of A in each group, samples weighed by their ``shares``
     (sample_id, grp, share); ``weight`` is the summed share of samples with a call.  Nulls and shares of 0 count for nothing."""
-    known = shares.where("share > 0 AND grp IS NOT NULL")
-    return (popgen.current_calls(cells).join(known, "sample_id").groupBy("map_name", "pos", "grp")
-            .agg(F.sum("share").alias("weight"), (F.sum(F.col("share") * F.col("code")) / (2 * F.sum("share"))).alias("p")))
+    known = shares.where("share > 0 AND grp IS NOT NULL").select("sample_id", F.col("grp").cast("string"), F.col("share").cast("double"))
+    rows = popgen.bitsets(cells).join(known, "sample_id").drop("sample_id")
+
+    def part(batch: pa.RecordBatch, group: np.ndarray, n: int) -> np.ndarray:
+        b0, b1, b2 = (popgen.bits_of(batch.column(b)) for b in ("b0", "b1", "b2"))
+        share = batch.column("share").to_numpy()[:, None, None]
+        return popgen.summed(np.stack([b0 | b1 | b2, b1 + 2 * b2], axis=2) * share, group, n, np.float64)
+
+    def finish(sums: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        at = np.flatnonzero(sums[:, 0])
+        return at, [sums[at, 0], sums[at, 1] / (2 * sums[at, 0])]
+    found = popgen.block_sums(rows, ["map_name", "grp", "block"], np.float64, 2, part, finish,
+                              "map_name string, grp string, pos int, weight double, p double")
+    return found.select("map_name", "pos", "grp", "weight", "p")
 
 
 def _matrices(groups: DataFrame) -> dict[str, tuple[list[str], np.ndarray]]:
@@ -248,7 +260,8 @@ def group_exclusion(cells: DataFrame, shares: DataFrame) -> DataFrame:
         p = p[~np.isnan(p)]
         return len(p), float(1 - np.exp(np.log(1 - 2 * p * p * (1 - p) * (1 - p)).sum()))
 
-    genotyped = cells.where(popgen.called(F.col("code"))).select("map_name", "sample_id").distinct()
+    cells = popgen.stored_blocks(cells)
+    genotyped = popgen.bitsets(cells).select("map_name", "sample_id").distinct()
     return _for_samples(genotyped.join(_shares_by_sample(shares), "sample_id"), stored(group_frequencies(cells, shares)),
                         ["sample_id"], "pe_combined", combined)
 
@@ -264,6 +277,7 @@ def group_likelihood_ratios(cells: DataFrame, shares: DataFrame, pedigree: DataF
         chance = np.choose(child, [(1 - dose) * (1 - p), dose * (1 - p) + (1 - dose) * p, dose * p])
         return len(at), float(np.log(((1 - error_rate) * chance + error_rate * base) / base).sum())
 
+    cells = popgen.stored_blocks(cells)
     calls = stored(popgen.genotypes(cells), "genotypes")
     pairs = (popgen.parent_pairs(pedigree)
              .join(calls.withColumnsRenamed({"sample_id": "child", "codes": "cs"}), "child")

@@ -113,3 +113,22 @@ def test_exact_hardy_weinberg(spark):
         assert math.isclose(got[k][0], exact(*c), rel_tol=1e-9), c
     assert len(counts) not in got and got[len(counts) + 1] == (0.0, 1.0)  # no calls; beyond a double
     assert got[0][1] is None and math.isclose(got[7][1], -1.0)
+
+
+def test_call_blocks_hold_the_latest_calls_and_are_few(spark):
+    """A row for each 64 positions: later uploads hold where they called, no-calls are seen, uploads without id count for nothing."""
+    rows = [(1, "a", "M", k, k % 3) for k in range(200)] + [(2, "a", "M", k, 5 if k % 2 else 2) for k in range(0, 70)]
+    rows += [(1, "b", "M", 130, 5), (None, "c", "M", 3, 1)]
+    cells = spark.createDataFrame(rows, "nume_cari long, sample_id string, map_name string, pos int, code int")
+    blocks = popgen.stored_blocks(cells)
+    assert blocks.count() == 4 + 1 + 1 and popgen.call_blocks(blocks) is blocks
+    want = {("M", "a", k): 2 if k < 70 and k % 2 == 0 else k % 3 for k in range(200)}
+    got = {(r.map_name, r.sample_id, k): c for r in popgen.genotypes(blocks).collect()
+           for k, c in zip(*map(list, popgen.calls_of(bytes(r.codes))), strict=True)}
+    assert got == want
+    counts = {r.pos: (r.n0, r.n1, r.n2) for r in popgen.genotype_counts(blocks).collect()}
+    assert counts == {k: tuple(int(want["M", "a", k] == c) for c in range(3)) for k in range(200)}
+    assert sorted(r.pos for r in popgen.seen_positions(blocks).collect()) == list(range(200))
+    # every measure reads blocks in place of calls, and adds them up before the shuffle
+    plan = popgen.call_blocks(cells)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bit_or" in plan
