@@ -81,3 +81,17 @@ def test_a_chain_of_generations_and_a_popular_sire(spark):
                                   "sample_1 string, sample_2 string")
     got = {(r.sample_1, r.sample_2): r.relationship for r in P.coefficients(df).relationships(pairs).collect()}
     assert got == {("k1", "k2"): 0.25, ("c5", "c0"): 0.5 ** 5, ("d1", "d2"): 0.0}
+
+
+def test_contributions_are_packed_rows_of_parents(spark):
+    """Of samples that are nobody's parent only the inbreeding is kept, and their relationships are those of the tabular method."""
+    rng = random.Random(5)
+    records = [(f"g{g}_{k}", f"g{g - 1}_{rng.randrange(4)}", f"g{g - 1}_{rng.randrange(4, 8)}") for g in range(1, 5) for k in range(8)]
+    records += [(f"leaf{k}", f"g4_{rng.randrange(4)}", f"g{rng.randrange(2, 5)}_{rng.randrange(4, 8)}") for k in range(20)]
+    got = P.coefficients(spark.createDataFrame(records, PED))
+    parents = {p for _, s, d in records for p in (s, d)}
+    assert sorted(r.sample for r in got.contributions.collect()) == sorted(parents)
+    want = tabular(records)
+    pairs = spark.createDataFrame([p for p in want if p[0].startswith("leaf")], "sample_1 string, sample_2 string")
+    found = {(r.sample_1, r.sample_2): r.relationship for r in got.relationships(pairs).collect()}
+    assert len(found) == 20 * len({x for x, _ in want}) and all(abs(found[p] - want[p]) < 1e-12 for p in found)
