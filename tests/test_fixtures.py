@@ -64,3 +64,12 @@ def test_calls_of_large_keys_do_not_overflow(spark, tmp_path):
         x = (k * 4001 + m * 6007 + 11) ** 2 % p
         want = 5 if x % 50 == 3 else (n_a + 1) % 3 if x % 200 == 7 or (m % 29 == 0 and x % 10 == 1) else n_a
         assert got["SMP2", pos] == want
+
+
+def test_no_query_reads_the_alleles_of_the_sql(spark, tmp_path, monkeypatch):
+    """Two rows for each founder and SNP: a step of the SQL that is not stored beside the calls."""
+    fx = Fixtures(spark, _folder(spark, tmp_path, range(8), [(k, 1) for k in range(5)]))
+    built = []
+    monkeypatch.setattr(Fixtures, "table", lambda self, name: built.append(name))
+    fx.prepare()
+    assert "fx_family_calls" in built and "fx_family_alleles" not in built
