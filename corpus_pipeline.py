@@ -17,6 +17,7 @@ text go through the first four stages untouched.
 from __future__ import annotations
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +45,9 @@ def numbered(docs: DataFrame) -> DataFrame:
     at = docs.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias("__at"))
     # the driver lists the files of a table anyway
     paths = sorted(r[0] for r in at.select(_FILE).distinct().collect())
-    files = docs.sparkSession.createDataFrame([(p, k) for k, p in enumerate(paths)],
-                                              f"{_FILE} string, {_FILE_NUMBER} long")
+    # an Arrow table: a list would start a second kind of Python workers, which stay beside the others
+    files = docs.sparkSession.createDataFrame(pa.table({
+        _FILE: pa.array(paths, pa.string()), _FILE_NUMBER: pa.array(range(len(paths)), pa.int64())}))
     return at.join(F.broadcast(files), _FILE).select(
         *docs.columns, F.shiftleft(_FILE_NUMBER, 36).bitwiseOR(F.col("__at")).alias(_ROW))
 

@@ -42,6 +42,7 @@ INDEX_SCHEMA = ("segment long, doc_ids array<long>, n_words array<int>, "
                 "terms binary, counts binary, positions binary")
 
 
+@T.releases
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     for batch in batches:
@@ -179,6 +180,7 @@ def _each_segment(batches: Iterator[pa.RecordBatch], match: Callable, phrases: P
 
 
 def _matches(match: Callable, phrases: Phrases):
+    @T.releases
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment, seg, which, doc, start, end in _each_segment(batches, match, phrases):
             first = seg.doc_first[doc]
@@ -192,6 +194,7 @@ def _matches(match: Callable, phrases: Phrases):
 
 def _hits(match: Callable, phrases: Phrases):
     """One row for each hit text: the phrases that occur and the merged spans."""
+    @T.releases
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment, seg, which, doc, start, end in _each_segment(batches, match, phrases):
             out = {"segment": [], "at": [], "phrase_ids": [], "spans": []}
@@ -214,6 +217,7 @@ def _hits(match: Callable, phrases: Phrases):
 
 
 def _windows(size: int):
+    @T.releases
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = T.buffers(batch.column(1))

@@ -103,3 +103,11 @@ def test_run_on_generated_documents(spark):
 
 def test_run_on_an_empty_table(spark, tmp_path):
     assert C.run(spark, tables(spark, str(tmp_path), [])).count() == 0
+
+
+def test_rows_are_numbered_without_another_kind_of_workers(spark, tmp_path):
+    path = folder(spark, str(tmp_path), documents=documents(spark, messy_texts()))
+    rows = C.numbered(spark.read.parquet(f"{path}/documents.parquet"))
+    assert "ExistingRDD" not in rows._jdf.queryExecution().executedPlan().toString()
+    numbers = [r[0] for r in rows.select(C._ROW).collect()]
+    assert len(numbers) == len(set(numbers)) == len(messy_texts())

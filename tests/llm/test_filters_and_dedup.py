@@ -4,6 +4,7 @@ import gc
 import random
 import weakref
 
+import pyarrow as pa
 import pytest
 
 from genospark.llm import decontamination as D
@@ -178,3 +179,16 @@ def test_rows_given_again_are_not_kept_again(spark, tmp_path):
         assert len(got) == len(batch) and not any(r.kept for r in got)
     assert index.rows().count() == 4
     spark.sql("DROP TABLE given_again")
+
+
+def test_decontamination_gives_memory_back(monkeypatch):
+    """Workers are used again: what a task leaves in them stands beside the next stage's needs."""
+    given = []
+    monkeypatch.setattr(D.T, "give_back", lambda: given.append(1))
+    texts = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join("abcdefghijklm")])], names=["doc_id", "text"])
+    (row,) = D._index(iter([texts]))
+    (windows,) = D._windows(10)(iter([texts]))
+    phrases = D.Phrases(list(range(windows.num_rows)), windows.column(1).to_pylist())
+    for task in (D._hits, D._matches):
+        assert sum(b.num_rows for b in task(D.exact_matches, phrases)(iter([row]))) in (1, 4)
+    assert len(given) == 4

@@ -350,3 +350,16 @@ def test_frequencies_count_each_id_once_in_a_rest():
     batch = pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rests], pa.binary())], names=["rest"])
     (out,) = P._frequencies(10, np.dtype(np.uint16))(iter([batch]))
     assert dict(zip(*(c.to_pylist() for c in out.columns))) == {1: 2, 5: 2, 9: 1, 10: 3, 11: 8}
+
+
+def test_no_task_of_near_copies_has_two_python_workers(spark, monkeypatch):
+    """Two functions of one stage have a worker each, and both stay beside the next stages' work."""
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def checked(self, *args, **options):
+        assert self._jdf.queryExecution().analyzed().nodeName() != "MapInArrow"
+        return plain(self, *args, **options)
+    monkeypatch.setattr(frame, "mapInArrow", checked)
+    rows = [(i, "one two three four five six" + " seven" * (i % 3)) for i in range(6)]
+    assert {r.component_id for r in N.near_copies(documents(spark, rows)).collect()} == {0, 1, 2}
