@@ -26,6 +26,7 @@ pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -48,6 +49,8 @@ K1, B = 1.2, 0.75
 CACHED_WORDS = 2_000_000
 #: New words encoded at once; an encoding takes far more memory than its ids.
 ENCODED_WORDS = 4096
+#: Bits of a word's hash that name its place in the table of words met last.
+PLACE_BITS = 19
 
 _SPLIT = np.ones(256, bool)
 _SPLIT[[0x20, 0x09, 0x0A, 0x0D]] = False
@@ -88,18 +91,47 @@ class Words:
             (self.words, words), (self.first, first), (self.size, size)))
 
 
+class Places:
+    """For each leading part of a hash, the word met last: its first id (in ``new.flat``) and number of ids."""
+
+    def __init__(self):
+        self.words = np.zeros(1 << PLACE_BITS, np.uint64)
+        self.words[0] = ~np.uint64(0)  # no word of its place, as 0 is none of the others'
+        self.first, self.size = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
+
+    @staticmethod
+    def of(words: np.ndarray) -> np.ndarray:
+        return (words >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
+
+    def put(self, words: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        at = self.of(words)
+        self.words[at], self.first[at], self.size[at] = words, first, size
+
+
 class WordCache:
     """Ids of the words this worker has met lately."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library would start threads on all
         self.tokenizer = Tokenizer.from_file(path)
-        self.new, self.old = Words(), Words()
+        self.new, self.old, self.places = Words(), Words(), Places()
 
     def lookup(self, words: np.ndarray, text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First id (in ``new.flat``) and number of ids of each of the distinct words, which are sorted;
-        unknown ones are encoded."""
+        """First id (in ``new.flat``) and number of ids of each word; only those not in their places are sorted."""
         if len(self.new.words) > CACHED_WORDS // 2:
-            self.old, self.new = self.new, Words()
+            self.old, self.new, self.places = self.new, Words(), Places()
+        at = self.places.of(words)
+        first, size = self.places.first[at], self.places.size[at]
+        rest = np.flatnonzero(self.places.words[at] != words)
+        if len(rest):
+            distinct, at, which = np.unique(words[rest], return_index=True, return_inverse=True)
+            own_first, own_size = self._distinct(distinct, text, start[rest[at]], end[rest[at]])
+            first[rest], size[rest] = own_first[which], own_size[which]
+            self.places.put(distinct, own_first, own_size)
+        return first, size
+
+    def _distinct(self, words: np.ndarray, text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of distinct words, which are sorted; unknown ones are encoded."""
         _, known = self.new.find(words)
         rest = np.flatnonzero(~known)
         at, known = self.old.find(words[rest])
@@ -129,9 +161,7 @@ def encode_texts(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | begins[1:]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    words, at, which = np.unique(T.SpanHash(text)(start, end), return_index=True, return_inverse=True)
-    begin, size = cache.lookup(words, text.tobytes(), start[at], end[at])
-    begin, size = begin[which], size[which]
+    begin, size = cache.lookup(T.SpanHash(text)(start, end), text.tobytes(), start, end)
     total = np.concatenate(([0], np.cumsum(size)))
     first = total[np.searchsorted(start, starts_at)]
     ids = cache.new.flat[T.ranges(begin, size)]
@@ -322,8 +352,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     sized = rests.select("rest").mapInArrow(
         _telling(terms, pa.schema([("token", pa.int64()), ("size", pa.int64())])), "token long, size long")
     sizes = [tuple(r) for r in sized.groupBy("token").agg(F.sum("size").alias("size")).collect()]
-    plan = spark.createDataFrame([(t, s, p) for t, (s, p) in shard_plan(sizes, shard_tokens).items()] or [(-1, 0, 1)],
-                                 "token long, shard long, parts long")  # at most one row for each id of the tokenizer
+    # at most one row for each id of the tokenizer; an Arrow table needs no other kind of Python workers
+    planned = [(t, s, p) for t, (s, p) in shard_plan(sizes, shard_tokens).items()] or [(-1, 0, 1)]
+    plan = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*planned, strict=True)],
+                                          names=["token", "shard", "parts"]))
     deal = F.pmod(F.xxhash64("row"), F.col("parts"))
     fields = [("token", pa.int64()), ("size", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()),
               ("doc_tokens", pa.int64()), ("rest", pa.binary())]

@@ -363,3 +363,37 @@ def test_no_task_of_near_copies_has_two_python_workers(spark, monkeypatch):
     monkeypatch.setattr(frame, "mapInArrow", checked)
     rows = [(i, "one two three four five six" + " seven" * (i % 3)) for i in range(6)]
     assert {r.component_id for r in N.near_copies(documents(spark, rows)).collect()} == {0, 1, 2}
+
+
+def test_packing_starts_no_other_kind_of_workers(spark):
+    plan = P.pack(documents(spark, [(1, "a b c"), (2, "a b")]), TOKENIZER)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ExistingRDD" not in plan
+
+
+def test_words_are_encoded_by_the_task_alone(monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    P.WordCache(TOKENIZER)
+    assert P.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+@pytest.mark.parametrize("bits,cached", [(1, 4), (2, 40), (19, 2_000_000)])
+def test_words_that_share_a_place(monkeypatch, bits, cached):
+    """Ids are right if words push each other out, and after the cache's older half went."""
+    monkeypatch.setattr(P, "PLACE_BITS", bits)
+    monkeypatch.setattr(P, "CACHED_WORDS", cached)
+    monkeypatch.setattr(P, "_caches", {})
+    tokenizer, rng = Tokenizer.from_file(TOKENIZER), random.Random(8)
+    for _ in range(6):
+        texts = [" ".join(words(rng, rng.randrange(30))) if k % 2 else words(rng, 12) for k in range(8)]
+        data = [t.encode() for t in texts]
+        ids, first = P.encode_texts(TOKENIZER, np.frombuffer(b"".join(data), np.uint8),
+                                    np.cumsum([0, *map(len, data)]))
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [
+            [*tokenizer.encode(t, add_special_tokens=False).ids, P.END_ID] for t in texts]
+
+
+def test_a_place_is_filled_by_the_words_of_all_zeros_and_ones():
+    places, odd = P.Places(), np.asarray([0, 2**64 - 1], np.uint64)
+    assert not (places.words[places.of(odd)] == odd).any()
+    places.put(odd, np.asarray([5, 6]), np.asarray([1, 2]))
+    assert places.first[places.of(odd)].tolist() == [5, 6] and places.size[places.of(odd)].tolist() == [1, 2]
