@@ -184,7 +184,7 @@ def _encode(path: str, dtype: np.dtype):
         row = window = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         for batch in batches:
             data, offsets = T.buffers(batch.column(1))
-            for i, j in T.slices(offsets, 4 * T.SLICE_BYTES):
+            for i, j in T.slices(offsets, 2 * T.SLICE_BYTES):
                 ids, first = encode_texts(path, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 crcs, rests = [], []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
@@ -336,7 +336,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     Returns a row for each piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id and offset.
     """
-    T.bounded_batches(docs.sparkSession)
+    T.bounded_batches(docs.sparkSession, T.SMALL_BATCH_BYTES)
     spark = docs.sparkSession
     size = Tokenizer.from_file(tokenizer).get_vocab_size()
     dtype = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)

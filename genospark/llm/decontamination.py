@@ -65,7 +65,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The positional index of ``docs``, stored."""
-    T.bounded_batches(docs.sparkSession)
+    T.bounded_batches(docs.sparkSession, T.SMALL_BATCH_BYTES)
     return stored(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
                   .mapInArrow(_index, INDEX_SCHEMA), "positional-index")
 

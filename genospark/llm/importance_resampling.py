@@ -215,7 +215,7 @@ class Resampling:
 
     def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  k: int | None = None, keep_cost: float = KEEP_COST, labelled: int = LABELLED, seed: int = 5):
-        T.bounded_batches(docs.sparkSession)
+        T.bounded_batches(docs.sparkSession, T.SMALL_BATCH_BYTES)
         context = docs.sparkSession.sparkContext
         self.id_col, self.text_col, self.seed = id_col, text_col, seed
         self.known = context.broadcast(known_labels(labels, id_col, labelled))

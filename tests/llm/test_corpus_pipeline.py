@@ -1,6 +1,14 @@
 """The pipeline, stage by stage, against what each operator and brute force say."""
 
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
+from genospark.llm import textarrays as T
+from genospark.llm.bm25_packing import pack
+from genospark.llm.decontamination import build_index
 from genospark.session import stored
 from tests.llm.fixtures import CLASHING, documents, folder, messy_texts, words
 from tests.llm.test_texts import brute_components, check_pieces, shingle_sets
@@ -111,3 +119,25 @@ def test_rows_are_numbered_without_another_kind_of_workers(spark, tmp_path):
     assert "ExistingRDD" not in rows._jdf.queryExecution().executedPlan().toString()
     numbers = [r[0] for r in rows.select(C._ROW).collect()]
     assert len(numbers) == len(set(numbers)) == len(messy_texts())
+
+
+def test_memory_of_intermediates(spark):
+    """Rows of megabytes are not one page of a whole file, and the stages' batches and workers hold little."""
+    chunk = F.expr("cast(concat_ws('', transform(sequence(1, 16000), x -> sha2(concat(id, '-', x), 256))) as binary)")
+    rows = spark.range(0, 40, numPartitions=1).select("id", chunk.alias("data"))
+    table = stored(rows, "large-rows")
+    files = [pq.ParquetFile(f[len("file:"):].replace("///", "/")).metadata for f in table.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 40 and max(g.total_byte_size for g in groups) <= 20 << 20
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, docs = spark.conf.get(key), documents(spark, messy_texts(), clashing=False)
+    try:
+        for use in (build_index, lambda d: pack(d, public_tokenizers.path("word_bpe_49k.json"))):
+            spark.conf.set(key, 256 << 20)
+            use(docs)
+            assert int(spark.conf.get(key)) == T.SMALL_BATCH_BYTES
+    finally:
+        spark.conf.set(key, before)
+    T.SpanHash(np.zeros(5 << 20, np.uint8))
+    T.give_back()
+    assert len(T._POWERS.up) == len(T._POWERS.down) == 1
