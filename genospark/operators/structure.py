@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genospark.operators import popgen
-from genospark.session import stored
+from genospark.operators import popgen, samplerows
+from genospark.session import shuffles_deleted, stored
 
 #: Axes beyond those asked for; they speed up convergence.
 SPARE_AXES = 8
@@ -124,7 +124,7 @@ def principal_components(cells: DataFrame, freqs: DataFrame, k: int = 4, toleran
     The driver holds SNPs times ``k + SPARE_AXES`` doubles of each map, which are broadcast each round.
     """
     spark = cells.sparkSession
-    rows = stored(popgen.genotypes(cells), "packed-genotypes")
+    rows = stored(popgen.genotypes(cells), "packed-genotypes", "zstd")
     by_map = popgen.frequencies_by_map(freqs)
     frequencies = spark.sparkContext.broadcast(by_map)
     random = np.random.default_rng(seed)
@@ -142,8 +142,9 @@ def principal_components(cells: DataFrame, freqs: DataFrame, k: int = 4, toleran
         parts = rows.select("map_name", "codes").mapInArrow(_products(frequencies, axes), _SUMS).withColumn(
             "task", F.spark_partition_id())
         # summed in the order of tasks, so that a repeated round gives the same digits
-        summed = (parts.repartition("map_name", "block").sortWithinPartitions("map_name", "block", "task")
-                  .select("map_name", "block", "squares", "sums").mapInArrow(_added, _SUMS)).collect()
+        with shuffles_deleted(spark):
+            summed = (parts.repartition("map_name", "block").sortWithinPartitions("map_name", "block", "task")
+                      .select("map_name", "block", "squares", "sums").mapInArrow(_added, _SUMS)).collect()
         axes.unpersist()
         done += 1
         products: dict[str, dict[int, bytes]] = {}
@@ -184,7 +185,11 @@ def group_frequencies(cells: DataFrame, shares: DataFrame) -> DataFrame:
     """(map_name, pos, grp, weight, p): frequency of A in each group, samples weighed by their ``shares``
     (sample_id, grp, share); ``weight`` is the summed share of samples with a call.  Nulls and shares of 0 count for nothing."""
     known = shares.where("share > 0 AND grp IS NOT NULL").select("sample_id", F.col("grp").cast("string"), F.col("share").cast("double"))
-    rows = popgen.bitsets(cells).join(known, "sample_id").drop("sample_id")
+    if popgen.is_rows(cells):
+        rows = samplerows.blocks(cells.where("n_called > 0").join(known, "sample_id"), "grp", "share").where("b0 | b1 | b2 <> 0")
+    else:
+        rows = popgen.bitsets(cells).join(known, "sample_id")
+    rows = rows.drop("sample_id", "seen")
 
     def part(batch: pa.RecordBatch, group: np.ndarray, n: int) -> np.ndarray:
         b0, b1, b2 = (popgen.bits_of(batch.column(b)) for b in ("b0", "b1", "b2"))
@@ -261,7 +266,7 @@ def group_exclusion(cells: DataFrame, shares: DataFrame) -> DataFrame:
         return len(p), float(1 - np.exp(np.log(1 - 2 * p * p * (1 - p) * (1 - p)).sum()))
 
     cells = popgen.stored_blocks(cells)
-    genotyped = popgen.bitsets(cells).select("map_name", "sample_id").distinct()
+    genotyped = popgen.called_samples(cells)
     return _for_samples(genotyped.join(_shares_by_sample(shares), "sample_id"), stored(group_frequencies(cells, shares)),
                         ["sample_id"], "pe_combined", combined)
 
@@ -278,6 +283,11 @@ def group_likelihood_ratios(cells: DataFrame, shares: DataFrame, pedigree: DataF
         return len(at), float(np.log(((1 - error_rate) * chance + error_rate * base) / base).sum())
 
     cells = popgen.stored_blocks(cells)
+    if popgen.is_rows(cells):
+        groups, mixes = stored(group_frequencies(cells, shares)), _shares_by_sample(shares).withColumnRenamed("sample_id", "child")
+        related = popgen.parent_pairs(pedigree).join(mixes.select("child"), "child", "left_semi")
+        return samplerows.union([stored(_for_samples(pairs.join(mixes, "child"), groups, ["child", "parent", "role"], "lod", ratio), "group-lod")
+                                 for pairs in popgen.related_codes(cells, related)])
     calls = stored(popgen.genotypes(cells), "genotypes")
     pairs = (popgen.parent_pairs(pedigree)
              .join(calls.withColumnsRenamed({"sample_id": "child", "codes": "cs"}), "child")
